@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textsieve.operators.vectorize import BROADCAST_VOCAB_ROWS
+from textsieve.session import cut_lineage
 
 
 @dataclass
@@ -106,8 +107,8 @@ def fit_multinomial(feats: DataFrame, docs: DataFrame, vocab: DataFrame, alpha:
         (F.log(F.col("fc1") + alpha) - math.log(d1)).alias("w1"),
         F.lit(0.0).alias("q0"),
         F.lit(0.0).alias("q1"),
-    ).persist()
-    params.count()
+    )
+    params = cut_lineage(params)
     sums.unpersist()
     c0, c1 = _class_totals(docs, label_col)
     lp0, lp1 = _log_priors(c0, c1)
@@ -132,7 +133,8 @@ def fit_bernoulli(feats: DataFrame, docs: DataFrame, vocab: DataFrame, alpha: fl
         F.lit(0.0).alias("q1"),
         neg(0).alias("_n0"),
         neg(1).alias("_n1"),
-    ).persist()
+    )
+    params = cut_lineage(params)
     t = params.agg(F.sum("_n0").alias("n0"), F.sum("_n1").alias("n1"), F.count(F.lit(1)).alias("v")).first()
     lp0, lp1 = _log_priors(c0, c1)
     return NBModel("bernoulli", params.drop("_n0", "_n1"), lp0 + float(t["n0"]), lp1 + float(t["n1"]),
@@ -164,7 +166,8 @@ def fit_gaussian(feats: DataFrame, docs: DataFrame, vocab: DataFrame, var_smooth
         (F.lit(-0.5) / v1).alias("q1"),
         (-0.5 * F.log(2 * math.pi * v0) - 0.5 * F.col("m0") * F.col("m0") / v0).alias("_k0"),
         (-0.5 * F.log(2 * math.pi * v1) - 0.5 * F.col("m1") * F.col("m1") / v1).alias("_k1"),
-    ).persist()
+    )
+    params = cut_lineage(params)
     t = params.agg(F.sum("_k0").alias("k0"), F.sum("_k1").alias("k1"), F.count(F.lit(1)).alias("v")).first()
     base.unpersist()
     lp0, lp1 = _log_priors(c0, c1)
@@ -188,3 +191,92 @@ def scale_std(feats: DataFrame, docs: DataFrame, vocab: DataFrame, label_col: st
     return vocab.select("term").join(stats, "term", "left").fillna(0.0, ["sx", "sxx"]).select(
         "term", F.when(s > 0, s).otherwise(F.lit(1.0)).alias("std")
     )
+
+
+# --- cross-validation and grid search in one plan (F17, F18 for F1-F2) ------
+
+def cv_grid(feats: DataFrame, docs: DataFrame, vocab: DataFrame, folds: DataFrame, kind: str = "multinomial",
+            grid: list[float] = (1.0,), k: int = 5, label_col: str = "label") -> DataFrame:
+    """Held-out F1 of class 1 for every (parameter, fold): ``(param, fold, f1)``.
+
+    One plan for all fits: per (fold, term) sums; the training statistics of
+    fold f are the totals minus fold f's own. The parameter grid is a literal
+    array exploded over the (fold x vocabulary) table, which is bounded by
+    k * max_features rows. Held-out documents count with their weight (a
+    weight stands for that many copies).
+    """
+    if kind not in ("multinomial", "bernoulli"):
+        raise ValueError(f"one-plan cross-validation supports multinomial and bernoulli, not {kind}")
+    n_folds = folds.count()
+    side = F.broadcast(folds.select("row_id", "fold")) if n_folds <= 2_000_000 else folds.select("row_id", "fold")
+    ff = feats.join(side, "row_id")
+    fd = docs.join(side, "row_id").select("row_id", label_col, "weight", "fold")
+    if kind == "multinomial":
+        stat = F.col("weight") * F.col("value")
+    else:
+        stat = F.when(F.col("value") > 0, F.col("weight")).otherwise(F.lit(0.0))
+    per = ff.groupBy("fold", "term").agg(
+        F.sum(F.when(F.col(label_col) == 0, stat).otherwise(0.0)).alias("f0"),
+        F.sum(F.when(F.col(label_col) == 1, stat).otherwise(0.0)).alias("f1"))
+    grid_terms = vocab.select("term", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("fold"))
+    ft = grid_terms.join(per, ["fold", "term"], "left").fillna(0.0, ["f0", "f1"])
+    tot = ft.groupBy("term").agg(F.sum("f0").alias("a0"), F.sum("f1").alias("a1"))
+    tr = ft.join(tot, "term").select("fold", "term", (F.col("a0") - F.col("f0")).alias("t0"),
+                                     (F.col("a1") - F.col("f1")).alias("t1"))
+    cls = fd.groupBy("fold").agg(
+        F.sum(F.when(F.col(label_col) == 0, F.col("weight")).otherwise(0.0)).alias("h0"),
+        F.sum(F.when(F.col(label_col) == 1, F.col("weight")).otherwise(0.0)).alias("h1"))
+    c0, c1 = _class_totals(docs, label_col)
+    cls = cls.select("fold", (F.lit(c0) - F.col("h0")).alias("c0"), (F.lit(c1) - F.col("h1")).alias("c1"))
+    params = F.array(*[F.lit(float(a)) for a in grid])
+    a = F.greatest(F.col("param"), F.lit(1e-10))
+    if kind == "multinomial":
+        per_fold = tr.groupBy("fold").agg(F.sum("t0").alias("s0_all"), F.sum("t1").alias("s1_all"),
+                                          F.count(F.lit(1)).alias("V"))
+        model = tr.join(F.broadcast(per_fold), "fold").select("fold", "term", F.explode(params).alias("param"), "*")
+        model = model.select(
+            "param", "fold", "term",
+            (F.log(F.col("t0") + a) - F.log(F.col("s0_all") + a * F.col("V"))).alias("w0"),
+            (F.log(F.col("t1") + a) - F.log(F.col("s1_all") + a * F.col("V"))).alias("w1"),
+            F.lit(0.0).alias("k0"), F.lit(0.0).alias("k1"))
+        fx = F.col("value")
+    else:
+        model = tr.join(F.broadcast(cls), "fold").select("fold", "term", F.explode(params).alias("param"), "*")
+        lp0 = F.log(F.col("t0") + a) - F.log(F.col("c0") + 2 * a)
+        lp1 = F.log(F.col("t1") + a) - F.log(F.col("c1") + 2 * a)
+        n0, n1 = F.log(1 - F.exp(lp0)), F.log(1 - F.exp(lp1))
+        model = model.select("param", "fold", "term", (lp0 - n0).alias("w0"), (lp1 - n1).alias("w1"),
+                             n0.alias("k0"), n1.alias("k1"))
+        fx = F.when(F.col("value") > 0, F.lit(1.0)).otherwise(F.lit(0.0))
+    model = cut_lineage(model)
+    consts = model.groupBy("param", "fold").agg(F.sum("k0").alias("k0"), F.sum("k1").alias("k1")).join(
+        F.broadcast(cls), "fold").select(
+        "param", "fold",
+        (F.log(F.col("c0") / (F.col("c0") + F.col("c1"))) + F.col("k0")).alias("k0"),
+        (F.log(F.col("c1") / (F.col("c0") + F.col("c1"))) + F.col("k1")).alias("k1"))
+    sums = ff.select("row_id", "fold", "term", "value").join(model.drop("k0", "k1"), ["fold", "term"]).groupBy(
+        "param", "fold", "row_id").agg(F.sum(F.col("w0") * fx).alias("s0"), F.sum(F.col("w1") * fx).alias("s1"))
+    held = fd.select("row_id", label_col, "weight", "fold", F.explode(params).alias("param"))
+    sc = held.join(sums, ["param", "fold", "row_id"], "left").join(F.broadcast(consts), ["param", "fold"])
+    s0 = F.col("k0") + F.coalesce(F.col("s0"), F.lit(0.0))
+    s1 = F.col("k1") + F.coalesce(F.col("s1"), F.lit(0.0))
+    pred = F.when(s1 > s0, 1).otherwise(0)
+    y, w = F.col(label_col), F.col("weight")
+    res = sc.groupBy("param", "fold").agg(
+        F.sum(F.when((y == 1) & (pred == 1), w).otherwise(0.0)).alias("tp"),
+        F.sum(F.when((y == 0) & (pred == 1), w).otherwise(0.0)).alias("fp"),
+        F.sum(F.when((y == 1) & (pred == 0), w).otherwise(0.0)).alias("fn"))
+    d = 2 * F.col("tp") + F.col("fp") + F.col("fn")
+    return res.select("param", F.col("fold").cast("int"),
+                      F.coalesce(2 * F.col("tp") / F.when(d != 0, d), F.lit(0.0)).alias("f1"))
+
+
+def grid_ranking(scores: DataFrame) -> DataFrame:
+    """W9 + A10: per parameter mean (and population std, min, max) of the fold
+    scores, ranked by mean (rank 1 = best; ties share a rank)."""
+    from pyspark.sql import Window
+
+    s = scores.groupBy("param").agg(F.avg("f1").alias("mean_score"), F.stddev_pop("f1").alias("std_score"),
+                                    F.min("f1").alias("min_score"), F.max("f1").alias("max_score"))
+    # one row per grid point
+    return s.withColumn("rank", F.rank().over(Window.orderBy(F.desc("mean_score"))).cast("int"))

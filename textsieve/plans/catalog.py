@@ -360,3 +360,204 @@ for _what in ("confusion_matrix", "binary_metrics", "classification_report", "ro
     register(_what, f"WITH {_TRAIN},\n{S.nb_ctes('multinomial')},\n"
                     f"nb_eval AS (SELECT row_id, label, prediction, round(probability, {SCORE_DIGITS}) AS probability "
                     f"FROM nb_scored)\n{S.scored_eval_sql('nb_eval', _what)}")(_ev)
+
+
+def reset_state(spark: SparkSession | None = None):
+    """Drop cached fits (and their persisted tables)."""
+    for v in list(_FITS.values()):
+        for attr in ("release",):
+            if hasattr(v, attr):
+                getattr(v, attr)()
+        if hasattr(v, "params"):
+            v.params.unpersist()
+        if isinstance(v, DataFrame):
+            v.unpersist()
+    _FITS.clear()
+
+
+# --- cross-validation, grid search, model choice ----------------------------
+
+GRID_ALPHA = [0.1, 0.5, 1.0, 2.0]
+
+
+def _cv_scores(spark, sf_dir, kind="multinomial", grid=(1.0,)):
+    from textsieve.operators import bayes
+
+    td = training(spark, sf_dir)
+    folds = sampling.kfold_assign(td.docs_train, 5).select("row_id", "fold")
+    return bayes.cv_grid(td.feats_train, td.docs_train, td.vocab, folds, kind, list(grid), 5)
+
+
+def _cv_sql(kind: str, grid) -> str:
+    g = ", ".join(f"CAST({a} AS DOUBLE)" for a in grid)
+    if kind == "multinomial":
+        stat = "ff.weight * ff.value"
+        prm = """SELECT g.param, tt.fold, tt.term, ln(t0 + greatest(g.param, 1e-10)) - ln(s0_all + greatest(g.param, 1e-10) * V) AS w0,
+                 ln(t1 + greatest(g.param, 1e-10)) - ln(s1_all + greatest(g.param, 1e-10) * V) AS w1, 0.0 AS k0, 0.0 AS k1
+          FROM tt JOIN tf ON tt.fold = tf.fold, grid g"""
+        fx = "ff.value"
+    else:
+        stat = "CASE WHEN ff.value > 0 THEN ff.weight ELSE 0.0 END"
+        prm = """SELECT param, fold, term, lp0 - ln(1 - exp(lp0)) AS w0, lp1 - ln(1 - exp(lp1)) AS w1,
+                 ln(1 - exp(lp0)) AS k0, ln(1 - exp(lp1)) AS k1
+          FROM (SELECT g.param, tt.fold, tt.term,
+                       ln(t0 + greatest(g.param, 1e-10)) - ln(c.c0 + 2 * greatest(g.param, 1e-10)) AS lp0,
+                       ln(t1 + greatest(g.param, 1e-10)) - ln(c.c1 + 2 * greatest(g.param, 1e-10)) AS lp1
+                FROM tt JOIN cct c ON tt.fold = c.fold, grid g)"""
+        fx = "CASE WHEN ff.value > 0 THEN 1.0 ELSE 0.0 END"
+    return f"""WITH {_TRAIN},
+folds AS (SELECT row_id, label, weight, CAST(floor((r - 1) * 5 / n_c) AS INTEGER) AS fold
+          FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {S.md5_key('row_id')}, row_id) AS r,
+                       count(*) OVER (PARTITION BY label) AS n_c FROM weights)),
+ff AS (SELECT f.row_id, f.label, f.weight, f.term, f.value, d.fold FROM ftr f JOIN folds d ON f.row_id = d.row_id),
+grid AS (SELECT unnest([{g}]) AS param),
+ft AS (SELECT v.term, fo.fold,
+              coalesce(sum(CASE WHEN ff.label = 0 THEN {stat} END), 0) AS f0,
+              coalesce(sum(CASE WHEN ff.label = 1 THEN {stat} END), 0) AS f1
+       FROM vocab v CROSS JOIN (SELECT unnest(range(5)) AS fold) fo
+       LEFT JOIN ff ON ff.term = v.term AND ff.fold = fo.fold GROUP BY v.term, fo.fold),
+tt AS (SELECT term, fold, sum(f0) OVER (PARTITION BY term) - f0 AS t0, sum(f1) OVER (PARTITION BY term) - f1 AS t1 FROM ft),
+tf AS (SELECT fold, sum(t0) AS s0_all, sum(t1) AS s1_all, count(*) AS V FROM tt GROUP BY fold),
+ccf AS (SELECT fold, sum(CASE WHEN label = 0 THEN weight ELSE 0 END) AS h0,
+               sum(CASE WHEN label = 1 THEN weight ELSE 0 END) AS h1 FROM folds GROUP BY fold),
+cct AS (SELECT fold, (SELECT c0 FROM cc) - h0 AS c0, (SELECT c1 FROM cc) - h1 AS c1 FROM ccf),
+prm AS ({prm}),
+kst AS (SELECT p.param, p.fold, ln(c.c0 / (c.c0 + c.c1)) + sum(p.k0) AS k0, ln(c.c1 / (c.c0 + c.c1)) + sum(p.k1) AS k1
+        FROM prm p JOIN cct c ON p.fold = c.fold GROUP BY p.param, p.fold, c.c0, c.c1),
+sums AS (SELECT p.param, ff.fold, ff.row_id, sum({fx} * p.w0) AS s0, sum({fx} * p.w1) AS s1
+         FROM ff JOIN prm p ON ff.fold = p.fold AND ff.term = p.term GROUP BY p.param, ff.fold, ff.row_id),
+sc AS (SELECT g.param, d.fold, d.row_id, d.label, d.weight,
+              CASE WHEN k.k1 + coalesce(s.s1, 0) > k.k0 + coalesce(s.s0, 0) THEN 1 ELSE 0 END AS pred
+       FROM folds d CROSS JOIN grid g JOIN kst k ON k.param = g.param AND k.fold = d.fold
+       LEFT JOIN sums s ON s.param = g.param AND s.fold = d.fold AND s.row_id = d.row_id),
+res AS (SELECT param, fold, coalesce(sum(CASE WHEN label = 1 AND pred = 1 THEN weight END), 0) AS tp,
+               coalesce(sum(CASE WHEN label = 0 AND pred = 1 THEN weight END), 0) AS fp,
+               coalesce(sum(CASE WHEN label = 1 AND pred = 0 THEN weight END), 0) AS fn FROM sc GROUP BY param, fold),
+scores AS (SELECT param, fold, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0.0) AS f1 FROM res)"""
+
+
+def _rank_sql(scores: str) -> str:
+    return (f"SELECT {r6('param')} AS param, {r6('avg(f1)')} AS mean_score, {r6('stddev_pop(f1)')} AS std_score, "
+            f"{r6('min(f1)')} AS min_score, {r6('max(f1)')} AS max_score, "
+            f"CAST(rank() OVER (ORDER BY avg(f1) DESC) AS INTEGER) AS rank FROM {scores} GROUP BY param")
+
+
+@register("cv_scores_mnb", _cv_sql("multinomial", (1.0,)) + f"\nSELECT {r6('param')} AS param, fold, {r6('f1')} AS f1 FROM scores")
+def q_cv_scores_mnb(spark, sf_dir):
+    return round_doubles(_cv_scores(spark, sf_dir))
+
+
+@register("cv_stats", _cv_sql("multinomial", (1.0,)) + "\n" + _rank_sql("scores"))
+def q_cv_stats(spark, sf_dir):
+    from textsieve.operators import bayes
+
+    return round_doubles(bayes.grid_ranking(_cv_scores(spark, sf_dir)))
+
+
+@register("grid_mnb", _cv_sql("multinomial", GRID_ALPHA) + "\n" + _rank_sql("scores"))
+def q_grid_mnb(spark, sf_dir):
+    from textsieve.operators import bayes
+
+    return round_doubles(bayes.grid_ranking(_cv_scores(spark, sf_dir, "multinomial", GRID_ALPHA)))
+
+
+@register("grid_bnb", _cv_sql("bernoulli", GRID_ALPHA) + "\n" + _rank_sql("scores"))
+def q_grid_bnb(spark, sf_dir):
+    from textsieve.operators import bayes
+
+    return round_doubles(bayes.grid_ranking(_cv_scores(spark, sf_dir, "bernoulli", GRID_ALPHA)))
+
+
+NB_MODELS = [("Multinomial Naive Bayes", "multinomial", "mnb"), ("Bernoulli Naive Bayes", "bernoulli", "bnb"),
+             ("Gaussian Naive Bayes", "gaussian", "gnb")]
+
+
+def nb_results(spark, sf_dir) -> DataFrame:
+    """One row per model: ``(model, ord, error, accuracy, precision, recall, f1)``."""
+    out = None
+    for i, (name, kind, _) in enumerate(NB_MODELS):
+        m = evaluate.binary_metrics(nb_scored(spark, sf_dir, kind)).select(
+            F.lit(name).alias("model"), F.lit(i).alias("ord"), F.lit(None).cast("string").alias("error"), "*")
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+_RESULTS_SQL = f"WITH {_TRAIN},\n" + ",\n".join(S.nb_ctes(k, name=s) for _, k, s in NB_MODELS) + ",\nresults AS (" + \
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS model, {i} AS ord, "
+        f"coalesce(CAST(count(*) FILTER (WHERE label = prediction) AS DOUBLE) / nullif(count(*), 0), 0.0) AS accuracy, "
+        f"coalesce(CAST(count(*) FILTER (WHERE label = 1 AND prediction = 1) AS DOUBLE) / nullif(count(*) FILTER (WHERE prediction = 1), 0), 0.0) AS precision, "
+        f"coalesce(CAST(count(*) FILTER (WHERE label = 1 AND prediction = 1) AS DOUBLE) / nullif(count(*) FILTER (WHERE label = 1), 0), 0.0) AS recall, "
+        f"coalesce(2.0 * count(*) FILTER (WHERE label = 1 AND prediction = 1) / nullif(2 * count(*) FILTER (WHERE label = 1 AND prediction = 1) "
+        f"+ count(*) FILTER (WHERE label = 0 AND prediction = 1) + count(*) FILTER (WHERE label = 1 AND prediction = 0), 0), 0.0) AS f1 "
+        f"FROM {s}_scored" for i, (n, _, s) in enumerate(NB_MODELS)) + ")\n"
+
+
+@register("best_model", _RESULTS_SQL + f"SELECT model, {r6('f1')} AS f1 FROM results ORDER BY f1 DESC, ord LIMIT 1")
+def q_best_model(spark, sf_dir):
+    from textsieve.operators import rank
+
+    return round_doubles(rank.best_model(nb_results(spark, sf_dir), "f1").select("model", "f1"))
+
+
+@register("model_comparison", _RESULTS_SQL + f"SELECT model, {r6('f1')} AS value FROM results")
+def q_model_comparison(spark, sf_dir):
+    from textsieve.operators import rank
+
+    return round_doubles(rank.model_comparison(nb_results(spark, sf_dir), "f1"))
+
+
+@register("top_coefficients", f"""WITH {_TRAIN},
+{S.nb_ctes('multinomial')},
+wt AS (SELECT term, w1 - w0 AS weight FROM nb_params),
+sp AS (SELECT 'spam' AS side, row_number() OVER (ORDER BY weight DESC, term) AS rank, term AS feature, weight FROM wt),
+hm AS (SELECT 'ham' AS side, row_number() OVER (ORDER BY weight ASC, term) AS rank, term AS feature, weight FROM wt)
+SELECT side, CAST(rank AS INTEGER) AS rank, feature, {r6('weight')} AS weight FROM sp WHERE rank <= 20
+UNION ALL SELECT side, CAST(rank AS INTEGER), feature, {r6('weight')} FROM hm WHERE rank <= 20""")
+def q_top_coefficients(spark, sf_dir):
+    from textsieve.operators import rank
+
+    return round_doubles(rank.top_weights(nb_model(spark, sf_dir).term_weights(), 20))
+
+
+_WORDS = S.remove_stop(S.tokenize(S.clean("message")))
+
+
+@register("top_terms_by_class", f"""
+WITH cnt AS (SELECT label, term, count(*) AS n FROM (SELECT label, unnest({_WORDS}) AS term FROM ({S.BASE}))
+             GROUP BY label, term),
+rk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY n DESC, term) AS rank FROM cnt)
+SELECT label, CAST(rank AS INTEGER) AS rank, term, n, {r6('CAST(n AS DOUBLE) / max(n) OVER (PARTITION BY label)')} AS weight
+FROM rk WHERE rank <= 200""")
+def q_top_terms_by_class(spark, sf_dir):
+    from textsieve.operators import rank
+
+    return round_doubles(rank.term_frequency_by_class(train.labelled_messages(spark, sf_dir), "message", "label", 200))
+
+
+def _ll_sql(k, n, x):
+    k, n, x = f"({k})", f"({n})", f"({x})"
+    return f"(CASE WHEN {k} > 0 THEN {k} * ln({x}) ELSE 0.0 END + CASE WHEN {n} - {k} > 0 THEN ({n} - {k}) * ln(1 - {x}) ELSE 0.0 END)"
+
+
+_G2 = ("2.0 * (" + _ll_sql("n12", "n1", "n12 / n1") + " + " + _ll_sql("n2 - n12", "N - n1", "(n2 - n12) / (N - n1)")
+       + " - " + _ll_sql("n12", "n1", "n2 / N") + " - " + _ll_sql("n2 - n12", "N - n1", "n2 / N") + ")")
+
+
+@register("bigram_collocations", f"""
+WITH docs AS (SELECT label, {_WORDS} AS t FROM ({S.BASE})),
+pairs AS (SELECT label, t[i] AS w1, t[i + 1] AS w2 FROM (SELECT label, t, unnest(range(1, len(t))) AS i FROM docs)),
+bi AS (SELECT label, w1, w2, count(*) AS n12 FROM pairs GROUP BY label, w1, w2 HAVING count(*) >= 2),
+uni AS (SELECT label, term, count(*) AS n FROM (SELECT label, unnest(t) AS term FROM docs) GROUP BY label, term),
+tot AS (SELECT label, sum(n) AS N FROM uni GROUP BY label),
+j AS (SELECT b.label, b.w1, b.w2, CAST(b.n12 AS DOUBLE) AS n12, CAST(u1.n AS DOUBLE) AS n1, CAST(u2.n AS DOUBLE) AS n2,
+             CAST(t.N AS DOUBLE) AS N
+      FROM bi b JOIN uni u1 ON b.label = u1.label AND b.w1 = u1.term JOIN uni u2 ON b.label = u2.label AND b.w2 = u2.term
+      JOIN tot t ON b.label = t.label),
+sc AS (SELECT label, w1, w2, CAST(n12 AS BIGINT) AS n12, {_G2} AS g2 FROM j),
+rk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY round(g2, 9) DESC, w1, w2) AS rank FROM sc)
+SELECT label, CAST(rank AS INTEGER) AS rank, w1, w2, n12, {r6('g2')} AS g2 FROM rk WHERE rank <= 50""")
+def q_bigram_collocations(spark, sf_dir):
+    from textsieve.operators import rank
+
+    return round_doubles(rank.bigram_collocations(train.labelled_messages(spark, sf_dir), "message", "label", 50, 2))

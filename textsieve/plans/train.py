@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textsieve.config import Options
 from textsieve.operators import bayes, sampling, vectorize
+from textsieve.session import cut_lineage
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,8 +43,6 @@ class TrainingData:
     options: Options
 
     def release(self):
-        self.counts.unpersist()
-        self.labels.unpersist()
         self.vocab.unpersist()
 
 
@@ -52,18 +50,20 @@ def prepare(base: DataFrame, opts: Options = Options(), stop_words=None) -> Trai
     """S3 -> M7 -> V1..V9 -> M5, as lazy DataFrames over one persisted
     per-document term-count table."""
     split = sampling.stratified_split(base, opts.test_size, "label", "row_id", opts.seed)
-    counts = vectorize.term_counts(
-        split, "message", "row_id", stop_words, opts.preprocess, keep=("label", "is_test")
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    labels = split.select("row_id", "label", "is_test").persist(StorageLevel.MEMORY_AND_DISK)
+    # the split and the long count table are reused by every later pass:
+    # write them once to the checkpoint folder (cuts lineage, survives
+    # executor loss)
+    labels = cut_lineage(split.select("row_id", "label", "is_test"))
+    counts = cut_lineage(vectorize.term_counts(
+        split, "message", "row_id", stop_words, opts.preprocess, keep=("label", "is_test")))
     labels_train = labels.where(~F.col("is_test")).select("row_id", "label")
     n_train = labels_train.count()
     train_counts = counts.where(~F.col("is_test")).drop("is_test")
     vocab = vectorize.fit_vocabulary(train_counts, n_train, opts.min_df, opts.max_features)
 
     if opts.upsample:
-        weights = sampling.draw_weights(
-            sampling.balance_classes(labels_train, "label", "row_id", opts.seed, True))
+        weights = cut_lineage(sampling.draw_weights(
+            sampling.balance_classes(labels_train, "label", "row_id", opts.seed, True)))
         n_w = n_train
         w_side = F.broadcast(weights) if n_w <= sampling.BROADCAST_ROWS else weights
         w_counts = train_counts.join(w_side.drop("label"), "row_id")

@@ -15,6 +15,7 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.driver.memory": "8g",
 }
 
 
@@ -43,3 +44,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     os.environ.setdefault("TEXTSIEVE_CHECKPOINT_DIR", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def cut_lineage(df):
+    """Materialise ``df`` in the checkpoint folder (reliable storage, survives
+    executor loss) and return a DataFrame that reads it back, so later plans
+    do not repeat its lineage. Never a local checkpoint."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
