@@ -561,3 +561,122 @@ def q_bigram_collocations(spark, sf_dir):
     from textsieve.operators import rank
 
     return round_doubles(rank.bigram_collocations(train.labelled_messages(spark, sf_dir), "message", "label", 50, 2))
+
+
+# --- scoring conversations with the multinomial bundle ----------------------
+
+def predictor(spark, sf_dir):
+    from textsieve.plans.predict import Predictor
+
+    td = training(spark, sf_dir)
+    return Predictor(nb_model(spark, sf_dir), td.vocab, td.options)
+
+
+def conversation_predictions(spark, sf_dir) -> DataFrame:
+    conv = tbl(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    return predictor(spark, sf_dir).transform(conv, "text", ("conv_id", "turn"))
+
+
+_PRED_SQL = f"""WITH {_TRAIN},
+{S.nb_ctes('multinomial')},
+cv AS (SELECT conv_id, turn, text FROM conversations),
+cv_counts AS (SELECT conv_id, turn, term, count(*) AS tf
+              FROM (SELECT conv_id, turn, unnest({S.analyzer(S.clean('text'))}) AS term FROM cv) GROUP BY conv_id, turn, term),
+cv_x AS (SELECT c.conv_id, c.turn, v.term, c.tf * v.idf AS x FROM cv_counts c JOIN vocab v ON c.term = v.term),
+cv_f AS (SELECT conv_id, turn, term, x / sqrt(sum(x * x) OVER (PARTITION BY conv_id, turn)) AS value FROM cv_x),
+cv_s AS (SELECT f.conv_id, f.turn, sum(f.value * p.w0) AS s0, sum(f.value * p.w1) AS s1
+         FROM cv_f f JOIN nb_params p ON f.term = p.term GROUP BY f.conv_id, f.turn),
+cv_raw AS (SELECT c.conv_id, c.turn, c.text, k.k0 + coalesce(s.s0, 0) AS score0, k.k1 + coalesce(s.s1, 0) AS score1
+           FROM cv c LEFT JOIN cv_s s ON c.conv_id = s.conv_id AND c.turn = s.turn, nb_const k),
+preds AS (SELECT conv_id, turn, text, CASE WHEN score1 > score0 THEN 1 ELSE 0 END AS prediction,
+                 CASE WHEN score1 > score0 THEN 'spam' ELSE 'ham' END AS label,
+                 exp(score1 - greatest(score0, score1)) / (exp(score0 - greatest(score0, score1))
+                   + exp(score1 - greatest(score0, score1))) AS probability FROM cv_raw),
+preds2 AS (SELECT *, greatest(probability, 1 - probability) AS confidence FROM preds)
+"""
+
+
+@register("predict_batch", _PRED_SQL + f"""SELECT conv_id, turn, {S.clean('text')} AS preprocessed_text, prediction,
+  label, {r6('probability')} AS probability, {r6('confidence')} AS confidence FROM preds2""")
+def q_predict_batch(spark, sf_dir):
+    return round_doubles(conversation_predictions(spark, sf_dir).select(
+        "conv_id", "turn", "preprocessed_text", "prediction", "label", "probability", "confidence"))
+
+
+@register("prediction_counts", _PRED_SQL + "SELECT label, count(*) AS n FROM preds2 GROUP BY label")
+def q_prediction_counts(spark, sf_dir):
+    from textsieve.plans.predict import prediction_counts
+
+    return prediction_counts(conversation_predictions(spark, sf_dir))
+
+
+@register("format_result", _PRED_SQL + """SELECT conv_id, turn,
+  'Classification: ' || upper(label) || ' (Confidence: ' || printf('%.2f', confidence) || ')' || chr(10) || 'Text: ' ||
+  CASE WHEN length(coalesce(text, '')) > 100 THEN substr(coalesce(text, ''), 1, 97) || '...' ELSE coalesce(text, '') END
+  AS formatted FROM preds2""")
+def q_format_result(spark, sf_dir):
+    from textsieve.plans.predict import format_result
+
+    p = conversation_predictions(spark, sf_dir)
+    return p.select("conv_id", "turn", format_result(p, "text").alias("formatted"))
+
+
+_EDGE = f"^[{T.WHITESPACE_CLASS}]+|[{T.WHITESPACE_CLASS}]+$"
+
+
+@register("message_lines", f"""
+SELECT conv_id, turn, CAST(line_no AS INTEGER) AS line_no, line FROM (
+  SELECT conv_id, turn, line_no, regexp_replace(raw, {S.q(_EDGE)}, '', 'g') AS line FROM (
+    SELECT conv_id, turn, unnest(parts) AS raw, generate_subscripts(parts, 1) AS line_no
+    FROM (SELECT conv_id, turn, regexp_split_to_array(text, {S.q(chr(13) + chr(10) + '|' + chr(13) + '|' + chr(10))}) AS parts
+          FROM conversations)))
+WHERE line <> ''""")
+def q_message_lines(spark, sf_dir):
+    from textsieve.sources.io import message_lines
+
+    return message_lines(tbl(spark, sf_dir, "conversations"), "text", keep=("conv_id", "turn"))
+
+
+# --- lemmatizing by dictionary join (lexicon = the corpus's own words) ------
+
+def _word_terms_sql() -> str:
+    return f"SELECT DISTINCT term FROM (SELECT unnest({S.remove_stop(S.tokenize(S.clean('text')))}) AS term FROM documents)"
+
+
+_LEMMA_SQL = f"""
+terms AS ({_word_terms_sql()}),
+cands AS (SELECT term, c.ord AS ord, c.cand AS cand FROM (SELECT term, unnest({S.lemma_rules_sql('term')}) AS c FROM terms)),
+hits AS (SELECT c.* FROM cands c SEMI JOIN terms t ON c.cand = t.term),
+lemmas AS (SELECT term, cand AS lemma FROM (
+  SELECT *, row_number() OVER (PARTITION BY term ORDER BY length(cand), ord) AS rn FROM hits) WHERE rn = 1)"""
+
+
+@register("lemma_join", f"WITH {_LEMMA_SQL}\nSELECT t.term, coalesce(l.lemma, t.term) AS lemma FROM terms t LEFT JOIN lemmas l ON t.term = l.term")
+def q_lemma_join(spark, sf_dir):
+    from textsieve.functions.morph import lemma_map
+
+    docs = tbl(spark, sf_dir, "documents")
+    terms = docs.select(F.explode(T.preprocess_tokens("text")).alias("term")).distinct()
+    m = lemma_map(terms, terms)
+    return terms.join(m, "term", "left").select("term", F.coalesce("mapped", "term").alias("lemma"))
+
+
+@register("preprocess_text", f"""WITH {_LEMMA_SQL},
+toks AS (SELECT doc_id, unnest(t) AS term, generate_subscripts(t, 1) AS pos
+         FROM (SELECT doc_id, {S.remove_stop(S.tokenize(S.clean('text')))} AS t FROM documents))
+SELECT d.doc_id, coalesce(p.txt, '') AS preprocessed_text FROM documents d LEFT JOIN (
+  SELECT k.doc_id, string_agg(coalesce(l.lemma, k.term), ' ' ORDER BY k.pos) AS txt
+  FROM toks k LEFT JOIN lemmas l ON k.term = l.term GROUP BY k.doc_id) p ON d.doc_id = p.doc_id""")
+def q_preprocess_text(spark, sf_dir):
+    docs = tbl(spark, sf_dir, "documents").select("doc_id", "text")
+    return T.preprocess_text(docs, "text", "preprocessed_text", "doc_id").select("doc_id", "preprocessed_text")
+
+
+@register("stem_vocab")
+def q_stem_vocab(spark, sf_dir):
+    """Porter stems of the distinct words (rows only: no SQL stemmer)."""
+    from textsieve.functions.morph import stem_map
+
+    docs = tbl(spark, sf_dir, "documents")
+    terms = docs.select(F.explode(T.preprocess_tokens("text")).alias("term")).distinct()
+    return stem_map(terms).select("term", F.col("mapped").alias("stem"))
