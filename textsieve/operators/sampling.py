@@ -192,12 +192,14 @@ def draw_weights(balanced: DataFrame, id_col: str = "row_id", label_col: str = "
 # --- splits and folds (M7-M9) -----------------------------------------------
 
 def _cut_keys(keys: DataFrame, label_col: str | None, id_col: str, targets_fn) -> DataFrame:
-    """Keys at given ranks. ``targets_fn(n)`` -> list of ranks for a class of
-    size n. Returns ``(label, cut_rank, cut_key)`` (a few rows per class)."""
+    """Keys at given ranks. ``targets_fn(counts)`` maps ``{class: size}`` to
+    ``{class: [ranks]}``. Returns ``(label, cut_rank, cut_key)`` (a few rows
+    per class) and the class counts."""
     group = label_col if label_col else "_all"
     k = keys if label_col else keys.withColumn("_all", F.lit(0))
     counts = {r[0]: r[1] for r in k.groupBy(group).count().collect()}
-    rows = [(g, int(t)) for g, n in counts.items() for t in targets_fn(n) if 1 <= t <= n]
+    wanted = targets_fn(counts)
+    rows = [(g, int(t)) for g, ts in wanted.items() for t in ts if 1 <= t <= counts.get(g, 0)]
     if not rows:
         return None, counts
     spark = keys.sparkSession
@@ -209,15 +211,36 @@ def _cut_keys(keys: DataFrame, label_col: str | None, id_col: str, targets_fn) -
     return cuts, counts
 
 
+def test_quotas(counts: dict, test_size: float) -> dict:
+    """Test rows per class, as a stratified shuffle split allocates them: the
+    test set has ``ceil(test_size * n)`` rows; the training rows are shared
+    out in proportion to class size, floors first, then one more row to the
+    classes with the largest remainders (ties: lower class first); each class
+    keeps the rest for testing."""
+    n = sum(counts.values())
+    if n == 0:
+        return {}
+    n_test = math.ceil(test_size * n)
+    n_train = n - n_test
+    labels = sorted(counts, key=lambda g: (g is None, g))
+    train = {g: n_train * counts[g] // n for g in labels}
+    need = n_train - sum(train.values())
+    by_rem = sorted(labels, key=lambda g: (-(n_train * counts[g] % n), labels.index(g)))
+    for g in by_rem[:need]:
+        train[g] += 1
+    return {g: counts[g] - train[g] for g in labels}
+
+
 def stratified_split(df: DataFrame, test_size: float = 0.3, label_col: str | None = "label",
                      id_col: str = "row_id", seed: int = 42, copy_col: str | None = None) -> DataFrame:
     """M7 (M8 with ``label_col=None``): adds boolean ``is_test``. Within each
-    class the rows are ordered by md5 key; the first ``ceil(test_size*n_c)``
-    are the test rows. Only the narrow key table is ranked; each row then
-    compares its own key with its class's broadcast cut-off."""
+    class the rows are ordered by md5 key; the first ``test_quotas`` rows of
+    each class are the test rows. Only the narrow key table is ranked; each
+    row then compares its own key with its class's broadcast cut-off."""
     parts = [id_col] + ([copy_col] if copy_col else [])
     keyed = df.withColumn("_k", md5_key(*parts, seed=seed))
-    cuts, _ = _cut_keys(keyed, label_col, id_col, lambda n: [math.ceil(test_size * n)])
+    cuts, _ = _cut_keys(keyed, label_col, id_col,
+                        lambda counts: {g: [q] for g, q in test_quotas(counts, test_size).items()})
     if cuts is None:
         return keyed.withColumn("is_test", F.lit(False)).drop("_k")
     group = label_col if label_col else "_all"
@@ -237,7 +260,7 @@ def kfold_assign(df: DataFrame, k: int = 5, label_col: str | None = "label", id_
     def starts(n):  # first rank of folds 1..k-1
         return sorted({math.ceil(f * n / k) + 1 for f in range(1, k)} - {n + 1})
 
-    cuts, _ = _cut_keys(keyed, label_col, id_col, starts)
+    cuts, _ = _cut_keys(keyed, label_col, id_col, lambda counts: {g: starts(n) for g, n in counts.items()})
     group = label_col if label_col else "_all"
     src = keyed if label_col else keyed.withColumn("_all", F.lit(0))
     if cuts is None:

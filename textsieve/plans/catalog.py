@@ -267,9 +267,10 @@ def q_legacy_upsample(spark, sf_dir):
 
 
 @register("stratified_split", f"""
-SELECT row_id, label, r <= ceil(CAST(0.3 AS DOUBLE) * n_c) AS is_test
-FROM (SELECT row_id, label, row_number() OVER (PARTITION BY label ORDER BY {S.md5_key('row_id')}, row_id) AS r,
-             count(*) OVER (PARTITION BY label) AS n_c FROM ({S.BASE}))""")
+WITH base AS ({S.BASE}),{S.quota_ctes(0.3)}
+SELECT row_id, r.label, r <= q.n_test_c AS is_test
+FROM (SELECT row_id, label, row_number() OVER (PARTITION BY label ORDER BY {S.md5_key('row_id')}, row_id) AS r
+      FROM base) r JOIN quotas q ON r.label = q.label""")
 def q_stratified_split(spark, sf_dir):
     return sampling.stratified_split(train.labelled_messages(spark, sf_dir)).select("row_id", "label", "is_test")
 

@@ -88,6 +88,18 @@ def lemma_rules_sql(term: str) -> str:
     return f"list_filter([{', '.join(items)}], lambda c: c IS NOT NULL)"
 
 
+def quota_ctes(test_size: float, source: str = "base") -> str:
+    """``quotas(label, n_test_c)``: test rows per class (see
+    ``sampling.test_quotas``)."""
+    return f"""
+qc AS (SELECT label, count(*) AS n_c FROM {source} GROUP BY label),
+qn AS (SELECT sum(n_c) AS n, sum(n_c) - CAST(ceil(CAST({test_size} AS DOUBLE) * sum(n_c)) AS BIGINT) AS n_train FROM qc),
+qf AS (SELECT qc.label, qc.n_c, (qn.n_train * qc.n_c) // qn.n AS fl, (qn.n_train * qc.n_c) % qn.n AS rem,
+              qn.n_train - sum((qn.n_train * qc.n_c) // qn.n) OVER () AS need FROM qc, qn),
+quotas AS (SELECT label, n_c - fl - CASE WHEN row_number() OVER (ORDER BY rem DESC, label) <= need THEN 1 ELSE 0 END
+                  AS n_test_c FROM qf)"""
+
+
 def training_ctes(opts: Options = Options(), stop_words=None) -> str:
     """CTEs ``split, counts, vocab, weights, ftr, fte, test_docs`` of the
     default training plan (split -> vocabulary -> upsample -> features)."""
@@ -119,7 +131,8 @@ base AS ({BASE}),
 ranked AS (SELECT row_id, message, label,
                   row_number() OVER (PARTITION BY label ORDER BY {md5_key('row_id', seed=opts.seed)}, row_id) AS r,
                   count(*) OVER (PARTITION BY label) AS n_c FROM base),
-split AS (SELECT row_id, message, label, r <= ceil(CAST({opts.test_size} AS DOUBLE) * n_c) AS is_test FROM ranked),
+{quota_ctes(opts.test_size)},
+split AS (SELECT r.row_id, r.message, r.label, r.r <= q.n_test_c AS is_test FROM ranked r JOIN quotas q ON r.label = q.label),
 toks AS (SELECT row_id, label, is_test, unnest({analyzer(text, stop_words)}) AS term FROM split),
 counts AS (SELECT row_id, label, is_test, term, count(*) AS tf FROM toks GROUP BY row_id, label, is_test, term),
 tr AS (SELECT row_id, label FROM split WHERE NOT is_test),
