@@ -681,3 +681,96 @@ def q_stem_vocab(spark, sf_dir):
     docs = tbl(spark, sf_dir, "documents")
     terms = docs.select(F.explode(T.preprocess_tokens("text")).alias("term")).distinct()
     return stem_map(terms).select("term", F.col("mapped").alias("stem"))
+
+
+# --- pyspark.ml models (rows-only checks: iterative fits) -------------------
+
+def ml_data(spark, sf_dir, scaled: bool = False):
+    """Train/test ``(row_id, label, weight, features)`` for pyspark.ml, on the
+    same split, vocabulary and upsampling weights as the Naive Bayes plan."""
+    key = (id(spark), sf_dir, "ml", scaled)
+    if key not in _FITS:
+        from textsieve.operators import bayes
+        from textsieve.plans.models import ml_features
+        from textsieve.session import cut_lineage
+
+        td = training(spark, sf_dir)
+        msgs = train.labelled_messages(spark, sf_dir).join(td.labels.select("row_id", "is_test"), "row_id")
+        tr = msgs.where(~F.col("is_test")).join(td.docs_train.select("row_id", "weight"), "row_id")
+        te = msgs.where(F.col("is_test")).withColumn("weight", F.lit(1.0))
+        scale = bayes.scale_std(td.feats_train, td.docs_train, td.vocab) if scaled else None
+        _FITS[key] = tuple(cut_lineage(ml_features(d, td.vocab, "message", td.options.method, td.options.preprocess,
+                                                   scale)) for d in (tr, te))
+    return _FITS[key]
+
+
+def _ml_query(name: str, scaled: bool, params: dict | None = None):
+    def q(spark, sf_dir):
+        from textsieve.plans import models
+
+        tr, te = ml_data(spark, sf_dir, scaled)
+        model, _ = models.fit_ml(name, tr, params)
+        return round_doubles(models.scored(model, te))
+
+    return q
+
+
+for _q, _name, _scaled in (("logistic_regression", "Logistic Regression", True),
+                           ("linear_svc_platt", "Support Vector Machine", True),
+                           ("random_forest", "Random Forest", False),
+                           ("gbt", "Gradient Boosting", False),
+                           ("decision_tree", "Decision Tree", False),
+                           ("mlp", "Neural Network", True)):
+    register(_q)(_ml_query(_name, _scaled))
+
+
+@register("tree_importances")
+def q_tree_importances(spark, sf_dir):
+    from textsieve.operators import rank
+    from textsieve.plans import models
+
+    tr, _ = ml_data(spark, sf_dir, False)
+    model, _ = models.fit_ml("Random Forest", tr)
+    return round_doubles(rank.top_importances(models.feature_importances(model, training(spark, sf_dir).vocab), 20))
+
+
+@register("grid_search_ml")
+def q_grid_search_ml(spark, sf_dir):
+    from textsieve.plans import models
+
+    tr, _ = ml_data(spark, sf_dir, True)
+    res, _ = models.grid_search_ml("Logistic Regression", tr, {"C": [0.01, 0.1, 1.0, 10.0], "penalty": ["l1", "l2"]})
+    return round_doubles(res)
+
+
+@register("kernel_features")
+def q_kernel_features(spark, sf_dir):
+    from textsieve.plans import kernels
+
+    td = training(spark, sf_dir)
+    g = kernels.gamma_value("scale", td.feats_train, td.docs_train.count(), td.vocab.count())
+    return round_doubles(kernels.rff_features(td.feats_train, td.docs_train, td.vocab, 100, g))
+
+
+@register("kernel_svc")
+def q_kernel_svc(spark, sf_dir):
+    from textsieve.plans import kernels
+
+    td = training(spark, sf_dir)
+    svc, g = kernels.fit_kernel_svc(td.feats_train, td.docs_train, td.vocab, 1.0, "scale")
+    te = kernels.to_vectors(kernels.rff_features(td.feats_test, td.docs_test, td.vocab, 100, g)).join(
+        td.docs_test, "row_id")
+    return svc.transform(te).select("row_id", "label", F.col("prediction").cast("int").alias("prediction"))
+
+
+@register("model_results")
+def q_model_results(spark, sf_dir):
+    """F15 + A12: the recommended models fitted and evaluated in turn."""
+    from textsieve.plans import models
+
+    tr, te = ml_data(spark, sf_dir, True)
+    ml = models.train_and_evaluate({n: {} for n in ("Logistic Regression", "Support Vector Machine")}, tr, te)
+    nb = nb_results(spark, sf_dir).select("model", "ord", "error", F.lit(None).cast("double").alias("training_time"),
+                                          "accuracy", "precision", "recall", "f1",
+                                          F.lit(None).cast("double").alias("roc_auc"))
+    return round_doubles(nb.unionByName(ml.withColumn("ord", F.col("ord") + 3))).drop("training_time")
