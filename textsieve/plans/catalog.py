@@ -774,3 +774,81 @@ def q_model_results(spark, sf_dir):
                                           "accuracy", "precision", "recall", "f1",
                                           F.lit(None).cast("double").alias("roc_auc"))
     return round_doubles(nb.unionByName(ml.withColumn("ord", F.col("ord") + 3))).drop("training_time")
+
+
+# --- streaming: the stream of conversation turns scored as it arrives -------
+
+def _stream_scored(spark, sf_dir) -> str:
+    """Run ST1 over the conversation turns (read as a file stream, one file
+    per trigger) and return the folder of scored rows."""
+    import uuid
+
+    from textsieve.streaming import score as st
+
+    conv_schema = tbl(spark, sf_dir, "conversations").schema
+    src = st.stream_parquet(spark, sf_dir, conv_schema, "conversations.parquet")
+    base = st.stream_checkpoint(spark, f"score-{uuid.uuid4().hex[:8]}")
+    st.score_stream(src.select("conv_id", "turn", "text"), predictor(spark, sf_dir), f"{base}/out", f"{base}/ckpt",
+                    "text", ("conv_id", "turn"))
+    return f"{base}/out"
+
+
+@register("stream_score")
+def q_stream_score(spark, sf_dir):
+    """ST1 (rows only): equals ``predict_batch``."""
+    out = _stream_scored(spark, sf_dir)
+    return round_doubles(spark.read.parquet(out).select("conv_id", "turn", "preprocessed_text", "prediction",
+                                                        "label", "probability", "confidence"))
+
+
+@register("stream_counts")
+def q_stream_counts(spark, sf_dir):
+    """ST2 (rows only): running prediction counts, complete mode."""
+    import uuid
+
+    from textsieve.streaming import score as st
+
+    out = _stream_scored(spark, sf_dir)
+    schema = spark.read.parquet(out).schema
+    name = f"stream_counts_{uuid.uuid4().hex[:8]}"
+    st.run_to_table(st.scored_stream_counts(spark, out, schema), name, st.stream_checkpoint(spark, name),
+                    mode="complete")
+    return spark.table(name)
+
+
+# --- round trips through sinks and sources (rows only) ----------------------
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+
+    from textsieve.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@register("csv_scan_roundtrip")
+def q_csv_scan_roundtrip(spark, sf_dir):
+    """S1 -> P5: the raw message table written as a header CSV (quoted,
+    multi-line texts, junk columns), read back with an explicit schema and
+    preprocessed: ``(label, message)``."""
+    from textsieve.sources import io
+
+    raw = raw_messages(spark, sf_dir).select("v1", "v2", F.lit(None).cast("string").alias("_c2"),
+                                             F.lit(None).cast("string").alias("_c3"))
+    path = _scratch(spark, "csv")
+    raw.write.option("header", True).option("escape", '"').option("quote", '"').option("encoding", "ISO-8859-1") \
+        .mode("overwrite").csv(path)
+    return io.load_and_preprocess(spark, path)
+
+
+@register("bundle_roundtrip")
+def q_bundle_roundtrip(spark, sf_dir):
+    """Save the fitted bundle, load it, score the conversations."""
+    from textsieve.plans.predict import Predictor
+
+    path = _scratch(spark, "bundle")
+    predictor(spark, sf_dir).save(path)
+    p = Predictor.load(spark, path)
+    conv = tbl(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    return round_doubles(p.transform(conv, "text", ("conv_id", "turn")).select(
+        "conv_id", "turn", "prediction", "label", "probability", "confidence"))

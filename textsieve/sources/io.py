@@ -24,14 +24,20 @@ PANDAS_NA_VALUES = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN"
                     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop FileSystem of the path (local, HDFS,
+    object stores alike)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def load_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA, encoding: str = "ISO-8859-1",
              na_values: list[str] | None = None) -> DataFrame:
     """Header CSV with quoted fields that may hold newlines and doubled
     quotes (G1). Missing columns of ``schema`` come back null; missing files
     raise. ``na_values`` turns listed texts into nulls (G3)."""
-    import os
-
-    if "://" not in path and not os.path.exists(path):
+    if not path_exists(spark, path):
         raise FileNotFoundError(f"Data file not found at path: {path}")
     df = (spark.read.schema(schema)
           .options(header=True, multiLine=True, escape='"', quote='"', encoding=encoding, mode="PERMISSIVE")
