@@ -249,12 +249,16 @@ def cv_grid(feats: DataFrame, docs: DataFrame, vocab: DataFrame, folds: DataFram
                              n0.alias("k0"), n1.alias("k1"))
         fx = F.when(F.col("value") > 0, F.lit(1.0)).otherwise(F.lit(0.0))
     model = cut_lineage(model)
+    # |grid| x k x |vocabulary| rows: bounded by the parameters, so it can be
+    # broadcast while that product is within the vocabulary broadcast bound
+    n_model = len(grid) * k * int(vocab.count())
+    model_side = F.broadcast(model) if n_model <= BROADCAST_VOCAB_ROWS else model
     consts = model.groupBy("param", "fold").agg(F.sum("k0").alias("k0"), F.sum("k1").alias("k1")).join(
         F.broadcast(cls), "fold").select(
         "param", "fold",
         (F.log(F.col("c0") / (F.col("c0") + F.col("c1"))) + F.col("k0")).alias("k0"),
         (F.log(F.col("c1") / (F.col("c0") + F.col("c1"))) + F.col("k1")).alias("k1"))
-    sums = ff.select("row_id", "fold", "term", "value").join(model.drop("k0", "k1"), ["fold", "term"]).groupBy(
+    sums = ff.select("row_id", "fold", "term", "value").join(model_side.drop("k0", "k1"), ["fold", "term"]).groupBy(
         "param", "fold", "row_id").agg(F.sum(F.col("w0") * fx).alias("s0"), F.sum(F.col("w1") * fx).alias("s1"))
     held = fd.select("row_id", label_col, "weight", "fold", F.explode(params).alias("param"))
     sc = held.join(sums, ["param", "fold", "row_id"], "left").join(F.broadcast(consts), ["param", "fold"])

@@ -27,18 +27,23 @@ class Predictor:
 
     # F19 / F20
     def transform(self, df: DataFrame, text_col: str = "text", id_cols=("row_id",)) -> DataFrame:
-        """Adds ``preprocessed_text, prediction, label, probability, confidence``
-        to every row of ``df`` (which must be unique on ``id_cols``)."""
+        """``(*id_cols, text, preprocessed_text, prediction, label, probability,
+        confidence)`` for every row of ``df`` (which must be unique on
+        ``id_cols``; join other columns back on the ids if needed)."""
         o = self.options
         key = F.struct(*[F.col(c) for c in id_cols]).alias("_rid")
-        keyed = df.select(key, *df.columns)
+        # hash-partition (id, text) once: counts by (id, term), the norm window
+        # by id, the sums by id and the join back to the rows reuse it. Both
+        # branches read the same two columns, so the exchange is shared.
+        keyed = df.select(key, F.col(text_col)).repartition("_rid")
         counts = vectorize.term_counts(keyed, text_col, "_rid", self.stop_words, o.preprocess)
         feats = vectorize.vectorize(counts, self.vocab, o.method, o.max_features, "_rid")
         scored = self.model.score(keyed, feats, "_rid")
         pre = clean_text(text_col) if o.preprocess else F.col(text_col)
         p = F.col("probability")
         return scored.select(
-            *df.columns,
+            *[F.col("_rid").getField(c).alias(c) for c in id_cols],
+            F.col(text_col),
             pre.alias("preprocessed_text"),
             F.col("prediction").cast("int"),
             prepare.decode_label("prediction").alias("label"),

@@ -50,6 +50,12 @@ def prepare(base: DataFrame, opts: Options = Options(), stop_words=None) -> Trai
     """S3 -> M7 -> V1..V9 -> M5, as lazy DataFrames over one persisted
     per-document term-count table."""
     split = sampling.stratified_split(base, opts.test_size, "label", "row_id", opts.seed)
+    # One hash shuffle of the documents by row_id up front: the (row_id, term)
+    # counts, the per-document TF-IDF norm window, per-document score sums and
+    # the joins back to the labels all reuse this partitioning (the checkpoints
+    # keep it), instead of shuffling the larger (document, term) table three
+    # or four times.
+    split = split.repartition("row_id")
     # the split and the long count table are reused by every later pass:
     # write them once to the checkpoint folder (cuts lineage, survives
     # executor loss)
