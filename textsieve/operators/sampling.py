@@ -208,7 +208,9 @@ def _cut_keys(keys: DataFrame, label_col: str | None, id_col: str, targets_fn) -
     ranked = rank_within(k.select(group, id_col, "_k"), group, ["_k", id_col], "_r")
     cuts = ranked.join(F.broadcast(targets), (ranked[group] == targets[group]) & (ranked["_r"] == targets["cut_rank"])) \
         .select(targets[group].alias(group), "cut_rank", F.struct(ranked["_k"], ranked[id_col]).alias("cut_key"))
-    return cuts, counts
+    # at most (classes x targets) rows: bring them back once as a literal
+    # table, so later plans broadcast a constant instead of re-running the rank
+    return spark.createDataFrame(cuts.collect(), cuts.schema), counts
 
 
 def test_quotas(counts: dict, test_size: float) -> dict:

@@ -18,8 +18,29 @@ from textsieve.operators import bayes, sampling, vectorize
 from textsieve.session import cut_lineage
 
 
+# Inputs at most this large are spread over the default parallelism after the
+# scan (a cheap shuffle); larger ones keep the file layout (no extra shuffle).
+SPREAD_BELOW_BYTES = 1 << 30
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (file system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A parquet table. A small table stored in few row groups would be read
+    by few tasks although text work is CPU-heavy, so tables below
+    ``SPREAD_BELOW_BYTES`` are spread round-robin over the default
+    parallelism; large tables are split by their own row groups."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    if input_bytes(spark, path) <= SPREAD_BELOW_BYTES:
+        df = df.repartition(spark.sparkContext.defaultParallelism)
+    return df
 
 
 def labelled_messages(spark: SparkSession, sf_dir: str, label: str = "toxic") -> DataFrame:

@@ -50,5 +50,12 @@ def cut_lineage(df):
     """Materialise ``df`` in the checkpoint folder (reliable storage, survives
     executor loss) and return a DataFrame that reads it back, so later plans
     do not repeat its lineage. Never a local checkpoint."""
+    from pyspark import StorageLevel
+
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # persisted first, so writing the checkpoint reads the cached blocks
+    # instead of computing the plan a second time
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
