@@ -120,3 +120,16 @@ def test_scoring_keeps_rows_without_known_terms(spark):
     out = pr.transform(df, "text", ("row_id",)).collect()
     assert len(out) == 2
     assert all(r["prediction"] in (0, 1) and 0.5 <= r["confidence"] <= 1.0 for r in out)
+
+
+def test_global_row_number_on_nondeterministic_input(spark):
+    """Round-robin input: the range sample may differ between evaluations; the
+    ranks must still be a permutation equal to the window's."""
+    from pyspark.sql import Window
+
+    df = spark.range(5000).repartition(7).select(F.col("id"), sampling.md5_key("id").alias("k"))
+    a = sampling.global_row_number(df, ["k", "id"], "rn", 5).select("id", "rn")
+    b = df.select("id", F.row_number().over(Window.orderBy("k", "id")).alias("rn"))
+    assert a.exceptAll(b).count() == 0 and a.count() == 5000
+    rt = sampling.running_totals(df.withColumn("one", F.lit(1)), ["k", "id"], ["one"], num_partitions=5)
+    assert rt.where(F.col("cum_one") != F.col("rn")).count() == 0

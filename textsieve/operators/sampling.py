@@ -47,11 +47,18 @@ def global_row_number(df: DataFrame, order_cols: list, out_col: str = "rn",
 
     Range-partition and sort by the order; ``monotonically_increasing_id``
     then encodes (partition, position). Per-partition counts (one row per
-    partition) give each partition its offset.
+    partition) give each partition its offset. ``df`` should be narrow (keys
+    only): it is written once to the checkpoint folder.
     """
+    from textsieve.session import cut_lineage
+
     n = _num_parts(df, num_partitions)
     ordered = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-    with_id = ordered.withColumn("_mid", F.monotonically_increasing_id())
+    # The range bounds are sampled from the input; were the plan evaluated
+    # twice (counts and rows), two samples could give two different
+    # partitionings. Stamp the ids once and write them to the checkpoint
+    # folder, so both branches read the same rows.
+    with_id = cut_lineage(ordered.withColumn("_mid", F.monotonically_increasing_id()))
     with_id = with_id.withColumn("_part", F.shiftright("_mid", 33)).withColumn(
         "_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
     )
@@ -87,8 +94,11 @@ def running_totals(df: DataFrame, order_cols: list, sum_cols: list, prefix: str
     partition its starting offsets; inside a partition a window adds up the
     rest. Also adds ``rn``, the 1-based position in the order.
     """
+    from textsieve.session import cut_lineage
+
     n = _num_parts(df, num_partitions)
-    parted = df.repartitionByRange(n, *order_cols).withColumn("_part", F.spark_partition_id())
+    # written once, so the totals and the rows see the same range partitions
+    parted = cut_lineage(df.repartitionByRange(n, *order_cols).withColumn("_part", F.spark_partition_id()))
     totals = parted.groupBy("_part").agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_t_{c}") for c in sum_cols]
     )

@@ -852,3 +852,53 @@ def q_bundle_roundtrip(spark, sf_dir):
     conv = tbl(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
     return round_doubles(p.transform(conv, "text", ("conv_id", "turn")).select(
         "conv_id", "turn", "prediction", "label", "probability", "confidence"))
+
+
+# --- legacy script path: S2 -> M6 -> V11 -> M8 -> F3 -> A9 -------------------
+
+def _legacy_vocab(spark, sf_dir):
+    key = (id(spark), sf_dir, "legacy_vocab")
+    if key not in _FITS:
+        base = train.labelled_messages(spark, sf_dir)
+        counts = vectorize.term_counts(base)
+        _FITS[key] = (counts, vectorize.fit_vocabulary(counts, base.count(), min_df=1, max_features=None))
+    return _FITS[key]
+
+
+@register("legacy_count_vectors", f"""
+WITH c AS ({_COUNTS_SQL}),
+v AS (SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS term_id FROM (SELECT DISTINCT term FROM c))
+SELECT c.row_id, v.term_id, CAST(c.tf AS DOUBLE) AS value FROM c JOIN v ON c.term = v.term""")
+def q_legacy_count_vectors(spark, sf_dir):
+    """Count vectors with the English stop list, no min_df, no feature
+    limit (the vocabulary is unbounded, so it is numbered by the distributed
+    rank and joined without a broadcast hint)."""
+    counts, vocab = _legacy_vocab(spark, sf_dir)
+    return vectorize.count_vectors(counts, vocab, None).select("row_id", "term_id", "value")
+
+
+@register("legacy_accuracy")
+def q_legacy_accuracy(spark, sf_dir):
+    """A9 on the legacy path (rows only): upsample class 1 to the size of class
+    0 (M6), count vectors over the upsampled documents (V11), a plain 30 %
+    split of the rows *with* their copies (M8, seed 0), Gaussian Naive Bayes
+    (F3), accuracy. Copies become weights on each side of the split."""
+    from textsieve.operators import bayes
+
+    base = train.labelled_messages(spark, sf_dir)
+    bal = sampling.legacy_upsample(base)
+    sp = sampling.stratified_split(bal, 0.3, None, "row_id", seed=0, copy_col="copy_no")
+    side = {t: sp.where(F.col("is_test") == t).groupBy("row_id", "label").agg(
+        F.count(F.lit(1)).cast("double").alias("weight")) for t in (False, True)}
+    used = bal.select("row_id").distinct()
+    counts = vectorize.term_counts(base.join(used, "row_id", "left_semi"))
+    vocab = vectorize.fit_vocabulary(counts, used.count(), min_df=1, max_features=None)
+    feats = {t: vectorize.count_vectors(counts.join(side[t].drop("label"), "row_id"), vocab, None,
+                                        keep=("weight",)).join(side[t].select("row_id", "label"), "row_id")
+             for t in (False, True)}
+    model = bayes.fit_gaussian(feats[False], side[False], vocab)
+    sc = model.score(side[True], feats[True])
+    return sc.agg(
+        F.sum("weight").cast("bigint").alias("n_test"),
+        (F.sum(F.when(F.col("prediction") == F.col("label"), F.col("weight")).otherwise(0.0)) /
+         F.sum("weight")).alias("accuracy"))
