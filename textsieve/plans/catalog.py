@@ -902,3 +902,19 @@ def q_legacy_accuracy(spark, sf_dir):
         F.sum("weight").cast("bigint").alias("n_test"),
         (F.sum(F.when(F.col("prediction") == F.col("label"), F.col("weight")).otherwise(0.0)) /
          F.sum("weight")).alias("accuracy"))
+
+
+@register("transform_oov", f"""WITH {_TRAIN}
+SELECT t.row_id, CAST(count(f.term) AS BIGINT) AS n_known, {r6('coalesce(sum(f.value * f.value), 0.0)')} AS sq_norm
+FROM test_docs t LEFT JOIN fte f ON t.row_id = f.row_id GROUP BY t.row_id""")
+def q_transform_oov(spark, sf_dir):
+    """Test documents through the training vocabulary: known terms per
+    document and the squared L2 norm (1, or 0 for a document with no known
+    term, which keeps its row)."""
+    td = training(spark, sf_dir)
+    per = td.feats_test.groupBy("row_id").agg(F.count(F.lit(1)).alias("n_known"),
+                                              F.sum(F.col("value") * F.col("value")).alias("sq_norm"))
+    out = td.docs_test.join(per, "row_id", "left").select(
+        "row_id", F.coalesce("n_known", F.lit(0)).cast("bigint").alias("n_known"),
+        F.coalesce("sq_norm", F.lit(0.0)).alias("sq_norm"))
+    return round_doubles(out)
