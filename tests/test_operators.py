@@ -133,3 +133,13 @@ def test_global_row_number_on_nondeterministic_input(spark):
     assert a.exceptAll(b).count() == 0 and a.count() == 5000
     rt = sampling.running_totals(df.withColumn("one", F.lit(1)), ["k", "id"], ["one"], num_partitions=5)
     assert rt.where(F.col("cum_one") != F.col("rn")).count() == 0
+
+
+def test_md5_rank_matches_window(spark):
+    from pyspark.sql import Window
+
+    df = spark.range(3000).select(F.col("id"), (F.col("id") % 4 == 0).cast("int").alias("g"),
+                                  sampling.md5_key("id").alias("_k"))
+    a = sampling.md5_rank(df, "g", "id", "rn", digits=2).select("id", "rn")
+    b = df.select("id", F.row_number().over(Window.partitionBy("g").orderBy("_k", "id")).alias("rn"))
+    assert a.exceptAll(b).count() == 0 and a.count() == 3000

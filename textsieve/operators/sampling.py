@@ -117,6 +117,33 @@ def running_totals(df: DataFrame, order_cols: list, sum_cols: list, prefix: str
     return out
 
 
+# --- md5-keyed ranks: deterministic buckets, no sampling ----------------------
+
+BUCKET_DIGITS = 4  # 16^4 buckets: each holds ~1/65536 of a class
+
+
+def _bucket_offsets(k: DataFrame, group: str, digits: int) -> DataFrame:
+    """``(group, _b, _n, _start)``: rows per (class, key bucket) and how many
+    rows of the class come before the bucket. At most classes x 16^digits rows;
+    the window runs over that small table, not over the data."""
+    counts = k.groupBy(group, F.substring("_k", 1, digits).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("_start", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+
+
+def md5_rank(k: DataFrame, group: str, id_col: str, out_col: str = "rn", digits: int = BUCKET_DIGITS) -> DataFrame:
+    """Exact ``row_number() OVER (PARTITION BY group ORDER BY _k, id)`` for an
+    md5 hex key ``_k``: the leading hex digits are an order-preserving bucket
+    (uniform, so no bucket is hot even when one class holds most rows); a row's
+    rank is its bucket's offset plus its rank inside the bucket."""
+    offs = _bucket_offsets(k, group, digits)
+    kb = k.withColumn("_b", F.substring("_k", 1, digits))
+    side = F.broadcast(offs) if 16 ** digits * 64 <= BROADCAST_ROWS else offs
+    w = Window.partitionBy(group, "_b").orderBy("_k", id_col)
+    return kb.join(side.drop("_n"), [group, "_b"]).withColumn(
+        out_col, (F.col("_start") + F.row_number().over(w)).cast("bigint")).drop("_b", "_start")
+
+
 # --- class counts (M1) ------------------------------------------------------
 
 def class_counts(df: DataFrame, label_col: str = "label") -> dict:
@@ -160,7 +187,8 @@ def upsample_draws(df: DataFrame, minority_label: int, n_draws: int, label_col:
     n_min = minority.count()
     if n_min == 0 or n_draws <= 0:
         return df.sparkSession.createDataFrame([], f"{id_col} bigint, copy_no bigint")
-    indexed = global_row_number(minority, ["_k", id_col], "_idx").select(id_col, (F.col("_idx") - 1).alias("_pick"))
+    indexed = md5_rank(minority.withColumn("_g", F.lit(0)), "_g", id_col, "_idx").select(
+        id_col, (F.col("_idx") - 1).alias("_pick"))
     draws = df.sparkSession.range(n_draws).select(
         F.col("id").alias("copy_no"), (md5_int(F.col("id"), seed=seed) % F.lit(n_min)).alias("_pick")
     )
@@ -201,12 +229,17 @@ def draw_weights(balanced: DataFrame, id_col: str = "row_id", label_col: str = "
 
 # --- splits and folds (M7-M9) -----------------------------------------------
 
-def _cut_keys(keys: DataFrame, label_col: str | None, id_col: str, targets_fn) -> DataFrame:
+def _cut_keys(keys: DataFrame, label_col: str | None, id_col: str, targets_fn,
+              digits: int = BUCKET_DIGITS) -> DataFrame:
     """Keys at given ranks. ``targets_fn(counts)`` maps ``{class: size}`` to
     ``{class: [ranks]}``. Returns ``(label, cut_rank, cut_key)`` (a few rows
-    per class) and the class counts."""
+    per class, as a literal table) and the class counts.
+
+    Bucket counts locate the bucket that holds each wanted rank; only the
+    rows of those few buckets are ranked."""
     group = label_col if label_col else "_all"
     k = keys if label_col else keys.withColumn("_all", F.lit(0))
+    k = k.select(group, id_col, "_k")
     counts = {r[0]: r[1] for r in k.groupBy(group).count().collect()}
     wanted = targets_fn(counts)
     rows = [(g, int(t)) for g, ts in wanted.items() for t in ts if 1 <= t <= counts.get(g, 0)]
@@ -214,12 +247,18 @@ def _cut_keys(keys: DataFrame, label_col: str | None, id_col: str, targets_fn) -
         return None, counts
     spark = keys.sparkSession
     gtype = dict(k.dtypes)[group]
-    targets = spark.createDataFrame(rows, f"{group} {gtype}, cut_rank bigint")
-    ranked = rank_within(k.select(group, id_col, "_k"), group, ["_k", id_col], "_r")
-    cuts = ranked.join(F.broadcast(targets), (ranked[group] == targets[group]) & (ranked["_r"] == targets["cut_rank"])) \
-        .select(targets[group].alias(group), "cut_rank", F.struct(ranked["_k"], ranked[id_col]).alias("cut_key"))
-    # at most (classes x targets) rows: bring them back once as a literal
-    # table, so later plans broadcast a constant instead of re-running the rank
+    targets = F.broadcast(spark.createDataFrame(rows, f"{group} {gtype}, cut_rank bigint"))
+    offs = _bucket_offsets(k, group, digits)
+    hit = offs.join(targets, group).where(
+        (F.col("cut_rank") > F.col("_start")) & (F.col("cut_rank") <= F.col("_start") + F.col("_n"))
+    ).select(group, "_b", "cut_rank", (F.col("cut_rank") - F.col("_start")).alias("_local"))
+    hit = spark.createDataFrame(hit.collect(), hit.schema)  # one row per target
+    inb = k.withColumn("_b", F.substring("_k", 1, digits)).join(F.broadcast(hit.select(group, "_b").distinct()),
+                                                              [group, "_b"])
+    w = Window.partitionBy(group, "_b").orderBy("_k", id_col)
+    ranked = inb.withColumn("_local", F.row_number().over(w))
+    cuts = ranked.join(F.broadcast(hit), [group, "_b", "_local"]).select(
+        group, "cut_rank", F.struct(F.col("_k"), F.col(id_col)).alias("cut_key"))
     return spark.createDataFrame(cuts.collect(), cuts.schema), counts
 
 
