@@ -20,29 +20,43 @@ def _div(a: Column, b: Column) -> Column:
     return F.coalesce(a / F.when(b != 0, b), F.lit(0.0)).cast("double")
 
 
-def _cells(df: DataFrame, label_col: str = "label", pred_col: str = "prediction") -> DataFrame:
+def _tally(cond, weight_col: str | None):
+    """count_if(cond), or the sum of the weights of the rows meeting it (a
+    weight stands for that many copies of the row)."""
+    if weight_col is None:
+        return F.count_if(cond)
+    return F.sum(F.when(cond, F.col(weight_col)).otherwise(F.lit(0.0)))
+
+
+def _cells(df: DataFrame, label_col: str = "label", pred_col: str = "prediction",
+           weight_col: str | None = None) -> DataFrame:
     y, p = F.col(label_col), F.col(pred_col)
     return df.agg(
-        F.count_if((y == 1) & (p == 1)).alias("tp"),
-        F.count_if((y == 0) & (p == 1)).alias("fp"),
-        F.count_if((y == 0) & (p == 0)).alias("tn"),
-        F.count_if((y == 1) & (p == 0)).alias("fn"),
+        _tally((y == 1) & (p == 1), weight_col).alias("tp"),
+        _tally((y == 0) & (p == 1), weight_col).alias("fp"),
+        _tally((y == 0) & (p == 0), weight_col).alias("tn"),
+        _tally((y == 1) & (p == 0), weight_col).alias("fn"),
     )
 
 
-def confusion_matrix(df: DataFrame, label_col: str = "label", pred_col: str = "prediction") -> DataFrame:
-    """Four rows ``(label, prediction, n)``; empty cells are kept as 0."""
-    return _cells(df, label_col, pred_col).select(
+def confusion_matrix(df: DataFrame, label_col: str = "label", pred_col: str = "prediction",
+                     weight_col: str | None = None) -> DataFrame:
+    """Four rows ``(label, prediction, n)``; empty cells are kept as 0.
+    With ``weight_col``, ``n`` is the (double) sum of weights."""
+    out = _cells(df, label_col, pred_col, weight_col).select(
         F.inline(F.array(*[
             F.struct(F.lit(y).alias("label"), F.lit(p).alias("prediction"), F.col(c).alias("n"))
             for y, p, c in ((0, 0, "tn"), (0, 1, "fp"), (1, 0, "fn"), (1, 1, "tp"))
         ]))
-    ).select(F.col("label").cast("int"), F.col("prediction").cast("int"), F.col("n").cast("bigint"))
+    )
+    return out.select(F.col("label").cast("int"), F.col("prediction").cast("int"),
+                      F.col("n").cast("bigint" if weight_col is None else "double"))
 
 
-def binary_metrics(df: DataFrame, label_col: str = "label", pred_col: str = "prediction") -> DataFrame:
+def binary_metrics(df: DataFrame, label_col: str = "label", pred_col: str = "prediction",
+                   weight_col: str | None = None) -> DataFrame:
     """Accuracy, precision, recall, F1 of class 1 (0 on zero division)."""
-    c = _cells(df, label_col, pred_col)
+    c = _cells(df, label_col, pred_col, weight_col)
     tp, fp, tn, fn = (F.col(x) for x in ("tp", "fp", "tn", "fn"))
     prec, rec = _div(tp, tp + fp), _div(tp, tp + fn)
     return c.select(
@@ -77,10 +91,11 @@ def classification_report(df: DataFrame, label_col: str = "label", pred_col: str
     )))
 
 
-def score_table(df: DataFrame, label_col: str = "label", score_col: str = "probability") -> DataFrame:
+def score_table(df: DataFrame, label_col: str = "label", score_col: str = "probability",
+                weight_col: str | None = None) -> DataFrame:
     """Distinct scores, descending: ``(score, pos, neg, rn, cum_pos, cum_neg)``."""
     per_score = df.groupBy(F.col(score_col).alias("score")).agg(
-        F.count_if(F.col(label_col) == 1).alias("pos"), F.count_if(F.col(label_col) != 1).alias("neg")
+        _tally(F.col(label_col) == 1, weight_col).alias("pos"), _tally(F.col(label_col) != 1, weight_col).alias("neg")
     )
     return running_totals(per_score, [F.desc("score")], ["pos", "neg"])
 
@@ -118,10 +133,11 @@ def roc_points(df: DataFrame, label_col: str = "label", score_col: str = "probab
     return origin.unionByName(pts)
 
 
-def roc_auc(df: DataFrame, label_col: str = "label", score_col: str = "probability") -> DataFrame:
+def roc_auc(df: DataFrame, label_col: str = "label", score_col: str = "probability",
+            weight_col: str | None = None) -> DataFrame:
     """Trapezoid area; tied scores count half. Each distinct score adds
     neg * (2*cum_pos - pos) / (2 P N): no neighbour lookup is needed."""
-    st = score_table(df, label_col, score_col)
+    st = score_table(df, label_col, score_col, weight_col)
     return st.agg(
         F.sum(F.col("neg") * (2 * F.col("cum_pos") - F.col("pos"))).alias("_a"),
         F.sum("pos").alias("_p"), F.sum("neg").alias("_n"),
@@ -146,10 +162,11 @@ def pr_points(df: DataFrame, label_col: str = "label", score_col: str = "probabi
     return pts.unionByName(end)
 
 
-def average_precision(df: DataFrame, label_col: str = "label", score_col: str = "probability") -> DataFrame:
+def average_precision(df: DataFrame, label_col: str = "label", score_col: str = "probability",
+                      weight_col: str | None = None) -> DataFrame:
     """Step sum ``sum (R_n - R_{n-1}) P_n`` without interpolation; the
     recall step at a distinct score is pos/P."""
-    st = score_table(df, label_col, score_col)
+    st = score_table(df, label_col, score_col, weight_col)
     return st.agg(
         F.sum(F.col("pos") * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("_a"),
         F.sum("pos").alias("_p"),

@@ -918,3 +918,21 @@ def q_transform_oov(spark, sf_dir):
         "row_id", F.coalesce("n_known", F.lit(0)).cast("bigint").alias("n_known"),
         F.coalesce("sq_norm", F.lit(0.0)).alias("sq_norm"))
     return round_doubles(out)
+
+
+# --- the reference's own order (Q2): fit and upsample before the split -----
+
+LEAKY = Options(leaky_order=True)
+
+
+@register("leaky_confusion_matrix", f"""WITH {S.training_ctes_leaky(LEAKY)},
+{S.nb_ctes('multinomial')}
+SELECT CAST(g.y AS INTEGER) AS label, CAST(g.p AS INTEGER) AS prediction,
+       {r6('coalesce(sum(t.weight), 0.0)')} AS n
+FROM (VALUES (0,0),(0,1),(1,0),(1,1)) g(y, p)
+LEFT JOIN (nb_scored s JOIN test_docs t ON s.row_id = t.row_id) ON s.label = g.y AND s.prediction = g.p
+GROUP BY g.y, g.p""")
+def q_leaky_confusion_matrix(spark, sf_dir):
+    """A6 under the reference's order: multinomial NB, test copies weighted."""
+    sc = nb_scored(spark, sf_dir, "multinomial", LEAKY)
+    return round_doubles(evaluate.confusion_matrix(sc, weight_col="weight"))

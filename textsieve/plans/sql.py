@@ -264,3 +264,45 @@ def scored_eval_sql(scored: str, what: str) -> str:
                 f"round(CASE WHEN P = 0 THEN 1.0 ELSE {div('cum_pos', 'P')} END, 6) AS recall FROM {st}, {tot} "
                 f"UNION ALL SELECT CAST(0 AS BIGINT), CAST(NULL AS DOUBLE), 1.0::DOUBLE, 0.0::DOUBLE")
     raise KeyError(what)
+
+
+def training_ctes_leaky(opts: Options, stop_words=None) -> str:
+    """The reference's order: vocabulary on all rows, upsample all rows, split
+    the rows with their copies; ``weights`` and ``test_docs`` carry copies as
+    weights. Same CTE names as ``training_ctes``."""
+    text = clean("message") if opts.preprocess else "message"
+    limit = f"LIMIT {int(opts.max_features)}" if opts.max_features is not None else ""
+    key = md5_key("row_id", "copy_no", seed=opts.seed)
+    return f"""
+base AS ({BASE}),
+toks AS (SELECT row_id, label, unnest({analyzer(text, stop_words)}) AS term FROM base),
+counts AS (SELECT row_id, label, term, count(*) AS tf FROM toks GROUP BY row_id, label, term),
+nall AS (SELECT count(*) AS n FROM base),
+dfs AS (SELECT term, count(*) AS df, sum(tf) AS ctf FROM counts GROUP BY term HAVING count(*) >= {int(opts.min_df)}),
+topk AS (SELECT * FROM dfs ORDER BY ctf DESC, term {limit}),
+vocab AS (SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS term_id, df, ctf,
+                 ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf FROM topk, nall),
+tr AS (SELECT row_id, label FROM base),
+cls AS (SELECT count(*) FILTER (WHERE label = 0) AS n0, count(*) FILTER (WHERE label = 1) AS n1 FROM tr),
+role AS (SELECT CASE WHEN n0 > n1 THEN 0 ELSE 1 END AS maj, CASE WHEN n0 > n1 THEN 1 ELSE 0 END AS mino,
+                CASE WHEN n0 > n1 THEN n0 ELSE n1 END AS n_maj FROM cls),
+minority AS (SELECT tr.row_id, row_number() OVER (ORDER BY {md5_key('tr.row_id', seed=opts.seed)}, tr.row_id) - 1 AS idx
+             FROM tr JOIN role ON tr.label = role.mino),
+draws AS (SELECT i AS copy_no, {md5_int('i', seed=opts.seed)} % (SELECT count(*) FROM minority) AS pick
+          FROM (SELECT unnest(range((SELECT n_maj FROM role))) AS i)),
+balanced AS (SELECT tr.row_id, tr.label, CAST(-1 AS BIGINT) AS copy_no FROM tr JOIN role ON tr.label = role.maj
+             UNION ALL
+             SELECT m.row_id, (SELECT mino FROM role) AS label, d.copy_no FROM draws d JOIN minority m ON d.pick = m.idx),
+ranked AS (SELECT row_id, label, copy_no,
+                  row_number() OVER (PARTITION BY label ORDER BY {key}, row_id) AS r FROM balanced),{quota_ctes(opts.test_size, "balanced")},
+sp AS (SELECT r.row_id, r.label, r.r <= q.n_test_c AS is_test FROM ranked r JOIN quotas q ON r.label = q.label),
+weights AS (SELECT row_id, label, CAST(count(*) AS DOUBLE) AS weight FROM sp WHERE NOT is_test GROUP BY row_id, label),
+test_docs AS (SELECT row_id, label, CAST(count(*) AS DOUBLE) AS weight FROM sp WHERE is_test GROUP BY row_id, label),
+ftr_x AS (SELECT c.row_id, c.label, w.weight, v.term, v.term_id, c.tf * v.idf AS x
+          FROM counts c JOIN weights w ON c.row_id = w.row_id JOIN vocab v ON c.term = v.term),
+ftr AS (SELECT row_id, label, weight, term, term_id, x / sqrt(sum(x * x) OVER (PARTITION BY row_id)) AS value FROM ftr_x),
+fte_x AS (SELECT c.row_id, c.label, v.term, v.term_id, c.tf * v.idf AS x
+          FROM counts c SEMI JOIN test_docs t ON c.row_id = t.row_id JOIN vocab v ON c.term = v.term),
+fte AS (SELECT row_id, label, term, term_id, x / sqrt(sum(x * x) OVER (PARTITION BY row_id)) AS value FROM fte_x),
+cc AS (SELECT sum(CASE WHEN label = 0 THEN weight ELSE 0 END) AS c0,
+              sum(CASE WHEN label = 1 THEN weight ELSE 0 END) AS c1 FROM weights)"""

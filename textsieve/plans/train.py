@@ -70,6 +70,8 @@ class TrainingData:
 def prepare(base: DataFrame, opts: Options = Options(), stop_words=None) -> TrainingData:
     """S3 -> M7 -> V1..V9 -> M5, as lazy DataFrames over one persisted
     per-document term-count table."""
+    if opts.leaky_order:
+        return prepare_leaky(base, opts, stop_words)
     split = sampling.stratified_split(base, opts.test_size, "label", "row_id", opts.seed)
     # One hash shuffle of the documents by row_id up front: the (row_id, term)
     # counts, the per-document TF-IDF norm window, per-document score sums and
@@ -121,3 +123,30 @@ def fit_naive_bayes(td: TrainingData, kind: str = "multinomial", **params) -> ba
 def score_test(td: TrainingData, model: bayes.NBModel) -> DataFrame:
     """Scores of every test document (documents with no known term included)."""
     return model.score(td.docs_test, td.feats_test)
+
+
+def prepare_leaky(base: DataFrame, opts: Options, stop_words=None) -> TrainingData:
+    """The reference's order (Q2): vocabulary and IDF from every row, upsample
+    every row, then a stratified split of the rows *with* their copies (a
+    copy's key includes its copy number). Copies on each side become weights,
+    so ``docs_test`` carries a ``weight`` for weighted evaluation."""
+    rows = base.repartition("row_id")
+    counts = cut_lineage(vectorize.term_counts(rows, "message", "row_id", stop_words, opts.preprocess,
+                                               keep=("label",)))
+    labels = rows.select("row_id", "label")
+    n_all = labels.count()
+    vocab = vectorize.fit_vocabulary(counts, n_all, opts.min_df, opts.max_features)
+    balanced = sampling.balance_classes(labels, "label", "row_id", opts.seed, opts.upsample)
+    sp = sampling.stratified_split(balanced, opts.test_size, "label", "row_id", opts.seed, copy_col="copy_no")
+    sides = {}
+    for t in (False, True):
+        sides[t] = cut_lineage(sp.where(F.col("is_test") == t).groupBy("row_id", "label").agg(
+            F.count(F.lit(1)).cast("double").alias("weight")))
+    w_tr = counts.join(F.broadcast(sides[False].drop("label")) if n_all <= sampling.BROADCAST_ROWS
+                       else sides[False].drop("label"), "row_id")
+    feats_train = vectorize.vectorize(w_tr, vocab, opts.method, opts.max_features, keep=("label", "weight"))
+    te = counts.join(sides[True].select("row_id"), "row_id", "left_semi")
+    feats_test = vectorize.vectorize(te, vocab, opts.method, opts.max_features, keep=("label",))
+    all_labels = labels.withColumn("is_test", F.lit(None).cast("boolean"))
+    return TrainingData(docs_train=sides[False], docs_test=sides[True], feats_train=feats_train,
+                        feats_test=feats_test, vocab=vocab, counts=counts, labels=all_labels, options=opts)
