@@ -96,17 +96,23 @@ def bigram_collocations(df: DataFrame, text_col: str = "message", label_col: str
                         min_count: int = 2, stop_words=None) -> DataFrame:
     """A5: adjacent word pairs per class scored by Dunning's log-likelihood
     ratio G^2; the ``k`` best per class with at least ``min_count``
-    occurrences: ``(label, rank, w1, w2, n12, g2)``."""
+    occurrences: ``(label, rank, w1, w2, n12, g2)``.
+
+    The text is tokenized once: every token is exploded with its successor
+    (null for the last), and one aggregation with two grouping sets,
+    (label, w1, w2) and (label, w1), yields bigram and unigram counts in a
+    single shuffle."""
     toks = T.remove_stopwords(T.tokenize(T.clean_text(text_col)), stop_words)
-    docs = df.select(label_col, toks.alias("t"))
-    pairs = docs.select(
-        label_col,
-        F.explode(F.arrays_zip(F.slice("t", 1, F.greatest(F.size("t") - 1, F.lit(0))),
-                               F.slice("t", 2, F.greatest(F.size("t") - 1, F.lit(0))))).alias("p")
-    ).select(label_col, F.col("p.0").alias("w1"), F.col("p.1").alias("w2"))
-    bi = pairs.groupBy(label_col, "w1", "w2").agg(F.count(F.lit(1)).alias("n12")).where(F.col("n12") >= min_count)
-    uni = docs.select(label_col, F.explode("t").alias("term")).groupBy(label_col, "term").agg(
-        F.count(F.lit(1)).alias("n"))
+    n = F.size("t")
+    nxt = F.concat(F.slice("t", 2, F.greatest(n - 1, F.lit(0))), F.array(F.lit(None).cast("string")))
+    pairs = df.select(label_col, toks.alias("t")).select(
+        label_col, F.explode(F.arrays_zip(F.col("t"), nxt)).alias("p")
+    ).select(label_col, F.col("p.t").alias("w1"), F.col("p.1").alias("w2")).where(F.col("w1").isNotNull())
+    both = pairs.groupingSets([[label_col, "w1", "w2"], [label_col, "w1"]], label_col, "w1", "w2").agg(
+        F.count(F.lit(1)).alias("n"), F.grouping_id().alias("_gid"))
+    bi = both.where((F.col("_gid") == 0) & F.col("w2").isNotNull() & (F.col("n") >= min_count)).select(
+        label_col, "w1", "w2", F.col("n").alias("n12"))
+    uni = both.where(F.col("_gid") == 1).select(label_col, F.col("w1").alias("term"), "n")
     totals = uni.groupBy(label_col).agg(F.sum("n").alias("N"))  # one row per class
     u1 = uni.select(label_col, F.col("term").alias("w1"), F.col("n").alias("n1"))
     u2 = uni.select(label_col, F.col("term").alias("w2"), F.col("n").alias("n2"))

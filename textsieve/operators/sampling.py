@@ -138,9 +138,10 @@ def md5_rank(k: DataFrame, group: str, id_col: str, out_col: str = "rn", digits:
     rank is its bucket's offset plus its rank inside the bucket."""
     offs = _bucket_offsets(k, group, digits)
     kb = k.withColumn("_b", F.substring("_k", 1, digits))
-    side = F.broadcast(offs) if 16 ** digits * 64 <= BROADCAST_ROWS else offs
+    # a plain equi-join on (group, _b): the window below needs the keys
+    # clustered by (group, _b) anyway, so the join's shuffle is shared
     w = Window.partitionBy(group, "_b").orderBy("_k", id_col)
-    return kb.join(side.drop("_n"), [group, "_b"]).withColumn(
+    return kb.join(offs.drop("_n"), [group, "_b"]).withColumn(
         out_col, (F.col("_start") + F.row_number().over(w)).cast("bigint")).drop("_b", "_start")
 
 

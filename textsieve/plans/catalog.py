@@ -699,8 +699,11 @@ def ml_data(spark, sf_dir, scaled: bool = False):
         tr = msgs.where(~F.col("is_test")).join(td.docs_train.select("row_id", "weight"), "row_id")
         te = msgs.where(F.col("is_test")).withColumn("weight", F.lit(1.0))
         scale = bayes.scale_std(td.feats_train, td.docs_train, td.vocab) if scaled else None
-        _FITS[key] = tuple(cut_lineage(ml_features(d, td.vocab, "message", td.options.method, td.options.preprocess,
-                                                   scale)) for d in (tr, te))
+        from textsieve.plans.models import size_partitions
+
+        _FITS[key] = tuple(cut_lineage(size_partitions(ml_features(d, td.vocab, "message", td.options.method,
+                                                                   td.options.preprocess, scale)))
+                           for d in (tr, te))
     return _FITS[key]
 
 

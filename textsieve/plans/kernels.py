@@ -52,7 +52,12 @@ def rff_features(long: DataFrame, docs: DataFrame, vocab: DataFrame, n_component
                  seed: int = 42, id_col: str = "row_id") -> DataFrame:
     """Long form ``(row_id, j, value)`` of the random features of every
     document in ``docs`` (documents without a term included)."""
-    w = F.broadcast(rff_weights(vocab, n_components, gamma, seed))
+    from textsieve.operators.vectorize import BROADCAST_VOCAB_ROWS
+
+    w = rff_weights(vocab, n_components, gamma, seed)
+    # |vocabulary| x D rows: broadcast only while that product is bounded
+    if vocab.count() * n_components <= BROADCAST_VOCAB_ROWS:
+        w = F.broadcast(w)
     proj = long.select(id_col, "term", "value").join(w, "term").groupBy(id_col, "j").agg(
         F.sum(F.col("value") * F.col("w")).alias("p"))
     grid = docs.select(id_col, F.explode(F.sequence(F.lit(0), F.lit(n_components - 1))).alias("j"))

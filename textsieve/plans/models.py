@@ -81,6 +81,16 @@ def ml_features(df: DataFrame, vocab: DataFrame, text_col: str = "message", meth
     return out.select(*[c for c in keep if c in df.columns], F.col(rename.src).alias("features"))
 
 
+def size_partitions(df: DataFrame, rows_per_partition: int = 50_000) -> DataFrame:
+    """Iterative fits run one job per iteration over every partition: give the
+    training table about one partition per ``rows_per_partition`` rows (at
+    most the default parallelism; never fewer than one), instead of many
+    near-empty ones."""
+    n = df.count()
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(1, min(par, -(-n // rows_per_partition))))
+
+
 # --- U3 / F13: registry ----------------------------------------------------
 
 @dataclass
