@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textsieve.operators.vectorize import BROADCAST_VOCAB_ROWS
-from textsieve.session import cut_lineage
+from textsieve.session import cut_lineage, write_table
 
 
 @dataclass
@@ -108,7 +108,7 @@ def fit_multinomial(feats: DataFrame, docs: DataFrame, vocab: DataFrame, alpha:
         F.lit(0.0).alias("q0"),
         F.lit(0.0).alias("q1"),
     )
-    params = cut_lineage(params)
+    params = write_table(params)
     sums.unpersist()
     c0, c1 = _class_totals(docs, label_col)
     lp0, lp1 = _log_priors(c0, c1)
@@ -134,7 +134,7 @@ def fit_bernoulli(feats: DataFrame, docs: DataFrame, vocab: DataFrame, alpha: fl
         neg(0).alias("_n0"),
         neg(1).alias("_n1"),
     )
-    params = cut_lineage(params)
+    params = write_table(params)
     t = params.agg(F.sum("_n0").alias("n0"), F.sum("_n1").alias("n1"), F.count(F.lit(1)).alias("v")).first()
     lp0, lp1 = _log_priors(c0, c1)
     return NBModel("bernoulli", params.drop("_n0", "_n1"), lp0 + float(t["n0"]), lp1 + float(t["n1"]),
@@ -167,7 +167,7 @@ def fit_gaussian(feats: DataFrame, docs: DataFrame, vocab: DataFrame, var_smooth
         (-0.5 * F.log(2 * math.pi * v0) - 0.5 * F.col("m0") * F.col("m0") / v0).alias("_k0"),
         (-0.5 * F.log(2 * math.pi * v1) - 0.5 * F.col("m1") * F.col("m1") / v1).alias("_k1"),
     )
-    params = cut_lineage(params)
+    params = write_table(params)
     t = params.agg(F.sum("_k0").alias("k0"), F.sum("_k1").alias("k1"), F.count(F.lit(1)).alias("v")).first()
     base.unpersist()
     lp0, lp1 = _log_priors(c0, c1)

@@ -177,7 +177,7 @@ def class_majority(df: DataFrame, label_col: str = "label") -> DataFrame:
 # --- upsampling (M2-M6) -----------------------------------------------------
 
 def upsample_draws(df: DataFrame, minority_label: int, n_draws: int, label_col: str = "label",
-                   id_col: str = "row_id", seed: int = 42) -> DataFrame:
+                   id_col: str = "row_id", seed: int = 42, n_minority: int | None = None) -> DataFrame:
     """M2 + M4: ``n_draws`` rows drawn with replacement from the minority
     class. Returns ``(row_id, copy_no)``, one row per draw.
 
@@ -185,7 +185,7 @@ def upsample_draws(df: DataFrame, minority_label: int, n_draws: int, label_col:
     ``i`` picks index ``md5_int(i) % n_min``.
     """
     minority = df.where(F.col(label_col) == minority_label).select(id_col).withColumn("_k", md5_key(id_col, seed=seed))
-    n_min = minority.count()
+    n_min = minority.count() if n_minority is None else n_minority
     if n_min == 0 or n_draws <= 0:
         return df.sparkSession.createDataFrame([], f"{id_col} bigint, copy_no bigint")
     indexed = md5_rank(minority.withColumn("_g", F.lit(0)), "_g", id_col, "_idx").select(
@@ -198,18 +198,19 @@ def upsample_draws(df: DataFrame, minority_label: int, n_draws: int, label_col:
 
 
 def balance_classes(df: DataFrame, label_col: str = "label", id_col: str = "row_id", seed: int = 42,
-                    enabled: bool = True) -> DataFrame:
+                    enabled: bool = True, counts: dict | None = None) -> DataFrame:
     """M5: ``(row_id, label, copy_no)``: majority rows once (copy_no -1), then
     as many minority draws as there are majority rows. Off switch returns
     every row once."""
     base = df.select(F.col(id_col).cast("bigint"), F.col(label_col).cast("int"))
     if not enabled:
         return base.withColumn("copy_no", F.lit(-1).cast("bigint"))
-    counts = class_counts(base, label_col)
+    counts = class_counts(base, label_col) if counts is None else counts
     maj, mino = majority_minority(counts)
     n_maj = counts.get(maj, 0)
     majority = base.where(F.col(label_col) == maj).withColumn("copy_no", F.lit(-1).cast("bigint"))
-    draws = upsample_draws(base, mino, n_maj, label_col, id_col, seed).withColumn(label_col, F.lit(mino).cast("int"))
+    draws = upsample_draws(base, mino, n_maj, label_col, id_col, seed, counts.get(mino, 0)).withColumn(
+        label_col, F.lit(mino).cast("int"))
     return majority.unionByName(draws.select(id_col, label_col, "copy_no"))
 
 
@@ -284,15 +285,23 @@ def test_quotas(counts: dict, test_size: float) -> dict:
 
 
 def stratified_split(df: DataFrame, test_size: float = 0.3, label_col: str | None = "label",
-                     id_col: str = "row_id", seed: int = 42, copy_col: str | None = None) -> DataFrame:
+                     id_col: str = "row_id", seed: int = 42, copy_col: str | None = None,
+                     stats: dict | None = None) -> DataFrame:
     """M7 (M8 with ``label_col=None``): adds boolean ``is_test``. Within each
     class the rows are ordered by md5 key; the first ``test_quotas`` rows of
     each class are the test rows. Only the narrow key table is ranked; each
     row then compares its own key with its class's broadcast cut-off."""
     parts = [id_col] + ([copy_col] if copy_col else [])
     keyed = df.withColumn("_k", md5_key(*parts, seed=seed))
-    cuts, _ = _cut_keys(keyed, label_col, id_col,
-                        lambda counts: {g: [q] for g, q in test_quotas(counts, test_size).items()})
+    quotas = {}
+
+    def targets(counts):
+        quotas.update(test_quotas(counts, test_size))
+        return {g: [q] for g, q in quotas.items()}
+
+    cuts, counts = _cut_keys(keyed, label_col, id_col, targets)
+    if stats is not None:  # class sizes and test rows, for callers that need them
+        stats["counts"], stats["test"] = dict(counts), dict(quotas)
     if cuts is None:
         return keyed.withColumn("is_test", F.lit(False)).drop("_k")
     group = label_col if label_col else "_all"

@@ -84,10 +84,10 @@ def fit_vocabulary(
     vocab = vocab.withColumn(
         "idf", F.log((F.lit(1.0) + F.lit(n_docs)) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     ).select("term", "term_id", "df", "ctf", "idf")
-    from textsieve.session import cut_lineage
+    from textsieve.session import write_table
 
-    vocab = cut_lineage(vocab)
-    if vocab.limit(1).count() == 0:
+    vocab = write_table(vocab)
+    if vocab.isEmpty():
         raise ValueError("empty vocabulary; perhaps the documents only contain stop words or min_df is too high")
     return vocab
 

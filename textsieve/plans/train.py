@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from textsieve.config import Options
 from textsieve.operators import bayes, sampling, vectorize
-from textsieve.session import cut_lineage
+from textsieve.session import cut_lineage, write_table
 
 
 # Inputs at most this large are spread over the default parallelism after the
@@ -72,7 +72,9 @@ def prepare(base: DataFrame, opts: Options = Options(), stop_words=None) -> Trai
     per-document term-count table."""
     if opts.leaky_order:
         return prepare_leaky(base, opts, stop_words)
-    split = sampling.stratified_split(base, opts.test_size, "label", "row_id", opts.seed)
+    stats: dict = {}
+    split = sampling.stratified_split(base, opts.test_size, "label", "row_id", opts.seed, stats=stats)
+    train_sizes = {g: n - stats["test"].get(g, 0) for g, n in stats["counts"].items()}
     # One hash shuffle of the documents by row_id up front: the (row_id, term)
     # counts, the per-document TF-IDF norm window, per-document score sums and
     # the joins back to the labels all reuse this partitioning (the checkpoints
@@ -82,17 +84,17 @@ def prepare(base: DataFrame, opts: Options = Options(), stop_words=None) -> Trai
     # the split and the long count table are reused by every later pass:
     # write them once to the checkpoint folder (cuts lineage, survives
     # executor loss)
-    labels = cut_lineage(split.select("row_id", "label", "is_test"))
+    labels = write_table(split.select("row_id", "label", "is_test"))
     counts = cut_lineage(vectorize.term_counts(
         split, "message", "row_id", stop_words, opts.preprocess, keep=("label", "is_test")))
     labels_train = labels.where(~F.col("is_test")).select("row_id", "label")
-    n_train = labels_train.count()
+    n_train = sum(train_sizes.values())
     train_counts = counts.where(~F.col("is_test")).drop("is_test")
     vocab = vectorize.fit_vocabulary(train_counts, n_train, opts.min_df, opts.max_features)
 
     if opts.upsample:
-        weights = cut_lineage(sampling.draw_weights(
-            sampling.balance_classes(labels_train, "label", "row_id", opts.seed, True)))
+        weights = write_table(sampling.draw_weights(
+            sampling.balance_classes(labels_train, "label", "row_id", opts.seed, True, counts=train_sizes)))
         n_w = n_train
         w_side = F.broadcast(weights) if n_w <= sampling.BROADCAST_ROWS else weights
         w_counts = train_counts.join(w_side.drop("label"), "row_id")

@@ -61,3 +61,15 @@ def cut_lineage(df):
     out = cached.checkpoint(eager=True)
     cached.unpersist()
     return out
+
+
+def write_table(df):
+    """Cut lineage by writing ``df`` as parquet under the checkpoint folder and
+    reading it back: one job (a checkpoint takes two). For tables whose
+    partitioning need not survive (vocabulary, model tables, weights)."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
