@@ -36,7 +36,6 @@ HEADLINE = [
     "top_terms_by_class",
     "bigram_collocations",
     "predict_batch",
-    "knn_predict",
 ]
 
 
