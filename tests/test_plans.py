@@ -70,3 +70,17 @@ def test_same_result_twice(spark):
     catalog.reset_state(spark)
     b = catalog.QUERIES["mnb_score"](spark, SF_SMALL).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_leaky_order_weights(spark):
+    """The reference's order: copies are split, so test weights add up to the
+    test share of the upsampled rows, and every held-out copy is scored."""
+    import math
+
+    td = catalog.training(spark, SF_SMALL, catalog.LEAKY)
+    n_up = td.docs_train.agg(F.sum("weight")).first()[0] + td.docs_test.agg(F.sum("weight")).first()[0]
+    counts = {r[0]: r[1] for r in catalog.train.labelled_messages(spark, SF_SMALL).groupBy("label").count().collect()}
+    assert n_up == 2 * max(counts.values())
+    assert td.docs_test.agg(F.sum("weight")).first()[0] == math.ceil(0.3 * n_up)
+    cm = catalog.QUERIES["leaky_confusion_matrix"](spark, SF_SMALL).collect()
+    assert abs(sum(r["n"] for r in cm) - math.ceil(0.3 * n_up)) < 1e-9
