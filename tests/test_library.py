@@ -78,3 +78,23 @@ def test_top_importances(spark):
     imp = spark.createDataFrame([("a", 0.1), ("b", 0.5), ("c", 0.5), ("d", 0.0)], "term string, importance double")
     out = [tuple(r) for r in rank.top_importances(imp, 3).collect()]
     assert out == [(1, "b", 0.5), (2, "c", 0.5), (3, "a", 0.1)]
+
+
+def test_tensor_sketch_approximates_poly_kernel(spark):
+    """<TS(x), TS(y)> estimates (gamma <x, y> + coef0)^3 without bias; with
+    many components the estimate is close."""
+    import numpy as np
+
+    from textsieve.plans import kernels
+
+    long = spark.createDataFrame([(1, "a", 0.6), (1, "b", 0.8), (2, "a", 0.5), (2, "c", 0.5), (2, "b", 0.7)],
+                                 "row_id bigint, term string, value double")
+    docs = spark.createDataFrame([(1,), (2,)], "row_id bigint")
+    vocab = spark.createDataFrame([("a",), ("b",), ("c",)], "term string")
+    ts = {r["row_id"]: np.array(r["features"].toArray())
+          for r in kernels.tensor_sketch(long, docs, vocab, 3, 1.0, 1.0, 4096).collect()}
+    x = {"a": 0.6, "b": 0.8}
+    y = {"a": 0.5, "c": 0.5, "b": 0.7}
+    for u, v, i, j in ((x, x, 1, 1), (x, y, 1, 2)):
+        exact = (sum(u[t] * v.get(t, 0.0) for t in u) + 1.0) ** 3
+        assert abs(float(ts[i] @ ts[j]) - exact) / exact < 0.25

@@ -939,3 +939,15 @@ def q_leaky_confusion_matrix(spark, sf_dir):
     """A6 under the reference's order: multinomial NB, test copies weighted."""
     sc = nb_scored(spark, sf_dir, "multinomial", LEAKY)
     return round_doubles(evaluate.confusion_matrix(sc, weight_col="weight"))
+
+
+@register("poly_kernel_svc")
+def q_poly_kernel_svc(spark, sf_dir):
+    """F6, polynomial kernel (degree 3, coef0 0, gamma 'scale'): linear SVM on
+    TensorSketch features (rows only)."""
+    from textsieve.plans import kernels
+
+    td = training(spark, sf_dir)
+    svc, g = kernels.fit_poly_svc(td.feats_train, td.docs_train, td.vocab)
+    te = kernels.tensor_sketch(td.feats_test, td.docs_test, td.vocab, 3, g).join(td.docs_test, "row_id")
+    return svc.transform(te).select("row_id", "label", F.col("prediction").cast("int").alias("prediction"))

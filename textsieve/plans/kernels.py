@@ -1,4 +1,5 @@
-"""RBF-kernel SVM through random Fourier features (Rahimi and Recht, 2007).
+"""kernel SVMs on explicit feature maps: random Fourier features for the
+RBF kernel (Rahimi and Recht, 2007), TensorSketch for the polynomial kernel.
 
 z_j(x) = sqrt(2/D) cos(w_j . x + b_j), w_j ~ N(0, 2 gamma I), b_j ~ U(0, 2 pi)
 approximates exp(-gamma |x - y|^2) by z(x) . z(y). Every draw is an md5 hash
@@ -11,10 +12,13 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textsieve.operators.sampling import md5_int
 
@@ -84,3 +88,61 @@ def fit_kernel_svc(train_long: DataFrame, train_docs: DataFrame, vocab: DataFram
     n = float(train_docs.agg(F.sum("weight")).first()[0])
     svc = LinearSVC(regParam=1.0 / (C * n), weightCol="weight", maxIter=100).fit(feats)
     return svc, g
+
+
+# --- polynomial kernel: TensorSketch (Pham and Pagh, 2013) ------------------
+#
+# (gamma <x, y> + coef0)^p is approximated by <TS(x'), TS(y')> where x' is x
+# scaled by sqrt(gamma) with one extra constant feature sqrt(coef0), and TS is
+# the circular convolution (FFT product) of p independent count sketches.
+
+_CONST_TERM = "\u0000const"
+
+
+def sketch_hashes(vocab: DataFrame, degree: int = 3, n_components: int = 100, seed: int = 42) -> DataFrame:
+    """``(term, i, h, s)``: for each of the ``degree`` sketches a bucket and a
+    sign per term (md5 draws). |vocabulary| x degree rows."""
+    terms = vocab.select("term").unionByName(vocab.sparkSession.createDataFrame([(_CONST_TERM,)], "term string"))
+    t = terms.select("term", F.explode(F.sequence(F.lit(0), F.lit(degree - 1))).alias("i"))
+    h = md5_int(F.col("term"), F.col("i"), F.lit("h"), seed=seed) % F.lit(n_components)
+    s = F.when(md5_int(F.col("term"), F.col("i"), F.lit("s"), seed=seed) % 2 == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
+    return t.select("term", "i", h.cast("int").alias("h"), s.alias("s"))
+
+
+def tensor_sketch(long: DataFrame, docs: DataFrame, vocab: DataFrame, degree: int = 3, gamma: float = 1.0,
+                  coef0: float = 0.0, n_components: int = 100, seed: int = 42, id_col: str = "row_id") -> DataFrame:
+    """``(row_id, features)``: TensorSketch vectors of every document in
+    ``docs`` (a document without a term gets the sketch of the constant
+    feature alone)."""
+    from textsieve.operators.vectorize import BROADCAST_VOCAB_ROWS
+
+    hashes = sketch_hashes(vocab, degree, n_components, seed)
+    if (vocab.count() + 1) * degree <= BROADCAST_VOCAB_ROWS:
+        hashes = F.broadcast(hashes)
+    const = docs.select(id_col, F.lit(_CONST_TERM).alias("term"), F.lit(math.sqrt(coef0)).alias("value"))
+    x = long.select(id_col, "term", (F.col("value") * math.sqrt(gamma)).alias("value")).unionByName(const)
+    cs = x.join(hashes, "term").groupBy(id_col, "i", "h").agg(F.sum(F.col("s") * F.col("value")).alias("c"))
+    per_doc = cs.groupBy(id_col).agg(F.collect_list(F.struct("i", "h", "c")).alias("_e"))
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def convolve(entries: pd.Series) -> pd.Series:
+        out = []
+        for e in entries:
+            sk = np.zeros((degree, n_components))
+            for r in e:
+                sk[int(r["i"]), int(r["h"])] += r["c"]
+            prod = np.prod(np.fft.fft(sk, axis=1), axis=0)
+            out.append(np.real(np.fft.ifft(prod)).tolist())
+        return pd.Series(out)
+
+    return per_doc.select(id_col, array_to_vector(convolve("_e")).alias("features"))
+
+
+def fit_poly_svc(train_long: DataFrame, train_docs: DataFrame, vocab: DataFrame, C: float = 1.0, degree: int = 3,
+                 gamma="scale", coef0: float = 0.0, n_components: int = 100, seed: int = 42):
+    """Linear SVM on TensorSketch features; returns ``(model, gamma)``."""
+    g = gamma_value(gamma, train_long, train_docs.count(), vocab.count())
+    feats = tensor_sketch(train_long, train_docs, vocab, degree, g, coef0, n_components, seed).join(
+        train_docs.select("row_id", "label", "weight"), "row_id")
+    n = float(train_docs.agg(F.sum("weight")).first()[0])
+    return LinearSVC(regParam=1.0 / (C * n), weightCol="weight", maxIter=100).fit(feats), g
