@@ -7,7 +7,6 @@ has the same alias in both.
 
 from __future__ import annotations
 
-import math
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession

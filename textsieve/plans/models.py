@@ -14,7 +14,6 @@ import time
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -351,11 +350,3 @@ def grid_search_ml(name: str, train: DataFrame, grid: dict, k: int = 5, parallel
     res = spark.createDataFrame(rows, "params string, mean_score double")
     best = rows[max(range(len(rows)), key=lambda i: rows[i][1])][0] if rows else None
     return res, best
-
-
-def nb_as_results(td, kinds=("multinomial", "bernoulli", "gaussian")) -> list:
-    out = []
-    for kind in kinds:
-        m = bayes.FITTERS[kind](td.feats_train, td.docs_train, td.vocab)
-        out.append((kind, m))
-    return out
