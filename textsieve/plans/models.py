@@ -39,6 +39,12 @@ def vector_stages(vocab: DataFrame, method: str = "tfidf", scale: DataFrame | No
     """Transformers ``terms -> features`` for a fitted vocabulary. The
     vocabulary and its weights are collected: they are bounded by
     ``max_features`` rows."""
+    from textsieve.operators.vectorize import BROADCAST_VOCAB_ROWS
+
+    n = vocab.count()
+    if n > BROADCAST_VOCAB_ROWS:
+        raise ValueError(f"pyspark.ml vectors need a bounded vocabulary ({n} terms > {BROADCAST_VOCAB_ROWS}); "
+                         "set max_features")
     rows = vocab.orderBy("term_id").select("term", "idf").collect()
     terms = [r["term"] for r in rows]
     stages = [CountVectorizerModel.from_vocabulary(terms, inputCol="_terms", outputCol="_tf")]
