@@ -50,15 +50,18 @@ def main():
         "spark.sql.shuffle.partitions": str(max(8, 2 * int(cpus))),
         "spark.driver.memory": "16g",
     })
-    times = {}
+    times, errors = {}, {}
     for name in (only or HEADLINE):
         fn = catalog.QUERIES.get(name)
         if fn is None:
             continue
         catalog.reset_state(spark)
         t0 = time.time()
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.time() - t0, 3)
+        try:
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.time() - t0, 3)
+        except Exception as e:  # noqa: BLE001 -- one failing query must not lose the others' timings
+            errors[name] = f"{type(e).__name__}: {e}"[:300]
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_total",
@@ -66,6 +69,7 @@ def main():
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else None,
+        **({"errors": errors} if errors else {}),
     }))
 
 
