@@ -6,10 +6,7 @@ array functions), so it runs inside whole-stage codegen with no Python UDF.
 
 from __future__ import annotations
 
-import functools
-import os
 import string
-import zipfile
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,21 +76,22 @@ NOUN_DETACHMENT_RULES = [
 # ---------------------------------------------------------------------------
 
 
-@functools.lru_cache(maxsize=None)
+# Spark ML's default English stop list (what ``StopWordsRemover`` loads), in its own order.
+SPARK_ENGLISH_STOP_WORDS = tuple("""
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself
+it its itself they them their theirs themselves what which who whom this that these those am is are was were be
+been being have has had having do does did doing a an the and but if or because as until while of at by for with
+about against between into through during before after above below to from up down in out on off over under
+again further then once here there when where why how all any both each few more most other some such no nor not
+only own same so than too very s t can will just don should now i'll you'll he'll she'll we'll they'll i'd you'd
+he'd she'd we'd they'd i'm you're he's she's it's we're they're i've we've you've they've isn't aren't wasn't
+weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't mustn't can't couldn't cannot
+could here's how's let's ought that's there's what's when's where's who's why's would
+""".split())
+
+
 def spark_english_stop_words() -> tuple[str, ...]:
-    """Spark ML's default English stop list (what ``StopWordsRemover`` loads),
-    read from the mllib jar so it is available without a running JVM."""
-    import pyspark
-
-    jars = os.path.join(os.path.dirname(pyspark.__file__), "jars")
-    for name in sorted(os.listdir(jars)):
-        if name.startswith("spark-mllib_") and name.endswith(".jar"):
-            with zipfile.ZipFile(os.path.join(jars, name)) as z:
-                data = z.read("org/apache/spark/ml/feature/stopwords/english.txt")
-            return tuple(w for w in data.decode("utf-8").split("\n") if w)
-    from pyspark.ml.feature import StopWordsRemover
-
-    return tuple(StopWordsRemover.loadDefaultStopWords("english"))
+    return SPARK_ENGLISH_STOP_WORDS
 
 
 def _col(c) -> Column:
