@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -34,16 +34,21 @@ def get_spark(master: str | None = None, app: str = "textsieve", conf: dict | No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
-    (local tests) fall back to a fresh scratch folder."""
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
+
+    Where it is unset, a single-process session (``local[...]``, as in tests)
+    gets a scratch folder of its own; a cluster session is refused, because
+    its executors share no local folder.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local($|\[)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="textsieve-ckpt-")
-    os.environ.setdefault("TEXTSIEVE_CHECKPOINT_DIR", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -66,10 +71,23 @@ def cut_lineage(df):
 def write_table(df):
     """Cut lineage by writing ``df`` as parquet under the checkpoint folder and
     reading it back: one job (a checkpoint takes two). For tables whose
-    partitioning need not survive (vocabulary, model tables, weights)."""
+    partitioning need not survive (vocabulary, model tables, weights). The
+    folder goes when the application ends; ``drop_table`` removes it sooner."""
     import uuid
 
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    out._written_at = path
+    return out
+
+
+def drop_table(df):
+    """Delete a table of ``write_table`` that nothing lazy reads any more."""
+    spark, path = df.sparkSession, getattr(df, "_written_at", None)
+    if path:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
