@@ -185,19 +185,22 @@ def decoded(df: DataFrame, ids_col: str = "ids", path: str | None = None, patter
 
 
 def token_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
-                  pattern: str | None = None) -> DataFrame:
-    """``id, n_tokens, ids_sha256, decoded_sha256``: encoding, then decoding of the ids, in one pass over the texts."""
+                  pattern: str | None = None, with_ids: bool = False) -> DataFrame:
+    """``id, n_tokens, [ids,] ids_sha256, decoded_sha256``: encoding, then decoding of the ids, in one pass over the
+    texts. Null and empty texts have no ids; repeated rows stay apart; an empty table gives an empty table."""
     model = docs.sparkSession.sparkContext.broadcast(load_model(path, pattern))
+    names = ["n_tokens", *(["ids"] if with_ids else []), "ids_sha256", "decoded_sha256"]
 
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    @F.pandas_udf("n_tokens long, " + "ids array<int>, " * with_ids + "ids_sha256 string, decoded_sha256 string")
     def digest(texts: pd.Series) -> pd.DataFrame:
         c = codec(model.value)
         rows = []
         for at in range(0, len(texts), 256):  # ids of a few texts at a time
             for ids in c.encode_batch([t or "" for t in texts.iloc[at:at + 256]]):
-                rows.append((len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                own = [np.array(ids, dtype=np.int32)] if with_ids else []
+                rows.append((len(ids), *own, hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
                              hashlib.sha256(c.decode_bytes(ids)).hexdigest()))
-        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        return pd.DataFrame(rows, columns=names)
 
     return docs.select(F.col(id_col), digest(F.col(text_col)).alias("d")).select(id_col, "d.*")
 

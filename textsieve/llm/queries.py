@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from textsieve.llm import bpe, line_dedup, mixing
+from textsieve.llm import bpe, line_dedup, mixing, quality_rules, simhash
 
-MODULES = (line_dedup, mixing, bpe)
+MODULES = (simhash, line_dedup, quality_rules, mixing, bpe)
 
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
