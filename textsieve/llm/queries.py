@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from textsieve.llm import bpe, line_dedup, mixing, quality_rules, simhash, warc
+from textsieve.llm import bpe, line_dedup, mixing, pii, quality_rules, simhash, warc
 
-MODULES = (simhash, line_dedup, quality_rules, warc, mixing, bpe)
+MODULES = (simhash, line_dedup, quality_rules, warc, mixing, bpe, pii)
 
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
