@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from textsieve.llm import bpe, line_dedup, mixing, pii, quality_rules, simhash, substring_dedup, warc
+from textsieve.llm import bpe, line_dedup, mixing, pii, quality_model, quality_rules, simhash, substring_dedup, warc
 
-MODULES = (simhash, line_dedup, quality_rules, warc, substring_dedup, mixing, bpe, pii)
+MODULES = (simhash, quality_model, line_dedup, quality_rules, warc, substring_dedup, mixing, bpe, pii)
 
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
