@@ -35,27 +35,85 @@ def test_bundle_roundtrip_equals_batch(spark):
 
 def test_csv_roundtrip(spark):
     a = catalog.QUERIES["csv_scan_roundtrip"](spark, SF_SMALL)
-    b = catalog.QUERIES["drop_nulls"](spark, SF_SMALL)
-    assert a.count() == b.count()
-    assert sorted(r[0] for r in a.select("label").collect()) == sorted(r[0] for r in b.select("label").collect())
+    b = catalog.QUERIES["features_and_target"](spark, SF_SMALL)
+    assert sorted((r.label, r.message) for r in a.collect()) == sorted((r.label, r.message.replace("\r", "")) for r in b.collect())
 
 
 def test_tfidf_long_equals_vectors(spark):
-    """V8 (long table) equals V13 (pyspark.ml vectors)."""
-    from textsieve.plans.models import ml_features
+    """V8 (long table) equals V13 (sparse vectors); a document without a known term has an empty vector."""
+    from textsieve.plans.models import vectors
 
     td = catalog.training(spark, SF_SMALL)
-    msgs = catalog.train.labelled_messages(spark, SF_SMALL)
-    vec = ml_features(msgs, td.vocab, keep=("row_id",)).collect()
-    long = {}
-    feats = catalog.vectorize.tfidf_vectors(
-        catalog.vectorize.term_counts(msgs, preprocess=True), td.vocab).collect()
-    for r in feats:
-        long[(r["row_id"], r["term_id"])] = r["value"]
-    for r in vec:
-        v = r["features"]
-        for i, x in zip(v.indices, v.values):
-            assert abs(long[(r["row_id"], int(i))] - x) < 1e-9
+    n = td.vocab.count()
+    docs = td.docs_train.select("row_id").unionByName(spark.createDataFrame([(-1,)], "row_id bigint"))
+    long = {(r["row_id"], r["term_id"]): r["value"] for r in td.feats_train.collect()}
+    got = {}
+    for r in vectors(docs, td.feats_train, n).collect():
+        assert r["features"].size == n
+        got |= {(r["row_id"], int(i)): x for i, x in zip(r["features"].indices, r["features"].values)}
+    assert got == long and len(long) > 100
+
+
+def test_model_results_have_no_errors(spark):
+    rows = catalog.QUERIES["model_results"](spark, SF_SMALL).collect()
+    from textsieve.plans.models import RECOMMENDED
+
+    assert [r.model for r in sorted(rows, key=lambda r: r.ord)] == RECOMMENDED
+    assert all(r.error is None and r.training_time > 0 and 0 <= r.f1 <= 1 and 0 <= r.roc_auc <= 1 for r in rows)
+
+
+def test_failed_model_is_a_row_and_curves_need_a_name(spark):
+    import pytest
+
+    from textsieve.plans import run
+
+    td = catalog.training(spark, SF_SMALL)
+    r = run.train_models(None, ["K-Nearest Neighbors", "Multinomial Naive Bayes"], td=td)
+    rows = {x.model: x for x in r.results.collect()}
+    assert "not built" in rows["K-Nearest Neighbors"].error and rows["Multinomial Naive Bayes"].error is None
+    assert "roc_curve" in r.curves("Multinomial Naive Bayes")
+    for name in ("K-Nearest Neighbors", "nobody"):
+        with pytest.raises(ValueError):
+            r.curves(name)
+
+
+def test_bundle_of_a_vector_model(spark):
+    from textsieve.plans.predict import Predictor
+
+    td = catalog.training(spark, SF_SMALL)
+    conv = catalog.tbl(spark, SF_SMALL, "conversations").select("conv_id", "turn", "text")
+    p = Predictor(catalog.fitted(spark, SF_SMALL, "Logistic Regression"), td.vocab, td.options)
+    cols = ["conv_id", "turn", "prediction", "probability"]
+    want = _rows(catalog.round_doubles(p.transform(conv, "text", ("conv_id", "turn"))), cols)
+    assert _rows(catalog.QUERIES["bundle_roundtrip_lr"](spark, SF_SMALL), cols) == want
+    top = catalog.QUERIES["lr_coefficients"](spark, SF_SMALL).collect()
+    assert {r.side for r in top} == {"spam", "ham"}
+
+
+def test_full_preprocessing_is_an_option(spark):
+    from textsieve.config import Options
+
+    conv = spark.createDataFrame([(0, "The cats were running"), (1, None)], "row_id bigint, text string")
+    p = catalog.predictor(spark, SF_SMALL)
+    p = type(p)(p.model, p.vocab, Options(preprocess="full"))
+    rows = {r.row_id: r.preprocessed_text for r in p.transform(conv).collect()}
+    assert rows == {0: "cats running", 1: ""}
+
+
+def test_grid_search(spark):
+    import pytest
+
+    from textsieve.plans import models
+
+    td = catalog.training(spark, SF_SMALL)
+    res, best = models.grid_search("Multinomial Naive Bayes", td, {"alpha": [0.1, 1.0]}, k=3)
+    ranked = {r.params: r.mean_score for r in res.collect()}
+    assert len(ranked) == 2 and ranked[str(best)] == max(ranked.values())
+    for name, grid in (("Random Forest", {"min_samples_split": [2]}), ("Gradient Boosting", {"nonsense": [1]}),
+                       ("Neural Network", {"alpha": [0.1]}), ("K-Nearest Neighbors", {"p": [1]})):
+        with pytest.raises(ValueError):
+            models.grid_search(name, td, grid)
+    assert len(models.grid_points(models.REGISTRY["Logistic Regression"].grid)) == 32
 
 
 def test_ml_models_beat_nothing(spark):

@@ -14,7 +14,7 @@ class Options:
     max_features: int | None = 5000
     min_df: int = 5
     method: str = "tfidf"  # "tfidf" or "count"
-    preprocess: bool = True  # clean text before vectorizing (train and score alike)
+    # before vectorizing, train and score alike: True cleans (T1-T7), "full" also tokenizes, drops stop words and
+    # lemmatizes (T13), False keeps the raw text
+    preprocess: bool | str = True
     leaky_order: bool = False  # True: fit vocabulary and upsample before the split
-    # Hex digits of the md5 key used as a bucket by the distributed rank.
-    rank_bucket_digits: int = 4

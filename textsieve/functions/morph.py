@@ -56,6 +56,15 @@ def lemma_map(terms: DataFrame, lexicon: DataFrame, exceptions: DataFrame | None
 
 
 # --- Porter stemmer (Porter 1980, "An algorithm for suffix stripping") ------
+#
+# With the extensions that the reference's stemmer has on by default; ``extended=False`` is the published algorithm.
+
+# Words that the extended stemmer maps as a whole.
+_IRREGULAR = {
+    "sky": "sky", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie", "news": "news", "innings": "inning",
+    "inning": "inning", "outings": "outing", "outing": "outing", "cannings": "canning", "canning": "canning",
+    "howe": "howe", "proceed": "proceed", "exceed": "exceed", "succeed": "succeed",
+}
 
 _VOWELS = set("aeiou")
 
@@ -87,7 +96,9 @@ def _double_cons(w: str) -> bool:
     return len(w) >= 2 and w[-1] == w[-2] and _is_cons(w, len(w) - 1)
 
 
-def _cvc(w: str) -> bool:
+def _cvc(w: str, extended: bool = False) -> bool:
+    if extended and len(w) == 2:
+        return not _is_cons(w, 0) and _is_cons(w, 1)
     if len(w) < 3:
         return False
     return (_is_cons(w, len(w) - 3) and not _is_cons(w, len(w) - 2) and _is_cons(w, len(w) - 1)
@@ -104,53 +115,70 @@ def _replace(w: str, rules, cond) -> str:
 
 # The suffix lists of steps 2-4 of the published algorithm.
 _STEP2 = [("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),
-          ("bli", "ble"), ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"),
+          ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"),
           ("ization", "ize"), ("ation", "ate"), ("ator", "ate"), ("alism", "al"), ("iveness", "ive"),
-          ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"),
-          ("logi", "log")]
+          ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble")]
 _STEP3 = [("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"),
           ("ful", ""), ("ness", "")]
 _STEP4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion",
           "ou", "ism", "ate", "iti", "ous", "ive", "ize"]
 
 
-def porter_stem(word: str) -> str:
-    w = word
+def _plural(w: str, extended: bool) -> str:
+    """Step 1a."""
+    if extended and len(w) == 4 and w.endswith("ies"):
+        return w[:-1]
+    for end, cut in (("sses", 2), ("ies", 2), ("ss", 0), ("s", 1)):
+        if w.endswith(end):
+            return w[:len(w) - cut]
+    return w
+
+
+def _past(w: str, extended: bool) -> str:
+    """Step 1b."""
+    if extended and w.endswith("ied"):
+        return w[:-1] if len(w) == 4 else w[:-2]
+    if w.endswith("eed"):
+        return w[:-1] if _measure(w[:-3]) > 0 else w
+    for end in ("ed", "ing"):
+        if w.endswith(end):
+            if not _has_vowel(w[:-len(end)]):
+                return w
+            w = w[:-len(end)]
+            if w.endswith(("at", "bl", "iz")):
+                return w + "e"
+            if _double_cons(w):
+                return w if w[-1] in "lsz" else w[:-1]
+            return w + "e" if _measure(w) == 1 and _cvc(w, extended) else w
+    return w
+
+
+def _derived(w: str, extended: bool) -> str:
+    """Step 2."""
+    if extended and w.endswith("alli") and _measure(w[:-4]) > 0:
+        return _derived(w[:-2], extended)
+    if extended and w.endswith("logi"):
+        return w[:-1] if _measure(w[:-3]) > 0 else w
+    rules = _STEP2 + [("bli", "ble"), ("fulli", "ful")] if extended else _STEP2 + [("abli", "able")]
+    return _replace(w, rules, lambda s: _measure(s) > 0)
+
+
+def porter_stem(word: str, extended: bool = True) -> str:
+    w = word.lower()
+    if extended and w in _IRREGULAR:
+        return _IRREGULAR[w]
     if len(w) <= 2:
         return w
-    # step 1a
-    if w.endswith("sses"):
-        w = w[:-2]
-    elif w.endswith("ies"):
-        w = w[:-2]
-    elif w.endswith("ss"):
-        pass
-    elif w.endswith("s"):
-        w = w[:-1]
-    # step 1b
-    extra = False
-    if w.endswith("eed"):
-        if _measure(w[:-3]) > 0:
-            w = w[:-1]
-    elif w.endswith("ed") and _has_vowel(w[:-2]):
-        w, extra = w[:-2], True
-    elif w.endswith("ing") and _has_vowel(w[:-3]):
-        w, extra = w[:-3], True
-    if extra:
-        if w.endswith(("at", "bl", "iz")):
-            w += "e"
-        elif _double_cons(w) and w[-1] not in "lsz":
-            w = w[:-1]
-        elif _measure(w) == 1 and _cvc(w):
-            w += "e"
+    w = _past(_plural(w, extended), extended)
     # step 1c
-    if w.endswith("y") and _has_vowel(w[:-1]):
-        w = w[:-1] + "i"
-    # steps 2, 3
-    w = _replace(w, _STEP2, lambda s: _measure(s) > 0)
+    if w.endswith("y"):
+        stem = w[:-1]
+        if (len(stem) > 1 and _is_cons(stem, len(stem) - 1)) if extended else _has_vowel(stem):
+            w = stem + "i"
+    w = _derived(w, extended)
     w = _replace(w, _STEP3, lambda s: _measure(s) > 0)
     # step 4
-    for suf in _STEP4:
+    for suf in sorted(_STEP4, key=len, reverse=True):
         if w.endswith(suf):
             stem = w[: len(w) - len(suf)]
             if _measure(stem) > 1 and (suf != "ion" or stem.endswith(("s", "t"))):
@@ -160,10 +188,10 @@ def porter_stem(word: str) -> str:
     if w.endswith("e"):
         stem = w[:-1]
         m = _measure(stem)
-        if m > 1 or (m == 1 and not _cvc(stem)):
+        if m > 1 or (m == 1 and not _cvc(stem, extended)):
             w = stem
     # step 5b
-    if _measure(w) > 1 and _double_cons(w) and w.endswith("l"):
+    if w.endswith("ll") and _measure(w[:-1]) > 1:
         w = w[:-1]
     return w
 

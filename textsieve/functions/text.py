@@ -6,6 +6,7 @@ array functions), so it runs inside whole-stage codegen with no Python UDF.
 
 from __future__ import annotations
 
+import functools
 import string
 
 from pyspark.sql import Column, DataFrame
@@ -61,6 +62,10 @@ CONTRACTION_SPLITS = {
     "wanna": ("wan", "na"),
 }
 
+# Typographic quotes, which the word tokenizer makes tokens of their own. They are what is left of punctuation after
+# cleaning, which removes the ASCII kind only.
+TOKEN_QUOTES = "«“‘„»”’"
+
 # Noun detachment rules of WordNet's morphy (ending, replacement), in order.
 NOUN_DETACHMENT_RULES = [
     ("s", ""),
@@ -76,6 +81,23 @@ NOUN_DETACHMENT_RULES = [
 # ---------------------------------------------------------------------------
 
 
+def _digit_class() -> str:
+    """A class of the characters that count as digits beyond the decimal ones: superscripts, circled digits and the like
+    (numeric type "digit"), from Python's own character table."""
+    import sys
+
+    cps = [c for c in range(0x80, sys.maxunicode + 1) if chr(c).isdigit() and not chr(c).isdecimal()]
+    ranges: list[list[int]] = []
+    for c in cps:
+        if ranges and ranges[-1][1] == c - 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges)
+
+
+DIGIT_PATTERN = rf"[\p{{Nd}}{_digit_class()}]"
+
 # Spark ML's default English stop list (what ``StopWordsRemover`` loads), in its own order.
 SPARK_ENGLISH_STOP_WORDS = tuple("""
 i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself
@@ -112,8 +134,9 @@ def clean_text(c) -> Column:
 
 def tokenize(cleaned) -> Column:
     """Word tokens of a cleaned text (single-space separated), with the
-    tokenizer's contraction splits."""
-    toks = F.filter(F.split(_col(cleaned), " "), lambda t: t != "")
+    tokenizer's contraction splits; typographic quotes are tokens of their own."""
+    spaced = F.regexp_replace(_col(cleaned), f"([{TOKEN_QUOTES}])", " $1 ")
+    toks = F.filter(F.split(spaced, " "), lambda t: t != "")
     return F.flatten(F.transform(toks, _split_contraction))
 
 
@@ -173,7 +196,7 @@ def uppercase_count(c) -> Column:
 
 
 def digit_count(c) -> Column:
-    return F.regexp_count(_as_text(c), F.lit(r"\p{Nd}"))
+    return F.regexp_count(_as_text(c), F.lit(DIGIT_PATTERN))
 
 
 def url_count(c) -> Column:
@@ -229,23 +252,26 @@ def preprocess_text(
 
     from textsieve.functions.morph import lemma_map, stem_map
 
+    endings = None if stemming else [end for end, _ in NOUN_DETACHMENT_RULES]
     base = df.withColumn("_toks", toks)
-    exploded = base.select(F.col(id_col), F.posexplode("_toks").alias("_pos", "term"))
-    terms = exploded.select("term").distinct()
+
+    def may_change(t):
+        """Stems may differ from any word; a lemma only from one with an ending of the rules."""
+        return F.lit(True) if endings is None else functools.reduce(lambda a, e: a | t.endswith(e), endings, F.lit(False))
+
+    # one row per document and distinct word that may change, not one per occurrence; only changes come back
+    words = base.select(F.col(id_col), F.explode(F.array_distinct(F.filter("_toks", may_change))).alias("term"))
+    terms = words.select("term").distinct()
     if stemming:
         mapping = stem_map(terms)
     else:
-        lex = lexicon if lexicon is not None else terms
+        lex = lexicon if lexicon is not None else base.select(F.explode(F.array_distinct("_toks")).alias("term")).distinct()
         mapping = lemma_map(terms, lex)
-    mapped = (
-        exploded.join(mapping, "term", "left")
-        .select(id_col, "_pos", F.coalesce("mapped", "term").alias("term"))
-        .groupBy(id_col)
-        .agg(F.array_sort(F.collect_list(F.struct("_pos", "term"))).alias("_pairs"))
-        .select(id_col, F.array_join(F.col("_pairs.term"), " ").alias(out_col))
-    )
-    return (
-        base.drop("_toks")
-        .join(mapped, id_col, "left")
-        .withColumn(out_col, F.coalesce(F.col(out_col), F.lit("")))
-    )
+    mapping = mapping.where("mapped <> term")
+    changed = words.join(mapping, "term").groupBy(id_col).agg(
+        F.map_from_entries(F.collect_list(F.struct("term", "mapped"))).alias("_map"))
+    joined = base.join(changed, id_col, "left")
+    out = F.transform("_toks", lambda t: F.coalesce(F.col("_map")[t], t))
+    return joined.withColumn(
+        out_col, F.when(F.col("_map").isNull(), join_tokens(F.col("_toks"))).otherwise(F.array_join(out, " "))
+    ).drop("_toks", "_map")

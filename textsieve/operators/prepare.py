@@ -72,6 +72,11 @@ def split_features_target(df: DataFrame) -> DataFrame:
     return df.select(F.col(cols[1]).alias("message"), F.col(cols[0]).alias("label"))
 
 
+def filter_class(df: DataFrame, value: int, label_col: str = "label") -> DataFrame:
+    """The rows of one class."""
+    return df.where(F.col(label_col) == value)
+
+
 def class_distribution(df: DataFrame, label_col: str = "label") -> DataFrame:
     """A2: ``(label, n, pct)`` by descending count. The total comes from a
     second partial+final aggregate, not from a global window."""

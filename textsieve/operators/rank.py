@@ -55,10 +55,11 @@ def best_model(results: DataFrame, metric: str = "f1") -> DataFrame:
     error; the earliest ``ord`` wins ties. Empty input or no usable row is an
     error, as in the reference."""
     ok = results.where(F.col("error").isNull() & F.col(metric).isNotNull())
-    best = ok.orderBy(F.desc(metric), F.asc("ord")).limit(1)
-    if best.count() == 0:
-        raise ValueError(f"No models found with metric: {metric}")
-    return best
+    # one row: taken here, so that the plan behind it runs once
+    best = ok.orderBy(F.desc(metric), F.asc("ord")).limit(1).collect()
+    if not best:
+        raise ValueError(f"no usable model has a value of {metric!r}")
+    return results.sparkSession.createDataFrame(best, results.schema)
 
 
 def model_comparison(results: DataFrame, metric: str = "f1") -> DataFrame:

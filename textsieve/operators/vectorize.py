@@ -74,12 +74,12 @@ def fit_vocabulary(
     if max_features is not None:
         stats = stats.orderBy(F.desc("ctf"), F.asc("term")).limit(int(max_features))
         # at most max_features rows: one small ordered window is fine
-        vocab = stats.withColumn("term_id", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
+        vocab = stats.withColumn("term_id", (F.row_number().over(Window.orderBy("term")) - 1).cast("bigint"))
     else:
         from textsieve.operators.sampling import global_row_number
 
         vocab = global_row_number(stats, ["term"], out_col="term_id").withColumn(
-            "term_id", (F.col("term_id") - 1).cast("int")
+            "term_id", (F.col("term_id") - 1).cast("bigint")
         )
     vocab = vocab.withColumn(
         "idf", F.log((F.lit(1.0) + F.lit(n_docs)) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)

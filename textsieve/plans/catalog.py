@@ -684,68 +684,93 @@ def q_stem_vocab(spark, sf_dir):
 
 # --- pyspark.ml models (rows-only checks: iterative fits) -------------------
 
-def ml_data(spark, sf_dir, scaled: bool = False):
-    """Train/test ``(row_id, label, weight, features)`` for pyspark.ml, on the
-    same split, vocabulary and upsampling weights as the Naive Bayes plan."""
-    key = (id(spark), sf_dir, "ml", scaled)
+def fitted(spark, sf_dir, name: str, params: dict | None = None):
+    """A model of the registry fitted on the shared training data."""
+    key = (id(spark), sf_dir, "model", name, str(params))
     if key not in _FITS:
-        from textsieve.operators import bayes
-        from textsieve.plans.models import ml_features
-        from textsieve.session import cut_lineage
-
-        td = training(spark, sf_dir)
-        msgs = train.labelled_messages(spark, sf_dir).join(td.labels.select("row_id", "is_test"), "row_id")
-        tr = msgs.where(~F.col("is_test")).join(td.docs_train.select("row_id", "weight"), "row_id")
-        te = msgs.where(F.col("is_test")).withColumn("weight", F.lit(1.0))
-        scale = bayes.scale_std(td.feats_train, td.docs_train, td.vocab) if scaled else None
-        from textsieve.plans.models import size_partitions
-
-        _FITS[key] = tuple(cut_lineage(size_partitions(ml_features(d, td.vocab, "message", td.options.method,
-                                                                   td.options.preprocess, scale)))
-                           for d in (tr, te))
+        from textsieve.plans import models
+
+        _FITS[key] = models.create_model(name, params).fit(training(spark, sf_dir))
     return _FITS[key]
 
 
-def _ml_query(name: str, scaled: bool, params: dict | None = None):
+def _ml_query(name: str, params: dict | None = None):
     def q(spark, sf_dir):
         from textsieve.plans import models
 
-        tr, te = ml_data(spark, sf_dir, scaled)
-        model, _ = models.fit_ml(name, tr, params)
-        return round_doubles(models.scored(model, te))
+        return round_doubles(models.scored(fitted(spark, sf_dir, name, params), training(spark, sf_dir)))
 
     return q
 
 
-for _q, _name, _scaled in (("logistic_regression", "Logistic Regression", True),
-                           ("linear_svc_platt", "Support Vector Machine", True),
-                           ("random_forest", "Random Forest", False),
-                           ("gbt", "Gradient Boosting", False),
-                           ("decision_tree", "Decision Tree", False),
-                           ("mlp", "Neural Network", True)):
-    register(_q)(_ml_query(_name, _scaled))
+# The given tables are small: forests and boosted trees of 20 trees rather than the default 100 keep the check short.
+for _q, _name, _params in (("logistic_regression", "Logistic Regression", None),
+                           ("linear_svc_platt", "Support Vector Machine", None),
+                           ("random_forest", "Random Forest", {"n_estimators": 20}),
+                           ("gbt", "Gradient Boosting", {"n_estimators": 20}),
+                           ("decision_tree", "Decision Tree", None),
+                           ("mlp", "Neural Network", {"max_iter": 100})):
+    register(_q)(_ml_query(_name, _params))
 
 
 @register("tree_importances")
 def q_tree_importances(spark, sf_dir):
     from textsieve.operators import rank
-    from textsieve.plans import models
 
-    tr, _ = ml_data(spark, sf_dir, False)
-    model, _ = models.fit_ml("Random Forest", tr)
-    return round_doubles(rank.top_importances(models.feature_importances(model, training(spark, sf_dir).vocab), 20))
+    model = fitted(spark, sf_dir, "Random Forest", {"n_estimators": 20})
+    return round_doubles(rank.top_importances(model.importances(training(spark, sf_dir).vocab), 20))
+
+
+@register("lr_coefficients")
+def q_lr_coefficients(spark, sf_dir):
+    """W6 of a linear model."""
+    from textsieve.plans.predict import Predictor
+
+    td = training(spark, sf_dir)
+    return round_doubles(Predictor(fitted(spark, sf_dir, "Logistic Regression"), td.vocab, td.options).top_features(20))
 
 
 @register("grid_search_ml")
 def q_grid_search_ml(spark, sf_dir):
+    """the whole grid of logistic regression, 32 points."""
+    from textsieve.plans import models
+
+    res, _ = models.grid_search("Logistic Regression", training(spark, sf_dir), models.REGISTRY["Logistic Regression"].grid)
+    return round_doubles(res)
+
+
+_GRID_GNB = (1e-9, 1e-8, 1e-7, 1e-6, 1e-5)
+
+
+@register("grid_gnb")
+def q_grid_gnb(spark, sf_dir):
+    """F17/F18 of Gaussian Naive Bayes over its whole grid."""
     from textsieve.plans import models
 
-    tr, _ = ml_data(spark, sf_dir, True)
-    res, _ = models.grid_search_ml("Logistic Regression", tr, {"C": [0.01, 0.1, 1.0, 10.0], "penalty": ["l1", "l2"]})
+    res, _ = models.grid_search("Gaussian Naive Bayes", training(spark, sf_dir), {"var_smoothing": list(_GRID_GNB)})
     return round_doubles(res)
 
 
-@register("kernel_features")
+def _scaled_long(td) -> tuple[DataFrame, DataFrame]:
+    """Training and test features divided by the training rows' standard deviations: every SVM is fitted on these."""
+    from textsieve.operators import bayes
+
+    std = F.broadcast(bayes.scale_std(td.feats_train, td.docs_train, td.vocab))
+    div = lambda df: df.join(std, "term").withColumn("value", F.col("value") / F.col("std")).drop("std")
+    return div(td.feats_train), div(td.feats_test)
+
+
+@register("kernel_features", f"""WITH {_TRAIN},
+u AS (SELECT term, j, ({S.md5_int('term', 'j', "'u'")} + 0.5) / 4294967296.0 AS u1,
+             ({S.md5_int('term', 'j', "'v'")} + 0.5) / 4294967296.0 AS u2
+      FROM vocab, (SELECT unnest(range(0, 100)) AS j)),
+g AS (SELECT 1.0 / (v * (ss / (n * v) - (s / (n * v)) * (s / (n * v)))) AS gamma FROM (
+        SELECT sum(value) AS s, sum(value * value) AS ss, (SELECT count(*) FROM weights) AS n, (SELECT count(*) FROM vocab) AS v FROM ftr)),
+w AS (SELECT term, j, sqrt(-2.0 * ln(u1)) * cos(2.0 * pi() * u2) * sqrt(2.0 * gamma) AS w FROM u, g),
+p AS (SELECT f.row_id, w.j, sum(f.value * w.w) AS p FROM ftr f JOIN w ON f.term = w.term GROUP BY f.row_id, w.j)
+SELECT t.row_id, CAST(b.j AS INTEGER) AS j,
+       {r6("sqrt(2.0 / 100) * cos(coalesce(p.p, 0.0) + 2.0 * pi() * (" + S.md5_int('b.j', "'b'") + " + 0.5) / 4294967296.0)")} AS value
+FROM weights t CROSS JOIN (SELECT unnest(range(0, 100)) AS j) b LEFT JOIN p ON p.row_id = t.row_id AND p.j = b.j""")
 def q_kernel_features(spark, sf_dir):
     from textsieve.plans import kernels
 
@@ -759,23 +784,55 @@ def q_kernel_svc(spark, sf_dir):
     from textsieve.plans import kernels
 
     td = training(spark, sf_dir)
-    svc, g = kernels.fit_kernel_svc(td.feats_train, td.docs_train, td.vocab, 1.0, "scale")
-    te = kernels.to_vectors(kernels.rff_features(td.feats_test, td.docs_test, td.vocab, 100, g)).join(
-        td.docs_test, "row_id")
+    tr, te = _scaled_long(td)
+    svc, g = kernels.fit_kernel_svc(tr, td.docs_train, td.vocab, 1.0, "scale")
+    te = kernels.rff_vectors(te, td.docs_test, td.vocab, 100, g).join(td.docs_test, "row_id")
     return svc.transform(te).select("row_id", "label", F.col("prediction").cast("int").alias("prediction"))
 
 
+def recommended_run(spark, sf_dir):
+    """The default run's models, fitted once."""
+    key = (id(spark), sf_dir, "run")
+    if key not in _FITS:
+        from textsieve.plans import run
+
+        _FITS[key] = run.train_models(None, td=training(spark, sf_dir))
+    return _FITS[key]
+
+
 @register("model_results")
 def q_model_results(spark, sf_dir):
-    """F15 + A12: the recommended models fitted and evaluated in turn."""
-    from textsieve.plans import models
+    """F15 + A12: the four recommended models fitted and evaluated in turn, with training time and AUC."""
+    return round_doubles(recommended_run(spark, sf_dir).results)
+
+
+@register("nb_results", _RESULTS_SQL + f"""SELECT model, CAST(ord AS INTEGER) AS ord, {r6('accuracy')} AS accuracy,
+  {r6('precision')} AS precision, {r6('recall')} AS recall, {r6('f1')} AS f1 FROM results WHERE ord < 2""")
+def q_nb_results(spark, sf_dir):
+    """The Naive Bayes rows of ``model_results``."""
+    return round_doubles(recommended_run(spark, sf_dir).results.where(F.col("model").endswith("Naive Bayes")).select(
+        "model", "ord", "accuracy", "precision", "recall", "f1"))
+
 
-    tr, te = ml_data(spark, sf_dir, True)
-    ml = models.train_and_evaluate({n: {} for n in ("Logistic Regression", "Support Vector Machine")}, tr, te)
-    nb = nb_results(spark, sf_dir).select("model", "ord", "error", F.lit(None).cast("double").alias("training_time"),
-                                          "accuracy", "precision", "recall", "f1",
-                                          F.lit(None).cast("double").alias("roc_auc"))
-    return round_doubles(nb.unionByName(ml.withColumn("ord", F.col("ord") + 3))).drop("training_time")
+@register("curves_by_model")
+def q_curves_by_model(spark, sf_dir):
+    """The ROC curve of a model of the run, by its name."""
+    return round_doubles(recommended_run(spark, sf_dir).curves("Logistic Regression")["roc_curve"])
+
+
+@register("default_run")
+def q_default_run(spark, sf_dir):
+    """The whole default run: results, the saved best model, its registry entry and the run summary read back."""
+    from textsieve.plans import predict, run
+
+    path = _scratch(spark, "run")
+    base = train.labelled_messages(spark, sf_dir)
+    _, best = run.default_run(base, path, td=training(spark, sf_dir))
+    entry = predict.latest_model(spark.read.parquet(f"{path}/registry"))
+    saved = spark.read.json(f"{path}/summary/models").where("is_best").select("model", "f1", "training_time")
+    info = spark.read.json(f"{path}/summary/dataset").select("n_rows", "n_spam", "n_ham")
+    return round_doubles(entry.select("name").join(saved, F.col("name") == F.col("model")).join(F.broadcast(info)).select(
+        "model", "f1", (F.col("training_time") > 0).alias("was_timed"), "n_rows", "n_spam", "n_ham"))
 
 
 # --- streaming: the stream of conversation turns scored as it arrives -------
@@ -795,17 +852,18 @@ def _stream_scored(spark, sf_dir) -> str:
     return f"{base}/out"
 
 
-@register("stream_score")
+@register("stream_score", ORACLE["predict_batch"])
 def q_stream_score(spark, sf_dir):
-    """ST1 (rows only): equals ``predict_batch``."""
+    """ST1: equals ``predict_batch``."""
     out = _stream_scored(spark, sf_dir)
     return round_doubles(spark.read.parquet(out).select("conv_id", "turn", "preprocessed_text", "prediction",
                                                         "label", "probability", "confidence"))
 
 
-@register("stream_counts")
+@register("stream_counts", ORACLE["prediction_counts"])
 def q_stream_counts(spark, sf_dir):
-    """ST2 (rows only): running prediction counts, complete mode."""
+    """ST2: running prediction counts, complete mode; at the end of the input they equal the batch counts. The memory
+    table holds one row per label."""
     import uuid
 
     from textsieve.streaming import score as st
@@ -828,7 +886,8 @@ def _scratch(spark, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-@register("csv_scan_roundtrip")
+@register("csv_scan_roundtrip", f"""SELECT label, regexp_replace(message, chr(13), '', 'g') AS message
+FROM ({ENC_SQL}) WHERE label IS NOT NULL AND message IS NOT NULL""")
 def q_csv_scan_roundtrip(spark, sf_dir):
     """S1 -> P5: the raw message table written as a header CSV (quoted,
     multi-line texts, junk columns), read back with an explicit schema and
@@ -838,12 +897,16 @@ def q_csv_scan_roundtrip(spark, sf_dir):
     raw = raw_messages(spark, sf_dir).select("v1", "v2", F.lit(None).cast("string").alias("_c2"),
                                              F.lit(None).cast("string").alias("_c3"))
     path = _scratch(spark, "csv")
-    raw.write.option("header", True).option("escape", '"').option("quote", '"').option("encoding", "ISO-8859-1") \
+    # the older files are ISO-8859-1, which cannot hold all characters of these texts
+    raw.write.option("header", True).option("escape", '"').option("quote", '"').option("encoding", "UTF-8") \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("emptyValue", "") \
         .mode("overwrite").csv(path)
-    return io.load_and_preprocess(spark, path)
+    out = io.load_and_preprocess(spark, path, encoding="UTF-8")
+    return out.withColumn("message", F.regexp_replace("message", "\r", ""))
 
 
-@register("bundle_roundtrip")
+@register("bundle_roundtrip", _PRED_SQL + f"""SELECT conv_id, turn, prediction, label, {r6('probability')} AS probability,
+  {r6('confidence')} AS confidence FROM preds2""")
 def q_bundle_roundtrip(spark, sf_dir):
     """Save the fitted bundle, load it, score the conversations."""
     from textsieve.plans.predict import Predictor
@@ -856,6 +919,56 @@ def q_bundle_roundtrip(spark, sf_dir):
         "conv_id", "turn", "prediction", "label", "probability", "confidence"))
 
 
+@register("bundle_roundtrip_lr")
+def q_bundle_roundtrip_lr(spark, sf_dir):
+    """S8/S9/S10 for a ``pyspark.ml`` model."""
+    from textsieve.plans.predict import Predictor
+
+    path = _scratch(spark, "bundle")
+    td = training(spark, sf_dir)
+    Predictor(fitted(spark, sf_dir, "Logistic Regression"), td.vocab, td.options).save(path)
+    conv = tbl(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    return round_doubles(Predictor.load(spark, path).transform(conv, "text", ("conv_id", "turn")).select(
+        "conv_id", "turn", "prediction", "label", "probability", "confidence"))
+
+
+@register("json_sink_roundtrip", _PRED_SQL + f"""SELECT text, {S.clean('text')} AS preprocessed_text, prediction,
+  label, {r6('probability')} AS probability, {r6('confidence')} AS confidence FROM preds2""")
+def q_json_sink_roundtrip(spark, sf_dir):
+    """Predictions written as JSON lines and read back."""
+    from textsieve.sources import io
+
+    path = _scratch(spark, "json")
+    io.write_predictions_json(conversation_predictions(spark, sf_dir), path)
+    schema = "text string, preprocessed_text string, prediction int, label string, probability double, confidence double"
+    return round_doubles(spark.read.schema(schema).json(path))
+
+
+@register("text_sink_roundtrip", f"SELECT regexp_replace(formatted, '\\n+$', '') AS formatted FROM ({ORACLE['format_result']})")
+def q_text_sink_roundtrip(spark, sf_dir):
+    """Formatted records written as text files, each read back whole and cut at the blank lines between records."""
+    from textsieve.sources import io
+
+    path = _scratch(spark, "text")
+    io.write_predictions_text(conversation_predictions(spark, sf_dir), path)
+    # a record begins with its classification line
+    parts = F.split(F.col("text"), "(?:^|\n\n)(?=Classification: (?:SPAM|HAM) \\(Confidence)")
+    rows = io.read_whole_file(spark, path).select(F.explode(parts).alias("formatted")).where("formatted <> ''")
+    return rows.select(F.regexp_replace("formatted", "\n+$", "").alias("formatted"))
+
+
+@register("features_and_target", f"SELECT message, label FROM ({ENC_SQL}) WHERE label IS NOT NULL AND message IS NOT NULL")
+def q_features_and_target(spark, sf_dir):
+    """The message and its label."""
+    return prepare.split_features_target(prepare.drop_null_rows(encoded(spark, sf_dir)))
+
+
+@register("filter_class", f"SELECT row_id, label FROM ({ENC_SQL}) WHERE label = 1 AND message IS NOT NULL")
+def q_filter_class(spark, sf_dir):
+    """The messages of class 1."""
+    return prepare.filter_class(prepare.drop_null_rows(encoded(spark, sf_dir)), 1).select("row_id", "label")
+
+
 # --- legacy script path: S2 -> M6 -> V11 -> M8 -> F3 -> A9 -------------------
 
 def _legacy_vocab(spark, sf_dir):

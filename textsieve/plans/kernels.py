@@ -4,8 +4,8 @@ RBF kernel (Rahimi and Recht, 2007), TensorSketch for the polynomial kernel.
 z_j(x) = sqrt(2/D) cos(w_j . x + b_j), w_j ~ N(0, 2 gamma I), b_j ~ U(0, 2 pi)
 approximates exp(-gamma |x - y|^2) by z(x) . z(y). Every draw is an md5 hash
 of (term, component, seed), so the weight table is rebuilt identically on any
-executor; it has |vocabulary| x D rows (both bounded). The projection w_j . x
-is a join of the sparse long table with that table and a sum per document.
+executor; it has one row of D weights per term. The projection w_j . x is a
+join of the sparse long table with that table and a sum of arrays per document.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LinearSVC
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,36 +45,46 @@ def gamma_value(gamma, long: DataFrame, n_docs: int, n_terms: int) -> float:
 
 
 def rff_weights(vocab: DataFrame, n_components: int = 100, gamma: float = 1.0, seed: int = 42) -> DataFrame:
-    """``(term, j, w)``: Gaussian draws by Box-Muller from two md5 uniforms."""
-    t = vocab.select("term", F.explode(F.sequence(F.lit(0), F.lit(n_components - 1))).alias("j"))
-    u1 = _uniform(F.col("term"), F.col("j"), F.lit("u"), seed=seed)
-    u2 = _uniform(F.col("term"), F.col("j"), F.lit("v"), seed=seed)
-    z = F.sqrt(-2.0 * F.log(u1)) * F.cos(2.0 * math.pi * u2)
-    return t.select("term", "j", (z * math.sqrt(2.0 * gamma)).alias("w"))
+    """``(term, w)``: an array of ``n_components`` Gaussian draws per term, by Box-Muller from two md5 uniforms."""
+    def draw(j):
+        u1 = _uniform(F.col("term"), j, F.lit("u"), seed=seed)
+        u2 = _uniform(F.col("term"), j, F.lit("v"), seed=seed)
+        return F.sqrt(-2.0 * F.log(u1)) * F.cos(2.0 * math.pi * u2) * math.sqrt(2.0 * gamma)
 
+    return vocab.select("term", F.transform(F.sequence(F.lit(0), F.lit(n_components - 1)), draw).alias("w"))
 
-def rff_features(long: DataFrame, docs: DataFrame, vocab: DataFrame, n_components: int = 100, gamma: float = 1.0,
-                 seed: int = 42, id_col: str = "row_id") -> DataFrame:
-    """Long form ``(row_id, j, value)`` of the random features of every
-    document in ``docs`` (documents without a term included)."""
+
+def rff_arrays(long: DataFrame, docs: DataFrame, vocab: DataFrame, n_components: int = 100, gamma: float = 1.0,
+               seed: int = 42, id_col: str = "row_id") -> DataFrame:
+    """``(row_id, z)``: the random features of every document in ``docs`` as one array (documents without a term
+    included). A non-zero entry moves as one row with its array; arrays are added per document, map-side first."""
     from textsieve.operators.vectorize import BROADCAST_VOCAB_ROWS
 
     w = rff_weights(vocab, n_components, gamma, seed)
-    # |vocabulary| x D rows: broadcast only while that product is bounded
     if vocab.count() * n_components <= BROADCAST_VOCAB_ROWS:
         w = F.broadcast(w)
-    proj = long.select(id_col, "term", "value").join(w, "term").groupBy(id_col, "j").agg(
-        F.sum(F.col("value") * F.col("w")).alias("p"))
-    grid = docs.select(id_col, F.explode(F.sequence(F.lit(0), F.lit(n_components - 1))).alias("j"))
-    b = _uniform(F.col("j"), F.lit("b"), seed=seed) * (2.0 * math.pi)
-    return grid.join(proj, [id_col, "j"], "left").select(
-        id_col, "j", (math.sqrt(2.0 / n_components) * F.cos(F.coalesce("p", F.lit(0.0)) + b)).alias("value"))
+    part = long.select(id_col, "term", "value").join(w, "term").select(
+        id_col, array_to_vector(F.transform("w", lambda x: x * F.col("value"))).alias("_p"))
+    proj = part.groupBy(id_col).agg(Summarizer.sum(F.col("_p")).alias("_s"))
+    zero = F.array_repeat(F.lit(0.0), n_components)
+    p = F.coalesce(vector_to_array("_s"), zero)
+    shift = lambda j: _uniform(j, F.lit("b"), seed=seed) * (2.0 * math.pi)
+    z = F.transform(p, lambda x, j: math.sqrt(2.0 / n_components) * F.cos(x + shift(j)))
+    return docs.select(id_col).join(proj, id_col, "left").select(id_col, z.alias("z"))
+
+
+def rff_features(long: DataFrame, docs: DataFrame, vocab: DataFrame, n_components: int = 100, gamma: float = 1.0,
+                 seed: int = 42, id_col: str = "row_id") -> DataFrame:
+    """Long form ``(row_id, j, value)`` of ``rff_arrays``."""
+    z = rff_arrays(long, docs, vocab, n_components, gamma, seed, id_col)
+    return z.select(id_col, F.posexplode("z").alias("j", "value"))
 
 
-def to_vectors(long: DataFrame, id_col: str = "row_id") -> DataFrame:
-    """``(row_id, features)`` dense vectors of the D components, in order."""
-    g = long.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("j", "value"))).alias("_e"))
-    return g.select(id_col, array_to_vector(F.col("_e.value")).alias("features"))
+def rff_vectors(long: DataFrame, docs: DataFrame, vocab: DataFrame, n_components: int = 100, gamma: float = 1.0,
+                seed: int = 42, id_col: str = "row_id") -> DataFrame:
+    """``(row_id, features)`` dense vectors of the components, in order."""
+    return rff_arrays(long, docs, vocab, n_components, gamma, seed, id_col).select(
+        id_col, array_to_vector("z").alias("features"))
 
 
 def fit_kernel_svc(train_long: DataFrame, train_docs: DataFrame, vocab: DataFrame, C: float = 1.0,
@@ -83,7 +94,7 @@ def fit_kernel_svc(train_long: DataFrame, train_docs: DataFrame, vocab: DataFram
     n_docs = train_docs.count()
     n_terms = vocab.count()
     g = gamma_value(gamma, train_long, n_docs, n_terms)
-    feats = to_vectors(rff_features(train_long, train_docs, vocab, n_components, g, seed)).join(
+    feats = rff_vectors(train_long, train_docs, vocab, n_components, g, seed).join(
         train_docs.select("row_id", "label", "weight"), "row_id")
     n = float(train_docs.agg(F.sum("weight")).first()[0])
     svc = LinearSVC(regParam=1.0 / (C * n), weightCol="weight", maxIter=100).fit(feats)
@@ -122,20 +133,18 @@ def tensor_sketch(long: DataFrame, docs: DataFrame, vocab: DataFrame, degree: in
     const = docs.select(id_col, F.lit(_CONST_TERM).alias("term"), F.lit(math.sqrt(coef0)).alias("value"))
     x = long.select(id_col, "term", (F.col("value") * math.sqrt(gamma)).alias("value")).unionByName(const)
     cs = x.join(hashes, "term").groupBy(id_col, "i", "h").agg(F.sum(F.col("s") * F.col("value")).alias("c"))
-    per_doc = cs.groupBy(id_col).agg(F.collect_list(F.struct("i", "h", "c")).alias("_e"))
+    per_doc = cs.groupBy(id_col).agg(F.collect_list(F.struct((F.col("i") * n_components + F.col("h")).cast("int").alias("p"), "c")).alias("_e"))
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def convolve(entries: pd.Series) -> pd.Series:
-        out = []
-        for e in entries:
-            sk = np.zeros((degree, n_components))
-            for r in e:
-                sk[int(r["i"]), int(r["h"])] += r["c"]
-            prod = np.prod(np.fft.fft(sk, axis=1), axis=0)
-            out.append(np.real(np.fft.ifft(prod)).tolist())
-        return pd.Series(out)
-
-    return per_doc.select(id_col, array_to_vector(convolve("_e")).alias("features"))
+    def convolve(places: pd.Series, values: pd.Series) -> pd.Series:
+        rows = np.repeat(np.arange(len(places)), places.map(len))
+        sk = np.zeros((len(places), degree * n_components))
+        if len(rows):
+            np.add.at(sk, (rows, np.concatenate(places.to_numpy())), np.concatenate(values.to_numpy()))
+        prod = np.prod(np.fft.fft(sk.reshape(-1, degree, n_components), axis=2), axis=1)
+        return pd.Series(list(np.real(np.fft.ifft(prod, axis=1))))
+
+    return per_doc.select(id_col, array_to_vector(convolve("_e.p", "_e.c")).alias("features"))
 
 
 def fit_poly_svc(train_long: DataFrame, train_docs: DataFrame, vocab: DataFrame, C: float = 1.0, degree: int = 3,

@@ -1,19 +1,24 @@
-"""Model registry and the iterative models on ``pyspark.ml`` (F4-F8, F10-F15,
-F18, V13, P11, P13, U3).
-
-Feature vectors (V13) are built by JVM transformers from the fitted vocabulary
-(bounded by ``max_features``): ``CountVectorizerModel.from_vocabulary`` on the
-analyzer's terms, then the IDF weights (``ElementwiseProduct``) and the L2
-norm (``Normalizer``) -- equal to the long TF-IDF table. Scaling (F12) divides
-by the population standard deviation and never centres, so vectors stay sparse.
+"""Model registry and estimators.
+
+Every registry entry creates an estimator with one interface: ``fit(td)`` on
+the training data returns a fitted model with ``score(docs, feats)``, whether
+it is a relational Naive Bayes or a ``pyspark.ml`` model.
+
+Feature vectors (V13) are gathered per document from the long feature table by
+the ``term_id`` that the vocabulary already carries, so no vocabulary reaches
+the driver. Scaling (F12) divides by the population standard deviation and
+never centres, so vectors stay sparse.
 """
 
 from __future__ import annotations
 
+import itertools
 import time
-from dataclasses import dataclass, field
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field, replace
 from typing import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -22,78 +27,56 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from textsieve.functions.text import analyzer_terms, clean_text
-from textsieve.operators import bayes, evaluate
-from textsieve.operators.vectorize import default_stop_words
+from textsieve.operators import bayes, evaluate, sampling
+from textsieve.session import cut_lineage
 
+#: Spark's trees go no deeper; ``max_depth=None`` (no limit) means this depth.
+SPARK_MAX_DEPTH = 30
+#: Held-out folds from which the probabilities of a linear SVM are learned.
+PLATT_FOLDS = 3
+#: Steps of a fold's fit: its margins need not be as exact as the model itself.
+PLATT_STEPS = 25
 
-# --- V13: vectors ----------------------------------------------------------
-
-def vector_stages(vocab: DataFrame, method: str = "tfidf", scale: DataFrame | None = None) -> list:
-    """Transformers ``terms -> features`` for a fitted vocabulary. The
-    vocabulary and its weights are collected: they are bounded by
-    ``max_features`` rows."""
-    from textsieve.operators.vectorize import BROADCAST_VOCAB_ROWS
-
-    n = vocab.count()
-    if n > BROADCAST_VOCAB_ROWS:
-        raise ValueError(f"pyspark.ml vectors need a bounded vocabulary ({n} terms > {BROADCAST_VOCAB_ROWS}); "
-                         "set max_features")
-    rows = vocab.orderBy("term_id").select("term", "idf").collect()
-    terms = [r["term"] for r in rows]
-    stages = [CountVectorizerModel.from_vocabulary(terms, inputCol="_terms", outputCol="_tf")]
-    col = "_tf"
-    if method == "tfidf":
-        stages += [ElementwiseProduct(scalingVec=Vectors.dense([r["idf"] for r in rows]), inputCol="_tf",
-                                      outputCol="_tfidf"),
-                   Normalizer(p=2.0, inputCol="_tfidf", outputCol="_norm")]
-        col = "_norm"
-    if scale is not None:
-        std = {r["term"]: r["std"] for r in scale.collect()}
-        stages.append(ElementwiseProduct(scalingVec=Vectors.dense([1.0 / std.get(t, 1.0) for t in terms]),
-                                         inputCol=col, outputCol="_scaled"))
-        col = "_scaled"
-    stages.append(_Rename(col, "features"))
-    return stages
-
-
-class _Rename:
-    """Placeholder stage marker: the output column of the vector stages."""
-
-    def __init__(self, src: str, dst: str):
-        self.src, self.dst = src, dst
-
-
-def ml_features(df: DataFrame, vocab: DataFrame, text_col: str = "message", method: str = "tfidf",
-                preprocess: bool = True, scale: DataFrame | None = None, stop_words=None,
-                keep=("row_id", "label", "weight")) -> DataFrame:
-    """``(*keep, features)`` with one sparse vector per row."""
-    sw = default_stop_words() if stop_words is None else stop_words
-    text = clean_text(text_col) if preprocess else F.col(text_col)
-    out = df.select(*[c for c in keep if c in df.columns], analyzer_terms(text, sw).alias("_terms"))
-    rename = None
-    for st in vector_stages(vocab, method, scale):
-        if isinstance(st, _Rename):
-            rename = st
-        else:
-            out = st.transform(out)
-    return out.select(*[c for c in keep if c in df.columns], F.col(rename.src).alias("features"))
 
+# --- V13: vectors ----------------------------------------------------------
 
-def size_partitions(df: DataFrame, rows_per_partition: int = 50_000) -> DataFrame:
-    """Iterative fits run one job per iteration over every partition: give the
-    training table about one partition per ``rows_per_partition`` rows (at
-    most the default parallelism; never fewer than one), instead of many
-    near-empty ones."""
-    n = df.count()
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.coalesce(max(1, min(par, -(-n // rows_per_partition))))
+def vectors(docs: DataFrame, feats: DataFrame, n_terms: int, std: DataFrame | None = None,
+            id_col: str = "row_id") -> DataFrame:
+    """``docs`` with ``features``: one sparse vector of ``n_terms`` places per document, from its rows of the long table
+    ``feats(id, term, term_id, value)``; a document without a known term has an empty vector."""
+    value = F.col("value")
+    if std is not None:
+        feats = feats.join(F.broadcast(std) if n_terms <= bayes.BROADCAST_VOCAB_ROWS else std, "term")
+        value = value / F.col("std")
+    rows = feats.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct(
+        F.col("term_id").cast("int").alias("i"), value.alias("v")))).alias("_e"))
+    empty = F.array().cast("array<struct<i:int,v:double>>")
+    e = F.coalesce(F.col("_e"), empty)
+    # a vector's stored form; parsing it is the built-in way from columns to a sparse vector
+    stored = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(n_terms).alias("size"),
+                      e.getField("i").alias("indices"), e.getField("v").alias("values"))
+    as_vector = F.from_json(F.to_json(F.struct(stored.alias("x"))), T.StructType([T.StructField("x", VectorUDT())]))
+    return docs.join(rows, id_col, "left").withColumn("features", as_vector["x"]).drop("_e")
+
+
+def training_vectors(td, scaled: bool) -> tuple[DataFrame, DataFrame | None, int]:
+    """``(row_id, label, weight, features)`` of the training rows, the scale (or none), and the number of terms.
+    Kept with the training data, so that models fitted in turn share them."""
+    cache = td.__dict__.setdefault("_vectors", {})
+    if scaled not in cache:
+        n = td.vocab.count()
+        std = cut_lineage(bayes.scale_std(td.feats_train, td.docs_train, td.vocab)) if scaled else None
+        rows = vectors(td.docs_train.select("row_id", "label", "weight"), td.feats_train, n, std)
+        # no number of partitions: an iterative fit runs a job over them many times, so Spark sizes them by their bytes
+        cache[scaled] = cut_lineage(rows.repartition("row_id")), std, n
+    return cache[scaled]
 
 
 # --- U3 / F13: registry ----------------------------------------------------
@@ -105,7 +88,7 @@ class ModelSpec:
     needs_scaling: bool
     default: dict = field(default_factory=dict)
     grid: dict = field(default_factory=dict)
-    kind: str = "ml"  # "ml" (pyspark.ml estimator) or "nb" (relational Naive Bayes)
+    kind: str = "ml"  # "ml" (pyspark.ml estimator), "nb" (relational Naive Bayes) or "none" (named, not built)
 
 
 REGISTRY: dict[str, ModelSpec] = {}
@@ -123,61 +106,75 @@ def _no_param(name):
     raise ValueError(f"parameter {name!r} has no pyspark.ml equivalent")
 
 
+def _only(p, *known):
+    """A parameter that Spark's estimator has no equivalent for is an error, never ignored."""
+    for k in p:
+        if k not in (*known, "_n", "_v", "class_weight"):
+            _no_param(k)
+    if p.get("class_weight") not in (None, "balanced"):
+        _no_param(f"class_weight={p['class_weight']}")
+
+
+def _depth(d):
+    return SPARK_MAX_DEPTH if d is None else int(d)
+
+
 def _lr(p):
-    n = p.get("_n", 1)
+    # both solvers of the grid minimise the same objective, which Spark's own solver does too
+    _only(p, "max_iter", "solver", "random_state", "C", "penalty")
     if p.get("solver") not in (None, "liblinear", "saga", "lbfgs"):
         _no_param("solver")
-    return LogisticRegression(maxIter=int(p.get("max_iter", 100)), regParam=_reg(p.get("C", 1.0), n),
+    return LogisticRegression(maxIter=int(p.get("max_iter", 100)), regParam=_reg(p.get("C", 1.0), p["_n"]),
                               elasticNetParam=1.0 if p.get("penalty") == "l1" else 0.0, standardization=False,
                               weightCol="weight")
 
 
 def _svc(p):
+    _only(p, "max_iter", "kernel", "C", "probability", "random_state")
     if p.get("kernel", "linear") != "linear":
-        raise ValueError("kernel SVMs run on random Fourier features: use textsieve.plans.kernels.fit_kernel_svc")
-    return LinearSVC(maxIter=int(p.get("max_iter", 100)), regParam=_reg(p.get("C", 1.0), p.get("_n", 1)),
+        raise ValueError("kernel SVMs run on explicit feature maps: use textsieve.plans.kernels")
+    return LinearSVC(maxIter=int(p.get("max_iter", 100)), regParam=_reg(p.get("C", 1.0), p["_n"]),
                      standardization=False, weightCol="weight")
 
 
 def _rf(p):
-    for k in ("min_samples_split",):
-        if k in p:
-            _no_param(k)
-    if p.get("class_weight") == "balanced_subsample":
-        _no_param("class_weight=balanced_subsample")
-    return RandomForestClassifier(numTrees=int(p.get("n_estimators", 100)), maxDepth=int(p.get("max_depth") or 30),
+    _only(p, "n_estimators", "max_depth", "min_samples_leaf", "random_state")
+    return RandomForestClassifier(numTrees=int(p.get("n_estimators", 100)), maxDepth=_depth(p.get("max_depth")),
                                   minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
                                   featureSubsetStrategy="sqrt", seed=int(p.get("random_state", 42)),
                                   weightCol="weight")
 
 
 def _gbt(p):
+    _only(p, "n_estimators", "learning_rate", "max_depth", "subsample", "random_state")
     return GBTClassifier(maxIter=int(p.get("n_estimators", 100)), stepSize=float(p.get("learning_rate", 0.1)),
                          maxDepth=int(p.get("max_depth", 3)), subsamplingRate=float(p.get("subsample", 1.0)),
                          seed=int(p.get("random_state", 42)), weightCol="weight")
 
 
 def _dt(p):
-    if "min_samples_split" in p:
-        _no_param("min_samples_split")
-    return DecisionTreeClassifier(impurity=p.get("criterion", "gini"), maxDepth=int(p.get("max_depth") or 30),
+    _only(p, "max_depth", "min_samples_leaf", "criterion", "random_state")
+    return DecisionTreeClassifier(impurity=p.get("criterion", "gini"), maxDepth=_depth(p.get("max_depth")),
                                   minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
                                   seed=int(p.get("random_state", 42)), weightCol="weight")
 
 
 def _mlp(p):
-    if p.get("activation", "relu") != "relu" and "activation" in p:
-        _no_param("activation")
-    if "alpha" in p:
-        _no_param("alpha")
-    hidden = list(p.get("hidden_layer_sizes", (100,)))
-    return MultilayerPerceptronClassifier(layers=[p["_v"], *hidden, 2], maxIter=int(p.get("max_iter", 100)),
-                                          stepSize=float(p.get("learning_rate_init", 0.03)),
-                                          seed=int(p.get("random_state", 42)))
+    # Spark's layers are sigmoid and have no penalty
+    _only(p, "hidden_layer_sizes", "max_iter", "random_state")
+    return MultilayerPerceptronClassifier(layers=[p["_v"], *p.get("hidden_layer_sizes", (100,)), 2],
+                                          maxIter=int(p.get("max_iter", 100)), seed=int(p.get("random_state", 42)))
 
 
 def _nb(kind):
-    return lambda p: ("nb", kind, p)
+    def make(p):
+        _only(p, "var_smoothing" if kind == "gaussian" else "alpha")
+        return kind, {k: v for k, v in p.items() if k in ("alpha", "var_smoothing")}
+    return make
+
+
+def _knn(p):
+    raise ValueError("K-Nearest Neighbors is named in the registry but not built: see README")
 
 
 # The model names, defaults and grids of the reference.
@@ -205,9 +202,9 @@ register_model("Decision Tree", _dt, {"max_depth": [None, 5, 10, 15, 20], "min_s
                                       "min_samples_leaf": [1, 2, 4], "criterion": ["gini", "entropy"],
                                       "class_weight": [None, "balanced"]},
                False, {"random_state": 42})
-register_model("K-Nearest Neighbors", lambda p: ("knn", p), {"n_neighbors": [3, 5, 7, 9, 11],
+register_model("K-Nearest Neighbors", _knn, {"n_neighbors": [3, 5, 7, 9, 11],
                                                              "weights": ["uniform", "distance"], "p": [1, 2]},
-               True, {"n_neighbors": 5}, "knn")
+               True, {"n_neighbors": 5}, "none")
 register_model("Neural Network", _mlp, {"hidden_layer_sizes": [(50,), (100,), (50, 50), (100, 50)],
                                         "activation": ["relu", "tanh"], "alpha": [0.0001, 0.001, 0.01],
                                         "learning_rate_init": [0.001, 0.01]},
@@ -228,15 +225,112 @@ def get_models(selected: list[str] | None = None, custom_params: dict | None = N
     return out
 
 
-def create_model(name: str, params: dict | None = None):
-    """the estimator of a registry entry; unknown names raise."""
+def create_model(name: str, params: dict | None = None) -> "Estimator":
+    """the estimator of a registry entry; unknown names and entries that are not built raise."""
     if name not in REGISTRY:
         raise ValueError(f"Unknown model: {name}")
     spec = REGISTRY[name]
-    return spec.builder({**spec.default, **(params or {})})
+    p = {**spec.default, **(params or {})}
+    spec.builder({**p, "_n": 1, "_v": 1})  # what is not built and unknown parameters raise here
+    return Estimator(name, p)
 
 
-# --- F14 / F15 / F16: fit and evaluate ------------------------------------------
+# --- F14: estimators and fitted models -------------------------------------------
+
+@dataclass
+class Estimator:
+    """A model of the registry with its parameters."""
+
+    name: str
+    params: dict
+
+    def fit(self, td) -> "bayes.NBModel | VectorModel":
+        """Fit on ``TrainingData``; the result's ``score(docs, feats)`` adds ``prediction`` and ``probability``."""
+        spec = REGISTRY[self.name]
+        if spec.kind == "nb":
+            kind, p = spec.builder(self.params)
+            return bayes.FITTERS[kind](td.feats_train, td.docs_train, td.vocab, **p)
+        rows, std, n_terms = training_vectors(td, spec.needs_scaling)
+        rows = _class_weight(rows, self.params.get("class_weight") == "balanced")
+        p = {**self.params, "_n": int(rows.agg(F.sum("weight")).first()[0]), "_v": n_terms}
+        est = spec.builder(p)
+        if self.name == "Neural Network":
+            # no weights there: copies are rows
+            rows = rows.withColumn("_c", F.explode(F.sequence(F.lit(1), F.greatest(F.round("weight"), F.lit(1)).cast("int")))).drop("_c")
+        if self.name == "Support Vector Machine":
+            stages = fit_platt_svm(est, rows)
+        else:
+            stages = [est.fit(rows)]
+        return VectorModel(self.name, stages, n_terms, std)
+
+
+@dataclass
+class VectorModel:
+    """A fitted ``pyspark.ml`` model with what turns long features into its vectors."""
+
+    name: str
+    stages: list  # the classifier; for the SVM also the margin and its probabilities
+    n_terms: int
+    std: DataFrame | None
+
+    def score(self, docs: DataFrame, feats: DataFrame, id_col: str = "row_id") -> DataFrame:
+        """Every row of ``docs`` gets ``prediction`` and ``probability`` (of class 1)."""
+        rows = vectors(docs, feats, self.n_terms, self.std, id_col)
+        out = self.stages[0].transform(rows)
+        cls = F.col("prediction").cast("int")
+        if len(self.stages) > 1:  # the class is the side of the margin, the probability is Platt's
+            out = out.withColumn("_class", cls).drop("prediction")
+            out = self.stages[1].transform(margins(out)).withColumn("prediction", F.col("_class"))
+            cls = F.col("prediction")
+        prob = vector_to_array("probability")[1]
+        return out.select(*[c for c in docs.columns], cls.alias("prediction"), prob.alias("probability"))
+
+    def term_weights(self, vocab: DataFrame) -> DataFrame:
+        """``(term, weight)``: the coefficients of a linear model."""
+        return _by_term(self.stages[0].coefficients, vocab, "weight")
+
+    def importances(self, vocab: DataFrame) -> DataFrame:
+        """``(term, importance)`` of a tree model."""
+        return _by_term(self.stages[0].featureImportances, vocab, "importance")
+
+    def save(self, path: str):
+        PipelineModel(self.stages).write().overwrite().save(f"{path}/model")
+        if self.std is not None:
+            self.std.write.mode("overwrite").parquet(f"{path}/std")
+
+
+def load_vector_model(spark, path: str, name: str, n_terms: int, scaled: bool) -> VectorModel:
+    return VectorModel(name, PipelineModel.load(f"{path}/model").stages, n_terms,
+                       spark.read.parquet(f"{path}/std") if scaled else None)
+
+
+def _by_term(values, vocab: DataFrame, out: str) -> DataFrame:
+    """A fitted vector joined to the vocabulary by index (J4); zeros are left out."""
+    pairs = [(int(i), float(v)) for i, v in enumerate(values.toArray()) if v]
+    return vocab.select("term_id", "term").join(
+        vocab.sparkSession.createDataFrame(pairs, f"term_id bigint, {out} double"), "term_id").select("term", out)
+
+
+def margins(df: DataFrame) -> DataFrame:
+    """An SVM's output with the margin as the one-place vector ``_m``."""
+    raw = df.withColumn("_raw1", vector_to_array("rawPrediction")[1])
+    return VectorAssembler(inputCols=["_raw1"], outputCol="_m").transform(raw).drop("rawPrediction", "prediction", "_raw1")
+
+
+def fit_platt_svm(est, rows: DataFrame, folds: int = PLATT_FOLDS) -> list:
+    """a linear SVM on all rows, and Platt's one-feature logistic regression on margins of rows that the SVM of
+    their fold has not seen."""
+    which = sampling.kfold_assign(rows.select("row_id", "label"), folds).select("row_id", "fold")
+    dealt = cut_lineage(rows.join(which, "row_id"))
+    ids = [r[0] for r in dealt.select("fold").distinct().orderBy("fold").collect()]
+    held, rough = None, est.copy({est.maxIter: min(PLATT_STEPS, est.getMaxIter())})
+    for f in ids:
+        part = margins(rough.fit(dealt.where(F.col("fold") != f)).transform(dealt.where(F.col("fold") == f)))
+        part = part.select("label", "weight", "_m")
+        held = part if held is None else held.unionByName(part)
+    platt = LogisticRegression(featuresCol="_m", labelCol="label", weightCol="weight", maxIter=100).fit(held)
+    return [est.fit(rows), platt]
+
 
 def _class_weight(df: DataFrame, balanced: bool) -> DataFrame:
     if not balanced:
@@ -247,112 +341,96 @@ def _class_weight(df: DataFrame, balanced: bool) -> DataFrame:
     return df.withColumn("weight", F.col("weight") * w)
 
 
-def fit_ml(name: str, train: DataFrame, params: dict | None = None):
-    """fit one pyspark.ml model on ``(features, label, weight)``; returns
-    ``(model, seconds)``. The input must already be materialised (the timer
-    measures the fit only)."""
-    p = {**REGISTRY[name].default, **(params or {})}
-    p["_n"] = int(train.agg(F.sum("weight")).first()[0])
-    p["_v"] = train.first()["features"].size
-    est = create_model(name, p)
-    data = _class_weight(train, p.get("class_weight") == "balanced")
+def fit_timed(name: str, td, params: dict | None = None):
+    """``(fitted model, seconds)``. Shared vectors are made before the clock starts."""
+    est = create_model(name, params)
+    if REGISTRY[name].kind == "ml":
+        training_vectors(td, REGISTRY[name].needs_scaling)
     t0 = time.time()
-    model = est.fit(data)
-    if name == "Support Vector Machine" and p.get("kernel", "linear") == "linear":
-        model = PlattSVC(model, data)
+    model = est.fit(td)
     return model, time.time() - t0
 
 
-class PlattSVC:
-    """linear SVM with probabilities: a one-feature logistic regression
-    on the SVM margin (Platt scaling)."""
-
-    def __init__(self, svm, train: DataFrame):
-        self.svm = svm
-        m = self._margin(svm.transform(train))
-        self.platt = LogisticRegression(featuresCol="_m", labelCol="label", weightCol="weight",
-                                        maxIter=100).fit(m)
-        self.coefficients = svm.coefficients
+def scored(model, td) -> DataFrame:
+    """``(row_id, label, prediction, probability)`` of the test rows (and ``weight`` where they have one)."""
+    keep = [c for c in ("row_id", "label", "weight") if c in td.docs_test.columns]
+    return model.score(td.docs_test, td.feats_test).select(*keep, F.col("prediction").cast("int").alias("prediction"),
+                                                           "probability")
 
-    @staticmethod
-    def _margin(df):
-        m = VectorAssembler(inputCols=["_raw1"], outputCol="_m").transform(
-            df.withColumn("_raw1", vector_to_array("rawPrediction")[1]))
-        return m.drop("rawPrediction", "prediction", "_raw1")
 
-    def transform(self, df):
-        out = self.platt.transform(self._margin(self.svm.transform(df)))
-        return out.drop("_m")
+# --- F15 / F16: fit and evaluate -------------------------------------------------
 
+RESULT_SCHEMA = ("model string, ord int, error string, training_time double, accuracy double, precision double, "
+                 "recall double, f1 double, roc_auc double")
 
-def scored(model, test: DataFrame) -> DataFrame:
-    """``(row_id, label, prediction, probability)`` of a pyspark.ml model."""
-    out = model.transform(test)
-    prob = vector_to_array("probability")[1] if "probability" in out.columns else F.lit(None).cast("double")
-    return out.select("row_id", "label", F.col("prediction").cast("int").alias("prediction"),
-                      prob.alias("probability"))
 
-
-def train_and_evaluate(models: dict[str, dict], train: DataFrame, test: DataFrame) -> DataFrame:
-    """fit and evaluate each model in turn; a failing model becomes a row
-    with its ``error`` and the rest go on. One row per model."""
-    spark = train.sparkSession
-    rows = []
+def train_and_evaluate(models: dict[str, dict], td) -> tuple[DataFrame, dict]:
+    """fit and evaluate each model in turn. One row per model; a model that fails has its ``error`` there and the
+    rest go on. Also returns the fitted models by name."""
+    rows, fitted = [], {}
     for i, (name, params) in enumerate(models.items()):
         try:
-            model, secs = fit_ml(name, train, params)
-            sc = scored(model, test)
+            model, secs = fit_timed(name, td, params)
+            sc = cut_lineage(scored(model, td))
             m = evaluate.binary_metrics(sc).first()
-            auc = evaluate.roc_auc(sc).first()[0] if sc.where("probability IS NOT NULL").limit(1).count() else None
+            auc = evaluate.roc_auc(sc).first()[0]
             rows.append((name, i, None, secs, m["accuracy"], m["precision"], m["recall"], m["f1"], auc))
-        except Exception as e:  # noqa: BLE001 -- the reference keeps going after a failure
-            rows.append((name, i, f"{type(e).__name__}: {e}"[:500], None, None, None, None, None, None))
-    return spark.createDataFrame(rows, "model string, ord int, error string, training_time double, accuracy double, "
-                                       "precision double, recall double, f1 double, roc_auc double")
-
-
-def feature_importances(model, vocab: DataFrame) -> DataFrame:
-    """W5 input: ``(term, importance)`` of a tree model, joined to the
-    vocabulary by index (J4)."""
-    imp = model.featureImportances
-    spark = vocab.sparkSession
-    pairs = spark.createDataFrame([(int(i), float(v)) for i, v in zip(imp.indices, imp.values)],
-                                  "term_id int, importance double")
-    return vocab.select("term_id", "term").join(pairs, "term_id").select("term", "importance")
-
-
-def grid_search_ml(name: str, train: DataFrame, grid: dict, k: int = 5, parallelism: int = 4):
-    """F18 for pyspark.ml models: ``CrossValidator`` over the grid with a
-    stratified fold column (M9) and the class-1 F1 metric (G6). Returns
-    ``(param_maps_with_scores DataFrame, best_params)``."""
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-
-    from textsieve.operators.sampling import kfold_assign
-
-    base = {**REGISTRY[name].default}
-    n = int(train.agg(F.sum("weight")).first()[0])
-    est = create_model(name, {**base, "_n": n, "_v": train.first()["features"].size})
-    pg = ParamGridBuilder()
-    if name == "Logistic Regression":
-        if "C" in grid:
-            pg = pg.addGrid(est.regParam, [_reg(c, n) for c in grid["C"]])
-        if "penalty" in grid:
-            pg = pg.addGrid(est.elasticNetParam, [1.0 if x == "l1" else 0.0 for x in grid["penalty"]])
-    elif name in ("Random Forest", "Gradient Boosting", "Decision Tree"):
-        if "max_depth" in grid:
-            pg = pg.addGrid(est.maxDepth, [int(d or 30) for d in grid["max_depth"]])
-        if "n_estimators" in grid and hasattr(est, "numTrees"):
-            pg = pg.addGrid(est.numTrees, [int(x) for x in grid["n_estimators"]])
-    maps = pg.build()
-    folds = kfold_assign(train.select("row_id", "label"), k).select("row_id", "fold")
-    data = train.join(folds, "row_id")
-    ev = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0, weightCol="weight")
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, foldCol="fold", numFolds=k,
-                        parallelism=parallelism, seed=42)
-    m = cv.fit(data)
-    spark = train.sparkSession
-    rows = [(str({p.name: v for p, v in pm.items()}), float(s)) for pm, s in zip(maps, m.avgMetrics)]
-    res = spark.createDataFrame(rows, "params string, mean_score double")
-    best = rows[max(range(len(rows)), key=lambda i: rows[i][1])][0] if rows else None
-    return res, best
+            fitted[name] = model
+        except Exception as e:  # noqa: BLE001 -- one failing model must not lose the others; its error is the result
+            rows.append((name, i, f"{type(e).__name__}: {e}", None, None, None, None, None, None))
+    return td.vocab.sparkSession.createDataFrame(rows, RESULT_SCHEMA), fitted
+
+
+# --- F17 / F18: cross-validation and grid search of any model ---------------------
+
+def fold_data(td, folds: DataFrame, fold: int):
+    """The training data of one fold: fitted on the other folds' rows, tested on this fold's; scaling and all other
+    statistics are taken anew from the rows it is fitted on."""
+    this = folds.where(F.col("fold") == fold).select("row_id")
+    side = lambda df, how: df.join(this, "row_id", how)
+    return replace(td, docs_train=side(td.docs_train, "left_anti"), feats_train=side(td.feats_train, "left_anti"),
+                   docs_test=side(td.docs_train, "left_semi"), feats_test=side(td.feats_train, "left_semi"))
+
+
+def grid_points(grid: dict) -> list[dict]:
+    """All combinations of a grid, in its order."""
+    return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
+
+
+def grid_search(name: str, td, grid: dict, k: int = 5, parallelism: int = 4) -> tuple[DataFrame, dict]:
+    """class-1 F1 (G6) on stratified folds (M9) for every point of ``grid``; a key that the model cannot take
+    raises. Returns ``(params, mean_score, std_score, min_score, max_score)`` by point and the best parameters (the
+    first of equals). A grid of one point is a plain cross-validation."""
+    points = grid_points(grid)
+    for p in points:
+        spec = REGISTRY[name]
+        spec.builder({**spec.default, **p, "_n": 1, "_v": 1})  # an unknown key or value raises before any fit
+    which = sampling.kfold_assign(td.docs_train.select("row_id", "label"), k).select("row_id", "fold")
+    which = cut_lineage(which)
+    parts = []
+    for f in range(k):
+        part = fold_data(td, which, f)
+        part = replace(part, **{c: cut_lineage(getattr(part, c)) for c in ("docs_train", "feats_train", "docs_test", "feats_test")})
+        if REGISTRY[name].kind == "ml":
+            training_vectors(part, REGISTRY[name].needs_scaling)
+        parts.append(part)
+
+    def one(job):
+        p, part = job
+        sc = scored(create_model(name, p).fit(part), part)
+        return evaluate.binary_metrics(sc, weight_col="weight").first()["f1"]
+
+    # equal estimators (solvers that Spark does not tell apart) are fitted once
+    same = lambda p: tuple(sorted((k, str(v)) for k, v in p.items() if k not in ("solver", "random_state", "probability")))
+    unique = {same(p): p for p in reversed(points)}
+    with ThreadPoolExecutor(parallelism) as pool:
+        scores = list(pool.map(one, [(p, part) for p in unique.values() for part in parts]))
+    by = {key: scores[i * k:(i + 1) * k] for i, key in enumerate(unique)}
+    rows = []
+    for p in points:
+        own = by[same(p)]
+        mean = sum(own) / k
+        rows.append((str(p), mean, (sum((x - mean) ** 2 for x in own) / k) ** 0.5, min(own), max(own)))
+    best = points[max(range(len(rows)), key=lambda i: rows[i][1])]
+    return td.vocab.sparkSession.createDataFrame(
+        rows, "params string, mean_score double, std_score double, min_score double, max_score double"), best

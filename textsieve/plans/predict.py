@@ -1,7 +1,6 @@
 """Scoring new text with a fitted bundle.
 
-A ``Predictor`` holds the fitted vocabulary and Naive Bayes tables. Scoring is
-one plan: term counts -> broadcast join with the vocabulary (bounded by
+A ``Predictor`` holds a fitted model and its vocabulary. Scoring is one plan: term counts -> broadcast join with the vocabulary (bounded by
 ``max_features``) -> per-document sums -> left join back to the input rows,
 so a text without a known word keeps its row and scores the class constants.
 """
@@ -14,12 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textsieve.config import Options
-from textsieve.functions.text import clean_text
+from textsieve.functions.text import clean_text, preprocess_text
 from textsieve.operators import bayes, prepare, rank, vectorize
+from textsieve.sources.io import path_exists
 
 
 class Predictor:
-    def __init__(self, model: bayes.NBModel, vocab: DataFrame, options: Options = Options(), stop_words=None):
+    """A fitted model of any kind with the vocabulary and options it was fitted with."""
+
+    def __init__(self, model, vocab: DataFrame, options: Options = Options(), stop_words=None):
         self.model = model
         self.vocab = vocab
         self.options = options
@@ -36,10 +38,14 @@ class Predictor:
         # by id, the sums by id and the join back to the rows reuse it. Both
         # branches read the same two columns, so the exchange is shared.
         keyed = df.select(key, F.col(text_col)).repartition("_rid")
-        counts = vectorize.term_counts(keyed, text_col, "_rid", self.stop_words, o.preprocess)
+        if o.preprocess == "full":
+            keyed = preprocess_text(keyed, text_col, "_pre", "_rid")
+            source, pre = "_pre", F.col("_pre")
+        else:
+            source, pre = text_col, clean_text(text_col) if o.preprocess else F.col(text_col)
+        counts = vectorize.term_counts(keyed, source, "_rid", self.stop_words, o.preprocess is True)
         feats = vectorize.vectorize(counts, self.vocab, o.method, o.max_features, "_rid")
         scored = self.model.score(keyed, feats, "_rid")
-        pre = clean_text(text_col) if o.preprocess else F.col(text_col)
         p = F.col("probability")
         return scored.select(
             *[F.col("_rid").getField(c).alias(c) for c in id_cols],
@@ -58,29 +64,43 @@ class Predictor:
 
     # F21 / W6
     def top_features(self, n: int = 20) -> DataFrame:
-        return rank.top_weights(self.model.term_weights(), n)
+        """The most telling terms: of a linear or Naive Bayes model by weight for either class, of a tree model by
+        importance."""
+        m = self.model
+        if isinstance(m, bayes.NBModel):
+            return rank.top_weights(m.term_weights(), n)
+        if hasattr(m.stages[0], "featureImportances"):
+            return rank.top_importances(m.importances(self.vocab), n)
+        return rank.top_weights(m.term_weights(self.vocab), n)
 
     # Model and vocabulary saved together as one bundle
     def save(self, path: str):
         m = self.model
-        spark = m.params.sparkSession
-        m.params.write.mode("overwrite").parquet(f"{path}/params")
+        spark = self.vocab.sparkSession
+        if isinstance(m, bayes.NBModel):
+            m.params.write.mode("overwrite").parquet(f"{path}/params")
+            meta = {"kind": m.kind, "const0": m.const0, "const1": m.const1, "n_terms": m.n_terms, "presence": m.presence}
+        else:
+            m.save(path)
+            meta = {"kind": "vector", "name": m.name, "n_terms": m.n_terms, "scaled": m.std is not None}
         self.vocab.write.mode("overwrite").parquet(f"{path}/vocab")
-        meta = {"kind": m.kind, "const0": m.const0, "const1": m.const1, "n_terms": m.n_terms,
-                "presence": m.presence, "options": self.options.__dict__,
-                "stop_words": list(self.stop_words) if self.stop_words is not None else None}
+        meta |= {"options": self.options.__dict__, "stop_words": list(self.stop_words) if self.stop_words is not None else None}
         spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(
             f"{path}/meta")
 
     # S9
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "Predictor":
-        rows = spark.read.text(f"{path}/meta").collect()
-        if not rows:
+        if not path_exists(spark, f"{path}/meta"):
             raise FileNotFoundError(f"no model bundle at {path}")
-        meta = json.loads(rows[0][0])
-        model = bayes.NBModel(meta["kind"], spark.read.parquet(f"{path}/params"), meta["const0"], meta["const1"],
-                              meta["n_terms"], meta["presence"])
+        meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
+        if meta["kind"] == "vector":
+            from textsieve.plans.models import load_vector_model
+
+            model = load_vector_model(spark, path, meta["name"], meta["n_terms"], meta["scaled"])
+        else:
+            model = bayes.NBModel(meta["kind"], spark.read.parquet(f"{path}/params"), meta["const0"], meta["const1"],
+                                  meta["n_terms"], meta["presence"])
         return cls(model, spark.read.parquet(f"{path}/vocab"), Options(**meta["options"]), meta["stop_words"])
 
 
@@ -109,6 +129,17 @@ def format_json(pred: DataFrame, text_col: str = "text") -> DataFrame:
 
 # --- S11: model registry ----------------------------------------------------
 
+REGISTRY_SCHEMA = "name string, path string, vocab_path string, created_at timestamp, metric double"
+
+
+def record_model(spark: SparkSession, registry_path: str, name: str, path: str, metric: float | None, created_at=None) -> None:
+    """Append a saved bundle to the registry table at ``registry_path``."""
+    import datetime
+
+    row = (name, path, f"{path}/vocab", created_at or datetime.datetime.now(), metric)
+    spark.createDataFrame([row], REGISTRY_SCHEMA).write.mode("append").parquet(registry_path)
+
+
 def latest_model(registry: DataFrame, name: str | None = None, by: str = "created_at") -> DataFrame:
     """``registry(name, path, vocab_path, created_at, metric)``: the
     newest (or best, ``by='metric'``) bundle, optionally of one model name."""

@@ -14,6 +14,7 @@ from textsieve.functions.text import (
     NOUN_DETACHMENT_RULES,
     TAG_PATTERN,
     TOKEN_PATTERN,
+    TOKEN_QUOTES,
     URL_PATTERN_EXACT,
     WHITESPACE_CLASS,
     spark_english_stop_words,
@@ -47,7 +48,8 @@ def clean(x: str) -> str:
 
 def tokenize(cleaned: str) -> str:
     cases = " ".join(f"WHEN {q(w)} THEN {str_list(p)}" for w, p in CONTRACTION_SPLITS.items())
-    return (f"flatten(list_transform(list_filter(string_split({cleaned}, ' '), lambda t: t <> ''), "
+    spaced = f"regexp_replace({cleaned}, {q('([' + TOKEN_QUOTES + '])')}, ' \\1 ', 'g')"
+    return (f"flatten(list_transform(list_filter(string_split({spaced}, ' '), lambda t: t <> ''), "
             f"lambda t: CASE t {cases} ELSE [t] END))")
 
 
@@ -141,7 +143,7 @@ ntr AS (SELECT count(*) AS n FROM tr),
 dfs AS (SELECT term, count(*) AS df, sum(tf) AS ctf FROM counts WHERE NOT is_test GROUP BY term
         HAVING count(*) >= {int(opts.min_df)}),
 topk AS (SELECT * FROM dfs ORDER BY ctf DESC, term {limit}),
-vocab AS (SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS term_id, df, ctf,
+vocab AS (SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS BIGINT) AS term_id, df, ctf,
                  ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf FROM topk, ntr),{weights}
 ftr_x AS (SELECT c.row_id, c.label, w.weight, v.term, v.term_id, {x_expr} AS x
           FROM counts c JOIN weights w ON c.row_id = w.row_id JOIN vocab v ON c.term = v.term WHERE NOT c.is_test),
@@ -280,7 +282,7 @@ counts AS (SELECT row_id, label, term, count(*) AS tf FROM toks GROUP BY row_id,
 nall AS (SELECT count(*) AS n FROM base),
 dfs AS (SELECT term, count(*) AS df, sum(tf) AS ctf FROM counts GROUP BY term HAVING count(*) >= {int(opts.min_df)}),
 topk AS (SELECT * FROM dfs ORDER BY ctf DESC, term {limit}),
-vocab AS (SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS term_id, df, ctf,
+vocab AS (SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS BIGINT) AS term_id, df, ctf,
                  ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf FROM topk, nall),
 tr AS (SELECT row_id, label FROM base),
 cls AS (SELECT count(*) FILTER (WHERE label = 0) AS n0, count(*) FILTER (WHERE label = 1) AS n1 FROM tr),

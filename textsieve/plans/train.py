@@ -18,29 +18,16 @@ from textsieve.operators import bayes, sampling, vectorize
 from textsieve.session import cut_lineage, write_table
 
 
-# Inputs at most this large are spread over the default parallelism after the
-# scan (a cheap shuffle); larger ones keep the file layout (no extra shuffle).
-SPREAD_BELOW_BYTES = 1 << 30
-
-
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the files under ``path`` (file system metadata only)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
+#: Session setting: spread every scanned table over so many partitions (one round-robin shuffle). Unset, the files'
+#: own layout stays, at every size. For a single machine whose tables are one row group each, and for nothing else.
+INPUT_PARTITIONS = "spark.textsieve.inputPartitions"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A parquet table. A small table stored in few row groups would be read
-    by few tasks although text work is CPU-heavy, so tables below
-    ``SPREAD_BELOW_BYTES`` are spread round-robin over the default
-    parallelism; large tables are split by their own row groups."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if input_bytes(spark, path) <= SPREAD_BELOW_BYTES:
-        df = df.repartition(spark.sparkContext.defaultParallelism)
-    return df
+    """A parquet table, split by its own row groups (or see ``INPUT_PARTITIONS``)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    n = spark.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(n)) if n else df
 
 
 def labelled_messages(spark: SparkSession, sf_dir: str, label: str = "toxic") -> DataFrame:
@@ -67,11 +54,21 @@ class TrainingData:
         self.vocab.unpersist()
 
 
+def prepared_text(df: DataFrame, text_col: str, id_col: str, opts: Options) -> DataFrame:
+    """``df`` with the text replaced by T13's result, if that is the chosen preprocessing."""
+    if opts.preprocess != "full":
+        return df
+    from textsieve.functions.text import preprocess_text
+
+    return preprocess_text(df, text_col, "_full", id_col).withColumn(text_col, F.col("_full")).drop("_full")
+
+
 def prepare(base: DataFrame, opts: Options = Options(), stop_words=None) -> TrainingData:
     """S3 -> M7 -> V1..V9 -> M5, as lazy DataFrames over one persisted
     per-document term-count table."""
     if opts.leaky_order:
         return prepare_leaky(base, opts, stop_words)
+    base = prepared_text(base, "message", "row_id", opts)
     stats: dict = {}
     split = sampling.stratified_split(base, opts.test_size, "label", "row_id", opts.seed, stats=stats)
     train_sizes = {g: n - stats["test"].get(g, 0) for g, n in stats["counts"].items()}
@@ -86,7 +83,7 @@ def prepare(base: DataFrame, opts: Options = Options(), stop_words=None) -> Trai
     # executor loss)
     labels = write_table(split.select("row_id", "label", "is_test"))
     counts = cut_lineage(vectorize.term_counts(
-        split, "message", "row_id", stop_words, opts.preprocess, keep=("label", "is_test")))
+        split, "message", "row_id", stop_words, opts.preprocess is True, keep=("label", "is_test")))
     labels_train = labels.where(~F.col("is_test")).select("row_id", "label")
     n_train = sum(train_sizes.values())
     train_counts = counts.where(~F.col("is_test")).drop("is_test")
@@ -132,7 +129,7 @@ def prepare_leaky(base: DataFrame, opts: Options, stop_words=None) -> TrainingDa
     every row, then a stratified split of the rows *with* their copies (a
     copy's key includes its copy number). Copies on each side become weights,
     so ``docs_test`` carries a ``weight`` for weighted evaluation."""
-    rows = base.repartition("row_id")
+    rows = prepared_text(base, "message", "row_id", opts).repartition("row_id")
     counts = cut_lineage(vectorize.term_counts(rows, "message", "row_id", stop_words, opts.preprocess,
                                                keep=("label",)))
     labels = rows.select("row_id", "label")

@@ -38,7 +38,7 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA,
     quotes (G1). Missing columns of ``schema`` come back null; missing files
     raise. ``na_values`` turns listed texts into nulls (G3)."""
     if not path_exists(spark, path):
-        raise FileNotFoundError(f"Data file not found at path: {path}")
+        raise FileNotFoundError(f"no CSV at {path}")
     df = (spark.read.schema(schema)
           .options(header=True, multiLine=True, escape='"', quote='"', encoding=encoding, mode="PERMISSIVE")
           .csv(path))
@@ -48,6 +48,15 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA,
     return df
 
 
+def load_csv_strict(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
+    """The older scan. The header names the columns, the three junk columns must be there, and go."""
+    df = (spark.read.options(header=True, multiLine=True, escape='"', quote='"', encoding=encoding).csv(path))
+    junk = df.columns[2:5]
+    if len(junk) < 3:
+        raise ValueError(f"three columns after the first two expected, found {len(df.columns)} in all")
+    return df.drop(*junk)
+
+
 def load_and_preprocess(spark: SparkSession, path: str, **kw) -> DataFrame:
     """S3 (and S2): S1 then P1-P4."""
     from textsieve.operators.prepare import preprocess_data
@@ -94,6 +103,6 @@ def write_predictions_text(pred: DataFrame, path: str, text_col: str = "text"):
 
 
 def write_run_summary(results: DataFrame, dataset: DataFrame, path: str):
-    """Per-model metrics and the one-row dataset description as JSON."""
+    """Per-model metrics, training times and which one is best, and the one-row dataset description, as JSON."""
     results.write.mode("overwrite").json(f"{path}/models")
     dataset.write.mode("overwrite").json(f"{path}/dataset")
