@@ -742,13 +742,53 @@ def q_grid_search_ml(spark, sf_dir):
 _GRID_GNB = (1e-9, 1e-8, 1e-7, 1e-6, 1e-5)
 
 
-@register("grid_gnb")
+def _cv_gnb_sql(grid) -> str:
+    """Held-out F1 of Gaussian Naive Bayes by (param, fold): sums and sums of squares of the other folds' rows."""
+    g = ", ".join(f"CAST({a} AS DOUBLE)" for a in grid)
+    head = _cv_sql("multinomial", grid).split("ft AS (")[0]
+    x, q = "ff.weight * ff.value", "ff.weight * ff.value * ff.value"
+    sums = ", ".join(f"coalesce(sum(CASE WHEN ff.label = {c} THEN {e} END), 0) AS {n}{c}" for n, e in (("x", x), ("q", q)) for c in (0, 1))
+    rest = ", ".join(f"sum({n}) OVER (PARTITION BY term) - {n} AS {n}" for n in ("x0", "x1", "q0", "q1"))
+    tail = _cv_sql("multinomial", grid).split("sc AS (", 1)[1]
+    return head + f"""
+ft AS (SELECT v.term, fo.fold, {sums}
+       FROM vocab v CROSS JOIN (SELECT unnest(range(5)) AS fold) fo
+       LEFT JOIN ff ON ff.term = v.term AND ff.fold = fo.fold GROUP BY v.term, fo.fold),
+tt AS (SELECT term, fold, {rest} FROM ft),
+ccf AS (SELECT fold, sum(CASE WHEN label = 0 THEN weight ELSE 0 END) AS h0,
+               sum(CASE WHEN label = 1 THEN weight ELSE 0 END) AS h1 FROM folds GROUP BY fold),
+cct AS (SELECT fold, (SELECT c0 FROM cc) - h0 AS c0, (SELECT c1 FROM cc) - h1 AS c1 FROM ccf),
+mv AS (SELECT tt.fold, term, x0 / c0 AS m0, x1 / c1 AS m1, greatest(q0 / c0 - (x0 / c0) * (x0 / c0), 0) AS v0,
+              greatest(q1 / c1 - (x1 / c1) * (x1 / c1), 0) AS v1,
+              greatest((q0 + q1) / (c0 + c1) - ((x0 + x1) / (c0 + c1)) * ((x0 + x1) / (c0 + c1)), 0) AS va
+       FROM tt JOIN cct ON tt.fold = cct.fold),
+ev AS (SELECT g.param, mv.fold, g.param * max(va) AS eps FROM mv, grid g GROUP BY g.param, mv.fold),
+prm AS (SELECT ev.param, mv.fold, term, m0 / (v0 + eps) AS w0, m1 / (v1 + eps) AS w1, -0.5 / (v0 + eps) AS u0, -0.5 / (v1 + eps) AS u1,
+               -0.5 * ln(2 * pi() * (v0 + eps)) - 0.5 * m0 * m0 / (v0 + eps) AS k0,
+               -0.5 * ln(2 * pi() * (v1 + eps)) - 0.5 * m1 * m1 / (v1 + eps) AS k1
+        FROM mv JOIN ev ON mv.fold = ev.fold),
+kst AS (SELECT p.param, p.fold, ln(c.c0 / (c.c0 + c.c1)) + sum(p.k0) AS k0, ln(c.c1 / (c.c0 + c.c1)) + sum(p.k1) AS k1
+        FROM prm p JOIN cct c ON p.fold = c.fold GROUP BY p.param, p.fold, c.c0, c.c1),
+sums AS (SELECT p.param, ff.fold, ff.row_id, sum(ff.value * p.w0 + ff.value * ff.value * p.u0) AS s0,
+                sum(ff.value * p.w1 + ff.value * ff.value * p.u1) AS s1
+         FROM ff JOIN prm p ON ff.fold = p.fold AND ff.term = p.term GROUP BY p.param, ff.fold, ff.row_id),
+sc AS ({tail}"""
+
+
+_GRID_GNB = (1e-9, 1e-8, 1e-7, 1e-6, 1e-5)
+
+
+@register("grid_gnb", _cv_gnb_sql(_GRID_GNB) + f"""
+SELECT CAST(round(log10(param)) AS INTEGER) AS log_smoothing, {r6('avg(f1)')} AS mean_score, {r6('stddev_pop(f1)')} AS std_score,
+       {r6('min(f1)')} AS min_score, {r6('max(f1)')} AS max_score FROM scores GROUP BY param""")
 def q_grid_gnb(spark, sf_dir):
-    """F17/F18 of Gaussian Naive Bayes over its whole grid."""
+    """F17/F18 of Gaussian Naive Bayes over its whole grid; ``log_smoothing`` is the decimal logarithm of the parameter."""
     from textsieve.plans import models
 
     res, _ = models.grid_search("Gaussian Naive Bayes", training(spark, sf_dir), {"var_smoothing": list(_GRID_GNB)})
-    return round_doubles(res)
+    smoothing = F.regexp_extract("params", ": ([^}]+)", 1).cast("double")
+    return round_doubles(res.select(F.round(F.log10(smoothing)).cast("int").alias("log_smoothing"), "mean_score", "std_score",
+                                    "min_score", "max_score"))
 
 
 def _scaled_long(td) -> tuple[DataFrame, DataFrame]:

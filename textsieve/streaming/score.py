@@ -31,9 +31,13 @@ def score_stream(stream: DataFrame, predictor: Predictor, out_path: str, checkpo
     return q
 
 
-def run_to_table(query_df: DataFrame, name: str, checkpoint: str, mode: str = "append", once: bool = True):
-    """Drive a streaming DataFrame into an in-memory table ``name`` until all
-    available input is processed (``availableNow``), then stop."""
+def run_to_table(query_df: DataFrame, name: str, checkpoint: str, mode: str = "complete", once: bool = True):
+    """Drive a streaming aggregation into an in-memory table ``name`` until all
+    available input is processed (``availableNow``), then stop. The table is in
+    the driver: only for results of a fixed number of groups, such as counts
+    by label, in complete mode."""
+    if mode != "complete":
+        raise ValueError("rows of a stream belong in files (score_stream), not in the driver's memory")
     w = query_df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation",
                                                                                         checkpoint)
     q = w.trigger(availableNow=True).start() if once else w.start()
