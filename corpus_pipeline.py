@@ -12,24 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textsieve.llm import bpe, line_dedup, mixing, quality_rules, simhash
-from textsieve.llm.common import read
+from textsieve.llm.common import quoted, read
 from textsieve.session import drop_table, write_table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and both divergence rules; null and empty texts fail the base rule."""
-    staged = docs.select(F.struct("*").alias("_doc"), "text", "lang")
-    return (quality_rules.judged(staged).where("kept")
-            .select(*[F.col("_doc").getField(c).alias(c) for c in docs.columns]))
+    return quality_rules.with_verdict(docs).where(F.col("_llm_quality.kept")).select(*map(quoted, docs.columns))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the lines that at least three documents share and a larger doc_id keeps; ``n_chars``
     follows the text. A document that loses all its lines stays with an empty text."""
-    staged = docs.select(F.struct("*").alias("_doc"), "doc_id", "text")
-    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
-    return line_dedup.line_dedup(staged).select(
-        *[(new[c] if c in new else F.col("_doc").getField(c)).alias(c) for c in docs.columns])
+    kept = line_dedup.with_kept_lines(docs)
+    return kept.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else quoted(c) for c in docs.columns])
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

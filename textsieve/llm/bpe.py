@@ -24,10 +24,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textsieve.llm.common import read, with_results
+from textsieve.llm.common import own, read, text_batches, with_results
 
-#: Parts remembered by a Python worker, and the longest remembered: together they bound its memory.
-CACHE_PARTS, CACHE_CHARS = 400_000, 64
+#: Parts remembered by a Python worker, in two generations, and the longest remembered: they bound its memory.
+CACHE_PARTS, CACHE_CHARS = 250_000, 32
 #: Parts longer than this in one Encoding would hold much memory; they are rare, so they are encoded one at a time.
 PARTS = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 OTHER_SPACE = re.compile(r"[^\S \t-\r]")
@@ -85,36 +85,38 @@ class Codec:
         for token, i in vocab.items():
             self.token_bytes[i] = bytes(back[c] for c in token)
         self.lengths = np.array([len(b) for b in self.token_bytes], dtype=np.int64)
-        self.seen: dict[str, tuple[int, ...]] = {}
+        # ids of a part as packed numbers: a fifth of the size of a tuple of them
+        self.kind = np.dtype(np.uint16 if len(self.token_bytes) <= 1 << 16 else np.uint32)
+        self.seen: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def parts(self, text: str) -> list[str]:
         return CAREFUL.split(text) if OTHER_SPACE.search(text) else PARTS.findall(text)
 
-    def encode_batch(self, texts) -> list[list[int]]:
+    def encode_batch(self, texts) -> list[np.ndarray]:
         """Ids of each text."""
         cut = [self.parts(t) for t in texts]
-        seen = self.seen
-        if len(seen) > CACHE_PARTS:
-            seen.clear()
-        # parts are kept by the batch too, as the cache may be full before the batch is done
-        own: dict[str, tuple[int, ...]] = {}
-        new = list({p for parts in cut for p in parts if p not in seen})
+        if 2 * len(self.seen) > CACHE_PARTS:
+            self.older, self.seen = self.seen, {}
+        seen, older = self.seen, self.older
+        own: dict[str, bytes] = {}  # parts too long to be remembered
+        new = []
+        for p in {p for parts in cut for p in parts}:
+            if p not in seen:
+                if p in older:
+                    seen[p] = older[p]
+                else:
+                    new.append(p)
         for at in range(0, len(new), 1000):
             some = new[at:at + 1000]
             for p, e in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False)):
-                (seen if len(p) <= CACHE_CHARS else own)[p] = tuple(e.ids)
-        out = []
-        for parts in cut:
-            ids: list[int] = []
-            for p in parts:
-                ids.extend(seen[p] if p in seen else own[p])
-            out.append(ids)
-        return out
+                (seen if len(p) <= CACHE_CHARS else own)[p] = np.array(e.ids, dtype=self.kind).tobytes()
+        return [np.frombuffer(b"".join([seen[p] if p in seen else own[p] for p in parts]), dtype=self.kind) for parts in cut]
 
     def decode_bytes(self, ids) -> bytes:
         """The byte table in reverse; a token may end within a character, the whole is what counts."""
         table = self.token_bytes
-        return b"".join([table[i] for i in ids])
+        return b"".join([table[i] for i in (ids.tolist() if isinstance(ids, np.ndarray) else ids)])
 
     def decode(self, ids) -> str:
         """Text of the ids; bytes that form no character (ids cut within one) become U+FFFD."""
@@ -151,7 +153,6 @@ def with_tokens(docs: DataFrame, text_col: str = "text", path: str | None = None
     of the file's size. Null and empty texts have no ids. No special tokens: their strings are ordinary text. Rows
     are treated one by one, so repeated rows and any other columns stay as they are.
     """
-    cols = docs.columns
     model = docs.sparkSession.sparkContext.broadcast(load_model(path, pattern))
     schema = "ids array<int>" + (", starts array<int>, ends array<int>" if offsets else "")
 
@@ -159,20 +160,19 @@ def with_tokens(docs: DataFrame, text_col: str = "text", path: str | None = None
     def encode(texts: pd.Series) -> pd.DataFrame:
         c = codec(model.value)
         ids = c.encode_batch([t or "" for t in texts])
-        out = {"ids": ids}
+        out = {"ids": [x.astype(np.int32) for x in ids]}
         if offsets:
             both = [c.offsets(x) for x in ids]
             out |= {"starts": [b[0] for b in both], "ends": [b[1] for b in both]}
         return pd.DataFrame(out)
 
-    df = docs.select(F.struct("*").alias("_row"), encode(F.col(text_col)).alias("e"))
+    df = text_batches(docs).select("*", encode(F.col(text_col)).alias(own("codes")))
     names = ("ids", "starts", "ends") if offsets else ("ids",)
-    return with_results(df, cols, {n: F.col("e").getField(n) for n in names})
+    return with_results(df, docs.columns, {n: F.col(own("codes")).getField(n) for n in names})
 
 
 def decoded(df: DataFrame, ids_col: str = "ids", path: str | None = None, pattern: str | None = None) -> DataFrame:
     """``df`` with ``decoded``: the bytes of the ids (null ids: null)."""
-    cols = df.columns
     model = df.sparkSession.sparkContext.broadcast(load_model(path, pattern))
 
     @F.pandas_udf("binary")
@@ -180,8 +180,8 @@ def decoded(df: DataFrame, ids_col: str = "ids", path: str | None = None, patter
         c = codec(model.value)
         return pd.Series([None if x is None else c.decode_bytes(x) for x in ids], dtype=object)
 
-    staged = df.select(F.struct("*").alias("_row"), decode(F.col(ids_col)).alias("d"))
-    return with_results(staged, cols, {"decoded": F.col("d")})
+    staged = text_batches(df).select("*", decode(F.col(ids_col)).alias(own("decoded")))
+    return with_results(staged, df.columns, {"decoded": F.col(own("decoded"))})
 
 
 def token_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
@@ -197,12 +197,12 @@ def token_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         rows = []
         for at in range(0, len(texts), 256):  # ids of a few texts at a time
             for ids in c.encode_batch([t or "" for t in texts.iloc[at:at + 256]]):
-                own = [np.array(ids, dtype=np.int32)] if with_ids else []
-                rows.append((len(ids), *own, hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                own = [ids.astype(np.int32)] if with_ids else []
+                rows.append((len(ids), *own, hashlib.sha256(",".join(map(str, ids.tolist())).encode()).hexdigest(),
                              hashlib.sha256(c.decode_bytes(ids)).hexdigest()))
         return pd.DataFrame(rows, columns=names)
 
-    return docs.select(F.col(id_col), digest(F.col(text_col)).alias("d")).select(id_col, "d.*")
+    return text_batches(docs).select(F.col(id_col), digest(F.col(text_col)).alias("d")).select(id_col, "d.*")
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

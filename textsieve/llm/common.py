@@ -1,9 +1,8 @@
 """Helpers that several operators share.
 
-Every operator keeps the caller's columns in one struct (``_row``) while it
-works, so a column of the input may carry any name without clashing with a
-working column; a caller's column with the name of a result column is replaced
-by the result.
+Working columns stand beside the caller's under names with the prefix
+``_llm_``, which is reserved; any other name may occur in the input. A
+caller's column with the name of a result column is replaced by the result.
 """
 
 from __future__ import annotations
@@ -32,15 +31,30 @@ def n_words(c: Column) -> Column:
     return F.when(t == "", 0).otherwise(F.size(F.split(t, WORD_SPLIT))).cast("long")
 
 
+def own(name: str) -> str:
+    """Name of a working column."""
+    return f"_llm_{name}"
+
+
+def quoted(name: str) -> Column:
+    """A caller's column, whatever characters its name has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def with_results(df: DataFrame, original: list[str], results: dict[str, Column]) -> DataFrame:
-    """The caller's columns out of ``_row``, then the results; a result replaces a column of its name."""
+    """The caller's columns, then the results; a result replaces a column of its name."""
     low = {r.lower() for r in results}
-    return df.select(*[F.col("_row").getField(c).alias(c) for c in original if c.lower() not in low],
-                     *[v.alias(k) for k, v in results.items()])
+    keep = [quoted(c) for c in original if c.lower() not in low]
+    # results are made in a step of their own, so that none refers to another by a caller's name
+    out = df.select(*keep, F.struct(*[v.alias(k) for k, v in results.items()]).alias(own("results")))
+    return out.select(*keep, *[F.col(own("results")).getField(k).alias(k) for k in results])
 
 
-def same(a: Column, b: Column) -> Column:
-    return a.eqNullSafe(b)
+def text_batches(df: DataFrame, megabytes: int = 4) -> DataFrame:
+    """``df``, after bounding the bytes of an Arrow batch in its session: texts are of any length, and the default of
+    64 MB, held on both sides of the pipe by every task, is most of a small executor's memory."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{megabytes}m")
+    return df
 
 
-__all__ = ["read", "ascii_lower", "n_words", "with_results", "same", "write_table"]
+__all__ = ["read", "ascii_lower", "n_words", "own", "quoted", "with_results", "text_batches", "write_table"]

@@ -12,31 +12,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textsieve.llm.common import ASCII_WHITESPACE, ascii_lower, read, with_results, write_table
+from textsieve.llm.common import ASCII_WHITESPACE, ascii_lower, own, quoted, read, with_results, write_table
 
 
 def line_key(line: Column) -> Column:
     return ascii_lower(F.btrim(line, F.lit(ASCII_WHITESPACE)))
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20,
-               min_docs: int = 3) -> DataFrame:
-    """``docs`` with ``text`` rebuilt from the lines that stay, plus ``n_lines`` (before dropping) and ``n_dropped``.
-
-    A line's key is the line with ASCII white space stripped at both ends and
-    A-Z lower-cased. Keys of at least ``min_chars`` code points found in at
-    least ``min_docs`` distinct documents lose all their lines except in the
-    largest id that holds them. Null or empty texts have one empty line and
-    come back as ``''`` (null stays null). Rows that repeat an id count as one
-    document and are treated alike; all null ids together count as one
-    document, smaller than any other. An empty table gives an empty table.
-    """
-    cols = docs.columns
-    lines = F.split(F.coalesce(F.col("t"), F.lit("")), "\n", -1)
-    base = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-
+def with_kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20,
+                    min_docs: int = 3) -> DataFrame:
+    """``docs`` with ``text`` rebuilt, and ``_llm_n_lines`` and ``_llm_n_dropped``; see ``line_dedup``."""
+    text = F.col(text_col)
+    lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
     hashed = (
-        base.select("id", F.posexplode(lines).alias("pos", "line"))
+        docs.select(F.col(id_col).alias("id"), F.posexplode(lines).alias("pos", "line"))
         .select("id", "pos", line_key(F.col("line")).alias("key"))
         .where(F.length("key") >= min_chars)
         # two seeds: 128 bits
@@ -48,24 +37,40 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .where(F.col("n") >= min_docs)
         .select("h1", "h2", "keeper")
     )
+    gone = F.col(own("gone"))
     drops = (
         hashed.join(common, ["h1", "h2"])
         .where(F.col("id").isNull() | (F.col("id") < F.col("keeper")))
-        .groupBy("id").agg(F.collect_set("pos").alias("gone"))
-        .withColumnRenamed("id", "gone_id")
+        .groupBy(F.col("id").alias(own("id"))).agg(F.collect_set("pos").alias(own("gone")))
     )
-    # split before the join: the lambda below then reads a ready array
-    joined = base.select("_row", "id", "t", lines.alias("lines")).join(
-        drops, F.col("id").eqNullSafe(F.col("gone_id")), "left")
-    n = F.size("lines")
-    stay = F.array_except(F.sequence(F.lit(0), n - 1), F.col("gone"))
-    kept = F.when(F.col("gone").isNull(), F.col("t")).otherwise(
-        F.concat_ws("\n", F.transform(stay, lambda i: F.get(F.col("lines"), i))))
-    return with_results(joined, cols, {
-        text_col: kept,
-        "n_lines": n.cast("long"),
-        "n_dropped": F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long"),
-    })
+    # the lines travel in place of the text, and the lambda below reads a ready array; a null text has no array
+    others = [quoted(c) for c in docs.columns if c != text_col]
+    whole = docs.select(*others, F.when(text.isNotNull(), lines).alias(own("lines")))
+    joined = whole.join(drops, F.col(id_col).eqNullSafe(F.col(own("id"))), "left")
+    arr = F.col(own("lines"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(arr) - 1), gone)
+    kept = F.when(arr.isNull(), None).when(gone.isNull(), F.concat_ws("\n", arr)).otherwise(
+        F.concat_ws("\n", F.transform(stay, lambda i: F.get(arr, i))))
+    return joined.select(
+        *[kept.alias(c) if c == text_col else quoted(c) for c in docs.columns],
+        F.when(arr.isNull(), 1).otherwise(F.size(arr)).cast("long").alias(own("n_lines")),
+        F.when(gone.isNull(), 0).otherwise(F.size(gone)).cast("long").alias(own("n_dropped")))
+
+
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20,
+               min_docs: int = 3) -> DataFrame:
+    """``docs`` with ``text`` rebuilt from the lines that stay, plus ``n_lines`` (before dropping) and ``n_dropped``.
+
+    A line's key is the line with ASCII white space stripped at both ends and
+    A-Z lower-cased. Keys of at least ``min_chars`` code points found in at
+    least ``min_docs`` distinct documents lose all their lines except in the
+    largest id that holds them. Null or empty texts have one empty line; null
+    stays null. Rows that repeat an id count as one document and are treated
+    alike; all null ids together count as one document, smaller than any
+    other. An empty table gives an empty table.
+    """
+    return with_results(with_kept_lines(docs, id_col, text_col, min_chars, min_docs), docs.columns, {
+        "n_lines": F.col(own("n_lines")), "n_dropped": F.col(own("n_dropped"))})
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textsieve.llm.common import n_words, read, with_results, write_table
+from textsieve.llm.common import n_words, own, quoted, read, with_results, write_table
 
 WEIGHTS = (5, 2, 1)
 
@@ -116,6 +116,20 @@ def queue(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source"
                  F.first("target").alias("target")))
 
 
+def with_copies(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", **options) -> DataFrame:
+    """``docs`` with ``_llm_size``, ``_llm_source_size``, ``_llm_target`` and ``_llm_copies``; see ``mix``."""
+    per = queue(docs, id_col, text_col, source_col, **options)
+    per = write_table(per.select(*[F.col(c).alias(own(c)) for c in (
+        "id", "source", "size", "body", "rows", "k", "source_size", "target")]))
+    keyed = docs.select("*", F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias(own("text_md5")))
+    joined = keyed.join(per, F.col(id_col).eqNullSafe(F.col(own("id"))) & (F.col(own("text_md5")) == F.col(own("body")))
+                        & F.col(source_col).eqNullSafe(F.col(own("source"))))
+    # equal rows only: a window is the rows of one id, source and text
+    nth = F.row_number().over(W.partitionBy(own("id"), own("source"), own("body")).orderBy(F.lit(1))) - 1
+    k, rows = F.col(own("k")), F.col(own("rows"))
+    return joined.withColumn(own("copies"), (F.floor(k / rows) + (nth < k % rows).cast("long")).cast("long"))
+
+
 def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", weights=WEIGHTS, share: float = 1.0,
         max_copies: int = 3) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target``, ``copies`` and ``taken``.
@@ -125,30 +139,18 @@ def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source",
     of size 0 counts as taken when its finish time lies in the budget; its ``taken`` is 0 all the same. An empty
     table gives an empty table. The order depends on ids and texts alone, so reruns agree.
     """
-    cols = docs.columns
-    per = write_table(queue(docs, id_col, text_col, source_col, weights, share, max_copies))
-    base = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("a"), F.col(source_col).alias("b"),
-                       n_words(F.col(text_col)).alias("d"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("e"))
-    joined = base.join(per, F.col("a").eqNullSafe(F.col("id")) & F.col("b").eqNullSafe(F.col("source"))
-                       & (F.col("d") == F.col("size")) & (F.col("e") == F.col("body")))
-    # equal rows only: a group of rows with the same id, source and text
-    nth = F.row_number().over(W.partitionBy("id", "source", "size", "body").orderBy(F.lit(1))) - 1
-    share_of = F.floor(F.col("k") / F.col("rows")) + (nth < F.col("k") % F.col("rows")).cast("long")
-    joined = joined.withColumn("copies", share_of)
-    return with_results(joined, cols, {
-        "size": F.col("size"), "source_size": F.col("source_size"), "target": F.col("target"),
-        "copies": F.col("copies").cast("long"), "taken": (F.col("size") * F.col("copies")).cast("long")})
+    df = with_copies(docs, id_col, text_col, source_col, weights=weights, share=share, max_copies=max_copies)
+    get = lambda c: F.col(own(c))
+    return with_results(df, docs.columns, {
+        **{c: get(c) for c in ("size", "source_size", "target", "copies")}, "taken": (get("size") * get("copies")).cast("long")})
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as many times as it is taken, with the columns of ``docs``."""
-    cols = docs.columns
-    names = [options.pop(f"{c}_col", name) for c, name in (("id", "doc_id"), ("text", "text"), ("source", "source"))]
-    kept = mix(docs.select(F.struct("*").alias("_doc"), *[F.col(n).alias(c) for n, c in
-                                                          zip(names, ("doc_id", "text", "source"))]), **options)
-    return (kept.where(F.col("copies") > 0)
-            .select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_c"))
-            .select(*[F.col("_doc").getField(c).alias(c) for c in cols]))
+    copies = F.col(own("copies"))
+    return (with_copies(docs, **options).where(copies > 0)
+            .select(*map(quoted, docs.columns), F.explode(F.sequence(F.lit(1), copies)).alias(own("nth")))
+            .select(*map(quoted, docs.columns)))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

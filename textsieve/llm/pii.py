@@ -179,7 +179,8 @@ def fit_labelers(counts: list[tuple[int, int, int, int, float]], rounds: int = 1
     """
     keys = sorted({(k, v) for k, v, *_ in counts})
     n = np.array([sum(c[4] for c in counts if c[:2] == key) for key in keys], dtype=float)
-    votes = np.array([[(v // 3 ** (len(LABELERS) - 1 - i)) % 3 for i in range(len(LABELERS))] for _, v in keys]).reshape(-1, len(LABELERS))
+    votes = np.array([[(v // 3 ** (len(LABELERS) - 1 - i)) % 3 for i in range(len(LABELERS))] for _, v in keys],
+                     dtype=int).reshape(-1, len(LABELERS))
     kinds = np.array([k for k, _ in keys], dtype=int)
     post = 1 / (1 + np.exp(-2.0 * (votes - 1).sum(axis=1)))  # majority vote to start with
     prior, rate = {}, np.full((len(LABELERS), 2, 3), 1 / 3)
@@ -210,7 +211,7 @@ def _features(kind: int, votes: int, long: int, edge: int) -> list[float]:
 def fit_classifier(counts: list[tuple[int, int, int, int, float]], posterior: dict, rounds: int = 50, ridge: float = 1.0) -> np.ndarray:
     """Logistic regression by Newton steps on feature combinations, weighted by count, with the labelers'
     probabilities as soft targets."""
-    x = np.array([_features(*c[:4]) for c in counts]).reshape(len(counts), -1)
+    x = np.array([_features(*c[:4]) for c in counts]).reshape(len(counts), len(_features(0, 0, 0, 0)))
     y = np.array([posterior[c[:2]] for c in counts])
     n = np.array([c[4] for c in counts], dtype=float)
     w = np.zeros(len(_features(0, 0, 0, 0)))

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textsieve.llm.common import read
+from textsieve.llm.common import read, text_batches
 from textsieve.llm.quality_rules import CLASSES, OTHER_WORD, class_counts, word_counts, words_of
 
 #: At most so many labelled rows, the first by the md5 of their id, are used to fit. The bound of the driver's memory.
@@ -200,7 +200,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
         return pd.Series([features_of(t) for t in texts])
 
     # max_rows rows of two numbers: a proven bound
-    rows = (docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).join(F.broadcast(chosen), "k")
+    rows = (text_batches(docs).select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).join(F.broadcast(chosen), "k")
             .select("k", "y", features("t").alias("x")).groupBy("k").agg(F.min("x").alias("x"), F.min("y").alias("y"))
             .toPandas().sort_values("k"))
     x = np.array(rows["x"].tolist(), dtype=float).reshape(-1, len(FEATURES))
@@ -217,7 +217,7 @@ def scored(docs: DataFrame, model: AdditiveModel, id_col: str = "doc_id", text_c
         x = np.array([features_of(t) for t in texts], dtype=float).reshape(-1, len(FEATURES))
         return pd.Series(shared.value.score(x))
 
-    return (docs.select(F.col(id_col), held_out(id_col).alias("held_out"), score(F.col(text_col)).alias("score"))
+    return (text_batches(docs).select(F.col(id_col), held_out(id_col).alias("held_out"), score(F.col(text_col)).alias("score"))
             .withColumn("predicted", (F.col("score") >= accept).cast("int")))
 
 

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textsieve.llm.common import read, with_results
+from textsieve.llm.common import own, read, text_batches, with_results
 
 # Frequent function words of each language.
 COMMON_WORDS = {
@@ -181,7 +181,8 @@ def language_references(docs: DataFrame, text_col: str = "text", lang_col: str =
 
     lang = F.when(F.col(lang_col).isin(*languages), F.col(lang_col)).otherwise(F.lit(""))
     # the sums by bin combine map-side: a few rows leave each task
-    sums = (docs.select(lang.alias("lang"), units(F.col(text_col)).alias("h")).where("h is not null")
+    # declared nondeterministic, or the filter below would be pushed down and run it a second time
+    sums = (text_batches(docs).select(lang.alias("lang"), units.asNondeterministic()(F.col(text_col)).alias("h")).where("h is not null")
             .select("lang", F.posexplode("h").alias("bin", "n")).groupBy("lang", "bin").agg(F.sum("n").alias("n")))
     out: dict[str, np.ndarray] = {}
     for r in sums.collect():
@@ -189,44 +190,50 @@ def language_references(docs: DataFrame, text_col: str = "text", lang_col: str =
     return {k: (v[:N_CLASSES] / v[:N_CLASSES].sum(), v[N_CLASSES:] / v[N_CLASSES:].sum()) for k, v in sorted(out.items())}
 
 
-def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", references=None,
-           max_class_distance: float = MAX_CLASS_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE) -> DataFrame:
-    """``docs`` with the base counts, ``base_failed``, ``class_distance``, ``word_distance`` and ``kept``.
-
-    ``references`` is what ``language_references`` returns (learned from ``docs`` if not given). A document is
-    compared with every reference and the nearest counts, so a wrong or null language does no harm. Distances below
-    the guards (``MIN_CHARS`` characters, ``MIN_HIST_WORDS`` words) or without any reference are null and reject
-    nothing. Null and empty texts have no words and fail the base rule. Rows are judged one by one; an empty table
-    gives an empty table.
-    """
-    cols = docs.columns
+def with_verdict(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", references=None,
+                 max_class_distance: float = MAX_CLASS_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE) -> DataFrame:
+    """``docs`` with a struct ``_llm_quality`` of all that ``judged`` tells."""
     refs = language_references(docs, text_col, lang_col) if references is None else references
     class_refs = np.array([r[0] for r in refs.values()])
     word_refs = np.array([r[1] for r in refs.values()])
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance",
+             "word_distance", "kept"]
 
     @F.pandas_udf("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-                  "base_failed boolean, class_distance double, word_distance double")
+                  "base_failed boolean, class_distance double, word_distance double, kept boolean")
     def judge(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for t in texts:
             t = t or ""
             words = words_of(t)
             base = base_counts(t, words)
+            failed = base_fails(base[0], base[4])
             cd = distance(class_counts(t), class_refs) if len(refs) and len(t) >= MIN_CHARS else None
             wd = distance(word_counts(words), word_refs) if len(refs) and len(words) >= MIN_HIST_WORDS else None
-            rows.append((*base, base_fails(base[0], base[4]), cd, wd))
-        return pd.DataFrame(rows, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                                           "base_failed", "class_distance", "word_distance"]).astype(
-            {"class_distance": float, "word_distance": float})
-
-    df = docs.select(F.struct("*").alias("_row"), judge(F.col(text_col)).alias("q"))
-    far = lambda c, most: F.coalesce(F.nanvl(F.col(f"q.{c}"), F.lit(0.0)) > most, F.lit(False))
-    kept = ~F.col("q.base_failed") & ~far("class_distance", max_class_distance) & ~far("word_distance", max_word_distance)
+            kept = not (failed or (cd or 0) > max_class_distance or (wd or 0) > max_word_distance)
+            rows.append((*base, failed, cd, wd, kept))
+        return pd.DataFrame(rows, columns=names).astype({"class_distance": float, "word_distance": float})
+
+    # declared nondeterministic, or a caller's filter on the verdict would run it a second time
+    return text_batches(docs).select("*", judge.asNondeterministic()(F.col(text_col)).alias(own("quality")))
+
+
+def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
+    """``docs`` with the base counts, ``base_failed``, ``class_distance``, ``word_distance`` and ``kept``.
+
+    ``references`` is what ``language_references`` returns (learned from ``docs`` if not given). A document is
+    compared with every reference and the nearest counts, so a wrong or null language does no harm. Distances below
+    the guards (``MIN_CHARS`` characters, ``MIN_HIST_WORDS`` words) or without any reference are null and reject
+    nothing. Null and empty texts have no words and fail the base rule. Rows are judged one by one; an empty table
+    gives an empty table.
+    """
+    df = with_verdict(docs, text_col, lang_col, **options)
+    q = F.col(own("quality"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
-    return with_results(df, cols, {
-        **{n: F.col(f"q.{n}") for n in names},
-        **{n: F.when(~F.isnan(f"q.{n}"), F.col(f"q.{n}")) for n in ("class_distance", "word_distance")},
-        "kept": kept})
+    return with_results(df, docs.columns, {
+        **{n: q.getField(n) for n in names},
+        **{n: F.when(~F.isnan(q.getField(n)), q.getField(n)) for n in ("class_distance", "word_distance")},
+        "kept": q.getField("kept")})
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,9 +17,10 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from textsieve.llm.common import read, write_table
+from textsieve.llm.common import own, quoted, read, text_batches, write_table
 from textsieve.llm.components import components
 
 SEED = 42
@@ -124,7 +125,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     ``component_id`` is the smallest id reachable (null only if no row of the component has an id); ``keeper`` is
     the (id, body) of the one document that stands for it, ``body`` being the md5 of the text.
     """
-    rows = write_table(docs.select(F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("body"),
+    rows = write_table(text_batches(docs).select(F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("body"),
                                    fingerprint(F.col(text_col), words).alias("fp")))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("body").alias("body")))
     distinct = write_table(rows.groupBy("fp").agg(first.alias("least")))
@@ -154,18 +155,14 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 max_bits: int = 3) -> DataFrame:
     """The rows of ``docs`` that stand for their near-duplicate group: the one with the smallest id (null ids last,
     ties by the md5 of the text, equal rows once)."""
-    from pyspark.sql import Window as W
-
-    cols = docs.columns
     _, groups = classes(docs, id_col, text_col, words, max_bits)
     # one row per component, not one per fingerprint of a large one
-    keepers = write_table(groups.select("keeper.id", "keeper.body").distinct())
-    staged = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("a"),
-                         F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("b"))
-    kept = staged.join(keepers, F.col("a").eqNullSafe(F.col("id")) & (F.col("b") == F.col("body")))
+    keepers = write_table(groups.select(F.col("keeper.id").alias(own("id")), F.col("keeper.body").alias(own("body"))).distinct())
+    keyed = docs.select("*", F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias(own("text_md5")))
+    kept = keyed.join(keepers, F.col(id_col).eqNullSafe(F.col(own("id"))) & (F.col(own("text_md5")) == F.col(own("body"))))
     # equal rows of one id and text
-    nth = F.row_number().over(W.partitionBy("a", "b").orderBy(F.lit(1)))
-    return kept.withColumn("nth", nth).where("nth = 1").select(*[F.col("_row").getField(c).alias(c) for c in cols])
+    nth = F.row_number().over(W.partitionBy(own("id"), own("body")).orderBy(F.lit(1)))
+    return kept.withColumn(own("nth"), nth).where(F.col(own("nth")) == 1).select(*map(quoted, docs.columns))
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
