@@ -17,7 +17,7 @@ broadcast, and nothing but the size of the input reaches the driver.
 from __future__ import annotations
 
 import math
-from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textsieve.llm.common import read
+from textsieve.llm.common import read, text_batches
 from textsieve.session import write_table
 
 WINDOW = 13
@@ -72,25 +72,11 @@ def unpack_documents(data: bytes) -> tuple[np.ndarray, list[str]]:
 
 # -- windows --------------------------------------------------------------------
 
-@lru_cache(maxsize=1)
-def _known() -> dict[bytes, int]:
-    return {}
-
-
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    """A 64-bit hash of each word; hashes of frequent words are remembered, up to a bound."""
+    """A 64-bit hash of each word (hashing is cheaper than remembering: a table of words misses the caches)."""
     from xxhash import xxh3_64_intdigest
 
-    known = _known()
-    if len(known) > 500_000:
-        known.clear()
-    out = []
-    for w in words:
-        h = known.get(w)
-        if h is None:
-            h = known[w] = xxh3_64_intdigest(w)
-        out.append(h)
-    return np.array(out, dtype=np.uint64)
+    return np.fromiter(map(xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
 
 
 class Unit:
@@ -120,7 +106,7 @@ class Unit:
         at = np.repeat(starts, self.n) + _within(self.n)
         self.doc = np.repeat(np.arange(len(texts)), self.n)
         h1, h2 = lanes[0][at], lanes[1][at]
-        order = np.lexsort((h2, h1))
+        order = _order(h1, h2)
         h1, h2 = h1[order], h2[order]
         new = np.ones(len(order), dtype=bool)
         new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
@@ -144,15 +130,27 @@ class Unit:
         gone = least[self.place] < self.ids[self.doc]
         out, at = [], 0
         for words, n in zip(self.words, self.n):
-            step = np.zeros(len(words) + 1, dtype=np.int64)
             hit = np.flatnonzero(gone[at:at + n])
-            np.add.at(step, hit, 1)
-            np.add.at(step, hit + self.window, -1)
-            out.append(np.cumsum(step[:-1]) > 0)
             at += n
+            if not len(hit):
+                out.append(np.zeros(len(words), dtype=bool))
+                continue
+            step = np.zeros(len(words) + 1, dtype=np.int64)
+            step[hit] += 1  # places differ within each of the two
+            step[hit + self.window] -= 1
+            out.append(np.cumsum(step[:-1]) > 0)
         return out
 
 
+def _order(h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+    """Places in the order of (h1, h2). Rarely are two h1 equal and their h2 not; only then both are sorted."""
+    order = np.argsort(h1)
+    tied = h1[order][1:] == h1[order][:-1]
+    if (tied & (h2[order][1:] != h2[order][:-1])).any():
+        order = np.lexsort((h2, h1))
+    return order
+
+
 def _within(n: np.ndarray) -> np.ndarray:
     """0, 1, ... n-1 for each n, one after another."""
     ends = np.cumsum(n)
@@ -185,7 +183,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     empty texts, and texts shorter than the window, lose nothing. Windows are taken from the input, not from what is
     left of it. An empty table gives an empty table.
     """
-    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    plain = text_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     size = plain.agg(F.sum(F.octet_length("t")).alias("n")).first()["n"] or 0
     # a word and its space are two bytes at least, and seven or so in prose: at most a cell in two is taken, mostly less
     bits = max(16, math.ceil(math.log2(size + 1)))
@@ -272,7 +270,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 at += 8 + n
             got.append((np.cumsum(parts[0], dtype=np.uint64), parts[1], parts[2]))
         h1, h2, least = (np.concatenate(c) for c in zip(*got))
-        order = np.lexsort((h2, h1))
+        order = _order(h1, h2)
         new = np.ones(len(order), dtype=bool)
         new[1:] = (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1])
         lowest = np.empty(len(order), dtype=np.int64)
@@ -302,7 +300,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             lower = np.unpackbits(expand(d[8:8 + n], np.uint8), count=b - a).astype(bool)
             least[yes[a:b][lower]] = expand(d[16 + n:], np.int64)
         gone = u.removed(least)
-        kept = [b" ".join([w for w, g in zip(words, go.tolist()) if not g] if go.any() else words).decode("utf-8", "surrogatepass")
+        kept = [b" ".join(compress(words, (~go).tolist()) if go.any() else words).decode("utf-8", "surrogatepass")
                 for words, go in zip(u.words, gone)]
         return pa.Table.from_arrays([
             pa.array([None if i == NO_ID else i for i in u.ids.tolist()], pa.int64()),
