@@ -16,7 +16,6 @@ below the target.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +25,8 @@ from textsieve.llm.components import components
 
 #: Bounds of a task's memory: classes of a shard, and rows that teach a cell its clusters.
 SHARD, SAMPLE = 1024, 4096
+#: Rows of a cell that find their clusters in one task.
+PART = 8192
 #: Of a node: nearest classes considered, links kept, and how much nearer a kept link must be to stand in for another.
 NEAREST, DEGREE, ALPHA = 48, 24, 1.2
 BEAM = 24
@@ -185,14 +186,15 @@ def shards(classes: DataFrame, size: int = SHARD, overlap: int = 2, sample: int
     Level by level, each cell that is too large teaches its clusters from a sample of ``sample`` rows at most, drawn by
     hash, in a task of its own; a cell has at most 64 clusters, so its centres are one small row.
     """
-    @F.pandas_udf("array<int>")
-    def nearest(vecs: pd.Series, centres: pd.Series) -> pd.Series:
-        out = []
-        for v, c in zip(vecs, centres):
-            c = np.stack(c)
-            s = c @ v
-            out.append(np.argsort(-s, kind="stable")[:overlap].astype(np.int32))
-        return pd.Series(out)
+    def to_nearest(key, table, centres):
+        """The rows of one cell's part, each in its nearest clusters."""
+        if not table.num_rows or not centres.num_rows:
+            return pa.schema([("cid", pa.int64()), ("vec", pa.list_(pa.float64())), ("n", pa.int64()), ("cell", pa.string())]).empty_table()
+        c = np.array(centres.column("centres")[0].as_py())
+        x = np.stack(table.column("vec").to_numpy(zero_copy_only=False))
+        near = np.argsort(-(x @ c.T), axis=1, kind="stable")[:, :overlap]
+        out = table.select(["cid", "vec", "n"]).take(pa.array(np.repeat(np.arange(len(x)), near.shape[1])))
+        return out.append_column("cell", pa.array([f"{key[0].as_py()}.{k}" for k in near.ravel()], pa.string()))
 
     def centres_of(key, table):
         x = np.stack(table.column("vec").to_numpy(zero_copy_only=False))
@@ -214,9 +216,12 @@ def shards(classes: DataFrame, size: int = SHARD, overlap: int = 2, sample: int
                  .where(F.col("h") * F.col("total") < F.lit(sample * 0.9 * (1 << 30))))
         centres = write_table(drawn.select("cell", "vec", "h", "total").groupBy("cell").applyInArrow(
             centres_of, "cell string, centres array<array<double>>"))
-        open_cells = write_table(
-            open_cells.join(centres, "cell").select("cid", "vec", "n", "cell", F.explode(nearest("vec", "centres")).alias("k"))
-            .select("cid", "vec", "n", F.concat_ws(".", "cell", "k").alias("cell")))
+        # a large cell is dealt in parts of bounded size; its centres go once to each part
+        parts = F.ceil(F.col("total") / PART).cast("int")
+        rows = open_cells.join(large, "cell").select("cell", F.pmod(F.xxhash64(F.lit(3), "cid"), parts).cast("int").alias("part"), "cid", "vec", "n")
+        sent = centres.join(large, "cell").select("cell", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), "centres")
+        open_cells = write_table(rows.groupBy("cell", "part").cogroup(sent.groupBy("cell", "part")).applyInArrow(
+            to_nearest, "cid long, vec array<double>, n long, cell string"))
     else:
         done.append(open_cells.select("cid", "vec", "n", F.col("cell").alias("shard")))
     out = done[0]
