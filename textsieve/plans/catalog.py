@@ -849,8 +849,11 @@ def q_model_results(spark, sf_dir):
 @register("nb_results", _RESULTS_SQL + f"""SELECT model, CAST(ord AS INTEGER) AS ord, {r6('accuracy')} AS accuracy,
   {r6('precision')} AS precision, {r6('recall')} AS recall, {r6('f1')} AS f1 FROM results WHERE ord < 2""")
 def q_nb_results(spark, sf_dir):
-    """The Naive Bayes rows of ``model_results``."""
-    return round_doubles(recommended_run(spark, sf_dir).results.where(F.col("model").endswith("Naive Bayes")).select(
+    """The Naive Bayes rows of ``model_results``, through the same estimators."""
+    from textsieve.plans import models, run
+
+    names = [n for n in models.RECOMMENDED if n.endswith("Naive Bayes")]
+    return round_doubles(run.train_models(None, names, td=training(spark, sf_dir)).results.select(
         "model", "ord", "accuracy", "precision", "recall", "f1"))
 
 
@@ -867,7 +870,7 @@ def q_default_run(spark, sf_dir):
 
     path = _scratch(spark, "run")
     base = train.labelled_messages(spark, sf_dir)
-    _, best = run.default_run(base, path, td=training(spark, sf_dir))
+    run.default_run(base, path, run=recommended_run(spark, sf_dir))
     entry = predict.latest_model(spark.read.parquet(f"{path}/registry"))
     saved = spark.read.json(f"{path}/summary/models").where("is_best").select("model", "f1", "training_time")
     info = spark.read.json(f"{path}/summary/dataset").select("n_rows", "n_spam", "n_ham")

@@ -35,10 +35,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textsieve.operators import bayes, evaluate, sampling
-from textsieve.session import cut_lineage
+from textsieve.session import cut_lineage, ensure_checkpoint_dir
 
 #: Spark's trees go no deeper; ``max_depth=None`` (no limit) means this depth.
 SPARK_MAX_DEPTH = 30
+# The tolerances at which the reference's solvers stop.
+LR_TOL, SVM_TOL = 1e-4, 1e-3
 #: Held-out folds from which the probabilities of a linear SVM are learned.
 PLATT_FOLDS = 3
 #: Steps of a fold's fit: its margins need not be as exact as the model itself.
@@ -66,6 +68,13 @@ def vectors(docs: DataFrame, feats: DataFrame, n_terms: int, std: DataFrame | No
     return docs.join(rows, id_col, "left").withColumn("features", as_vector["x"]).drop("_e")
 
 
+def for_fitting(rows: DataFrame) -> DataFrame:
+    """``rows`` in the checkpoint folder, in partitions that Spark sizes by their bytes: an iterative fit runs a job over
+    them hundreds of times, so there should be as many as the data fill and no more."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    return rows.hint("rebalance").checkpoint()
+
+
 def training_vectors(td, scaled: bool) -> tuple[DataFrame, DataFrame | None, int]:
     """``(row_id, label, weight, features)`` of the training rows, the scale (or none), and the number of terms.
     Kept with the training data, so that models fitted in turn share them."""
@@ -74,8 +83,7 @@ def training_vectors(td, scaled: bool) -> tuple[DataFrame, DataFrame | None, int
         n = td.vocab.count()
         std = cut_lineage(bayes.scale_std(td.feats_train, td.docs_train, td.vocab)) if scaled else None
         rows = vectors(td.docs_train.select("row_id", "label", "weight"), td.feats_train, n, std)
-        # no number of partitions: an iterative fit runs a job over them many times, so Spark sizes them by their bytes
-        cache[scaled] = cut_lineage(rows.repartition("row_id")), std, n
+        cache[scaled] = for_fitting(rows), std, n
     return cache[scaled]
 
 
@@ -124,7 +132,7 @@ def _lr(p):
     _only(p, "max_iter", "solver", "random_state", "C", "penalty")
     if p.get("solver") not in (None, "liblinear", "saga", "lbfgs"):
         _no_param("solver")
-    return LogisticRegression(maxIter=int(p.get("max_iter", 100)), regParam=_reg(p.get("C", 1.0), p["_n"]),
+    return LogisticRegression(maxIter=int(p.get("max_iter", 100)), tol=LR_TOL, regParam=_reg(p.get("C", 1.0), p["_n"]),
                               elasticNetParam=1.0 if p.get("penalty") == "l1" else 0.0, standardization=False,
                               weightCol="weight")
 
@@ -133,7 +141,7 @@ def _svc(p):
     _only(p, "max_iter", "kernel", "C", "probability", "random_state")
     if p.get("kernel", "linear") != "linear":
         raise ValueError("kernel SVMs run on explicit feature maps: use textsieve.plans.kernels")
-    return LinearSVC(maxIter=int(p.get("max_iter", 100)), regParam=_reg(p.get("C", 1.0), p["_n"]),
+    return LinearSVC(maxIter=int(p.get("max_iter", 100)), tol=SVM_TOL, regParam=_reg(p.get("C", 1.0), p["_n"]),
                      standardization=False, weightCol="weight")
 
 
@@ -321,7 +329,7 @@ def fit_platt_svm(est, rows: DataFrame, folds: int = PLATT_FOLDS) -> list:
     """a linear SVM on all rows, and Platt's one-feature logistic regression on margins of rows that the SVM of
     their fold has not seen."""
     which = sampling.kfold_assign(rows.select("row_id", "label"), folds).select("row_id", "fold")
-    dealt = cut_lineage(rows.join(which, "row_id"))
+    dealt = for_fitting(rows.join(which, "row_id"))
     ids = [r[0] for r in dealt.select("fold").distinct().orderBy("fold").collect()]
     held, rough = None, est.copy({est.maxIter: min(PLATT_STEPS, est.getMaxIter())})
     for f in ids:

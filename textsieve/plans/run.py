@@ -44,11 +44,11 @@ def train_models(base: DataFrame, selected: list[str] | None = None, params: dic
     return Run(results, fitted, td)
 
 
-def default_run(base: DataFrame, path: str, metric: str = "f1", **options) -> tuple[Run, str]:
-    """``train_models``, then under ``path``: the best model's bundle, a row in ``registry`` and ``summary``. Returns the run
+def default_run(base: DataFrame, path: str, metric: str = "f1", run: Run | None = None, **options) -> tuple[Run, str]:
+    """``train_models`` (unless a ``run`` is given), then under ``path``: the best model's bundle, a row in ``registry`` and ``summary``. Returns the run
     and the best model's name."""
     spark = base.sparkSession
-    run = train_models(base, **options)
+    run = run or train_models(base, **options)
     best = rank.best_model(run.results, metric).first()
     bundle = f"{path}/models/{best['model'].replace(' ', '_').lower()}"
     run.predictor(best["model"]).save(bundle)
