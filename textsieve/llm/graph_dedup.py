@@ -132,8 +132,8 @@ def range_search(x: np.ndarray, links: list[np.ndarray], queries: np.ndarray, en
             pair = np.unique(q * (n + 1) + i)
             q, i = pair // (n + 1), pair % (n + 1)
             seen[q, i] = True
-            for at in range(0, len(q), 1 << 16):
-                a, b = q[at:at + (1 << 16)], i[at:at + (1 << 16)]
+            for at in range(0, len(q), 1 << 14):
+                a, b = q[at:at + (1 << 14)], i[at:at + (1 << 14)]
                 sims[a, b] = np.einsum("rd,rd->r", queries[a], x[b])
 
     visit(np.repeat(np.arange(m), [len(e) for e in entries]), np.concatenate(entries).astype(np.int64))
@@ -154,8 +154,9 @@ def range_search(x: np.ndarray, links: list[np.ndarray], queries: np.ndarray, en
         if not len(q):
             return sims[:, :n] >= least
         done[q, i] = True
-        for at in range(0, len(q), 1 << 14):
-            a, b = q[at:at + (1 << 14)], i[at:at + (1 << 14)]
+        step = max(1, (1 << 18) // adj.shape[1])  # links looked at together
+        for at in range(0, len(q), step):
+            a, b = q[at:at + step], i[at:at + step]
             visit(np.repeat(a, adj.shape[1]), adj[b].ravel())
 
 
@@ -296,10 +297,13 @@ def search(dealt: DataFrame, graph: DataFrame, least: float, beam: int = BEAM) -
             part = slice(at, at + 256)
             found = range_search(x, links, q_vec[part], entries[part], least, beam)
             pairs_q, pairs_i = np.nonzero(found)
-            # verified: the full cosine in double precision
-            u, v = q_vec[part][pairs_q], x[pairs_i]
-            cosine = np.einsum("rd,rd->r", u, v) / np.sqrt(np.einsum("rd,rd->r", u, u) * np.einsum("rd,rd->r", v, v))
-            pairs_q, pairs_i = pairs_q[cosine >= least], pairs_i[cosine >= least]
+            # verified: the full cosine in double precision, some pairs at a time
+            sure = np.zeros(len(pairs_q), dtype=bool)
+            for k in range(0, len(sure), 1 << 14):
+                u, v = q_vec[part][pairs_q[k:k + (1 << 14)]], x[pairs_i[k:k + (1 << 14)]]
+                squares = np.einsum("rd,rd->r", u, u) * np.einsum("rd,rd->r", v, v)
+                sure[k:k + (1 << 14)] = np.einsum("rd,rd->r", u, v) / np.sqrt(squares) >= least
+            pairs_q, pairs_i = pairs_q[sure], pairs_i[sure]
             own = q_cid[part]
             other = cids[pairs_i] != own[pairs_q]
             pairs_q, pairs_i = pairs_q[other], pairs_i[other]
