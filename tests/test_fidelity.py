@@ -44,3 +44,15 @@ def test_preprocess_keeps_order_and_repeats(spark):
     assert got == {1: "cat cat saw bus cat", 2: "", 3: "", 4: ""}
     stems = T.preprocess_text(df, stemming=True).where(F.col("row_id") == 1).first()["preprocessed_text"]
     assert stems == "cat cat saw bu cat"
+
+
+def test_random_features_of_a_document_without_a_term(spark):
+    from textsieve.plans import kernels
+
+    from textsieve.session import write_table
+
+    vocab = write_table(spark.createDataFrame([("a",), ("b",)], "term string"))
+    long = write_table(spark.createDataFrame([(1, "a", 1.0), (1, "b", 2.0)], "row_id long, term string, value double"))
+    docs = write_table(spark.createDataFrame([(1,), (2,)], "row_id long"))
+    got = {(r.row_id, r.j): r.value for r in kernels.rff_features(long, docs, vocab, 5).collect()}
+    assert len(got) == 10 and any(got[1, j] != got[2, j] for j in range(5))

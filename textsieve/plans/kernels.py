@@ -65,9 +65,10 @@ def rff_arrays(long: DataFrame, docs: DataFrame, vocab: DataFrame, n_components:
         w = F.broadcast(w)
     part = long.select(id_col, "term", "value").join(w, "term").select(
         id_col, array_to_vector(F.transform("w", lambda x: x * F.col("value"))).alias("_p"))
-    proj = part.groupBy(id_col).agg(Summarizer.sum(F.col("_p")).alias("_s"))
+    # to arrays before the join: there is no vector for a document without a term
+    proj = part.groupBy(id_col).agg(Summarizer.sum(F.col("_p")).alias("_v")).select(id_col, vector_to_array("_v").alias("_s"))
     zero = F.array_repeat(F.lit(0.0), n_components)
-    p = F.coalesce(vector_to_array("_s"), zero)
+    p = F.coalesce(F.col("_s"), zero)
     shift = lambda j: _uniform(j, F.lit("b"), seed=seed) * (2.0 * math.pi)
     z = F.transform(p, lambda x, j: math.sqrt(2.0 / n_components) * F.cos(x + shift(j)))
     return docs.select(id_col).join(proj, id_col, "left").select(id_col, z.alias("z"))
