@@ -1,8 +1,10 @@
+import itertools
 import math
 
 import numpy as np
 
 from textsieve.llm import graph_dedup
+from textsieve.llm.components import components
 
 SCHEMA = "vec_id long, embedding array<float>, label int, cell string, n int"
 
@@ -79,3 +81,48 @@ def test_graph_reaches_every_row():
     there = x @ x.T >= 0.8
     assert not (found & ~there).any() and found.sum() >= 0.99 * there.sum()
     assert graph_dedup.build_graph(x[:1])[0].size == 0
+
+
+def on_circle(degrees):
+    return [math.cos(math.radians(degrees)), math.sin(math.radians(degrees))]
+
+
+def test_chains_stay_whole_in_every_order_of_ids(spark):
+    """Four vectors in a chain, of which only neighbours are linked: in one shard, and in two that share a vector."""
+    orders = list(itertools.permutations(range(4)))
+    rows, chains = [], []
+    for k, order in enumerate(orders):
+        for places in (["s"] * 4, ["s", "s", "t", "t"], ["s", "st", "t", "t"], ["s", "s", "st", "t"]):
+            chain = [4 * len(chains) + c for c in order]
+            rows += [(chain[j], on_circle(20.0 * j), 1, f"{len(chains)}{s}") for j in range(4) for s in places[j]]
+            chains.append((chain, places))
+    dealt = spark.createDataFrame(rows, "cid long, vec array<double>, n long, shard string")
+    counts, links = graph_dedup.search(dealt, graph_dedup.united_graph(dealt), 0.9)
+    root = {r.node: r.root for r in components(links).collect()}
+    split = [c for c, places in chains if places != ["s", "s", "t", "t"] and len({root.get(x, x) for x in c}) > 1]
+    assert split == []
+    # nothing joins shards that share no vector
+    assert all(root[c[0]] == root[c[1]] != root[c[2]] == root[c[3]] for c, places in chains if places == ["s", "s", "t", "t"])
+
+
+def test_components_of_sparse_groups_equal_brute_force(spark):
+    rng = np.random.default_rng(5)
+    ids = rng.permutation(600).tolist()
+    rows = [(ids[k], on_circle(float(rng.uniform(0, 360))), k % 60) for k in range(600)]
+    want = brute(rows, 0.9)
+    got, _ = run(spark, rows, least=0.9)
+    assert got == want and len({w[2] for w in want}) > 60
+
+
+def test_unite_equals_brute_force():
+    rng = np.random.default_rng(6)
+    for n, m in ((1, 0), (2, 1), (50, 20), (50, 45), (300, 200), (300, 900)):
+        a, b = rng.integers(0, n, m), rng.integers(0, n, m)
+        want = np.arange(n)
+        for _ in range(n):
+            for x, y in zip(a, b):
+                want[x] = want[y] = min(want[x], want[y])
+        root = np.arange(n)
+        for at in range(0, m, 64):
+            root = graph_dedup.unite(root, a[at:at + 64], b[at:at + 64])
+        assert (root == want).all()

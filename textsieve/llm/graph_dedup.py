@@ -160,6 +160,19 @@ def range_search(x: np.ndarray, links: list[np.ndarray], queries: np.ndarray, en
             visit(np.repeat(a, adj.shape[1]), adj[b].ravel())
 
 
+def unite(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``root`` (the least member of each place's group) once the groups of ``a[k]`` and ``b[k]`` are one, for every k."""
+    while True:
+        x, y = root[a], root[b]
+        apart = x != y
+        if not apart.any():
+            return root
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root = root[root]
+
+
 # -- the passes -----------------------------------------------------------------
 
 def unit_classes(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
@@ -249,7 +262,8 @@ def united_graph(dealt: DataFrame) -> DataFrame:
 
 
 def search(dealt: DataFrame, graph: DataFrame, least: float, beam: int = BEAM) -> tuple[DataFrame, DataFrame]:
-    """``cid, found`` (classes counted with their copies, in parts) and links ``a, b`` that join what was found."""
+    """``cid, found`` (classes counted with their copies, in parts) and links ``a, b`` that join what was found: of each
+    shard's run, every class that all its pairs together join to a lesser one, with the least of them."""
     nodes = write_table(dealt.join(graph, "cid").select("shard", "cid", "vec", "n", "nbrs", "homes"))
     result = "kind int, cid long, found long, a long, b long, shard string, visited array<string>, vec array<double>"
     schema = pa.schema([("kind", pa.int32()), ("cid", pa.int64()), ("found", pa.int64()), ("a", pa.int64()), ("b", pa.int64()),
@@ -282,6 +296,8 @@ def search(dealt: DataFrame, graph: DataFrame, least: float, beam: int = BEAM) -
             for c in rows:
                 rows[c].append(row.get(c))
 
+        # groups of the shard's rows and, after them, its guests
+        root = np.arange(len(cids) + (0 if first else len(q_cid)))
         rules: dict[tuple, tuple] = {}
 
         def rule(been: tuple) -> tuple[np.ndarray, dict[str, np.ndarray]]:
@@ -307,15 +323,18 @@ def search(dealt: DataFrame, graph: DataFrame, least: float, beam: int = BEAM) -
             own = q_cid[part]
             other = cids[pairs_i] != own[pairs_q]
             pairs_q, pairs_i = pairs_q[other], pairs_i[other]
+            root = unite(root, pairs_q + at + (0 if first else len(cids)), pairs_i)
             for q in np.unique(pairs_q).tolist():
                 hits = pairs_i[pairs_q == q]
                 here, onward = rule(tuple(visited[at + q]))
                 put(kind=0, cid=int(own[q]), found=int(n[hits][here[hits]].sum()))
-                put(kind=1, a=int(own[q]), b=int(cids[hits].min()))
                 for s, there in onward.items():
                     if there[hits].any():
                         put(kind=2, cid=int(own[q]), shard=s, a=int(cids[hits[there[hits]]].min()),
                             visited=list(visited[at + q]), vec=q_vec[at + q].tolist())
+        node = cids if first else np.concatenate([cids, q_cid])
+        for k in np.flatnonzero(root != np.arange(len(root))).tolist():
+            put(kind=1, a=int(node[k]), b=int(node[root[k]]))
         return pa.table({c: pa.array(v, schema.field(c).type) for c, v in rows.items()}, schema=schema)
 
     def at_home(key, table):
