@@ -142,3 +142,22 @@ def test_leaky_order_weights(spark):
     assert td.docs_test.agg(F.sum("weight")).first()[0] == math.ceil(0.3 * n_up)
     cm = catalog.QUERIES["leaky_confusion_matrix"](spark, SF_SMALL).collect()
     assert abs(sum(r["n"] for r in cm) - math.ceil(0.3 * n_up)) < 1e-9
+
+
+def test_model_queries_use_the_defaults_of_the_registry(spark, monkeypatch):
+    import pytest
+
+    from textsieve.plans import models
+
+    class Asked(Exception):
+        pass
+
+    def asked(name, params=None, create=models.create_model):
+        raise Asked(name, create(name, params).params)
+
+    monkeypatch.setattr(models, "create_model", asked)
+    for q, name, key, value in (("random_forest", "Random Forest", "n_estimators", 100), ("gbt", "Gradient Boosting", "n_estimators", 100),
+                                ("tree_importances", "Random Forest", "n_estimators", 100), ("mlp", "Neural Network", "max_iter", 1000)):
+        with pytest.raises(Asked) as e:
+            catalog.QUERIES[q](spark, "no data")
+        assert e.value.args == (name, models.REGISTRY[name].default) and e.value.args[1][key] == value

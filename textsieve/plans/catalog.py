@@ -703,21 +703,18 @@ def _ml_query(name: str, params: dict | None = None):
     return q
 
 
-# The given tables are small: forests and boosted trees of 20 trees rather than the default 100 keep the check short.
-for _q, _name, _params in (("logistic_regression", "Logistic Regression", None),
-                           ("linear_svc_platt", "Support Vector Machine", None),
-                           ("random_forest", "Random Forest", {"n_estimators": 20}),
-                           ("gbt", "Gradient Boosting", {"n_estimators": 20}),
-                           ("decision_tree", "Decision Tree", None),
-                           ("mlp", "Neural Network", {"max_iter": 100})):
-    register(_q)(_ml_query(_name, _params))
+# Each with the registry's own defaults.
+for _q, _name in (("logistic_regression", "Logistic Regression"), ("linear_svc_platt", "Support Vector Machine"),
+                  ("random_forest", "Random Forest"), ("gbt", "Gradient Boosting"),
+                  ("decision_tree", "Decision Tree"), ("mlp", "Neural Network")):
+    register(_q)(_ml_query(_name))
 
 
 @register("tree_importances")
 def q_tree_importances(spark, sf_dir):
     from textsieve.operators import rank
 
-    model = fitted(spark, sf_dir, "Random Forest", {"n_estimators": 20})
+    model = fitted(spark, sf_dir, "Random Forest")
     return round_doubles(rank.top_importances(model.importances(training(spark, sf_dir).vocab), 20))
 
 
