@@ -161,3 +161,22 @@ def test_model_queries_use_the_defaults_of_the_registry(spark, monkeypatch):
         with pytest.raises(Asked) as e:
             catalog.QUERIES[q](spark, "no data")
         assert e.value.args == (name, models.REGISTRY[name].default) and e.value.args[1][key] == value
+
+
+def test_folds_of_platt_are_fitted_as_the_model_itself(spark, monkeypatch):
+    import pytest
+    from pyspark.ml.linalg import Vectors
+
+    from textsieve.plans import models
+
+    class Fitted(Exception):
+        pass
+
+    def fit(self, rows):
+        raise Fitted(self.getMaxIter())
+
+    monkeypatch.setattr(models.LinearSVC, "_fit", fit)
+    rows = spark.createDataFrame([(i, i % 2, 1, Vectors.dense([float(i)])) for i in range(12)], ["row_id", "label", "weight", "features"])
+    with pytest.raises(Fitted) as e:  # the first fold's
+        models.fit_platt_svm(models._svc({"_n": 12}), rows)
+    assert e.value.args == (100,)

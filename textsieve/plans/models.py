@@ -43,8 +43,6 @@ SPARK_MAX_DEPTH = 30
 LR_TOL, SVM_TOL = 1e-4, 1e-3
 #: Held-out folds from which the probabilities of a linear SVM are learned.
 PLATT_FOLDS = 3
-#: Steps of a fold's fit: its margins need not be as exact as the model itself.
-PLATT_STEPS = 25
 
 
 # --- V13: vectors ----------------------------------------------------------
@@ -331,9 +329,9 @@ def fit_platt_svm(est, rows: DataFrame, folds: int = PLATT_FOLDS) -> list:
     which = sampling.kfold_assign(rows.select("row_id", "label"), folds).select("row_id", "fold")
     dealt = for_fitting(rows.join(which, "row_id"))
     ids = [r[0] for r in dealt.select("fold").distinct().orderBy("fold").collect()]
-    held, rough = None, est.copy({est.maxIter: min(PLATT_STEPS, est.getMaxIter())})
+    held = None
     for f in ids:
-        part = margins(rough.fit(dealt.where(F.col("fold") != f)).transform(dealt.where(F.col("fold") == f)))
+        part = margins(est.fit(dealt.where(F.col("fold") != f)).transform(dealt.where(F.col("fold") == f)))
         part = part.select("label", "weight", "_m")
         held = part if held is None else held.unionByName(part)
     platt = LogisticRegression(featuresCol="_m", labelCol="label", weightCol="weight", maxIter=100).fit(held)
