@@ -1,6 +1,9 @@
+import math
 import random
 import re
+import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -17,16 +20,17 @@ def brute_base(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     grams = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
-    covered = {i + k for i, g in enumerate(grams) if grams.count(g) > 1 for k in range(3)}
-    lines = text.split("\n")
-    dup = sum(1 for i, x in enumerate(lines) if re.search(r"[^\x20\x09-\x0D]", x) and x in lines[:i])
+    times = Counter(grams)
+    covered = {i + k for i, g in enumerate(grams) if times[g] > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    dup = len(lines) - len(set(lines))
     return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(covered),
             len(words) < 50 or 100 * len(covered) > 50 * len(words))
 
 
 def test_base_equals_brute_force(spark):
     rng = random.Random(2)
-    rows = documents(5, 30, (0, 120)) + [r for r in EDGES if r[0] != 8]
+    rows = documents(5, 30, (0, 120)) + EDGES
     rows += [(100 + i, " ".join(rng.choice("abc") for _ in range(rng.randrange(80))), "en", "a", 1) for i in range(20)]
     got = qr.judged(table(spark, rows, ["kept", "q", "base_failed", "n_words"])).collect()
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
@@ -35,6 +39,104 @@ def test_base_equals_brute_force(spark):
     assert qr.judged(table(spark, [])).collect() == []
 
 
+def brute_class(c):
+    """The class of a character, by its Unicode category."""
+    kind = unicodedata.category(c)
+    if c.isspace():
+        return "space"
+    if ord(c) >= 0x10000:
+        return "letter" if c.isalpha() else "symbol"
+    if c.islower():
+        return "lower"
+    if c.isupper():
+        return "upper"
+    if kind[0] == "L":
+        return "letter"
+    if c.isnumeric():
+        return None
+    if c in ".,;:!?\"'()-’‘“”«»…–—¿¡":
+        return "punctuation"
+    return "other" if kind in ("Cc", "Cf", "Cs", "Co", "Cn", "Zl", "Zp", "Zs") else "symbol"
+
+
+def brute_histograms(text):
+    classes = Counter(k for k in map(brute_class, text) if k)
+    listed = {w for ws in qr.COMMON_WORDS.values() for w in ws}
+    words = Counter(w if w in listed else None for w in
+                    (w.lower().strip(".,;:!?\"'()") for w in re.findall(r"[^\x20\x09-\x0D]+", text)))
+    return classes, words
+
+
+def brute_distance(h, ref):
+    """Jensen-Shannon distance of two histograms, by the definition."""
+    n, m, total = sum(h.values()), sum(ref.values()), 0.0
+    for k in {*h, *ref}:
+        p, q = h.get(k, 0) / n, ref.get(k, 0) / m
+        for x in (p, q):
+            if x:
+                total += x * math.log2(2 * x / (p + q)) / 2
+    return math.sqrt(min(1, max(0, total)))
+
+
+def brute_verdicts(rows):
+    """``doc_id, kept, class distance, word distance`` of each row, learned from all of them."""
+    refs, seen = {}, Counter()
+    read = [(r, brute_base(r[1]), *brute_histograms(r[1] or "")) for r in rows]
+    for (_, _, lang, *_), base, c, w in read:
+        if base[-1] or 100 * c["symbol"] > 3 * sum(c.values()) or 4 * c["upper"] > c["upper"] + c["lower"]:
+            continue
+        lang = lang if lang in qr.LANGUAGES else ""
+        seen[lang] += 1
+        for own, h in zip(refs.setdefault(lang, (Counter(), Counter())), (c, w)):
+            for k, n in h.items():
+                own[k] += n / sum(h.values())
+    if seen[""] < qr.MIN_OTHER_DOCS:
+        refs.pop("", None)
+    out = []
+    for (i, t, lang, *_), base, c, w in read:
+        pool = [v for k, v in refs.items() if k or lang not in qr.LANGUAGES]
+        cd = min((brute_distance(c, v[0]) for v in pool), default=0) if len(t or "") >= 200 and c else 0
+        wd = min((brute_distance(w, v[1]) for v in pool), default=0) if base[0] >= 300 else 0
+        out.append((i, not base[-1] and cd <= qr.MAX_CLASS_DISTANCE and wd <= qr.MAX_WORD_DISTANCE, cd, wd))
+    return out
+
+
+def prose(spark):
+    return [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(
+        "doc_id", "text", "lang", "source", "n_chars").collect()]
+
+
+def junk(lang, n=5):
+    rng = random.Random(4)
+    say = lambda: "".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(rng.randint(2, 9)))
+    return [(10**6 + i, " ".join(say() for _ in range(400)), lang, "s", 1) for i in range(n)]
+
+
+def same_verdicts(spark, rows):
+    got = {r.doc_id: r for r in qr.judged(table(spark, rows)).collect()}
+    for i, kept, c, w in brute_verdicts(rows):
+        assert got[i].kept == kept
+        assert abs((got[i].class_distance or 0) - c) < 2e-4 and abs((got[i].word_distance or 0) - w) < 2e-4
+    return got
+
+
+def test_verdicts_equal_brute_force(spark, monkeypatch):
+    rows = [(i, t, lang if i % 9 else ("it" if i % 2 else None), *r) for i, t, lang, *r in prose(spark) if len(t or "") < 6000]
+    got = same_verdicts(spark, rows)
+    assert any(r.kept for r in got.values()) and any(not r.kept and not r.base_failed for r in got.values())
+    # other languages with a reference of their own
+    monkeypatch.setattr(qr, "MIN_OTHER_DOCS", 5)
+    same_verdicts(spark, rows)
+
+
+def test_junk_does_not_approve_itself(spark):
+    rows = [r for r in prose(spark) if len(r[1] or "") < 6000]
+    for lang in ("en", None, "xx"):
+        got = same_verdicts(spark, rows + junk(lang))
+        assert not any(got[i].kept for i, *_ in junk(lang))
+        assert all(got[i].word_distance > qr.MAX_WORD_DISTANCE for i, *_ in junk(lang))
+
+
 def test_long_text_and_distance():
     words = qr.words_of("long line of words " * 3000)
     assert qr.n_repeated(words) == 12000 == len(words)

@@ -41,6 +41,8 @@ N_CLASSES = len(CLASSES) - 1
 UNITS = 1 << 20
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
+#: Other and null languages have a reference of their own only where it rests on so many documents.
+MIN_OTHER_DOCS = 1_000
 #: Guards: a histogram of fewer characters or words is not judged.
 MIN_CHARS, MIN_HIST_WORDS = 200, 300
 #: Verdicts: the largest Jensen-Shannon distance (0 to 1) to the nearest language reference that is still prose.
@@ -161,8 +163,9 @@ def base_fails(n_words: int, n_repeat: int) -> bool:
 
 def language_references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                         languages=LANGUAGES) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Mean class and word histograms of each language, over all documents that pass the base rule and are plain. Other and null languages make one reference of their own, so the result is ``len(languages) + 1`` rows
-    of fixed width."""
+    """Mean class and word histograms of each language, over all documents that pass the base rule and are plain. Other and
+    null languages make one reference of their own, under ``""``, if it rests on ``MIN_OTHER_DOCS`` documents. So the result
+    is ``len(languages) + 1`` rows of fixed width at most."""
     @F.pandas_udf("array<long>")
     def units(texts: pd.Series) -> pd.Series:
         out = []
@@ -176,7 +179,7 @@ def language_references(docs: DataFrame, text_col: str = "text", lang_col: str =
                 out.append(None)
                 continue
             both = [np.rint(h * (UNITS / max(1, h.sum()))).astype(np.int64) for h in (classes, word_counts(words))]
-            out.append(np.concatenate(both))
+            out.append(np.concatenate([*both, [1]]))
         return pd.Series(out)
 
     lang = F.when(F.col(lang_col).isin(*languages), F.col(lang_col)).otherwise(F.lit(""))
@@ -186,43 +189,50 @@ def language_references(docs: DataFrame, text_col: str = "text", lang_col: str =
             .select("lang", F.posexplode("h").alias("bin", "n")).groupBy("lang", "bin").agg(F.sum("n").alias("n")))
     out: dict[str, np.ndarray] = {}
     for r in sums.collect():
-        out.setdefault(r["lang"], np.zeros(N_CLASSES + OTHER_WORD + 1))[r["bin"]] = r["n"]
-    return {k: (v[:N_CLASSES] / v[:N_CLASSES].sum(), v[N_CLASSES:] / v[N_CLASSES:].sum()) for k, v in sorted(out.items())}
+        out.setdefault(r["lang"], np.zeros(N_CLASSES + OTHER_WORD + 2))[r["bin"]] = r["n"]
+    if "" in out and out[""][-1] < MIN_OTHER_DOCS:
+        del out[""]
+    share = lambda v: v / v.sum()
+    return {k: (share(v[:N_CLASSES]), share(v[N_CLASSES:-1])) for k, v in sorted(out.items())}
 
 
 def with_verdict(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", references=None,
                  max_class_distance: float = MAX_CLASS_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE) -> DataFrame:
     """``docs`` with a struct ``_llm_quality`` of all that ``judged`` tells."""
     refs = language_references(docs, text_col, lang_col) if references is None else references
-    class_refs = np.array([r[0] for r in refs.values()])
-    word_refs = np.array([r[1] for r in refs.values()])
+    # the reference of other languages judges nothing but documents of other languages
+    known = [v for k, v in refs.items() if k]
+    pools = [[np.array([r[i] for r in pool]) for i in (0, 1)] for pool in (known, [*known, *[refs[k] for k in refs if not k]])]
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance",
              "word_distance", "kept"]
 
     @F.pandas_udf("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
                   "base_failed boolean, class_distance double, word_distance double, kept boolean")
-    def judge(texts: pd.Series) -> pd.DataFrame:
+    def judge(texts: pd.Series, other: pd.Series) -> pd.DataFrame:
         rows = []
-        for t in texts:
+        for t, o in zip(texts, other):
             t = t or ""
+            class_refs, word_refs = pools[int(o)]
             words = words_of(t)
             base = base_counts(t, words)
             failed = base_fails(base[0], base[4])
-            cd = distance(class_counts(t), class_refs) if len(refs) and len(t) >= MIN_CHARS else None
-            wd = distance(word_counts(words), word_refs) if len(refs) and len(words) >= MIN_HIST_WORDS else None
+            cd = distance(class_counts(t), class_refs) if len(class_refs) and len(t) >= MIN_CHARS else None
+            wd = distance(word_counts(words), word_refs) if len(word_refs) and len(words) >= MIN_HIST_WORDS else None
             kept = not (failed or (cd or 0) > max_class_distance or (wd or 0) > max_word_distance)
             rows.append((*base, failed, cd, wd, kept))
         return pd.DataFrame(rows, columns=names).astype({"class_distance": float, "word_distance": float})
 
     # declared nondeterministic, or a caller's filter on the verdict would run it a second time
-    return text_batches(docs).select("*", judge.asNondeterministic()(F.col(text_col)).alias(own("quality")))
+    other = ~F.coalesce(F.col(lang_col).isin(*LANGUAGES), F.lit(False))
+    return text_batches(docs).select("*", judge.asNondeterministic()(F.col(text_col), other).alias(own("quality")))
 
 
 def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
     """``docs`` with the base counts, ``base_failed``, ``class_distance``, ``word_distance`` and ``kept``.
 
     ``references`` is what ``language_references`` returns (learned from ``docs`` if not given). A document is
-    compared with every reference and the nearest counts, so a wrong or null language does no harm. Distances below
+    compared with every language and the nearest counts, so a wrong or null language does no harm; one of another or
+    null language also with the reference of these, if there is one. Distances below
     the guards (``MIN_CHARS`` characters, ``MIN_HIST_WORDS`` words) or without any reference are null and reject
     nothing. Null and empty texts have no words and fail the base rule. Rows are judged one by one; an empty table
     gives an empty table.
