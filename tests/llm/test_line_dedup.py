@@ -48,6 +48,20 @@ def test_edges(spark):
     assert [r[2] for r in run(spark, three)] == [1, 1, 0]
 
 
+def test_rows_of_one_id_lose_their_own_lines(spark):
+    shared = "a line that several documents share"
+    others = [(i, shared, "en", "a", 1) for i in (8, 9, 10)]
+    for i in (5, None):
+        rows = [(i, f"{shared}\nown text of one row", "en", "a", 1), (i, f"own text of the other\n{shared}", "en", "a", 1)] + others
+        got = run(spark, rows)
+        assert got == brute(rows)
+        mine = sorted(r[2:] for r in got if r[0] == i)
+        assert mine == [(1, "own text of one row"), (1, "own text of the other")]
+    # many null ids: one document, each row with its own lines
+    rows = [(None, f"row {k}\n" * (k % 3) + shared + f"\nthe end of row number {k}", "en", "a", 1) for k in range(12)] + others
+    assert run(spark, rows) == brute(rows)
+
+
 def test_plan_is_native(spark):
     df = line_dedup.line_dedup(table(spark, documents(1, 5)))
     plan = df._jdf.queryExecution().executedPlan().toString()

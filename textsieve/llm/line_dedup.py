@@ -3,8 +3,9 @@ hash, drop lines over the threshold, reassemble by position.
 
 Built-in functions only. The explode carries a 128-bit hash, never the line,
 so a passage that a third of all documents share costs one small row per
-document; the counts combine map-side, and the rows go back to their documents
-over a join whose two sides Spark can split where a key is hot.
+document; the hashes are made once, the counts combine map-side, and the rows
+that go meet their documents over a join of plain tables, which Spark splits
+where a key is hot. Texts move once.
 """
 
 from __future__ import annotations
@@ -23,13 +24,15 @@ def with_kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     min_docs: int = 3) -> DataFrame:
     """``docs`` with ``text`` rebuilt, and ``_llm_n_lines`` and ``_llm_n_dropped``; see ``line_dedup``."""
     text = F.col(text_col)
-    lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
-    hashed = (
-        docs.select(F.col(id_col).alias("id"), F.posexplode(lines).alias("pos", "line"))
-        .select("id", "pos", line_key(F.col("line")).alias("key"))
+    # a row is known by its id and text: rows of one id may have other texts, and those of one text lose the same lines
+    row = F.xxhash64(text)
+    hashed = write_table(
+        docs.select(F.col(id_col).alias("id"), row.alias("row"),
+                    F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n", -1)).alias("pos", "line"))
+        .select("id", "row", "pos", line_key(F.col("line")).alias("key"))
         .where(F.length("key") >= min_chars)
         # two seeds: 128 bits
-        .select("id", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key").alias("h2"))
+        .select("id", "row", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key").alias("h2"))
     )
     common = write_table(
         hashed.groupBy("h1", "h2")
@@ -41,19 +44,19 @@ def with_kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     drops = (
         hashed.join(common, ["h1", "h2"])
         .where(F.col("id").isNull() | (F.col("id") < F.col("keeper")))
-        .groupBy(F.col("id").alias(own("id"))).agg(F.collect_set("pos").alias(own("gone")))
+        .groupBy(F.col("id").alias(own("id")), F.col("row").alias(own("row")))
+        .agg(F.collect_set("pos").alias(own("gone")))
     )
-    # the lines travel in place of the text, and the lambda below reads a ready array; a null text has no array
-    others = [quoted(c) for c in docs.columns if c != text_col]
-    whole = docs.select(*others, F.when(text.isNotNull(), lines).alias(own("lines")))
-    joined = whole.join(drops, F.col(id_col).eqNullSafe(F.col(own("id"))), "left")
-    arr = F.col(own("lines"))
-    stay = F.array_except(F.sequence(F.lit(0), F.size(arr) - 1), gone)
-    kept = F.when(arr.isNull(), None).when(gone.isNull(), F.concat_ws("\n", arr)).otherwise(
-        F.concat_ws("\n", F.transform(stay, lambda i: F.get(arr, i))))
+    # texts stream past a hash table of the drops of their partition: they are neither sorted nor held
+    joined = docs.join(drops.hint("shuffle_hash"),
+                       F.col(id_col).eqNullSafe(F.col(own("id"))) & (row == F.col(own("row"))), "left")
+    n_lines = F.when(text.isNull(), 1).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
+    # an array of one element names the lines, so that a text is split once and not for each line that stays
+    rebuilt = F.transform(F.array(F.split(text, "\n", -1)), lambda lines: F.concat_ws("\n", F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone), lambda i: F.get(lines, i))))[0]
     return joined.select(
-        *[kept.alias(c) if c == text_col else quoted(c) for c in docs.columns],
-        F.when(arr.isNull(), 1).otherwise(F.size(arr)).cast("long").alias(own("n_lines")),
+        *[F.when(gone.isNull(), text).otherwise(rebuilt).alias(c) if c == text_col else quoted(c) for c in docs.columns],
+        n_lines.cast("long").alias(own("n_lines")),
         F.when(gone.isNull(), 0).otherwise(F.size(gone)).cast("long").alias(own("n_dropped")))
 
 
@@ -65,9 +68,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A-Z lower-cased. Keys of at least ``min_chars`` code points found in at
     least ``min_docs`` distinct documents lose all their lines except in the
     largest id that holds them. Null or empty texts have one empty line; null
-    stays null. Rows that repeat an id count as one document and are treated
-    alike; all null ids together count as one document, smaller than any
-    other. An empty table gives an empty table.
+    stays null. Rows that repeat an id count as one document, and each row
+    loses its own lines only; all null ids together count as one document,
+    smaller than any other. An empty table gives an empty table.
     """
     return with_results(with_kept_lines(docs, id_col, text_col, min_chars, min_docs), docs.columns, {
         "n_lines": F.col(own("n_lines")), "n_dropped": F.col(own("n_dropped"))})
