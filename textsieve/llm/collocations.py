@@ -7,7 +7,7 @@ whose capacity exceeds its mass divided by the threshold: the summary never
 underestimates by the threshold or more, so every n-gram that reaches it
 survives. The partition answers each unit with those of its n-grams that
 survive. Second pass: the units count only these, exactly and by their words,
-and Spark adds the counts up by phrase.
+and the counts are added up by phrase.
 
 Every part of a frequent phrase is at least as frequent, so the table of exact
 counts holds all that a score needs. Units and partitions are bounded, nothing
@@ -16,8 +16,12 @@ is broadcast, and nothing but totals by language reaches the driver.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from zlib import crc32
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +46,8 @@ UNIT_SCHEMA = pa.schema([("unit", pa.int64()), ("lang", pa.string()), ("n", pa.i
                          ("ids", pa.binary()), ("begins", pa.binary())])
 MESSAGE_SCHEMA = pa.schema([("part", pa.int64()), ("unit", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 HIT_SCHEMA = pa.schema([("unit", pa.int64()), ("part", pa.int64()), ("keys", pa.binary())])
-COUNT_SCHEMA = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("k", pa.int32()), ("f", pa.int64())])
+COUNT_SCHEMA = pa.schema([("lang", pa.string()), ("part", pa.int64()), ("phrases", pa.binary()), ("counts", pa.binary())])
+PHRASE_SCHEMA = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("k", pa.int32()), ("f", pa.int64())])
 
 
 # -- units ------------------------------------------------------------------------
@@ -66,7 +71,7 @@ def to_units(batches):
     for batch in batches:
         lang, texts = batch.column(0), batch.column(1)
         for name in lang.unique():
-            own = texts.filter(pa.compute.equal(lang, name))
+            own = texts.filter(pc.equal(lang, name))
             ids, words, _, begins = split_words(own, CLASSES)
             if len(ids):
                 yield _batch([((part << 32) + seq, name.as_py(), len(ids), pack_words(words), squeeze(ids.astype(np.int32)),
@@ -109,7 +114,7 @@ class Ngrams:
         return all_of[first], np.diff(np.append(first, len(all_of)))
 
     def exact(self, longest: int, bits: int, cells: np.ndarray):
-        """``phrase, n, count`` of each distinct n-gram whose cell is among the sorted ``cells``."""
+        """``phrase, count`` of each distinct n-gram whose cell is among the sorted ``cells``."""
         for n, h, ok in self.orders(longest):
             cell = h >> np.uint64(64 - bits)
             at = np.searchsorted(cells, cell)
@@ -127,7 +132,7 @@ class Ngrams:
                 first = np.flatnonzero(new)
                 tuples, counts = tuples[first], np.diff(np.append(first, len(start)))
             for t, c in zip(tuples.tolist(), counts.tolist()):
-                yield b" ".join([self.words[i] for i in t]), n, c
+                yield b" ".join([self.words[i] for i in t]), c
 
 
 # -- summaries ----------------------------------------------------------------------
@@ -213,21 +218,39 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
         return survivors(table, min_count)
 
     def count(own: pa.Table, hits: pa.Table) -> pa.Table:
+        """The exact counts of a unit, packed by the hash of the phrase: few rows, whatever the number of phrases."""
         if not own.num_rows or not hits.num_rows:
             return pa.Table.from_batches([_batch([], COUNT_SCHEMA)])
         row = own.to_pylist()[0]
         cells = [np.cumsum(expand(k, np.uint64), dtype=np.uint64) + np.uint64(p << KEY_BITS)
                  for p, k in sorted(zip(hits.column("part").to_pylist(), hits.column("keys").to_pylist()))]
         grams = Ngrams(row["lang"], row["words"], row["ids"], row["begins"])
-        found = list(grams.exact(longest, bits, np.concatenate(cells)))
-        return pa.Table.from_arrays([
-            pa.array([row["lang"]] * len(found), pa.string()), pa.array([p.decode("utf-8") for p, _, _ in found], pa.string()),
-            pa.array([n for _, n, _ in found], pa.int32()), pa.array([c for _, _, c in found], pa.int64())], schema=COUNT_SCHEMA)
+        packed: dict[int, tuple[list, list]] = {}
+        for phrase, c in grams.exact(longest, bits, np.concatenate(cells)):
+            phrases, counts = packed.setdefault(crc32(phrase) & ((1 << part_bits) - 1), ([], []))
+            phrases.append(phrase)
+            counts.append(c)
+        return pa.Table.from_batches([_batch([
+            (row["lang"], part, squeeze(np.frombuffer(b"\n".join(phrases), np.uint8)), squeeze(np.array(counts, np.uint32)))
+            for part, (phrases, counts) in packed.items()], COUNT_SCHEMA)])
+
+    def add_up(batches):
+        """One hash partition of a language's phrases. The phrases that survived, a bounded share of the partition's mass,
+        are all that is held."""
+        total: dict[bytes, int] = {}
+        for batch in batches:
+            for lang, phrases, counts in zip(*[batch.column(c).to_pylist() for c in ("lang", "phrases", "counts")]):
+                for phrase, c in zip(expand(phrases, np.uint8).tobytes().split(b"\n"), expand(counts, np.uint32).tolist()):
+                    total[phrase] = total.get(phrase, 0) + c
+        found = [(lang, phrase.decode("utf-8"), phrase.count(b" ") + 1, c) for phrase, c in total.items() if c >= min_count]
+        yield _batch(found, PHRASE_SCHEMA)
 
+    add_up.__annotations__ = {"batches": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}
     messages = units.mapInArrow(send, "part long, unit long, keys binary, counts binary")
     hits = messages.groupBy("part").applyInArrow(answer, "unit long, part long, keys binary")
-    counts = units.groupBy("unit").cogroup(hits.groupBy("unit")).applyInArrow(count, "lang string, phrase string, k int, f long")
-    exact = counts.groupBy("lang", "phrase").agg(F.min("k").alias("k"), F.sum("f").alias("f")).where(F.col("f") >= min_count)
+    counts = units.groupBy("unit").cogroup(hits.groupBy("unit")).applyInArrow(
+        count, "lang string, part long, phrases binary, counts binary")
+    exact = counts.groupBy("lang", "part").applyInArrow(add_up, "lang string, phrase string, k int, f long")
     return write_table(exact), totals
 
 
