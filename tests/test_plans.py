@@ -68,9 +68,9 @@ def test_failed_model_is_a_row_and_curves_need_a_name(spark):
     from textsieve.plans import run
 
     td = catalog.training(spark, SF_SMALL)
-    r = run.train_models(None, ["K-Nearest Neighbors", "Multinomial Naive Bayes"], td=td)
+    r = run.train_models(None, ["K-Nearest Neighbors", "Multinomial Naive Bayes"], {"K-Nearest Neighbors": {"p": 3}}, td=td)
     rows = {x.model: x for x in r.results.collect()}
-    assert "not built" in rows["K-Nearest Neighbors"].error and rows["Multinomial Naive Bayes"].error is None
+    assert "p=3" in rows["K-Nearest Neighbors"].error and rows["Multinomial Naive Bayes"].error is None
     assert "roc_curve" in r.curves("Multinomial Naive Bayes")
     for name in ("K-Nearest Neighbors", "nobody"):
         with pytest.raises(ValueError):
@@ -110,7 +110,7 @@ def test_grid_search(spark):
     ranked = {r.params: r.mean_score for r in res.collect()}
     assert len(ranked) == 2 and ranked[str(best)] == max(ranked.values())
     for name, grid in (("Random Forest", {"min_samples_split": [2]}), ("Gradient Boosting", {"nonsense": [1]}),
-                       ("Neural Network", {"alpha": [0.1]}), ("K-Nearest Neighbors", {"p": [1]})):
+                       ("Neural Network", {"alpha": [0.1]}), ("K-Nearest Neighbors", {"leaf_size": [1]})):
         with pytest.raises(ValueError):
             models.grid_search(name, td, grid)
     assert len(models.grid_points(models.REGISTRY["Logistic Regression"].grid)) == 32
@@ -180,3 +180,71 @@ def test_folds_of_platt_are_fitted_as_the_model_itself(spark, monkeypatch):
     with pytest.raises(Fitted) as e:  # the first fold's
         models.fit_platt_svm(models._svc({"_n": 12}), rows)
     assert e.value.args == (100,)
+
+
+def test_a_retried_batch_counts_once(spark, tmp_path):
+    """A batch that is written again after a crash, in other files, replaces what the counts had of it."""
+    from textsieve.streaming import score as st
+
+    schema = "label string, text string"
+    out, ckpt, state = (str(tmp_path / n) for n in ("out", "ckpt", "state"))
+
+    def write(epoch, rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    def counts():
+        st.scored_stream_counts(spark, out, f"{schema}, epoch long", state, ckpt)
+        return {r.label: r.n for r in st.running_counts(spark, state).collect()}
+
+    write(0, [("SPAM", "a"), ("HAM", "b")])
+    assert counts() == {"SPAM": 1, "HAM": 1}
+    write(0, [("SPAM", "a"), ("HAM", "b")])
+    assert counts() == {"SPAM": 1, "HAM": 1}
+    write(0, [("SPAM", "a"), ("HAM", "b")])
+    write(1, [("HAM", "c"), ("HAM", "d")])
+    assert counts() == {"SPAM": 1, "HAM": 3}
+    # a retry that comes out otherwise replaces the earlier counts of its batch
+    write(0, [("HAM", "b")])
+    assert counts() == {"HAM": 3}
+
+
+def test_counts_survive_a_crash_between_write_and_commit(spark, tmp_path):
+    import pytest
+
+    from textsieve.streaming import score as st
+
+    schema = "label string, text string"
+    out, ckpt, state = (str(tmp_path / n) for n in ("out", "ckpt", "state"))
+    spark.createDataFrame([("SPAM", "a")], schema).write.parquet(f"{out}/epoch=0")
+    real = st.write_epoch_counts
+
+    def crash(*args):
+        real(*args)
+        raise RuntimeError("lost after the write")
+
+    st.write_epoch_counts = crash
+    try:
+        with pytest.raises(Exception, match="lost after the write"):
+            st.scored_stream_counts(spark, out, f"{schema}, epoch long", state, ckpt)
+    finally:
+        st.write_epoch_counts = real
+    # the batch was not committed: it runs again, and its epoch is counted again, not added to
+    st.scored_stream_counts(spark, out, f"{schema}, epoch long", state, ckpt)
+    assert [(r.label, r.n) for r in st.running_counts(spark, state).collect()] == [("SPAM", 1)]
+
+
+def test_weights_reach_every_metric(spark):
+    """A weight of n is n copies of the row, in every metric and curve."""
+    from pyspark.sql import functions as F
+
+    from textsieve.operators import evaluate
+
+    rows = [(i, i % 2, int(i % 3 == 0), round((i * 37 % 11) / 11, 3), float(1 + i % 4)) for i in range(40)]
+    df = spark.createDataFrame(rows, "row_id long, label int, prediction int, probability double, weight double")
+    copies = df.withColumn("c", F.explode(F.expr("sequence(1, cast(weight as int))"))).drop("c", "weight")
+    got, want = evaluate.evaluate(df, weight_col="weight"), evaluate.evaluate(copies)
+    assert set(got) == set(want) and len(got) == 7
+    for name in want:
+        a, b = (sorted([tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in d[name].collect()], key=str)
+                for d in (got, want))
+        assert a == b, name

@@ -184,7 +184,7 @@ def scale_std(feats: DataFrame, docs: DataFrame, vocab: DataFrame, label_col: st
     Returns ``(term, std)``."""
     wx = F.col("weight") * F.col("value")
     stats = feats.groupBy("term").agg(F.sum(wx).alias("sx"), F.sum(wx * F.col("value")).alias("sxx"))
-    n = float(docs.agg(F.sum("weight")).first()[0] or 0.0)
+    n = float(docs.agg(F.sum("weight")).first()[0] or 1.0)  # without rows there are no sums
     m = F.col("sx") / F.lit(n)
     var = F.greatest(F.col("sxx") / F.lit(n) - m * m, F.lit(0.0))
     s = F.sqrt(var)

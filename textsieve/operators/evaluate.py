@@ -67,10 +67,11 @@ def binary_metrics(df: DataFrame, label_col: str = "label", pred_col: str = "pre
     )
 
 
-def classification_report(df: DataFrame, label_col: str = "label", pred_col: str = "prediction") -> DataFrame:
+def classification_report(df: DataFrame, label_col: str = "label", pred_col: str = "prediction",
+                          weight_col: str | None = None) -> DataFrame:
     """Rows ``0``, ``1``, ``accuracy``, ``macro avg``, ``weighted avg`` with
-    precision, recall, f1-score, support."""
-    c = _cells(df, label_col, pred_col)
+    precision, recall, f1-score, support (with ``weight_col`` the sum of weights)."""
+    c = _cells(df, label_col, pred_col, weight_col)
     tp, fp, tn, fn = (F.col(x) for x in ("tp", "fp", "tn", "fn"))
     p1, r1 = _div(tp, tp + fp), _div(tp, tp + fn)
     p0, r0 = _div(tn, tn + fn), _div(tn, tn + fp)
@@ -81,7 +82,7 @@ def classification_report(df: DataFrame, label_col: str = "label", pred_col: str
     acc = _div(tp + tn, n)
     row = lambda name, p, r, f, s: F.struct(
         F.lit(name).alias("class"), p.alias("precision"), r.alias("recall"), f.alias("f1_score"),
-        s.cast("bigint").alias("support"))
+        s.cast("bigint" if weight_col is None else "double").alias("support"))
     return c.select(F.inline(F.array(
         row("0", p0, r0, f0, s0),
         row("1", p1, r1, f1, s1),
@@ -100,20 +101,21 @@ def score_table(df: DataFrame, label_col: str = "label", score_col: str = "proba
     return running_totals(per_score, [F.desc("score")], ["pos", "neg"])
 
 
-def _totals(df: DataFrame, label_col: str) -> tuple[int, int]:
+def _totals(df: DataFrame, label_col: str, weight_col: str | None = None) -> tuple[float, float]:
     """(positives, negatives): two scalars from one small aggregate."""
-    r = df.agg(F.count_if(F.col(label_col) == 1).alias("P"), F.count_if(F.col(label_col) != 1).alias("N")).first()
-    return int(r["P"]), int(r["N"])
+    y = F.col(label_col)
+    r = df.agg(_tally(y == 1, weight_col).alias("P"), _tally(y != 1, weight_col).alias("N")).first()
+    return r["P"] or 0, r["N"] or 0
 
 
 def roc_points(df: DataFrame, label_col: str = "label", score_col: str = "probability",
-               drop_intermediate: bool = True) -> DataFrame:
+               drop_intermediate: bool = True, weight_col: str | None = None) -> DataFrame:
     """``(point, threshold, fpr, tpr)``: the origin (threshold +inf) and
     one point per distinct score by descending score; a point is dropped when
     it is collinear with both neighbours (equal steps before and after).
     The next point's step comes from an equi-join on position ``rn + 1``."""
-    P, N = _totals(df, label_col)
-    st = score_table(df, label_col, score_col)
+    P, N = _totals(df, label_col, weight_col)
+    st = score_table(df, label_col, score_col, weight_col)
     nxt = st.select((F.col("rn") - 1).alias("rn"), F.col("pos").alias("n_pos"), F.col("neg").alias("n_neg"))
     j = st.join(nxt, "rn", "left")
     if drop_intermediate:
@@ -144,11 +146,12 @@ def roc_auc(df: DataFrame, label_col: str = "label", score_col: str = "probabili
     ).select(_div(F.col("_a"), 2.0 * F.col("_p") * F.col("_n")).alias("roc_auc"))
 
 
-def pr_points(df: DataFrame, label_col: str = "label", score_col: str = "probability") -> DataFrame:
+def pr_points(df: DataFrame, label_col: str = "label", score_col: str = "probability",
+              weight_col: str | None = None) -> DataFrame:
     """``(point, threshold, precision, recall)`` per distinct score, plus
     the end point (precision 1, recall 0, no threshold)."""
-    P, _ = _totals(df, label_col)
-    st = score_table(df, label_col, score_col)
+    P, _ = _totals(df, label_col, weight_col)
+    st = score_table(df, label_col, score_col, weight_col)
     recall = F.lit(1.0) if P == 0 else _div(F.col("cum_pos"), F.lit(P))
     pts = st.select(
         F.col("rn").alias("point"),
@@ -186,18 +189,19 @@ def fold_stats(scores: DataFrame, score_col: str = "score", keys=()) -> DataFram
 
 
 def evaluate(scored: DataFrame, label_col: str = "label", pred_col: str = "prediction",
-             score_col: str | None = "probability") -> dict:
-    """F16: every metric of one scored DataFrame, as DataFrames (lazy)."""
+             score_col: str | None = "probability", weight_col: str | None = None) -> dict:
+    """F16: every metric of one scored DataFrame, as DataFrames (lazy); ``weight_col`` counts a row's copies."""
+    w = {"weight_col": weight_col}
     out = {
-        "metrics": binary_metrics(scored, label_col, pred_col),
-        "confusion_matrix": confusion_matrix(scored, label_col, pred_col),
-        "classification_report": classification_report(scored, label_col, pred_col),
+        "metrics": binary_metrics(scored, label_col, pred_col, **w),
+        "confusion_matrix": confusion_matrix(scored, label_col, pred_col, **w),
+        "classification_report": classification_report(scored, label_col, pred_col, **w),
     }
     if score_col and score_col in scored.columns:
         out.update({
-            "roc_auc": roc_auc(scored, label_col, score_col),
-            "average_precision": average_precision(scored, label_col, score_col),
-            "roc_curve": roc_points(scored, label_col, score_col),
-            "pr_curve": pr_points(scored, label_col, score_col),
+            "roc_auc": roc_auc(scored, label_col, score_col, **w),
+            "average_precision": average_precision(scored, label_col, score_col, **w),
+            "roc_curve": roc_points(scored, label_col, score_col, **w),
+            "pr_curve": pr_points(scored, label_col, score_col, **w),
         })
     return out

@@ -827,6 +827,62 @@ def q_kernel_svc(spark, sf_dir):
     return svc.transform(te).select("row_id", "label", F.col("prediction").cast("int").alias("prediction"))
 
 
+# --- k nearest neighbours (F9, J5) -------------------------------------------
+
+def _knn_ctes(k: int, p: int) -> str:
+    """Distances of all pairs of test and training rows, and the nearest ``k`` copies of each test row."""
+    norm, part = ("sum(v)", "least(a.v, b.v)") if p == 1 else ("sum(v * v)", "a.v * b.v")
+    std = "sqrt(greatest(sxx / n - (sx / n) * (sx / n), 0.0))"
+    return f"""{_TRAIN},
+st AS (SELECT term, sum(weight * value) AS sx, sum(weight * value * value) AS sxx FROM ftr GROUP BY term),
+sd AS (SELECT term, CASE WHEN {std} > 0 THEN {std} ELSE 1.0 END AS std FROM st, (SELECT sum(weight) AS n FROM weights)),
+zx AS (SELECT row_id, term, value / std AS v FROM ftr JOIN sd USING (term)),
+zq AS (SELECT row_id, term, value / std AS v FROM fte JOIN sd USING (term)),
+nx AS (SELECT row_id, {norm} AS n FROM zx GROUP BY row_id),
+nq AS (SELECT row_id, {norm} AS n FROM zq GROUP BY row_id),
+met AS (SELECT a.row_id AS q, b.row_id AS x, sum({part}) AS s FROM zq a JOIN zx b ON a.term = b.term GROUP BY a.row_id, b.row_id),
+far AS (SELECT t.row_id AS q, w.row_id AS x, w.label, w.weight,
+               round(greatest(coalesce(nq.n, 0) + coalesce(nx.n, 0) - 2 * coalesce(met.s, 0), 0.0), 6) AS far
+        FROM test_docs t CROSS JOIN weights w LEFT JOIN nq ON nq.row_id = t.row_id LEFT JOIN nx ON nx.row_id = w.row_id
+        LEFT JOIN met ON met.q = t.row_id AND met.x = w.row_id),
+seen AS (SELECT *, sum(weight) OVER o - weight AS before, row_number() OVER o AS rank FROM far
+         WINDOW o AS (PARTITION BY q ORDER BY far, x ROWS UNBOUNDED PRECEDING)),
+near AS (SELECT q, x, label, {"far" if p == 1 else "sqrt(far)"} AS distance, least(weight, {k} - before) AS copies, rank
+         FROM seen WHERE before < {k})"""
+
+
+def _knn_score_sql(k: int, weights: str, p: int) -> str:
+    vote = "copies" if weights == "uniform" else (
+        "CASE WHEN min(distance) OVER (PARTITION BY q) > 0 THEN copies / distance WHEN distance = 0 THEN copies ELSE 0 END")
+    return f"""WITH {_knn_ctes(k, p)},
+votes AS (SELECT q, label, {vote} AS vote FROM near),
+prob AS (SELECT q, sum(CASE WHEN label = 1 THEN vote ELSE 0 END) / sum(vote) AS probability FROM votes GROUP BY q)
+SELECT t.row_id, t.label, CAST(CASE WHEN round(probability, 12) > 0.5 THEN 1 ELSE 0 END AS INTEGER) AS prediction,
+       {r6('probability')} AS probability
+FROM test_docs t JOIN prob ON prob.q = t.row_id"""
+
+
+@register("knn_neighbours", f"""WITH {_knn_ctes(5, 2)}
+SELECT q AS row_id, x AS neighbour, label, {r6('distance')} AS distance, copies, CAST(rank AS INTEGER) AS rank FROM near""")
+def q_knn_neighbours(spark, sf_dir):
+    """The five nearest training copies of every test row."""
+    td = training(spark, sf_dir)
+    return round_doubles(fitted(spark, sf_dir, "K-Nearest Neighbors").neighbours(td.docs_test, td.feats_test))
+
+
+def _knn_query(**params):
+    def q(spark, sf_dir):
+        from textsieve.plans import models
+
+        return round_doubles(models.scored(fitted(spark, sf_dir, "K-Nearest Neighbors", params or None), training(spark, sf_dir)))
+
+    return q
+
+
+register("knn_score", _knn_score_sql(5, "uniform", 2))(_knn_query())
+register("knn_score_manhattan", _knn_score_sql(7, "distance", 1))(_knn_query(n_neighbors=7, weights="distance", p=1))
+
+
 def recommended_run(spark, sf_dir):
     """The default run's models, fitted once."""
     key = (id(spark), sf_dir, "run")
@@ -854,6 +910,26 @@ def q_nb_results(spark, sf_dir):
         "model", "ord", "accuracy", "precision", "recall", "f1"))
 
 
+LEAKY_RESULTS_SQL = f"""WITH {S.training_ctes_leaky(Options(leaky_order=True))},
+""" + ",\n".join(S.nb_ctes(k, name=s) for _, k, s in NB_MODELS[:2]) + ",\nresults AS (" + " UNION ALL ".join(
+    f"""SELECT '{n}' AS model, {i} AS ord, sum(CASE WHEN s.label = s.prediction THEN t.weight ELSE 0 END) / sum(t.weight) AS accuracy,
+  sum(CASE WHEN s.label = 1 AND s.prediction = 1 THEN t.weight ELSE 0 END) AS tp,
+  sum(CASE WHEN s.prediction = 1 THEN t.weight ELSE 0 END) AS pp, sum(CASE WHEN s.label = 1 THEN t.weight ELSE 0 END) AS p
+  FROM {s}_scored s JOIN test_docs t ON s.row_id = t.row_id""" for i, (n, _, s) in enumerate(NB_MODELS[:2])) + ")"
+
+
+@register("nb_results_leaky", LEAKY_RESULTS_SQL + f"""
+SELECT model, CAST(ord AS INTEGER) AS ord, {r6('accuracy')} AS accuracy, {r6('coalesce(tp / nullif(pp, 0), 0.0)')} AS precision,
+       {r6('coalesce(tp / nullif(p, 0), 0.0)')} AS recall, {r6('coalesce(2 * tp / nullif(pp + p, 0), 0.0)')} AS f1 FROM results""")
+def q_nb_results_leaky(spark, sf_dir):
+    """F15/F16 in the reference's order: held-out copies count in every metric."""
+    from textsieve.plans import models, run
+
+    names = [n for n in models.RECOMMENDED if n.endswith("Naive Bayes")]
+    return round_doubles(run.train_models(None, names, td=training(spark, sf_dir, Options(leaky_order=True))).results.select(
+        "model", "ord", "accuracy", "precision", "recall", "f1"))
+
+
 @register("curves_by_model")
 def q_curves_by_model(spark, sf_dir):
     """The ROC curve of a model of the run, by its name."""
@@ -902,18 +978,16 @@ def q_stream_score(spark, sf_dir):
 
 @register("stream_counts", ORACLE["prediction_counts"])
 def q_stream_counts(spark, sf_dir):
-    """ST2: running prediction counts, complete mode; at the end of the input they equal the batch counts. The memory
-    table holds one row per label."""
+    """ST2: running prediction counts; at the end of the input they equal the batch counts."""
     import uuid
 
     from textsieve.streaming import score as st
 
     out = _stream_scored(spark, sf_dir)
     schema = spark.read.parquet(out).schema
-    name = f"stream_counts_{uuid.uuid4().hex[:8]}"
-    st.run_to_table(st.scored_stream_counts(spark, out, schema), name, st.stream_checkpoint(spark, name),
-                    mode="complete")
-    return spark.table(name)
+    state = st.stream_checkpoint(spark, f"counts-{uuid.uuid4().hex[:8]}")
+    st.scored_stream_counts(spark, out, schema, f"{state}/counts", f"{state}/ckpt")
+    return st.running_counts(spark, f"{state}/counts")
 
 
 # --- round trips through sinks and sources (rows only) ----------------------
@@ -1096,10 +1170,11 @@ def q_leaky_confusion_matrix(spark, sf_dir):
 @register("poly_kernel_svc")
 def q_poly_kernel_svc(spark, sf_dir):
     """F6, polynomial kernel (degree 3, coef0 0, gamma 'scale'): linear SVM on
-    TensorSketch features (rows only)."""
+    TensorSketch features of scaled values (rows only)."""
     from textsieve.plans import kernels
 
     td = training(spark, sf_dir)
-    svc, g = kernels.fit_poly_svc(td.feats_train, td.docs_train, td.vocab)
-    te = kernels.tensor_sketch(td.feats_test, td.docs_test, td.vocab, 3, g).join(td.docs_test, "row_id")
+    tr, te = _scaled_long(td)
+    svc, g = kernels.fit_poly_svc(tr, td.docs_train, td.vocab)
+    te = kernels.tensor_sketch(te, td.docs_test, td.vocab, 3, g).join(td.docs_test, "row_id")
     return svc.transform(te).select("row_id", "label", F.col("prediction").cast("int").alias("prediction"))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textsieve.operators import bayes, evaluate, sampling
+from textsieve.operators import bayes, evaluate, neighbours, sampling
 from textsieve.session import cut_lineage, ensure_checkpoint_dir
 
 #: Spark's trees go no deeper; ``max_depth=None`` (no limit) means this depth.
@@ -94,7 +94,7 @@ class ModelSpec:
     needs_scaling: bool
     default: dict = field(default_factory=dict)
     grid: dict = field(default_factory=dict)
-    kind: str = "ml"  # "ml" (pyspark.ml estimator), "nb" (relational Naive Bayes) or "none" (named, not built)
+    kind: str = "ml"  # "ml" (pyspark.ml estimator), "nb" (relational Naive Bayes) or "knn" (relational neighbours)
 
 
 REGISTRY: dict[str, ModelSpec] = {}
@@ -180,7 +180,8 @@ def _nb(kind):
 
 
 def _knn(p):
-    raise ValueError("K-Nearest Neighbors is named in the registry but not built: see README")
+    _only(p, "n_neighbors", "weights", "p")
+    return {k: v for k, v in p.items() if k in ("n_neighbors", "weights", "p")}
 
 
 # The model names, defaults and grids of the reference.
@@ -210,7 +211,7 @@ register_model("Decision Tree", _dt, {"max_depth": [None, 5, 10, 15, 20], "min_s
                False, {"random_state": 42})
 register_model("K-Nearest Neighbors", _knn, {"n_neighbors": [3, 5, 7, 9, 11],
                                                              "weights": ["uniform", "distance"], "p": [1, 2]},
-               True, {"n_neighbors": 5}, "none")
+               True, {"n_neighbors": 5}, "knn")
 register_model("Neural Network", _mlp, {"hidden_layer_sizes": [(50,), (100,), (50, 50), (100, 50)],
                                         "activation": ["relu", "tanh"], "alpha": [0.0001, 0.001, 0.01],
                                         "learning_rate_init": [0.001, 0.01]},
@@ -232,12 +233,12 @@ def get_models(selected: list[str] | None = None, custom_params: dict | None = N
 
 
 def create_model(name: str, params: dict | None = None) -> "Estimator":
-    """the estimator of a registry entry; unknown names and entries that are not built raise."""
+    """the estimator of a registry entry; an unknown name raises."""
     if name not in REGISTRY:
         raise ValueError(f"Unknown model: {name}")
     spec = REGISTRY[name]
     p = {**spec.default, **(params or {})}
-    spec.builder({**p, "_n": 1, "_v": 1})  # what is not built and unknown parameters raise here
+    spec.builder({**p, "_n": 1, "_v": 1})  # unknown parameters raise here
     return Estimator(name, p)
 
 
@@ -250,12 +251,14 @@ class Estimator:
     name: str
     params: dict
 
-    def fit(self, td) -> "bayes.NBModel | VectorModel":
+    def fit(self, td) -> "bayes.NBModel | neighbours.KNNModel | VectorModel":
         """Fit on ``TrainingData``; the result's ``score(docs, feats)`` adds ``prediction`` and ``probability``."""
         spec = REGISTRY[self.name]
         if spec.kind == "nb":
             kind, p = spec.builder(self.params)
             return bayes.FITTERS[kind](td.feats_train, td.docs_train, td.vocab, **p)
+        if spec.kind == "knn":
+            return neighbours.fit_knn(td.feats_train, td.docs_train, td.vocab, **spec.builder(self.params))
         rows, std, n_terms = training_vectors(td, spec.needs_scaling)
         rows = _class_weight(rows, self.params.get("class_weight") == "balanced")
         p = {**self.params, "_n": int(rows.agg(F.sum("weight")).first()[0]), "_v": n_terms}
@@ -378,8 +381,9 @@ def train_and_evaluate(models: dict[str, dict], td) -> tuple[DataFrame, dict]:
         try:
             model, secs = fit_timed(name, td, params)
             sc = cut_lineage(scored(model, td))
-            m = evaluate.binary_metrics(sc).first()
-            auc = evaluate.roc_auc(sc).first()[0]
+            weight = "weight" if "weight" in sc.columns else None  # held-out copies
+            m = evaluate.binary_metrics(sc, weight_col=weight).first()
+            auc = evaluate.roc_auc(sc, weight_col=weight).first()[0]
             rows.append((name, i, None, secs, m["accuracy"], m["precision"], m["recall"], m["f1"], auc))
             fitted[name] = model
         except Exception as e:  # noqa: BLE001 -- one failing model must not lose the others; its error is the result

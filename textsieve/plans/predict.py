@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from textsieve.config import Options
 from textsieve.functions.text import clean_text, preprocess_text
-from textsieve.operators import bayes, prepare, rank, vectorize
+from textsieve.operators import bayes, neighbours, prepare, rank, vectorize
 from textsieve.sources.io import path_exists
 
 
@@ -67,6 +67,8 @@ class Predictor:
         """The most telling terms: of a linear or Naive Bayes model by weight for either class, of a tree model by
         importance."""
         m = self.model
+        if isinstance(m, neighbours.KNNModel):
+            raise ValueError("neighbours have no weights by term")
         if isinstance(m, bayes.NBModel):
             return rank.top_weights(m.term_weights(), n)
         if hasattr(m.stages[0], "featureImportances"):
@@ -80,6 +82,9 @@ class Predictor:
         if isinstance(m, bayes.NBModel):
             m.params.write.mode("overwrite").parquet(f"{path}/params")
             meta = {"kind": m.kind, "const0": m.const0, "const1": m.const1, "n_terms": m.n_terms, "presence": m.presence}
+        elif isinstance(m, neighbours.KNNModel):
+            m.save(path)
+            meta = {"kind": "knn", "model": m.options()}
         else:
             m.save(path)
             meta = {"kind": "vector", "name": m.name, "n_terms": m.n_terms, "scaled": m.std is not None}
@@ -98,6 +103,8 @@ class Predictor:
             from textsieve.plans.models import load_vector_model
 
             model = load_vector_model(spark, path, meta["name"], meta["n_terms"], meta["scaled"])
+        elif meta["kind"] == "knn":
+            model = neighbours.KNNModel.load(spark, path, **meta["model"])
         else:
             model = bayes.NBModel(meta["kind"], spark.read.parquet(f"{path}/params"), meta["const0"], meta["const1"],
                                   meta["n_terms"], meta["presence"])

@@ -30,7 +30,8 @@ class Run:
             raise ValueError(f"no model named {name!r} in this run")
         if row["error"] is not None:
             raise ValueError(f"{name} failed: {row['error']}")
-        return evaluate.evaluate(cut_lineage(M.scored(self.fitted[name], self.td)))
+        sc = cut_lineage(M.scored(self.fitted[name], self.td))
+        return evaluate.evaluate(sc, weight_col="weight" if "weight" in sc.columns else None)
 
     def predictor(self, name: str) -> Predictor:
         return Predictor(self.fitted[name], self.td.vocab, self.td.options)

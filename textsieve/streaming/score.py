@@ -3,8 +3,8 @@
 ``readStream`` -> the same scoring plan as batch -> ``writeStream``. Scoring is
 stateless per micro-batch: each batch's rows are grouped by their own id, and
 the model tables are static broadcast sides, so a stream gives exactly the
-batch result. Running counts are a streaming aggregation with state kept by
-Spark in the checkpoint location.
+batch result. Running counts are kept for each epoch of the scored output, so a batch
+that is written twice is counted once.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textsieve.plans.predict import Predictor, prediction_counts
+from textsieve.plans.predict import Predictor
 
 
 def score_stream(stream: DataFrame, predictor: Predictor, out_path: str, checkpoint: str, text_col: str = "text",
@@ -31,20 +31,6 @@ def score_stream(stream: DataFrame, predictor: Predictor, out_path: str, checkpo
     return q
 
 
-def run_to_table(query_df: DataFrame, name: str, checkpoint: str, mode: str = "complete", once: bool = True):
-    """Drive a streaming aggregation into an in-memory table ``name`` until all
-    available input is processed (``availableNow``), then stop. The table is in
-    the driver: only for results of a fixed number of groups, such as counts
-    by label, in complete mode."""
-    if mode != "complete":
-        raise ValueError("rows of a stream belong in files (score_stream), not in the driver's memory")
-    w = query_df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation",
-                                                                                        checkpoint)
-    q = w.trigger(availableNow=True).start() if once else w.start()
-    q.awaitTermination()
-    return q
-
-
 def stream_parquet(spark: SparkSession, folder: str, schema, file_glob: str = "*.parquet",
                    max_files: int = 1) -> DataFrame:
     """A file stream over ``folder`` (new files matching ``file_glob``)."""
@@ -52,10 +38,38 @@ def stream_parquet(spark: SparkSession, folder: str, schema, file_glob: str = "*
             .option("pathGlobFilter", file_glob).parquet(folder))
 
 
-def scored_stream_counts(spark: SparkSession, scored_path: str, schema) -> DataFrame:
-    """ST2: running ``(label, n)`` over the stream of scored rows written by
-    ``score_stream`` (a streaming aggregation; complete or update mode)."""
-    return prediction_counts(spark.readStream.schema(schema).parquet(scored_path))
+def write_epoch_counts(counts: DataFrame, state: str):
+    """Replace the counts of the epochs in ``counts(epoch, label, n)``: each epoch has a folder of its own."""
+    counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(state)
+
+
+def scored_stream_counts(spark: SparkSession, scored_path: str, schema, state: str, checkpoint: str,
+                         available_now: bool = True):
+    """ST2: keep the counts by label of what ``score_stream`` writes, one set for each epoch, under ``state``.
+
+    New files only tell which epochs have changed; an epoch is then counted anew from its folder and its earlier counts
+    are replaced. So an epoch that is written again by a retried batch, in files of other names, and a batch of this
+    stream that runs again after a crash both count once. ``schema`` has the column ``epoch`` of the folders' names."""
+    changed = spark.readStream.schema(schema).parquet(scored_path).select("epoch")
+
+    def update(batch: DataFrame, _: int):
+        # the epochs of a batch: as many as the scoring stream has written since the last one
+        epochs = [r[0] for r in batch.distinct().collect()]
+        if epochs:
+            now = spark.read.schema(schema).parquet(scored_path).where(F.col("epoch").isin(epochs))
+            write_epoch_counts(now.groupBy("epoch", "label").agg(F.count(F.lit(1)).alias("n")), state)
+
+    w = changed.writeStream.foreachBatch(update).option("checkpointLocation", checkpoint)
+    q = (w.trigger(availableNow=True) if available_now else w).start()
+    if available_now:
+        q.awaitTermination()
+    return q
+
+
+def running_counts(spark: SparkSession, state: str) -> DataFrame:
+    """``(label, n)`` over all epochs counted so far."""
+    counts = spark.read.schema("label string, n long, epoch long").parquet(state)
+    return counts.groupBy("label").agg(F.sum("n").alias("n"))
 
 
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
