@@ -6,14 +6,21 @@ overlap that only shared terms add to:
     Manhattan          N(q) + N(x) - 2 sum min(q_t, x_t),   N = sum of values
     Euclidean, squared N(q) + N(x) - 2 sum q_t x_t,         N = sum of squares
 
-The k rows of the smallest norms give every query a bound on its k-th
-distance: N(q) + N_k. A row beats it only with an overlap of (N(x) - N_k) / 2,
-a large share of its own norm. So a row is listed under its rare terms only:
-the frequent ones stay out as long as all they could add stays below that.
-Who shares no listed term with a query is proven too far. Candidates have an
-upper and a lower bound of their distance from the listed terms alone; those
-whose lower bound passes the query's k-th upper bound go, and the others are
-measured in full. Nothing is cut off: the result is that of comparing all.
+All terms have one order, the rarest first. If t is the first term that two
+rows share, their overlap is at most what either has from t on: the lesser of
+both sums, or the root of the product of both sums of squares. So a pair is met
+at its first shared term or nowhere, with a bound of its distance there.
+
+1. Each query meets the rows that it shares one of their rarest terms with, and
+   the k rows of the smallest norms. The best of them, measured, give it a reach:
+   an upper bound of its k-th distance.
+2. Rows are listed under their terms with the least distance they could have
+   there, in buckets by this impact. A query reads only the buckets within its
+   reach, and of these keeps the pairs whose own bound is.
+3. These pairs are measured in full.
+
+Nothing is cut off: the result is that of comparing all pairs. Who shares no
+term with a query is nearer than another such row only by its norm.
 """
 
 from __future__ import annotations
@@ -29,6 +36,8 @@ from textsieve.session import write_table
 
 #: Rows of a block of a term's list: a longer list is dealt to several blocks, so that no task reads a whole one.
 BLOCK_ROWS = 4096
+#: Buckets of the lists by impact; the rarest terms of a row under which the first step meets it; pairs that step measures.
+BUCKETS, PROBES, MEASURED = 32, 4, 2
 #: Distances (squared if Euclidean) are compared at so many decimals; nearer ones are ties, which the row id decides.
 DECIMALS = 6
 SLACK = 10.0 ** (1 - DECIMALS)
@@ -59,6 +68,19 @@ class KNNModel:
     def _add(self, q: Column, x: Column) -> Column:
         return F.least(q, x) if self.p == 1 else q * x
 
+    def _most(self, q: Column, x: Column) -> Column:
+        """The largest overlap of two rows by what each has left."""
+        return F.least(q, x) if self.p == 1 else F.sqrt(q * x)
+
+    def ordered(self, vectors: DataFrame, id_col: str) -> DataFrame:
+        """``vectors`` with ``at``, a term's place in its row's order, and ``left``, what the row has from there on."""
+        size = F.col("v") if self.p == 1 else F.col("v") * F.col("v")
+        # the terms of one row, as many as a document has
+        w = Window.partitionBy(id_col).orderBy("df", "term")
+        onward = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+        return vectors.join(self._small(self.df), "term").select(
+            id_col, "term", "v", F.row_number().over(w).alias("at"), F.sum(size).over(onward).alias("left"))
+
     def first_rows(self) -> tuple[list, float]:
         """The ``k`` rows of the smallest norms (copies count), ties by row id, and the norm of the last copy."""
         first = self.rows.orderBy("norm", "row_id").limit(self.k).collect()  # k rows
@@ -69,41 +91,67 @@ class KNNModel:
                 return first[:i + 1], r["norm"]
         return first, float("inf")
 
-    def listed(self, queries: DataFrame, bound: float) -> DataFrame:
-        """``row_id, term, v, norm, weight, label, rest, inside``: what a term may add at most decides, from the most
-        frequent term on, which of a row's terms stay out of its list (``inside`` false); ``rest`` is what these could add
-        together."""
-        v = self.vectors
-        if self.p == 1:
-            v = v.withColumn("most", F.col("v"))
-        else:
-            top = queries.groupBy("term").agg(F.max("v").alias("top"))
-            v = v.join(self._small(top), "term", "left").withColumn("most", F.col("v") * F.coalesce("top", F.lit(0.0))).drop("top")
-        v = v.join(self._small(self.df), "term").join(self.rows, "row_id")
-        # the terms of one row, as many as a document has
-        w = Window.partitionBy("row_id").orderBy(F.desc("df"), "term")
-        need = (F.col("norm") - F.lit(bound) - F.lit(SLACK)) / 2
-        v = v.withColumn("sum", F.sum("most").over(w)).withColumn("inside", ~(F.col("sum") < need))
-        rest = F.sum(F.when(F.col("inside"), 0.0).otherwise(F.col("most"))).over(Window.partitionBy("row_id"))
-        return v.select("row_id", "term", "v", "norm", "weight", "label", rest.alias("rest"), "inside")
-
-    def candidates(self, asked_ids: DataFrame, queries: DataFrame, listed: DataFrame, first: list) -> DataFrame:
-        """``qid, row_id, norm, weight, label, rest, part``: the pairs that share a listed term, with what these terms add, and
-        every query with the first rows."""
-        index = listed.where("inside").drop("inside")
-        blocks = index.groupBy("term").agg((F.ceil(F.count(F.lit(1)) / BLOCK_ROWS)).cast("int").alias("blocks"))
-        blocks = self._small(write_table(blocks))
-        index = index.join(blocks, "term").withColumn("block", F.pmod(F.xxhash64("row_id"), F.col("blocks"))).drop("blocks")
-        asked = queries.join(blocks, "term").select(
-            "qid", "term", F.col("v").alias("qv"), F.explode(F.expr("sequence(0L, cast(blocks - 1 as bigint))")).alias("block"))
-        met = asked.join(index, ["term", "block"]).select(
-            "qid", "row_id", "norm", "weight", "label", "rest", self._add(F.col("qv"), F.col("v")).alias("part"))
-        near = F.array(*[F.struct(F.lit(r["row_id"]).alias("row_id"), F.lit(float(r["norm"])).alias("norm"),
-                                  F.lit(float(r["weight"])).alias("weight"), F.lit(r["label"]).alias("label")) for r in first])
-        always = asked_ids.select("qid", F.explode(near).alias("x")).select(
-            "qid", "x.*", F.lit(0.0).alias("rest"), F.lit(0.0).alias("part"))
-        return met.unionByName(always).groupBy("qid", "row_id").agg(
-            *[F.max(c).alias(c) for c in ("norm", "weight", "label", "rest")], F.sum("part").alias("part"))
+    def met(self, asked: DataFrame, index: DataFrame, keys: list[str]) -> DataFrame:
+        """``asked`` joined with ``index`` on ``keys``, each key's rows dealt to blocks of ``BLOCK_ROWS``."""
+        blocks = index.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("long").alias("blocks"))
+        blocks = write_table(blocks)
+        # a row per term and bucket
+        blocks = F.broadcast(blocks) if self.n_terms * BUCKETS <= BROADCAST_VOCAB_ROWS else blocks
+        index = index.join(blocks, keys).withColumn("block", F.pmod(F.xxhash64("row_id"), F.col("blocks"))).drop("blocks")
+        asked = asked.join(blocks, keys).withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)"))).drop("blocks")
+        return asked.join(index, [*keys, "block"]).drop("block")
+
+    def near_first(self, asked_ids: DataFrame, first: list) -> DataFrame:
+        """``qid, row_id, norm``: every query with the rows of the smallest norms, ``k`` at most."""
+        near = F.array(*[F.struct(F.lit(r["row_id"]).alias("row_id"), F.lit(float(r["norm"])).alias("norm")) for r in first])
+        return asked_ids.select("qid", F.explode(near).alias("x")).select("qid", "x.*")
+
+    def measured(self, pairs: DataFrame, queries: DataFrame, qnorms: DataFrame) -> DataFrame:
+        """``qid, row_id, label, weight, far`` of distinct pairs ``(qid, row_id)``: their distances (squared if Euclidean)."""
+        shared = (pairs.join(self.vectors, "row_id").join(queries.select("qid", "term", F.col("v").alias("qv")), ["qid", "term"])
+                  .groupBy("qid", "row_id").agg(F.sum(self._add(F.col("qv"), F.col("v"))).alias("part")))
+        far = F.coalesce("qnorm", F.lit(0.0)) + F.col("norm") - 2 * F.coalesce("part", F.lit(0.0))
+        return pairs.join(shared, ["qid", "row_id"], "left").join(self.rows, "row_id").join(qnorms, "qid", "left").select(
+            "qid", "row_id", "label", "weight", F.round(F.greatest(far, F.lit(0.0)), DECIMALS).alias("far"))
+
+    def reach(self, asked_ids: DataFrame, queries: DataFrame, qnorms: DataFrame, index: DataFrame, first: list) -> DataFrame:
+        """``qid, reach``: an upper bound of the k-th distance less the query's norm; null without as many copies."""
+        probes = index.where(F.col("at") <= PROBES).select("term", "row_id", "norm", "v")
+        pairs = self.met(queries.select("qid", "term", F.col("v").alias("qv")), probes, ["term"])
+        pairs = pairs.select("qid", "row_id", "norm", self._add(F.col("qv"), F.col("v")).alias("part")).unionByName(
+            self.near_first(asked_ids, first).withColumn("part", F.lit(0.0)))
+        tried = pairs.groupBy("qid", "row_id").agg((F.max("norm") - 2 * F.sum("part")).alias("most"))
+        best = top_k_per_group(tried, ["qid"], [F.asc("most"), F.asc("row_id")], MEASURED * self.k).select("qid", "row_id")
+        known = self.measured(write_table(best), queries, qnorms)
+        top = top_k_per_group(known, ["qid"], [F.asc("far"), F.asc("row_id")], self.k)
+        seen = F.sum("weight").over(Window.partitionBy("qid").orderBy("rank"))
+        kth = top.withColumn("seen", seen).where(F.col("seen") >= self.k).groupBy("qid").agg(F.min("far").alias("far"))
+        return asked_ids.join(kth, "qid", "left").join(qnorms, "qid", "left").select(
+            "qid", (F.col("far") - F.coalesce("qnorm", F.lit(0.0))).alias("reach"))
+
+    def candidates(self, asked_ids: DataFrame, queries: DataFrame) -> DataFrame:
+        """``qid, row_id``: the distinct pairs that may be neighbours, all neighbours among them. ``queries(qid, term, v)``."""
+        first, bound = self.first_rows()
+        queries = write_table(self.ordered(queries, "qid"))
+        size = F.col("v") if self.p == 1 else F.col("v") * F.col("v")
+        qnorms = write_table(queries.groupBy("qid").agg(F.sum(size).alias("qnorm")))
+        most = queries.groupBy("term").agg(F.max("left").alias("cap"))
+        # no query reaches beyond the k-th norm, so what lies there at its best is listed nowhere
+        index = self.ordered(self.vectors, "row_id").join(self._small(most), "term").join(self.rows.select("row_id", "norm"), "row_id")
+        index = index.withColumn("least", F.col("norm") - 2 * self._most(F.col("cap"), F.col("left")))
+        index = write_table(index.where(F.col("least") <= F.lit(bound) + SLACK).drop("cap"))
+        reach = write_table(self.reach(asked_ids, queries, qnorms, index, first))
+        cuts = index.agg(F.percentile_approx("least", [i / BUCKETS for i in range(1, BUCKETS)])).first()[0] or []
+        cuts = F.array(*[F.lit(float(c)) for c in sorted(set(cuts))]).cast("array<double>")
+        below = lambda c: F.size(F.filter(cuts, lambda e: e <= c)).cast("long")
+        lists = index.select("term", "row_id", "norm", "left", below(F.col("least")).alias("bucket"))
+        # without a reach a query reads everything
+        limit = F.coalesce("reach", F.lit(float("inf"))) + SLACK
+        asked = queries.join(reach, "qid").select("qid", "term", F.col("left").alias("qleft"), limit.alias("limit"))
+        asked = asked.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), below(F.col("limit")))))
+        found = self.met(asked, lists, ["term", "bucket"]).where(
+            F.col("norm") - 2 * self._most(F.col("qleft"), F.col("left")) <= F.col("limit"))
+        return found.select("qid", "row_id").unionByName(self.near_first(asked_ids, first).select("qid", "row_id")).distinct()
 
     def neighbours(self, docs: DataFrame, feats: DataFrame, id_col: str = "row_id") -> DataFrame:
         """``(id, neighbour, label, distance, copies, rank)``: the nearest training rows of each row of ``docs`` (unique
@@ -114,25 +162,9 @@ class KNNModel:
                           (("neighbour", "long"), ("label", "int"), ("distance", "double"), ("copies", "double"), ("rank", "int"))])
         queries = write_table(feats.join(self._small(self.std), "term").select(
             F.col(id_col).alias("qid"), "term", (F.col("value") / F.col("std")).alias("v")))
-        norms = queries.groupBy("qid").agg(_norm(F.col("v"), self.p).alias("qnorm"))
-        first, bound = self.first_rows()
-        listed = write_table(self.listed(queries, bound))
-        known = self.candidates(docs.select(F.col(id_col).alias("qid")), queries, listed, first).join(norms, "qid", "left")
-        known = write_table(known.withColumn("most", F.coalesce("qnorm", F.lit(0.0)) + F.col("norm") - 2 * F.col("part")).drop("qnorm"))
-        # the k-th upper bound of each query
-        upper = top_k_per_group(known.select("qid", "row_id", "weight", "most"), ["qid"], [F.asc("most"), F.asc("row_id")], self.k)
-        seen = F.sum("weight").over(Window.partitionBy("qid").orderBy("rank"))
-        reach = upper.withColumn("seen", seen).where(F.col("seen") >= self.k).groupBy("qid").agg(F.min("most").alias("reach"))
-        open_ = write_table(known.join(reach, "qid", "left").where(
-            F.col("reach").isNull() | (F.col("most") - 2 * F.col("rest") <= F.col("reach") + F.lit(SLACK))).drop("reach"))
-        # what the unlisted terms add
-        tail = listed.where(~F.col("inside")).select("row_id", "term", "v")
-        more = (open_.where("rest > 0").select("qid", "row_id").join(tail, "row_id")
-                .join(queries.withColumnRenamed("v", "qv"), ["qid", "term"])
-                .groupBy("qid", "row_id").agg(F.sum(self._add(F.col("qv"), F.col("v"))).alias("tail")))
-        exact = F.round(F.greatest(F.col("most") - 2 * F.coalesce("tail", F.lit(0.0)), F.lit(0.0)), DECIMALS)
-        measured = open_.join(more, ["qid", "row_id"], "left").select("qid", "row_id", "label", "weight", exact.alias("far"))
-        best = top_k_per_group(measured, ["qid"], [F.asc("far"), F.asc("row_id")], self.k)
+        qnorms = queries.groupBy("qid").agg(_norm(F.col("v"), self.p).alias("qnorm"))
+        pairs = write_table(self.candidates(docs.select(F.col(id_col).alias("qid")), queries))
+        best = top_k_per_group(self.measured(pairs, queries, qnorms), ["qid"], [F.asc("far"), F.asc("row_id")], self.k)
         before = F.sum("weight").over(Window.partitionBy("qid").orderBy("rank")) - F.col("weight")
         return best.withColumn("copies", F.least("weight", F.lit(float(self.k)) - before)).where("copies > 0").select(
             F.col("qid").alias(id_col), F.col("row_id").alias("neighbour"), F.col("label").cast("int").alias("label"),
