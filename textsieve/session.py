@@ -6,6 +6,7 @@ import re
 import tempfile
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -68,16 +69,19 @@ def cut_lineage(df):
     return out
 
 
-def write_table(df):
+def write_table(df, parts: str | None = None):
     """Cut lineage by writing ``df`` as parquet under the checkpoint folder and
     reading it back: one job (a checkpoint takes two). For tables whose
     partitioning need not survive (vocabulary, model tables, weights). The
-    folder goes when the application ends; ``drop_table`` removes it sooner."""
+    folder goes when the application ends; ``drop_table`` removes it sooner.
+    With ``parts``, a column of the table, each of its values has a folder of
+    its own: see ``part_of``."""
     import uuid
 
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(parts) if parts else writer).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
@@ -85,6 +89,19 @@ def write_table(df):
     return out
 
 
+def part_of(table, parts: str, value):
+    """The rows of a table of ``write_table(df, parts)`` with one value of that column, which it leaves out;
+    ``drop_table`` deletes these rows alone."""
+    path = f"{table._written_at}/{parts}={value}"
+    schema = T.StructType([f for f in table.schema if f.name != parts])
+    where = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).exists(where):
+        return table.sparkSession.createDataFrame([], schema)
+    out = table.sparkSession.read.schema(schema).parquet(path)
+    out._written_at = path
+    return out
+
+
 def drop_table(df):
     """Delete a table of ``write_table`` that nothing lazy reads any more."""
     spark, path = df.sparkSession, getattr(df, "_written_at", None)
