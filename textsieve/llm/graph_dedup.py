@@ -9,8 +9,9 @@ a query: greedy search from the medoids of its shards, then expansion of the
 range over all links of nodes that lie in it. A query that reaches a node which
 also lives in other shards goes on there, round by round, until none is new.
 Every link is verified in double precision; recall is audited against brute
-force on a bounded sample of queries, and the search repeated wider if it is
-below the target.
+force on a bounded sample of queries that holds a stated number of links, and
+the search repeated wider if it is below the target. If the widest still misses
+more than is accepted, there is an error with the figure, and no result.
 """
 
 from __future__ import annotations
@@ -24,14 +25,15 @@ from textsieve.llm.common import read, write_table
 from textsieve.llm.components import components
 
 #: Bounds of a task's memory: classes of a shard, and rows that teach a cell its clusters.
-SHARD, SAMPLE = 1024, 4096
+SHARD, SAMPLE = 4096, 4096
 #: Rows of a cell that find their clusters in one task.
 PART = 8192
 #: Of a node: nearest classes considered, links kept, and how much nearer a kept link must be to stand in for another.
 NEAREST, DEGREE, ALPHA = 48, 24, 1.2
 BEAM = 24
-#: Queries of the recall audit and its target.
-AUDIT, TARGET = 256, 0.95
+#: Queries of the recall audit, how many links there are it must rest on, and the most queries it draws for that; the recall
+#: to search for, and the one below which there is no result.
+AUDIT, AUDIT_LINKS, AUDIT_MOST, TARGET, ACCEPTED = 256, 500, 1 << 14, 0.95, 0.9
 
 
 # -- one shard ------------------------------------------------------------------
@@ -358,7 +360,9 @@ def search(dealt: DataFrame, graph: DataFrame, least: float, beam: int = BEAM) -
         per_query = sent.groupBy("cid").agg(
             F.concat(F.max("visited"), F.array_sort(F.collect_set("shard"))).alias("visited"))
         guests = sent.select("cid", "shard", "entries", "vec").join(per_query, "cid")
-        parts.append(write_table(nodes.groupBy("shard").cogroup(guests.groupBy("shard")).applyInArrow(visiting, result)))
+        # shards without guests stay where they are
+        visited = nodes.join(sent.select("shard").distinct(), "shard", "left_semi")
+        parts.append(write_table(visited.groupBy("shard").cogroup(guests.groupBy("shard")).applyInArrow(visiting, result)))
     every = parts[0]
     for p in parts[1:]:
         every = every.unionByName(p)
@@ -366,10 +370,20 @@ def search(dealt: DataFrame, graph: DataFrame, least: float, beam: int = BEAM) -
 
 
 def audit(classes: DataFrame, counts: DataFrame, least: float, queries: int = AUDIT) -> float:
-    """Links found over links there are, for at most ``queries`` classes drawn by hash, against all classes in blocks."""
+    """Links found over links there are, for classes drawn by hash, against all classes in blocks: at first ``queries`` of
+    them, then eight times as many and again, until they have ``AUDIT_LINKS`` links, or all or ``AUDIT_MOST`` are drawn."""
     total = classes.count()
+    while True:
+        found, there = audited(classes, counts, least, queries, total)
+        if there >= AUDIT_LINKS or queries >= min(total, AUDIT_MOST):
+            return found / there if there else 1.0
+        queries = min(8 * queries, AUDIT_MOST)
+
+
+def audited(classes: DataFrame, counts: DataFrame, least: float, queries: int, total: int) -> tuple[int, int]:
+    """Links found and links there are, copies counted, of about ``queries`` classes."""
     if not total:
-        return 1.0
+        return 0, 0
     drawn = (classes.withColumn("h", F.pmod(F.xxhash64("cid", F.lit(1)), F.lit(1 << 30)))
              .where(F.col("h") * F.lit(total) < F.lit(queries * (1 << 30))).select("cid", "grp", "vec").limit(2 * queries))
     asked = [(r["cid"], r["grp"], r["vec"]) for r in drawn.collect()]
@@ -385,17 +399,19 @@ def audit(classes: DataFrame, counts: DataFrame, least: float, queries: int = AU
             grp = np.array(batch.column("grp").to_pylist(), dtype=object)
             for g in set(grp.tolist()) & set(by):
                 at = np.flatnonzero(grp == g)
-                x = np.stack(batch.column("vec").take(pa.array(at)).to_numpy(zero_copy_only=False))
                 own, q = by[g]
-                near = ((q @ x.T) >= least) * np.asarray(batch.column("n").take(pa.array(at)))[None, :]
-                same = np.array(own)[:, None] == np.asarray(batch.column("cid").take(pa.array(at)))[None, :]
-                for c, k in zip(own, (near * ~same).sum(axis=1).tolist()):
-                    hits[c] = hits.get(c, 0) + k
+                step = max(1, (1 << 21) // len(own))  # products held together
+                for some in np.split(at, np.arange(step, len(at), step)):
+                    x = np.stack(batch.column("vec").take(pa.array(some)).to_numpy(zero_copy_only=False))
+                    near = ((q @ x.T) >= least) * np.asarray(batch.column("n").take(pa.array(some)))[None, :]
+                    same = np.array(own)[:, None] == np.asarray(batch.column("cid").take(pa.array(some)))[None, :]
+                    for c, k in zip(own, (near * ~same).sum(axis=1).tolist()):
+                        hits[c] = hits.get(c, 0) + k
         yield pa.RecordBatch.from_pydict({"cid": pa.array(list(hits), pa.int64()), "there": pa.array(list(hits.values()), pa.int64())})
 
     there = classes.select("cid", "grp", "vec", "n").mapInArrow(scan, "cid long, there long").groupBy("cid").agg(F.sum("there").alias("there"))
     both = there.join(counts, "cid", "left").agg(F.sum("there").alias("t"), F.sum(F.least("there", F.coalesce("found", F.lit(0)))).alias("f")).first()
-    return 1.0 if not both["t"] else both["f"] / both["t"]
+    return both["f"] or 0, both["t"] or 0
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
@@ -417,6 +433,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
         if recall >= target or overlap >= 6:
             break
         overlap, beam = overlap + 2, 2 * beam
+    if recall < ACCEPTED:
+        raise RuntimeError(f"the graph finds only {recall:.3f} of the links that brute force finds")
     roots = components(links)
     rooted = write_table(classes.select("cid", "n", "first_id", "l", "v").join(roots, classes["cid"] == roots["node"], "left")
                          .join(counts, "cid", "left")
@@ -433,8 +451,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
 
 
 def op9_graph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per vector: its links, the smallest vec_id reachable, and whether it is that one."""
-    return near_vectors(read(spark, sf_dir, "embeddings")).drop("recall")
+    """One row per vector: its links, the smallest vec_id reachable, whether it is that one, and the audit's recall."""
+    return near_vectors(read(spark, sf_dir, "embeddings"))
 
 
 QUERIES = {"op9_graph_dedup": op9_graph_dedup}
