@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textsieve.llm.common import read, text_batches
-from textsieve.session import write_table
+from textsieve.session import drop_table, part_of, write_table
 
 WINDOW = 13
 #: Words of a unit (a longer document is a unit of its own) and cells of a block, both bounds of a task's memory.
-UNIT_WORDS, BLOCK_CELLS = 1 << 20, 1 << 25
+UNIT_WORDS, BLOCK_CELLS = 1 << 19, 1 << 25
 DEPTH = 2
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 NO_ID = np.iinfo(np.int64).max
@@ -307,10 +307,10 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             pa.array([len(w) for w in u.words], pa.int64()), pa.array([int(g.sum()) for g in gone], pa.int64()),
             pa.array(kept, pa.string())], schema=out_schema)
 
-    first = write_table(plain.mapInArrow(pack, ROWS))
-    units = first.where(F.col("kind") == DOCUMENTS)
-    sketches = first.where(F.col("kind") != DOCUMENTS)
+    first = write_table(plain.mapInArrow(pack, ROWS).withColumn("sent", (F.col("kind") != DOCUMENTS).cast("int")), "sent")
+    units, sketches = part_of(first, "sent", 0), part_of(first, "sent", 1)
     estimates = write_table(sketches.groupBy("kind", "block").applyInArrow(merge_sketches, ROWS))
+    drop_table(sketches)  # the estimates are written: nothing reads them again
     exact = units.groupBy("src").cogroup(estimates.groupBy("src")).applyInArrow(send_estimated, ROWS)
     least = write_table(exact.groupBy("block").applyInArrow(group_exactly, ROWS))
     replies = estimates.unionByName(least)
