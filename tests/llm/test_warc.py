@@ -1,5 +1,8 @@
 import gzip
 import hashlib
+import time
+
+import pytest
 
 from textsieve.llm import warc
 
@@ -71,3 +74,61 @@ def test_damaged_file_read_by_spark(spark, tmp_path):
     assert [r.record_id for r in rows if r.gap is None] == ["0", "2"]
     gap = next(r for r in rows if r.gap is not None)
     assert gap.end - gap.start == 6 and gap.path.endswith("a.warc.gz")
+
+
+def test_many_members_take_linear_time():
+    one = gzip.compress(warc.record(1, "u", b"y" * 4096, hashlib.sha256(b"y" * 4096).hexdigest(), None, "d"), 0)
+
+    def seconds(n):
+        data, t = one * n, time.perf_counter()
+        assert sum(1 for _, _, r, _ in warc.salvage(data) if r) == n
+        return time.perf_counter() - t
+
+    seconds(50)
+    assert seconds(4000) < 8 * seconds(1000) + 0.5
+
+
+def test_members_are_bounded():
+    bomb = gzip.compress(b"0" * (1 << 22))
+    assert warc.unpack(bomb, 0, 1 << 22) == (b"0" * (1 << 22), len(bomb))
+    with pytest.raises(ValueError, match="too large"):
+        warc.unpack(bomb, 0, (1 << 22) - 1)
+    # a member longer than the pieces it is read in
+    import random
+
+    noise = random.Random(1).randbytes(5 * warc.PIECE + 7)
+    member = gzip.compress(noise)
+    assert warc.unpack(b"xx" + member + b"after", 2) == (noise, 2 + len(member))
+
+
+def test_files_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "LARGE", 200)
+    monkeypatch.setattr(warc, "FILE_BYTES", 4000)
+    rows = [(i, "u", hashlib.sha256(b"%d" % i).hexdigest() * (20 if i % 3 == 0 else 1)) for i in range(30)]
+    warc.write_warc(pages(spark, rows).coalesce(1), str(tmp_path / "w"))
+    counts = sorted(gzip.decompress(f.read_bytes()).count(b"WARC-Type: ") for f in (tmp_path / "w").glob("part-*"))
+    assert sum(counts) == 30 and counts[:10] == [1] * 10
+    got = warc.read_warc(spark, str(tmp_path / "w")).collect()
+    assert sorted((r.record_id or "None", r.record_type, r.refers_to, r.payload_bytes, r.payload_digest) for r in got) == brute(rows)
+
+
+def test_a_lost_record_is_an_error(spark, tmp_path, monkeypatch):
+    pages(spark, ROWS[3:]).withColumnRenamed("digest", "mine").write.parquet(str(tmp_path / "pages.parquet"))
+    assert warc.op5_warc(spark, str(tmp_path)).count() == len(ROWS) - 3
+    real = warc.write_warc
+
+    def damaged(df, path, **options):
+        real(df, path, **options)
+        import glob
+        import os
+
+        path = path.removeprefix("file:")
+        name = max(glob.glob(f"{path}/part-*"), key=os.path.getsize)
+        data = bytearray(open(name, "rb").read())
+        data[len(data) // 2] ^= 255
+        os.remove(os.path.join(path, "." + os.path.basename(name) + ".crc"))
+        open(name, "wb").write(data)
+
+    monkeypatch.setattr(warc, "write_warc", damaged)
+    with pytest.raises(Exception, match="unreadable record in"):
+        warc.op5_warc(spark, str(tmp_path)).collect()

@@ -5,8 +5,9 @@ bytes one after another in any store; the "line separator" is an empty gzip
 member, so a file is a plain sequence of members. Repeated payloads become
 revisit records.
 
-Reading: files come whole (their number of records is bounded when they are
-written). A record counts only if its member unpacks, its header parses, its
+Reading: files come whole (the number of their records and their bytes are
+bounded when they are written); a member is unpacked in small pieces, up to a
+bound, so a file is read in one pass. A record counts only if its member unpacks, its header parses, its
 length fits and its digests hold. After a failed check the reader searches for
 the next valid member or version line, recovers the records from there on and
 logs the byte gap it left out.
@@ -35,7 +36,10 @@ EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 MAGIC = b"\x1f\x8b\x08"
 START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 MIN_REVISIT_BYTES = 100
-RECORDS_PER_FILE = 1000
+#: Files: at most so many records; payloads over ``LARGE`` bytes go to files of their own, so that no file passes ``FILE_BYTES``
+#: (a payload over that has a file for itself). Members: the bytes that are fed at once, and that one may unpack to.
+RECORDS_PER_FILE, LARGE, FILE_BYTES = 1000, 1 << 20, 1 << 30
+PIECE, MAX_MEMBER = 1 << 16, 1 << 31
 
 
 def record(page_id, url, payload: bytes, digest: str, refers_to, date: str) -> bytes:
@@ -89,13 +93,20 @@ def parse(raw: bytes, at: int) -> tuple[dict, int]:
             "payload_bytes": int(full[1]) if full else len(payload), "payload": payload}, stop + 4
 
 
-def unpack(data: bytes, at: int) -> tuple[bytes, int]:
-    """The gzip member that starts at ``at``, unpacked and checked, and where it ends."""
-    z = zlib.decompressobj(wbits=31)
-    out = z.decompress(memoryview(data)[at:])
+def unpack(data: bytes, at: int, most: int = MAX_MEMBER) -> tuple[bytes, int]:
+    """The gzip member that starts at ``at``, unpacked and checked, and where it ends. A member that unpacks to more than
+    ``most`` bytes fails like a damaged one."""
+    z, view, out, size = zlib.decompressobj(wbits=31), memoryview(data), [], 0
+    while not z.eof and at < len(data):
+        piece = view[at:at + PIECE]
+        at += len(piece)
+        out.append(z.decompress(piece, most - size + 1))
+        size += len(out[-1])
+        if size > most:
+            raise ValueError("member too large")
     if not z.eof:
         raise ValueError("member cut short")
-    return out, len(data) - len(z.unused_data)
+    return b"".join(out), at - len(z.unused_data)
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, str]]:
@@ -153,8 +164,9 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
 
     A null payload is empty, a null url leaves its header out. An empty table writes no record.
     """
-    rows = with_revisits(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
-                                      F.col(payload_col).alias("html")), "page_id", "html")
+    pages = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(payload_col).alias("html"))
+    rows = with_revisits(pages, "page_id", "html")
+    largest = pages.agg(F.max(F.octet_length("html"))).first()[0] or 0
 
     @F.pandas_udf("binary")
     def member(ids: pd.Series, urls: pd.Series, payloads: pd.Series, digests: pd.Series, refers: pd.Series) -> pd.Series:
@@ -162,10 +174,18 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
         return pd.Series([gzip.compress(record(none(i), u, p, d, none(r), date), 6, mtime=0)
                           for i, u, p, d, r in zip(ids, urls, payloads, digests, refers)], dtype=object)
 
-    (rows.select(member(F.col("page_id").cast("string"), "url", "payload", "digest", F.col("refers_to").cast("string"))
-                 .cast("string").alias("value"))
-     .write.option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("encoding", "ISO-8859-1")
-     .option("maxRecordsPerFile", records_per_file).mode("overwrite").text(path))
+    def write(some: DataFrame, records: int, mode: str):
+        (some.select(member(F.col("page_id").cast("string"), "url", "payload", "digest", F.col("refers_to").cast("string"))
+                     .cast("string").alias("value"))
+         .write.option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("encoding", "ISO-8859-1")
+         .option("maxRecordsPerFile", records).mode(mode).text(path))
+
+    if largest <= LARGE:
+        write(rows, records_per_file, "overwrite")
+    else:
+        big = F.octet_length("payload") > LARGE
+        write(rows.where(~big), records_per_file, "overwrite")
+        write(rows.where(big), max(1, min(records_per_file, FILE_BYTES // (2 * largest))), "append")
 
 
 RECORD_SCHEMA = ("path string, start long, end long, gap string, record_id string, record_type string, url string, "
@@ -200,12 +220,13 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the archives, read them back: one row per page."""
+    """Write the archives, read them back: one row per page. Bytes that cannot be read back are an error."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}-warc"
     write_warc(read(spark, sf_dir, "pages"), path)
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
-    got = read_warc(spark, path, payloads=False).where("gap is null")
+    lost = F.raise_error(F.concat_ws(" ", F.lit("unreadable record in"), "path", F.lit("at byte"), "start", "gap"))
+    got = read_warc(spark, path, payloads=False).where(F.when(F.col("gap").isNull(), True).otherwise(lost.cast("boolean")))
     return got.select(F.when(F.col("record_id") != "", F.col("record_id")).cast("long").alias("page_id"), "payload_bytes",
                       "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
 
