@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from textsieve.functions import text as T
 from textsieve.functions.morph import porter_stem
 
+# The sample sentences that the goldens below belong to.
 F_B = [
     "Hello, how are you doing today? I hope you're well!",
     "Buy now! Limited time offer. 50% off on all products. www.example.com",

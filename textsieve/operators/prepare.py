@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Junk columns of the reference's CSV: pandas names and Spark names.
+# The junk columns of the reference's CSV, by their pandas and Spark names.
 JUNK_COLUMNS = ["Unnamed: 2", "Unnamed: 3", "Unnamed: 4", "_c2", "_c3", "_c4"]
 
 

@@ -772,9 +772,6 @@ sums AS (SELECT p.param, ff.fold, ff.row_id, sum(ff.value * p.w0 + ff.value * ff
 sc AS ({tail}"""
 
 
-_GRID_GNB = (1e-9, 1e-8, 1e-7, 1e-6, 1e-5)
-
-
 @register("grid_gnb", _cv_gnb_sql(_GRID_GNB) + f"""
 SELECT CAST(round(log10(param)) AS INTEGER) AS log_smoothing, {r6('avg(f1)')} AS mean_score, {r6('stddev_pop(f1)')} AS std_score,
        {r6('min(f1)')} AS min_score, {r6('max(f1)')} AS max_score FROM scores GROUP BY param""")

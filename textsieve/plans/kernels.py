@@ -98,7 +98,7 @@ def fit_kernel_svc(train_long: DataFrame, train_docs: DataFrame, vocab: DataFram
     feats = rff_vectors(train_long, train_docs, vocab, n_components, g, seed).join(
         train_docs.select("row_id", "label", "weight"), "row_id")
     n = float(train_docs.agg(F.sum("weight")).first()[0])
-    svc = LinearSVC(regParam=1.0 / (C * n), weightCol="weight", maxIter=100).fit(feats)
+    svc = LinearSVC(regParam=1.0 / (C * n), weightCol="weight", maxIter=100, standardization=False).fit(feats)
     return svc, g
 
 
@@ -155,4 +155,4 @@ def fit_poly_svc(train_long: DataFrame, train_docs: DataFrame, vocab: DataFrame,
     feats = tensor_sketch(train_long, train_docs, vocab, degree, g, coef0, n_components, seed).join(
         train_docs.select("row_id", "label", "weight"), "row_id")
     n = float(train_docs.agg(F.sum("weight")).first()[0])
-    return LinearSVC(regParam=1.0 / (C * n), weightCol="weight", maxIter=100).fit(feats), g
+    return LinearSVC(regParam=1.0 / (C * n), weightCol="weight", maxIter=100, standardization=False).fit(feats), g

@@ -115,7 +115,7 @@ def _no_param(name):
 def _only(p, *known):
     """A parameter that Spark's estimator has no equivalent for is an error, never ignored."""
     for k in p:
-        if k not in (*known, "_n", "_v", "class_weight"):
+        if k not in (*known, "_n", "_v"):
             _no_param(k)
     if p.get("class_weight") not in (None, "balanced"):
         _no_param(f"class_weight={p['class_weight']}")
@@ -127,7 +127,7 @@ def _depth(d):
 
 def _lr(p):
     # both solvers of the grid minimise the same objective, which Spark's own solver does too
-    _only(p, "max_iter", "solver", "random_state", "C", "penalty")
+    _only(p, "max_iter", "solver", "random_state", "C", "penalty", "class_weight")
     if p.get("solver") not in (None, "liblinear", "saga", "lbfgs"):
         _no_param("solver")
     return LogisticRegression(maxIter=int(p.get("max_iter", 100)), tol=LR_TOL, regParam=_reg(p.get("C", 1.0), p["_n"]),
@@ -136,7 +136,7 @@ def _lr(p):
 
 
 def _svc(p):
-    _only(p, "max_iter", "kernel", "C", "probability", "random_state")
+    _only(p, "max_iter", "kernel", "C", "probability", "random_state", "class_weight")
     if p.get("kernel", "linear") != "linear":
         raise ValueError("kernel SVMs run on explicit feature maps: use textsieve.plans.kernels")
     return LinearSVC(maxIter=int(p.get("max_iter", 100)), tol=SVM_TOL, regParam=_reg(p.get("C", 1.0), p["_n"]),
@@ -144,7 +144,7 @@ def _svc(p):
 
 
 def _rf(p):
-    _only(p, "n_estimators", "max_depth", "min_samples_leaf", "random_state")
+    _only(p, "n_estimators", "max_depth", "min_samples_leaf", "random_state", "class_weight")
     return RandomForestClassifier(numTrees=int(p.get("n_estimators", 100)), maxDepth=_depth(p.get("max_depth")),
                                   minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
                                   featureSubsetStrategy="sqrt", seed=int(p.get("random_state", 42)),
@@ -159,7 +159,7 @@ def _gbt(p):
 
 
 def _dt(p):
-    _only(p, "max_depth", "min_samples_leaf", "criterion", "random_state")
+    _only(p, "max_depth", "min_samples_leaf", "criterion", "random_state", "class_weight")
     return DecisionTreeClassifier(impurity=p.get("criterion", "gini"), maxDepth=_depth(p.get("max_depth")),
                                   minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
                                   seed=int(p.get("random_state", 42)), weightCol="weight")

@@ -119,6 +119,7 @@ def prediction_counts(pred: DataFrame) -> DataFrame:
 def format_result(pred: DataFrame, text_col: str = "text") -> DataFrame:
     """P10: ``Classification: SPAM (Confidence: 0.93)\\nText: ...``; texts over
     100 characters become their first 97 and ``...``."""
+    # fixed values: the output format
     t = F.coalesce(F.col(text_col), F.lit(""))
     short = F.when(F.length(t) > 100, F.concat(F.substring(t, 1, 97), F.lit("..."))).otherwise(t)
     head = F.when(

@@ -130,7 +130,7 @@ def prepare_leaky(base: DataFrame, opts: Options, stop_words=None) -> TrainingDa
     copy's key includes its copy number). Copies on each side become weights,
     so ``docs_test`` carries a ``weight`` for weighted evaluation."""
     rows = prepared_text(base, "message", "row_id", opts).repartition("row_id")
-    counts = cut_lineage(vectorize.term_counts(rows, "message", "row_id", stop_words, opts.preprocess,
+    counts = cut_lineage(vectorize.term_counts(rows, "message", "row_id", stop_words, opts.preprocess is True,
                                                keep=("label",)))
     labels = rows.select("row_id", "label")
     n_all = labels.count()
