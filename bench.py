@@ -40,6 +40,7 @@ HEADLINE = [
     "logistic_regression",
     "model_results",
     "kernel_features",
+    "knn_score",
 ]
 
 

@@ -1016,6 +1016,34 @@ def q_csv_scan_roundtrip(spark, sf_dir):
     return out.withColumn("message", F.regexp_replace("message", "\r", ""))
 
 
+@register("strict_scan", f"""SELECT v1, regexp_replace(v2, chr(13), '', 'g') AS v2
+FROM ({RAW_SQL}) WHERE v1 IS NOT NULL AND v2 IS NOT NULL""")
+def q_strict_scan(spark, sf_dir):
+    """The older scan of a CSV with exactly the named columns and three junk ones."""
+    from textsieve.sources import io
+
+    junk = [F.lit(None).cast("string").alias(f"_c{i}") for i in (2, 3, 4)]
+    path = _scratch(spark, "strict")
+    raw_messages(spark, sf_dir).select("v1", "v2", *junk).write.options(
+        header=True, escape='"', quote='"', encoding="UTF-8", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        emptyValue="").csv(path)
+    out = io.load_csv_strict(spark, path, encoding="UTF-8").where("v1 is not null and v2 is not null")
+    return out.select("v1", F.regexp_replace("v2", "\r", "").alias("v2"))
+
+
+@register("sparse_vectors", f"WITH {_TRAIN}\nSELECT row_id, term, {r6('value')} AS value FROM ftr")
+def q_sparse_vectors(spark, sf_dir):
+    """The vectors that ``pyspark.ml`` models are fitted on, taken apart, their places named by the vocabulary."""
+    from textsieve.plans import models
+
+    td = training(spark, sf_dir)
+    rows = models.vectors(td.docs_train.select("row_id"), td.feats_train, td.vocab.count())
+    stored = F.from_json(F.to_json(F.struct("features")), "features struct<indices: array<int>, values: array<double>>")
+    long = rows.select("row_id", stored["features"].alias("f")).select("row_id", F.explode(F.arrays_zip("f.indices", "f.values")).alias("e"))
+    long = long.select("row_id", F.col("e.indices").cast("long").alias("term_id"), F.col("e.values").alias("value"))
+    return round_doubles(long.join(F.broadcast(td.vocab.select("term_id", "term")), "term_id").select("row_id", "term", "value"))
+
+
 @register("bundle_roundtrip", _PRED_SQL + f"""SELECT conv_id, turn, prediction, label, {r6('probability')} AS probability,
   {r6('confidence')} AS confidence FROM preds2""")
 def q_bundle_roundtrip(spark, sf_dir):
