@@ -198,3 +198,54 @@ def test_additive_model_learns_an_interaction():
     model = qm.fit(x, y, rounds=30, pairs=1)
     assert list(model.pairs) == [(0, 1)]
     assert ((model.score(x) > 0.5) == y).mean() > 0.95
+
+
+def brute_features(text):
+    """The features of the additive model, by their definitions."""
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    n = len(words)
+    if not n:
+        return dict.fromkeys(qm.FEATURES, 0.0)
+    classes, common = brute_histograms(text)
+    chars = max(1, sum(classes.values()))
+    letters = classes["lower"] + classes["upper"] + classes["letter"]
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    sizes = [len(w.encode()) for w in words]
+    part = lambda test: sum(1 for w in words if test(w)) / n
+    return {
+        "log_words": math.log1p(n), "word_length": sum(sizes) / n, "log_longest_word": math.log1p(max(sizes)),
+        "lower": classes["lower"] / chars, "upper": classes["upper"] / letters if letters else 0.0,
+        "digits": len(re.findall("[0-9]", text)) / len(text), "punctuation": classes["punctuation"] / chars,
+        "symbols": classes["symbol"] / chars, "unusual": classes["other"] / chars,
+        "words_with_letters": part(lambda w: not w.isascii() or re.search("[A-Za-z]", w)),
+        "common_words": 1 - common[None] / n, "log_words_per_line": math.log1p(n / max(1, len(lines))),
+        "duplicate_lines": 1 - len(set(lines)) / max(1, len(lines)), "repeated_windows": brute_base(text)[4] / n,
+        "distinct_words": len(set(words)) / n, "top_word": max(Counter(words).values()) / n,
+        "equal_neighbours": sum(a == b for a, b in zip(words, words[1:])) / n,
+        "capitalised": part(lambda w: "A" <= w[0] <= "Z"), "sentence_ends": part(lambda w: w[-1] in ".?"),
+        "exclamations": part(lambda w: w[-1] == "!")}
+
+
+def test_features_equal_brute_force(spark):
+    texts = [r[1] for r in prose(spark) if len(r[1] or "") < 6000][:120] + [r[1] for r in EDGES]
+    texts += ["Wow! Wow! 12 12 ok? AB éa", "a b c", "a b c a b c", "# $ %\n\n#\n", "日本 日本. 😀 x"]
+    for t in texts:
+        want = brute_features(t)
+        assert np.allclose(qm.features_of(t), [want[f] for f in qm.FEATURES], atol=1e-9), t
+
+
+def test_score_equals_adding_up_the_tables():
+    rng = np.random.default_rng(3)
+    x = np.round(rng.random((600, 4)), 2)
+    y = (x[:, 0] + (x[:, 1] > 0.5) * (x[:, 2] < 0.3) + 0.2 * rng.random(600) > 0.8).astype(float)
+    model = qm.fit(x, y, rounds=20, pairs=3)
+    got = model.score(x)
+    assert len(model.pairs) == 3
+    for row, score in zip(x.tolist(), got):
+        at = [sum(e <= v for e in edges) for v, edges in zip(row, model.edges)]
+        total = model.intercept + sum(t[k] for k, t in zip(at, model.tables))
+        for (i, j), t in model.pairs.items():
+            a, b = (at[k] * qm.PAIR_BINS // (len(model.edges[k]) + 1) for k in (i, j))
+            total += t[a][b]
+        assert score == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-12)
