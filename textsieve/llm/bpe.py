@@ -84,6 +84,7 @@ class Codec:
         self.token_bytes = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
             self.token_bytes[i] = bytes(back[c] for c in token)
+        self.decimals = [b"%d," % i for i in range(len(self.token_bytes))]
         self.lengths = np.array([len(b) for b in self.token_bytes], dtype=np.int64)
         # ids of a part as packed numbers: a fifth of the size of a tuple of them
         self.kind = np.dtype(np.uint16 if len(self.token_bytes) <= 1 << 16 else np.uint32)
@@ -111,13 +112,21 @@ class Codec:
             some = new[at:at + 1000]
             for p, e in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False)):
                 (seen if len(p) <= CACHE_CHARS else own)[p] = np.array(e.ids, dtype=self.kind).tobytes()
-        return [np.frombuffer(b"".join([seen[p] if p in seen else own[p] for p in parts]), dtype=self.kind) for parts in cut]
+        if own:
+            return [np.frombuffer(b"".join([seen[p] if p in seen else own[p] for p in parts]), dtype=self.kind) for parts in cut]
+        return [np.frombuffer(b"".join([seen[p] for p in parts]), dtype=self.kind) for parts in cut]
 
     def decode_bytes(self, ids) -> bytes:
         """The byte table in reverse; a token may end within a character, the whole is what counts."""
         table = self.token_bytes
         return b"".join([table[i] for i in (ids.tolist() if isinstance(ids, np.ndarray) else ids)])
 
+    def digests(self, ids: np.ndarray) -> tuple[str, str]:
+        """SHA-256 of the decimal ids, joined by commas, and of the bytes they decode to."""
+        numbers, decimals = ids.tolist(), self.decimals
+        return (hashlib.sha256(b"".join([decimals[i] for i in numbers])[:-1]).hexdigest(),
+                hashlib.sha256(self.decode_bytes(numbers)).hexdigest())
+
     def decode(self, ids) -> str:
         """Text of the ids; bytes that form no character (ids cut within one) become U+FFFD."""
         return self.decode_bytes(ids).decode("utf-8", errors="replace")
@@ -198,8 +207,7 @@ def token_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         for at in range(0, len(texts), 256):  # ids of a few texts at a time
             for ids in c.encode_batch([t or "" for t in texts.iloc[at:at + 256]]):
                 own = [ids.astype(np.int32)] if with_ids else []
-                rows.append((len(ids), *own, hashlib.sha256(",".join(map(str, ids.tolist())).encode()).hexdigest(),
-                             hashlib.sha256(c.decode_bytes(ids)).hexdigest()))
+                rows.append((len(ids), *own, *c.digests(ids)))
         return pd.DataFrame(rows, columns=names)
 
     return text_batches(docs).select(F.col(id_col), digest(F.col(text_col)).alias("d")).select(id_col, "d.*")
