@@ -21,7 +21,7 @@ def test_registry_and_factory():
     with pytest.raises(ValueError):
         models.create_model("No Such Model")
     with pytest.raises(ValueError):
-        models.create_model("Random Forest", {"min_samples_split": 5})
+        models.create_model("Random Forest", {"max_leaf_nodes": 5})
 
 
 def test_sinks_and_single_message(spark):

@@ -109,7 +109,7 @@ def test_grid_search(spark):
     res, best = models.grid_search("Multinomial Naive Bayes", td, {"alpha": [0.1, 1.0]}, k=3)
     ranked = {r.params: r.mean_score for r in res.collect()}
     assert len(ranked) == 2 and ranked[str(best)] == max(ranked.values())
-    for name, grid in (("Random Forest", {"min_samples_split": [2]}), ("Gradient Boosting", {"nonsense": [1]}),
+    for name, grid in (("Random Forest", {"max_leaf_nodes": [2]}), ("Gradient Boosting", {"nonsense": [1]}),
                        ("Neural Network", {"alpha": [0.1]}), ("K-Nearest Neighbors", {"leaf_size": [1]})):
         with pytest.raises(ValueError):
             models.grid_search(name, td, grid)

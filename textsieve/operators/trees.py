@@ -226,15 +226,13 @@ def _spec_table(spark, specs: list[TreeSpec]) -> DataFrame:
     rows = [(i, s.seed, s.criterion, s.max_depth, s.min_samples_split, s.min_samples_leaf, s.class_weight,
              s.max_features is not None, s.bootstrap) for i, s in enumerate(specs)]
     return F.broadcast(spark.createDataFrame(
-        rows, "tree int, seed int, criterion string, max_depth int, min_split int, min_leaf int, class_weight string, "
+        rows, "tree int, seed bigint, criterion string, max_depth int, min_split int, min_leaf int, class_weight string, "
               "some_terms boolean, bootstrap boolean"))
 
 
 def grow(rows: DataFrame, specs: list[TreeSpec], n_terms: int, local_entries: int = LOCAL_ENTRIES) -> DataFrame:
-    """The nodes (see above) of one tree for each of ``specs`` over ``rows(row_id, label, weight, t, b)``."""
+    """The nodes (see above) of one tree for each of ``specs`` over the ``rows`` of ``tree_rows``."""
     spark = rows.sparkSession
-    # rows lie by row_id, as the state does, so no pass moves them again
-    rows = cut_lineage(rows.select("row_id", "label", "weight", "t", "b").repartition("row_id").sortWithinPartitions("row_id"))
     table = _spec_table(spark, specs)
     copies = F.round("weight").cast("int")
     drawn = F.aggregate(F.sequence(F.lit(1), copies), F.lit(0), lambda acc, i: acc + _poisson(F.xxhash64(
@@ -428,10 +426,17 @@ class TreeModel:
         return cls(spark.read.parquet(f"{path}/nodes"), spark.read.parquet(f"{path}/edges"), len(own), n_terms, own)
 
 
-def fit_trees(feats: DataFrame, docs: DataFrame, vocab: DataFrame, specs: list[TreeSpec],
-              local_entries: int = LOCAL_ENTRIES) -> TreeModel:
-    """One tree for each of ``specs`` on the training rows."""
+def tree_rows(feats: DataFrame, docs: DataFrame, vocab: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """``(row_id, label, weight, t, b)`` of the training rows, the range of each term and the number of terms. The rows
+    lie by ``row_id`` in the checkpoint folder, so no pass of a growth moves them again."""
     n_terms = vocab.count()
     edges = write_table(bin_edges(feats))
     rows = binned(docs.select("row_id", "label", "weight"), feats, edges, n_terms)
+    return cut_lineage(rows.repartition("row_id").sortWithinPartitions("row_id")), edges, n_terms
+
+
+def fit_trees(prepared: tuple[DataFrame, DataFrame, int], specs: list[TreeSpec],
+              local_entries: int = LOCAL_ENTRIES) -> TreeModel:
+    """One tree for each of ``specs`` on the training rows of ``tree_rows``."""
+    rows, edges, n_terms = prepared
     return TreeModel(grow(rows, specs, n_terms, local_entries), edges, len(specs), n_terms, specs)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from textsieve.config import Options
 from textsieve.functions import text as T
-from textsieve.operators import evaluate, prepare, sampling, vectorize
+from textsieve.operators import evaluate, prepare, sampling, trees, vectorize
 from textsieve.plans import sql as S
 from textsieve.plans import train
 
@@ -705,11 +705,41 @@ def _ml_query(name: str, params: dict | None = None):
 
 # Each with the registry's own defaults.
 for _q, _name in (("logistic_regression", "Logistic Regression"), ("linear_svc_platt", "Support Vector Machine"),
-                  ("random_forest", "Random Forest"), ("gbt", "Gradient Boosting"),
-                  ("decision_tree", "Decision Tree"), ("mlp", "Neural Network")):
+                  ("random_forest", "Random Forest"), ("gbt", "Gradient Boosting"), ("mlp", "Neural Network")):
     register(_q)(_ml_query(_name))
 
 
+# --- decision trees (F7): whole trees, equal to a recursive query ---------------
+
+def _tree_sql(select: str, **params) -> str:
+    return f"WITH RECURSIVE {_TRAIN},\n{S.tree_ctes(bins=trees.BINS, **params)}\n{select}"
+
+
+_TREE_SCORES = f"SELECT row_id, label, CAST(prediction AS INTEGER) AS prediction, {r6('probability')} AS probability FROM tree_scored"
+_ENTROPY = {"criterion": "entropy", "min_samples_split": 5, "min_samples_leaf": 2, "max_depth": 10}
+
+register("decision_tree", _tree_sql(_TREE_SCORES))(_ml_query("Decision Tree"))
+register("decision_tree_entropy", _tree_sql(_TREE_SCORES, **_ENTROPY))(_ml_query("Decision Tree", _ENTROPY))
+
+
+@register("tree_nodes", _tree_sql(f"""SELECT path, term, bin, CAST(n AS BIGINT) AS n, {r6('w0')} AS w0, {r6('w1')} AS w1,
+       {r6('gain')} AS gain FROM tree_nodes"""))
+def q_tree_nodes(spark, sf_dir):
+    """every node of the tree with its term, its least bin to the right, counts and impurity decrease."""
+    td = training(spark, sf_dir)
+    nodes = fitted(spark, sf_dir, "Decision Tree").nodes.join(F.broadcast(td.vocab.select("term_id", "term")), "term_id", "left")
+    return round_doubles(nodes.select("path", "term", "bin", F.col("n").cast("bigint").alias("n"), "w0", "w1", "gain"))
+
+
+@register("grid_search_trees")
+def q_grid_search_trees(spark, sf_dir):
+    """the whole grid of decision trees, 180 points by five folds, one growth a fold."""
+    from textsieve.plans import models
+
+    res, _ = models.grid_search("Decision Tree", training(spark, sf_dir), models.REGISTRY["Decision Tree"].grid)
+    return round_doubles(res)
+
+
 @register("tree_importances")
 def q_tree_importances(spark, sf_dir):
     from textsieve.operators import rank

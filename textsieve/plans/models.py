@@ -2,7 +2,7 @@
 
 Every registry entry creates an estimator with one interface: ``fit(td)`` on
 the training data returns a fitted model with ``score(docs, feats)``, whether
-it is a relational Naive Bayes or a ``pyspark.ml`` model.
+it is relational (Naive Bayes, neighbours, trees) or a ``pyspark.ml`` model.
 
 Feature vectors (V13) are gathered per document from the long feature table by
 the ``term_id`` that the vocabulary already carries, so no vocabulary reaches
@@ -20,12 +20,10 @@ from typing import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
-    DecisionTreeClassifier,
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
-    RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -34,15 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textsieve.operators import bayes, evaluate, neighbours, sampling
+from textsieve.operators import bayes, evaluate, neighbours, sampling, trees
 from textsieve.session import cut_lineage, ensure_checkpoint_dir
 
-#: Spark's trees go no deeper; ``max_depth=None`` (no limit) means this depth.
-SPARK_MAX_DEPTH = 30
 # The tolerances at which the reference's solvers stop.
 LR_TOL, SVM_TOL = 1e-4, 1e-3
 #: Held-out folds from which the probabilities of a linear SVM are learned.
 PLATT_FOLDS = 3
+#: So many trees of a grid grow together (a family of points that share their trees is never split).
+TREES_AT_ONCE = 500
 
 
 # --- V13: vectors ----------------------------------------------------------
@@ -85,6 +83,14 @@ def training_vectors(td, scaled: bool) -> tuple[DataFrame, DataFrame | None, int
     return cache[scaled]
 
 
+def tree_rows(td) -> tuple[DataFrame, DataFrame, int]:
+    """The training rows in bins, kept with the training data like its vectors."""
+    cache = td.__dict__.setdefault("_vectors", {})
+    if "trees" not in cache:
+        cache["trees"] = trees.tree_rows(td.feats_train, td.docs_train, td.vocab)
+    return cache["trees"]
+
+
 # --- U3 / F13: registry ----------------------------------------------------
 
 @dataclass
@@ -94,7 +100,7 @@ class ModelSpec:
     needs_scaling: bool
     default: dict = field(default_factory=dict)
     grid: dict = field(default_factory=dict)
-    kind: str = "ml"  # "ml" (pyspark.ml estimator), "nb" (relational Naive Bayes) or "knn" (relational neighbours)
+    kind: str = "ml"  # "ml" (pyspark.ml estimator) or relational: "nb" (Naive Bayes), "knn" (neighbours), "trees"
 
 
 REGISTRY: dict[str, ModelSpec] = {}
@@ -109,22 +115,18 @@ def _reg(c: float, n: int) -> float:
 
 
 def _no_param(name):
-    raise ValueError(f"parameter {name!r} has no pyspark.ml equivalent")
+    raise ValueError(f"parameter {name!r} has no equivalent here")
 
 
-def _only(p, *known):
-    """A parameter that Spark's estimator has no equivalent for is an error, never ignored."""
+def _only(p, *known, class_weights=(None, "balanced")):
+    """A parameter that the estimator has no equivalent for is an error, never ignored."""
     for k in p:
         if k not in (*known, "_n", "_v"):
             _no_param(k)
-    if p.get("class_weight") not in (None, "balanced"):
+    if p.get("class_weight") not in class_weights:
         _no_param(f"class_weight={p['class_weight']}")
 
 
-def _depth(d):
-    return SPARK_MAX_DEPTH if d is None else int(d)
-
-
 def _lr(p):
     # both solvers of the grid minimise the same objective, which Spark's own solver does too
     _only(p, "max_iter", "solver", "random_state", "C", "penalty", "class_weight")
@@ -143,12 +145,19 @@ def _svc(p):
                      standardization=False, weightCol="weight")
 
 
+def _spec(p, **more) -> trees.TreeSpec:
+    depth = p.get("max_depth")
+    return trees.TreeSpec(criterion=p.get("criterion", "gini"), max_depth=None if depth is None else int(depth),
+                          min_samples_split=int(p.get("min_samples_split", 2)), min_samples_leaf=int(p.get("min_samples_leaf", 1)),
+                          class_weight=p.get("class_weight"), **more)
+
+
 def _rf(p):
-    _only(p, "n_estimators", "max_depth", "min_samples_leaf", "random_state", "class_weight")
-    return RandomForestClassifier(numTrees=int(p.get("n_estimators", 100)), maxDepth=_depth(p.get("max_depth")),
-                                  minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
-                                  featureSubsetStrategy="sqrt", seed=int(p.get("random_state", 42)),
-                                  weightCol="weight")
+    _only(p, "n_estimators", "max_depth", "min_samples_split", "min_samples_leaf", "criterion", "random_state", "class_weight",
+          class_weights=(None, "balanced", "balanced_subsample"))
+    seed = int(p.get("random_state", 42))
+    return [_spec(p, max_features="sqrt", bootstrap=True, seed=(seed * 1_000_003 + i) % 2 ** 31)
+            for i in range(int(p.get("n_estimators", 100)))]
 
 
 def _gbt(p):
@@ -159,10 +168,8 @@ def _gbt(p):
 
 
 def _dt(p):
-    _only(p, "max_depth", "min_samples_leaf", "criterion", "random_state", "class_weight")
-    return DecisionTreeClassifier(impurity=p.get("criterion", "gini"), maxDepth=_depth(p.get("max_depth")),
-                                  minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
-                                  seed=int(p.get("random_state", 42)), weightCol="weight")
+    _only(p, "max_depth", "min_samples_split", "min_samples_leaf", "criterion", "random_state", "class_weight")
+    return [_spec(p)]
 
 
 def _mlp(p):
@@ -201,14 +208,14 @@ register_model("Support Vector Machine", _svc, {"C": [0.1, 1.0, 10.0], "kernel":
 register_model("Random Forest", _rf, {"n_estimators": [50, 100, 200], "max_depth": [None, 10, 20, 30],
                                       "min_samples_split": [2, 5, 10], "min_samples_leaf": [1, 2, 4],
                                       "class_weight": [None, "balanced", "balanced_subsample"]},
-               False, {"n_estimators": 100, "random_state": 42})
+               False, {"n_estimators": 100, "random_state": 42}, "trees")
 register_model("Gradient Boosting", _gbt, {"n_estimators": [50, 100, 200], "learning_rate": [0.01, 0.1, 0.2],
                                            "max_depth": [3, 5, 7], "subsample": [0.8, 1.0]},
                False, {"n_estimators": 100, "learning_rate": 0.1, "random_state": 42})
 register_model("Decision Tree", _dt, {"max_depth": [None, 5, 10, 15, 20], "min_samples_split": [2, 5, 10],
                                       "min_samples_leaf": [1, 2, 4], "criterion": ["gini", "entropy"],
                                       "class_weight": [None, "balanced"]},
-               False, {"random_state": 42})
+               False, {"random_state": 42}, "trees")
 register_model("K-Nearest Neighbors", _knn, {"n_neighbors": [3, 5, 7, 9, 11],
                                                              "weights": ["uniform", "distance"], "p": [1, 2]},
                True, {"n_neighbors": 5}, "knn")
@@ -251,7 +258,7 @@ class Estimator:
     name: str
     params: dict
 
-    def fit(self, td) -> "bayes.NBModel | neighbours.KNNModel | VectorModel":
+    def fit(self, td) -> "bayes.NBModel | neighbours.KNNModel | trees.TreeModel | VectorModel":
         """Fit on ``TrainingData``; the result's ``score(docs, feats)`` adds ``prediction`` and ``probability``."""
         spec = REGISTRY[self.name]
         if spec.kind == "nb":
@@ -259,6 +266,8 @@ class Estimator:
             return bayes.FITTERS[kind](td.feats_train, td.docs_train, td.vocab, **p)
         if spec.kind == "knn":
             return neighbours.fit_knn(td.feats_train, td.docs_train, td.vocab, **spec.builder(self.params))
+        if spec.kind == "trees":
+            return trees.fit_trees(tree_rows(td), spec.builder(self.params))
         rows, std, n_terms = training_vectors(td, spec.needs_scaling)
         rows = _class_weight(rows, self.params.get("class_weight") == "balanced")
         p = {**self.params, "_n": int(rows.agg(F.sum("weight")).first()[0]), "_v": n_terms}
@@ -355,6 +364,8 @@ def fit_timed(name: str, td, params: dict | None = None):
     est = create_model(name, params)
     if REGISTRY[name].kind == "ml":
         training_vectors(td, REGISTRY[name].needs_scaling)
+    elif REGISTRY[name].kind == "trees":
+        tree_rows(td)
     t0 = time.time()
     model = est.fit(td)
     return model, time.time() - t0
@@ -407,13 +418,49 @@ def grid_points(grid: dict) -> list[dict]:
     return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
 
 
+def tree_scores(part, points: list[list[trees.TreeSpec]]) -> list[float]:
+    """Class-1 F1 on the test rows of ``part`` for each list of trees. Trees that points share (forests of several
+    sizes) grow once, and the trees of many points grow and score together."""
+    families: dict = {}
+    for i, specs in enumerate(points):
+        families.setdefault(specs[0], []).append(i)
+    batches, size = [[]], 0
+    for members in families.values():
+        longest = max((points[i] for i in members), key=len)
+        if any(points[i] != longest[:len(points[i])] for i in members):
+            raise ValueError("points that begin with the same tree must go on alike")
+        if batches[-1] and size + len(longest) > TREES_AT_ONCE:
+            batches.append([])
+            size = 0
+        batches[-1].append((longest, members))
+        size += len(longest)
+    out = [0.0] * len(points)
+    for batch in batches:
+        specs, asked = [], []
+        for longest, members in batch:
+            asked += [(i, len(specs) + 1, len(points[i])) for i in members]
+            specs += longest
+        model = trees.fit_trees(tree_rows(part), specs)
+        probs = model.tree_probabilities(part.docs_test, part.feats_test)
+        asked_rows = F.explode(F.array(*[F.struct(*[F.lit(v).alias(c) for v, c in zip(a, ("point", "start", "size"))]) for a in asked]))
+        each = probs.select("label", "weight", "probs", asked_rows.alias("q"))
+        p = F.aggregate(F.slice("probs", F.col("q.start"), F.col("q.size")), F.lit(0.0), lambda s, x: s + x) / F.col("q.size")
+        each = each.select("label", "weight", F.col("q.point").alias("point"), (F.round(p, 12) > 0.5).alias("yes"))
+        cell = lambda cond: F.sum(F.when(cond, F.col("weight")).otherwise(0.0))
+        sums = each.groupBy("point").agg(cell(F.col("yes") & (F.col("label") == 1)).alias("tp"),
+                                         cell(F.col("yes") != (F.col("label") == 1)).alias("wrong"))
+        for r in sums.collect():  # one row a point
+            out[r["point"]] = 2 * r["tp"] / (2 * r["tp"] + r["wrong"]) if r["tp"] else 0.0
+    return out
+
+
 def grid_search(name: str, td, grid: dict, k: int = 5, parallelism: int = 4) -> tuple[DataFrame, dict]:
     """class-1 F1 (G6) on stratified folds (M9) for every point of ``grid``; a key that the model cannot take
     raises. Returns ``(params, mean_score, std_score, min_score, max_score)`` by point and the best parameters (the
     first of equals). A grid of one point is a plain cross-validation."""
     points = grid_points(grid)
+    spec = REGISTRY[name]
     for p in points:
-        spec = REGISTRY[name]
         spec.builder({**spec.default, **p, "_n": 1, "_v": 1})  # an unknown key or value raises before any fit
     which = sampling.kfold_assign(td.docs_train.select("row_id", "label"), k).select("row_id", "fold")
     which = cut_lineage(which)
@@ -433,8 +480,13 @@ def grid_search(name: str, td, grid: dict, k: int = 5, parallelism: int = 4) ->
     # equal estimators (solvers that Spark does not tell apart) are fitted once
     same = lambda p: tuple(sorted((k, str(v)) for k, v in p.items() if k not in ("solver", "random_state", "probability")))
     unique = {same(p): p for p in reversed(points)}
-    with ThreadPoolExecutor(parallelism) as pool:
-        scores = list(pool.map(one, [(p, part) for p in unique.values() for part in parts]))
+    if REGISTRY[name].kind == "trees":
+        lists = [spec.builder({**spec.default, **p}) for p in unique.values()]
+        by_fold = [tree_scores(part, lists) for part in parts]
+        scores = [by_fold[f][i] for i in range(len(lists)) for f in range(k)]
+    else:
+        with ThreadPoolExecutor(parallelism) as pool:
+            scores = list(pool.map(one, [(p, part) for p in unique.values() for part in parts]))
     by = {key: scores[i * k:(i + 1) * k] for i, key in enumerate(unique)}
     rows = []
     for p in points:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from textsieve.config import Options
 from textsieve.functions.text import clean_text, preprocess_text
-from textsieve.operators import bayes, neighbours, prepare, rank, vectorize
+from textsieve.operators import bayes, neighbours, prepare, rank, trees, vectorize
 from textsieve.sources.io import path_exists
 
 
@@ -71,7 +71,7 @@ class Predictor:
             raise ValueError("neighbours have no weights by term")
         if isinstance(m, bayes.NBModel):
             return rank.top_weights(m.term_weights(), n)
-        if hasattr(m.stages[0], "featureImportances"):
+        if isinstance(m, trees.TreeModel) or hasattr(m.stages[0], "featureImportances"):
             return rank.top_importances(m.importances(self.vocab), n)
         return rank.top_weights(m.term_weights(self.vocab), n)
 
@@ -85,6 +85,9 @@ class Predictor:
         elif isinstance(m, neighbours.KNNModel):
             m.save(path)
             meta = {"kind": "knn", "model": m.options()}
+        elif isinstance(m, trees.TreeModel):
+            m.save(path)
+            meta = {"kind": "trees", "model": m.options()}
         else:
             m.save(path)
             meta = {"kind": "vector", "name": m.name, "n_terms": m.n_terms, "scaled": m.std is not None}
@@ -103,6 +106,8 @@ class Predictor:
             from textsieve.plans.models import load_vector_model
 
             model = load_vector_model(spark, path, meta["name"], meta["n_terms"], meta["scaled"])
+        elif meta["kind"] == "trees":
+            model = trees.TreeModel.load(spark, path, **meta["model"])
         elif meta["kind"] == "knn":
             model = neighbours.KNNModel.load(spark, path, **meta["model"])
         else:

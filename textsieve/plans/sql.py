@@ -308,3 +308,58 @@ fte_x AS (SELECT c.row_id, c.label, v.term, v.term_id, c.tf * v.idf AS x
 fte AS (SELECT row_id, label, term, term_id, x / sqrt(sum(x * x) OVER (PARTITION BY row_id)) AS value FROM fte_x),
 cc AS (SELECT sum(CASE WHEN label = 0 THEN weight ELSE 0 END) AS c0,
               sum(CASE WHEN label = 1 THEN weight ELSE 0 END) AS c1 FROM weights)"""
+
+
+def tree_ctes(criterion: str = "gini", bins: int = 32, max_depth: int | None = None, min_samples_split: int = 2,
+              min_samples_leaf: int = 1) -> str:
+    """``tree_nodes(path, term, bin, n, w0, w1, gain, leaf)`` of one decision tree, grown whole by recursion, and
+    ``tree_scored`` over the test documents. Needs ``training_ctes`` after ``WITH RECURSIVE``."""
+    def impurity(a, b):
+        if criterion == "gini":
+            return f"(CASE WHEN {a} + {b} > 0 THEN 2 * {a} * {b} / ({a} + {b}) ELSE 0 END)"
+        part = lambda x: f"(CASE WHEN {x} > 0 THEN -{x} * log2({x} / ({a} + {b})) ELSE 0 END)"
+        return f"({part(a)} + {part(b)})"
+
+    depth = f"AND length(path) < {int(max_depth)}" if max_depth is not None else ""
+    place = f"CASE WHEN e.hi > e.lo THEN least(greatest(floor(round((f.value - e.lo) / (e.hi - e.lo) * {bins}, 6)), 0), {bins - 1}) + 1 ELSE 1 END"
+    binned = lambda rows: (f"SELECT f.row_id, f.term, CAST({place} AS INTEGER) AS b "
+                           f"FROM {rows} f JOIN edges e ON f.term = e.term WHERE f.value > 0")
+    gain = f"{impurity('w0', 'w1')} - {impurity('ra', 'rb')} - {impurity('(w0 - ra)', '(w1 - rb)')}"
+    return f"""
+edges AS (SELECT term, min(value) AS lo, max(value) AS hi FROM ftr WHERE value > 0 GROUP BY term),
+btr AS MATERIALIZED ({binned('ftr')}),
+bte AS MATERIALIZED ({binned('fte')}),
+grown AS (
+  SELECT row_id, label, weight AS k, '' AS path, CAST(NULL AS VARCHAR) AS term, CAST(NULL AS INTEGER) AS bin,
+         CAST(NULL AS DOUBLE) AS gain FROM weights
+  UNION ALL
+  SELECT s.row_id, s.label, s.k, s.path || CASE WHEN coalesce(f.b, 0) >= best.b THEN '1' ELSE '0' END, best.term, best.b, best.gain
+  FROM grown s JOIN (
+    SELECT path, term, b, g * (w0 + w1) AS gain FROM (
+      SELECT *, row_number() OVER (PARTITION BY path ORDER BY g DESC, term, b) AS rk FROM (
+        SELECT *, round(({gain}) / (w0 + w1), 12) AS g FROM (
+          SELECT h.path, h.term, h.b, o.n, o.w0, o.w1, sum(h.n) OVER up AS rn, sum(h.a) OVER up AS ra, sum(h.c) OVER up AS rb
+          FROM (SELECT s.path, f.term, f.b, sum(s.k) AS n, sum(CASE WHEN s.label = 0 THEN s.k ELSE 0 END) AS a,
+                       sum(CASE WHEN s.label = 1 THEN s.k ELSE 0 END) AS c
+                FROM grown s JOIN btr f ON s.row_id = f.row_id GROUP BY s.path, f.term, f.b) h
+          JOIN (SELECT path, sum(k) AS n, sum(CASE WHEN label = 0 THEN k ELSE 0 END) AS w0,
+                       sum(CASE WHEN label = 1 THEN k ELSE 0 END) AS w1 FROM grown GROUP BY path) o ON h.path = o.path
+          WHERE o.w0 > 0 AND o.w1 > 0 AND o.n >= {int(min_samples_split)} {depth.replace('path', 'o.path')}
+          WINDOW up AS (PARTITION BY h.path, h.term ORDER BY h.b DESC))
+        WHERE rn >= {int(min_samples_leaf)} AND n - rn >= {int(min_samples_leaf)}))
+    WHERE rk = 1) best ON s.path = best.path
+  LEFT JOIN btr f ON f.row_id = s.row_id AND f.term = best.term),
+totals AS (SELECT path, sum(k) AS n, sum(CASE WHEN label = 0 THEN k ELSE 0 END) AS w0, sum(CASE WHEN label = 1 THEN k ELSE 0 END) AS w1
+           FROM grown GROUP BY path),
+splits AS (SELECT substr(path, 1, length(path) - 1) AS path, any_value(term) AS term, any_value(bin) AS bin, any_value(gain) AS gain
+           FROM grown WHERE path <> '' GROUP BY substr(path, 1, length(path) - 1)),
+tree_nodes AS (SELECT t.path, s.term, s.bin, t.n, t.w0, t.w1, coalesce(s.gain, 0) AS gain, s.path IS NULL AS leaf
+               FROM totals t LEFT JOIN splits s ON t.path = s.path),
+walked AS (
+  SELECT row_id, label, '' AS path FROM test_docs
+  UNION ALL
+  SELECT s.row_id, s.label, s.path || CASE WHEN coalesce(f.b, 0) >= n.bin THEN '1' ELSE '0' END
+  FROM walked s JOIN tree_nodes n ON s.path = n.path AND NOT n.leaf LEFT JOIN bte f ON f.row_id = s.row_id AND f.term = n.term),
+tree_scored AS (SELECT s.row_id, s.label, CASE WHEN round(n.w1 / (n.w0 + n.w1), 12) > 0.5 THEN 1 ELSE 0 END AS prediction,
+                       n.w1 / (n.w0 + n.w1) AS probability
+                FROM walked s JOIN tree_nodes n ON s.path = n.path AND n.leaf)"""
