@@ -6,7 +6,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from textsieve.config import Options
 from textsieve.operators import evaluate, trees
 from textsieve.plans import catalog, models
 from textsieve.plans.predict import Predictor
@@ -170,6 +169,7 @@ def test_wrong_parameters_raise():
 
 
 def test_forest_separates_the_classes(spark):
-    td = catalog.training(spark, "/root/testdata/sf0.01", Options())
+    """On 2,786 training rows (0.89 measured; with 279, 35 of them of class 1, no model of the registry passes 0.65)."""
+    td = catalog.training(spark, "/root/testdata/sf0.1")
     sc = models.scored(models.create_model("Random Forest").fit(td), td)
-    assert evaluate.roc_auc(sc).first()[0] > 0.75
+    assert evaluate.roc_auc(sc).first()[0] > 0.85

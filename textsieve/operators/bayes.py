@@ -51,14 +51,8 @@ class NBModel:
         """F19 core: every row of ``docs`` gets ``score0, score1, probability,
         prediction``; documents without a known term score the constants."""
         sums = self.contributions(feats, id_col)
-        s0 = F.lit(self.const0) + F.coalesce(F.col("_s0"), F.lit(0.0))
-        s1 = F.lit(self.const1) + F.coalesce(F.col("_s1"), F.lit(0.0))
-        out = docs.join(sums, id_col, "left").withColumn("score0", s0).withColumn("score1", s1).drop("_s0", "_s1")
-        m = F.greatest("score0", "score1")
-        e0, e1 = F.exp(F.col("score0") - m), F.exp(F.col("score1") - m)
-        return out.withColumn("probability", e1 / (e0 + e1)).withColumn(
-            "prediction", F.when(F.col("score1") > F.col("score0"), F.lit(1)).otherwise(F.lit(0))
-        )
+        out = docs.join(sums, id_col, "left")
+        return with_class(out, self, F.coalesce(F.col("_s0"), F.lit(0.0)), F.coalesce(F.col("_s1"), F.lit(0.0))).drop("_s0", "_s1")
 
     def term_weights(self) -> DataFrame:
         """Per-term log-probability difference (class 1 minus class 0): the
@@ -66,6 +60,16 @@ class NBModel:
         return self.params.select("term", (F.col("w1") - F.col("w0")).alias("weight"))
 
 
+def with_class(df: DataFrame, model: NBModel, sum0, sum1) -> DataFrame:
+    """``df`` with ``score0, score1, probability, prediction`` from its rows' sums over their terms."""
+    out = df.withColumn("score0", F.lit(model.const0) + sum0).withColumn("score1", F.lit(model.const1) + sum1)
+    m = F.greatest("score0", "score1")
+    e0, e1 = F.exp(F.col("score0") - m), F.exp(F.col("score1") - m)
+    return out.withColumn("probability", e1 / (e0 + e1)).withColumn(
+        "prediction", F.when(F.col("score1") > F.col("score0"), F.lit(1)).otherwise(F.lit(0))
+    )
+
+
 def _class_totals(docs: DataFrame, label_col: str = "label") -> tuple[float, float]:
     r = docs.agg(
         F.sum(F.when(F.col(label_col) == 0, F.col("weight")).otherwise(0.0)).alias("c0"),

@@ -96,6 +96,13 @@ def _own_bin():
     return F.when(place > 0, F.try_element_at("b", place)).otherwise(F.lit(0))
 
 
+def place_np(value, lo, hi):
+    """The bins of values within their terms' ranges, as ``binned`` has them."""
+    wide = hi > lo
+    place = np.floor(np.round((value - lo) / np.where(wide, hi - lo, 1.0) * BINS, 6))
+    return np.where(wide, np.clip(place, 0, BINS - 1) + 1, 1).astype(np.int64)
+
+
 # --- the draw of terms, the same in columns and in numpy --------------------------
 
 def _drawn(node_seed, term, share):
@@ -325,6 +332,27 @@ def grow(rows: DataFrame, specs: list[TreeSpec], n_terms: int, local_entries: in
     return out
 
 
+def walk(model, n_rows: int, n_terms: int, doc: np.ndarray, term: np.ndarray, bins: np.ndarray) -> np.ndarray:
+    """The class-1 share of each row's leaf (rows x trees), given the model's arrays and the rows' present terms with
+    their bins, by row and term."""
+    roots, child, node_term, at_least, p1 = model
+    key = np.append(doc * n_terms + term, np.iinfo(np.int64).max)
+    bins = np.append(bins, 0)
+    out = np.empty((n_rows, len(roots)))
+    for j, root in enumerate(roots):
+        at = np.full(n_rows, root)
+        left = np.flatnonzero(node_term[at] >= 0)
+        while len(left):
+            here = at[left]
+            want = left * n_terms + node_term[here]
+            i = np.searchsorted(key, want)
+            own = np.where(key[i] == want, bins[i], 0)
+            at[left] = child[here, (own >= at_least[here]).astype(int)]
+            left = left[node_term[at[left]] >= 0]
+        out[:, j] = p1[at]
+    return out
+
+
 # --- fitted models ------------------------------------------------------------
 
 @dataclass
@@ -345,39 +373,25 @@ class TreeModel:
             return rows.withColumn("probs", self._walk()("t", "b")).drop("t", "b")
         return self._walk_by_joins(rows, id_col)
 
-    def _walk(self):
+    def arrays(self):
+        """The nodes as arrays for ``walk``; for models of at most ``broadcast_nodes`` nodes."""
         model = self.nodes.select("tree", "path", "term_id", "bin", "w0", "w1").toPandas()
         index = {key: i for i, key in enumerate(zip(model.tree, model.path))}
         child = np.array([[index.get((t, p + s), -1) for s in "01"] for t, p in zip(model.tree, model.path)])
-        arrays = (np.array([index[(t, "")] for t in range(self.n_trees)]), child, model.term_id.fillna(-1).to_numpy(np.int64),
-                  model.bin.fillna(0).to_numpy(np.int64), (model.w1 / (model.w0 + model.w1)).to_numpy())
-        shared = self.nodes.sparkSession.sparkContext.broadcast(arrays)
+        return (np.array([index[(t, "")] for t in range(self.n_trees)]), child, model.term_id.fillna(-1).to_numpy(np.int64),
+                model.bin.fillna(0).to_numpy(np.int64), (model.w1 / (model.w0 + model.w1)).to_numpy())
+
+    def _walk(self):
+        shared = self.nodes.sparkSession.sparkContext.broadcast(self.arrays())
         n_terms = self.n_terms
 
         @F.pandas_udf("array<double>")
-        def walk(t: pd.Series, b: pd.Series) -> pd.Series:
-            roots, child, term, at_least, p1 = shared.value
-            sizes = t.map(len).to_numpy()
-            doc = np.repeat(np.arange(len(t)), sizes)
+        def probs(t: pd.Series, b: pd.Series) -> pd.Series:
             flat = lambda s: np.concatenate([*s, []]).astype(np.int64)
-            key = doc * n_terms + flat(t)  # ascending: rows in turn, terms sorted within a row
-            bins = np.append(flat(b), 0)
-            key = np.append(key, np.iinfo(np.int64).max)
-            out = np.empty((len(t), len(roots)))
-            for j, root in enumerate(roots):
-                at = np.full(len(t), root)
-                open_ = np.flatnonzero(term[at] >= 0)
-                while len(open_):
-                    here = at[open_]
-                    want = open_ * n_terms + term[here]
-                    i = np.searchsorted(key, want)
-                    own = np.where(key[i] == want, bins[i], 0)
-                    at[open_] = child[here, (own >= at_least[here]).astype(int)]
-                    open_ = open_[term[at[open_]] >= 0]
-                out[:, j] = p1[at]
-            return pd.Series(list(out))
-
-        return walk
+            doc = np.repeat(np.arange(len(t)), t.map(len).to_numpy())
+            return pd.Series(list(walk(shared.value, len(t), n_terms, doc, flat(t), flat(b))))
+
+        return probs
 
     def _walk_by_joins(self, rows: DataFrame, id_col: str) -> DataFrame:
         """The same by joins on (tree, path), one step of all rows and trees at a time."""
@@ -400,9 +414,12 @@ class TreeModel:
     def score(self, docs: DataFrame, feats: DataFrame, id_col: str = "row_id") -> DataFrame:
         """Every row of ``docs`` gets ``prediction`` and ``probability`` (of class 1): the mean of the trees. Equal
         probabilities are class 0."""
-        out = self.tree_probabilities(docs, feats, id_col)
+        return self.with_class(self.tree_probabilities(docs, feats, id_col), docs.columns)
+
+    def with_class(self, out: DataFrame, columns: list[str]) -> DataFrame:
+        """``columns`` with the class and probability that follow from ``probs``."""
         p = F.aggregate("probs", F.lit(0.0), lambda s, x: s + x) / F.lit(float(self.n_trees))
-        return out.select(*docs.columns, p.alias("probability")).withColumn(
+        return out.select(*columns, p.alias("probability")).withColumn(
             "prediction", (F.round("probability", 12) > 0.5).cast("int"))
 
     def importances(self, vocab: DataFrame) -> DataFrame:

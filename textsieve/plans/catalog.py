@@ -1003,6 +1003,19 @@ def q_stream_score(spark, sf_dir):
                                                         "label", "probability", "confidence"))
 
 
+@register("stream_append", ORACLE["predict_batch"])
+def q_stream_append(spark, sf_dir):
+    """ST1 in append mode: the same rows again."""
+    from textsieve.streaming import score as st
+
+    src = st.stream_parquet(spark, sf_dir, tbl(spark, sf_dir, "conversations").schema, "conversations.parquet")
+    base = st.stream_checkpoint(spark, "append")
+    st.append_stream(src.select("conv_id", "turn", "text"), predictor(spark, sf_dir), f"{base}/out", f"{base}/ckpt", "text",
+                     ("conv_id", "turn"))
+    return round_doubles(spark.read.parquet(f"{base}/out").select(
+        "conv_id", "turn", "preprocessed_text", "prediction", "label", "probability", "confidence"))
+
+
 @register("stream_counts", ORACLE["prediction_counts"])
 def q_stream_counts(spark, sf_dir):
     """ST2: running prediction counts; at the end of the input they equal the batch counts."""

@@ -57,11 +57,14 @@ def vectors(docs: DataFrame, feats: DataFrame, n_terms: int, std: DataFrame | No
         F.col("term_id").cast("int").alias("i"), value.alias("v")))).alias("_e"))
     empty = F.array().cast("array<struct<i:int,v:double>>")
     e = F.coalesce(F.col("_e"), empty)
-    # a vector's stored form; parsing it is the built-in way from columns to a sparse vector
-    stored = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(n_terms).alias("size"),
-                      e.getField("i").alias("indices"), e.getField("v").alias("values"))
-    as_vector = F.from_json(F.to_json(F.struct(stored.alias("x"))), T.StructType([T.StructField("x", VectorUDT())]))
-    return docs.join(rows, id_col, "left").withColumn("features", as_vector["x"]).drop("_e")
+    return docs.join(rows, id_col, "left").withColumn("features", as_vector(n_terms, e.getField("i"), e.getField("v"))).drop("_e")
+
+
+def as_vector(n_terms: int, places, values):
+    """A sparse vector of ``n_terms`` places: its stored form, parsed, which is the built-in way there from columns."""
+    stored = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(n_terms).alias("size"), places.alias("indices"),
+                      values.alias("values"))
+    return F.from_json(F.to_json(F.struct(stored.alias("x"))), T.StructType([T.StructField("x", VectorUDT())]))["x"]
 
 
 def for_fitting(rows: DataFrame) -> DataFrame:
@@ -293,7 +296,13 @@ class VectorModel:
 
     def score(self, docs: DataFrame, feats: DataFrame, id_col: str = "row_id") -> DataFrame:
         """Every row of ``docs`` gets ``prediction`` and ``probability`` (of class 1)."""
-        rows = vectors(docs, feats, self.n_terms, self.std, id_col)
+        return self._classes(vectors(docs, feats, self.n_terms, self.std, id_col), docs.columns)
+
+    def apply(self, rows: DataFrame, places, values, columns: list[str]) -> DataFrame:
+        """``columns`` of rows that carry their own (scaled) vector as arrays, with the same two columns."""
+        return self._classes(rows.withColumn("features", as_vector(self.n_terms, places, values)), columns)
+
+    def _classes(self, rows: DataFrame, columns: list[str]) -> DataFrame:
         out = self.stages[0].transform(rows)
         cls = F.col("prediction").cast("int")
         if len(self.stages) > 1:  # the class is the side of the margin, the probability is Platt's
@@ -301,7 +310,7 @@ class VectorModel:
             out = self.stages[1].transform(margins(out)).withColumn("prediction", F.col("_class"))
             cls = F.col("prediction")
         prob = vector_to_array("probability")[1]
-        return out.select(*[c for c in docs.columns], cls.alias("prediction"), prob.alias("probability"))
+        return out.select(*columns, cls.alias("prediction"), prob.alias("probability"))
 
     def term_weights(self, vocab: DataFrame) -> DataFrame:
         """``(term, weight)``: the coefficients of a linear model."""

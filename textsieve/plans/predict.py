@@ -1,8 +1,9 @@
 """Scoring new text with a fitted bundle.
 
-A ``Predictor`` holds a fitted model and its vocabulary. Scoring is one plan: term counts -> broadcast join with the vocabulary (bounded by
-``max_features``) -> per-document sums -> left join back to the input rows,
-so a text without a known word keeps its row and scores the class constants.
+A ``Predictor`` holds a fitted model and its vocabulary. A text is scored inside its row (``rowscore``) and never moves.
+Where that cannot be (neighbours, lemmas, a vocabulary or model beyond the broadcast bound), scoring is one plan: term
+counts -> join with the vocabulary -> per-document sums -> left join back to the input rows. In both, a text without
+a known word keeps its row and scores the class constants.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textsieve.config import Options
-from textsieve.functions.text import clean_text, preprocess_text
-from textsieve.operators import bayes, neighbours, prepare, rank, trees, vectorize
+from textsieve.functions.text import analyzer_terms, clean_text, preprocess_text
+from textsieve.operators import bayes, neighbours, prepare, rank, rowscore, trees, vectorize
 from textsieve.sources.io import path_exists
 
 
@@ -29,23 +30,19 @@ class Predictor:
 
     # F19 / F20
     def transform(self, df: DataFrame, text_col: str = "text", id_cols=("row_id",)) -> DataFrame:
-        """``(*id_cols, text, preprocessed_text, prediction, label, probability,
-        confidence)`` for every row of ``df`` (which must be unique on
-        ``id_cols``; join other columns back on the ids if needed)."""
+        """``(*id_cols, text, preprocessed_text, prediction, label, probability, confidence)`` for every row of ``df``.
+        Scored inside the row, ``df`` may be a stream and ids may repeat; on the plan of joins ``df`` must be unique on
+        ``id_cols`` (join other columns back on the ids if needed)."""
         o = self.options
         key = F.struct(*[F.col(c) for c in id_cols]).alias("_rid")
-        # hash-partition (id, text) once: counts by (id, term), the norm window
-        # by id, the sums by id and the join back to the rows reuse it. Both
-        # branches read the same two columns, so the exchange is shared.
-        keyed = df.select(key, F.col(text_col)).repartition("_rid")
-        if o.preprocess == "full":
-            keyed = preprocess_text(keyed, text_col, "_pre", "_rid")
-            source, pre = "_pre", F.col("_pre")
+        scorer = self._scorer()
+        if scorer is not None:
+            pre = clean_text(text_col) if o.preprocess else F.col(text_col)
+            rows = df.select(key, F.col(text_col), pre.alias("_pre"))
+            stop = vectorize.default_stop_words() if self.stop_words is None else self.stop_words
+            scored, pre = scorer.score(rows, analyzer_terms("_pre", stop)), F.col("_pre")
         else:
-            source, pre = text_col, clean_text(text_col) if o.preprocess else F.col(text_col)
-        counts = vectorize.term_counts(keyed, source, "_rid", self.stop_words, o.preprocess is True)
-        feats = vectorize.vectorize(counts, self.vocab, o.method, o.max_features, "_rid")
-        scored = self.model.score(keyed, feats, "_rid")
+            scored, pre = self._by_joins(df, text_col, key)
         p = F.col("probability")
         return scored.select(
             *[F.col("_rid").getField(c).alias(c) for c in id_cols],
@@ -57,6 +54,33 @@ class Predictor:
             F.greatest(p, 1 - p).alias("confidence"),
         )
 
+    def _scorer(self):
+        """The scorer inside the row, made once, or none."""
+        if self.options.preprocess == "full":  # lemmas are joined
+            return None
+        if not hasattr(self, "_row_scorer"):
+            self._row_scorer = rowscore.row_scorer(self.model, self.vocab, self.options.method)
+        return self._row_scorer
+
+    def scores_in_the_row(self) -> bool:
+        return self._scorer() is not None
+
+    def _by_joins(self, df: DataFrame, text_col: str, key):
+        """The scored rows and their preprocessed text by the plan of joins."""
+        o = self.options
+        # hash-partition (id, text) once: counts by (id, term), the norm window
+        # by id, the sums by id and the join back to the rows reuse it. Both
+        # branches read the same two columns, so the exchange is shared.
+        keyed = df.select(key, F.col(text_col)).repartition("_rid")
+        if o.preprocess == "full":
+            keyed = preprocess_text(keyed, text_col, "_pre", "_rid")
+            source, pre = "_pre", F.col("_pre")
+        else:
+            source, pre = text_col, clean_text(text_col) if o.preprocess else F.col(text_col)
+        counts = vectorize.term_counts(keyed, source, "_rid", self.stop_words, o.preprocess is True)
+        feats = vectorize.vectorize(counts, self.vocab, o.method, o.max_features, "_rid")
+        return self.model.score(keyed, feats, "_rid"), pre
+
     def predict_one(self, spark: SparkSession, text: str) -> DataFrame:
         """one message as a one-row DataFrame through the same plan."""
         df = spark.createDataFrame([(0, text)], "row_id bigint, text string")

@@ -1,9 +1,9 @@
 """Streaming scoring (ST1, ST2).
 
-``readStream`` -> the same scoring plan as batch -> ``writeStream``. Scoring is
-stateless per micro-batch: each batch's rows are grouped by their own id, and
-the model tables are static broadcast sides, so a stream gives exactly the
-batch result. Running counts are kept for each epoch of the scored output, so a batch
+``readStream`` -> the same scoring plan as batch -> ``writeStream``. A model that scores inside the row has no state and
+no aggregation, so it scores the stream itself, in append mode, into Spark's file sink, which lists each batch's files
+once (``append_stream``). Any model can be run over micro-batches (``score_stream``): each batch is a table of its own.
+Either gives exactly the batch result. Running counts are kept for each epoch of the scored output, so a batch
 that is written twice is counted once.
 """
 
@@ -31,6 +31,20 @@ def score_stream(stream: DataFrame, predictor: Predictor, out_path: str, checkpo
     return q
 
 
+def append_stream(stream: DataFrame, predictor: Predictor, out_path: str, checkpoint: str, text_col: str = "text",
+                  id_cols=("row_id",), available_now: bool = True):
+    """ST1 without micro-batch code: the scored stream appended to ``out_path``. Readers of that folder see a batch that
+    was written twice once. Raises for a model that needs other rows than the one it scores."""
+    if not predictor.scores_in_the_row():
+        raise ValueError("this model does not score inside the row: use score_stream")
+    w = predictor.transform(stream, text_col, id_cols).writeStream.format("parquet").outputMode("append")
+    w = w.option("path", out_path).option("checkpointLocation", checkpoint)
+    q = (w.trigger(availableNow=True) if available_now else w).start()
+    if available_now:
+        q.awaitTermination()
+    return q
+
+
 def stream_parquet(spark: SparkSession, folder: str, schema, file_glob: str = "*.parquet",
                    max_files: int = 1) -> DataFrame:
     """A file stream over ``folder`` (new files matching ``file_glob``)."""
