@@ -11,6 +11,7 @@ join of the sparse long table with that table and a sum of arrays per document.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textsieve.operators.sampling import md5_int
+from textsieve.operators.vectorize import BROADCAST_VOCAB_ROWS
 
 TWO32 = float(2 ** 32)
 
@@ -58,20 +60,26 @@ def rff_arrays(long: DataFrame, docs: DataFrame, vocab: DataFrame, n_components:
                seed: int = 42, id_col: str = "row_id") -> DataFrame:
     """``(row_id, z)``: the random features of every document in ``docs`` as one array (documents without a term
     included). A non-zero entry moves as one row with its array; arrays are added per document, map-side first."""
-    from textsieve.operators.vectorize import BROADCAST_VOCAB_ROWS
-
     w = rff_weights(vocab, n_components, gamma, seed)
     if vocab.count() * n_components <= BROADCAST_VOCAB_ROWS:
         w = F.broadcast(w)
+    proj = _project(long, w, id_col)
+    return docs.select(id_col).join(proj, id_col, "left").select(id_col, _waves(F.col("_s"), n_components, 1.0, seed).alias("z"))
+
+
+def _project(long: DataFrame, w: DataFrame, id_col: str) -> DataFrame:
+    """``(id, _s)``: each document's sum of its terms' arrays of ``w(term, w)`` times their values."""
     part = long.select(id_col, "term", "value").join(w, "term").select(
         id_col, array_to_vector(F.transform("w", lambda x: x * F.col("value"))).alias("_p"))
     # to arrays before the join: there is no vector for a document without a term
-    proj = part.groupBy(id_col).agg(Summarizer.sum(F.col("_p")).alias("_v")).select(id_col, vector_to_array("_v").alias("_s"))
-    zero = F.array_repeat(F.lit(0.0), n_components)
-    p = F.coalesce(F.col("_s"), zero)
+    return part.groupBy(id_col).agg(Summarizer.sum(F.col("_p")).alias("_v")).select(id_col, vector_to_array("_v").alias("_s"))
+
+
+def _waves(projection, n_components: int, factor: float, seed: int):
+    """The random features of a projection (null: no term) times ``factor``."""
+    p = F.coalesce(projection, F.array_repeat(F.lit(0.0), n_components))
     shift = lambda j: _uniform(j, F.lit("b"), seed=seed) * (2.0 * math.pi)
-    z = F.transform(p, lambda x, j: math.sqrt(2.0 / n_components) * F.cos(x + shift(j)))
-    return docs.select(id_col).join(proj, id_col, "left").select(id_col, z.alias("z"))
+    return F.transform(p, lambda x, j: math.sqrt(2.0 / n_components) * F.cos(x * factor + shift(j)))
 
 
 def rff_features(long: DataFrame, docs: DataFrame, vocab: DataFrame, n_components: int = 100, gamma: float = 1.0,
@@ -111,41 +119,48 @@ def fit_kernel_svc(train_long: DataFrame, train_docs: DataFrame, vocab: DataFram
 _CONST_TERM = "\u0000const"
 
 
+def _places(term, i, n_components: int, seed: int):
+    """A term's bucket and sign in sketch ``i``, by md5."""
+    h = (md5_int(term, i, F.lit("h"), seed=seed) % F.lit(n_components)).cast("int")
+    return h, F.when(md5_int(term, i, F.lit("s"), seed=seed) % 2 == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
+
+
 def sketch_hashes(vocab: DataFrame, degree: int = 3, n_components: int = 100, seed: int = 42) -> DataFrame:
     """``(term, i, h, s)``: for each of the ``degree`` sketches a bucket and a
-    sign per term (md5 draws). |vocabulary| x degree rows."""
-    terms = vocab.select("term").unionByName(vocab.sparkSession.createDataFrame([(_CONST_TERM,)], "term string"))
-    t = terms.select("term", F.explode(F.sequence(F.lit(0), F.lit(degree - 1))).alias("i"))
-    h = md5_int(F.col("term"), F.col("i"), F.lit("h"), seed=seed) % F.lit(n_components)
-    s = F.when(md5_int(F.col("term"), F.col("i"), F.lit("s"), seed=seed) % 2 == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
-    return t.select("term", "i", h.cast("int").alias("h"), s.alias("s"))
+    sign per term. |vocabulary| x degree rows."""
+    t = vocab.select("term", F.explode(F.sequence(F.lit(0), F.lit(degree - 1))).alias("i"))
+    h, s = _places(F.col("term"), F.col("i"), n_components, seed)
+    return t.select("term", "i", h.alias("h"), s.alias("s"))
 
 
 def tensor_sketch(long: DataFrame, docs: DataFrame, vocab: DataFrame, degree: int = 3, gamma: float = 1.0,
                   coef0: float = 0.0, n_components: int = 100, seed: int = 42, id_col: str = "row_id") -> DataFrame:
-    """``(row_id, features)``: TensorSketch vectors of every document in
-    ``docs`` (a document without a term gets the sketch of the constant
-    feature alone)."""
-    from textsieve.operators.vectorize import BROADCAST_VOCAB_ROWS
-
+    """``(row_id, features)``: TensorSketch vectors of every document in ``docs`` (a document without a term gets the
+    sketch of the constant feature alone, all zeros if ``coef0`` is 0). The constant feature has the same places in every
+    document: they are expressions of the row, not a term that all documents would be joined on."""
     hashes = sketch_hashes(vocab, degree, n_components, seed)
-    if (vocab.count() + 1) * degree <= BROADCAST_VOCAB_ROWS:
+    if vocab.count() * degree <= BROADCAST_VOCAB_ROWS:
         hashes = F.broadcast(hashes)
-    const = docs.select(id_col, F.lit(_CONST_TERM).alias("term"), F.lit(math.sqrt(coef0)).alias("value"))
-    x = long.select(id_col, "term", (F.col("value") * math.sqrt(gamma)).alias("value")).unionByName(const)
-    cs = x.join(hashes, "term").groupBy(id_col, "i", "h").agg(F.sum(F.col("s") * F.col("value")).alias("c"))
+    cs = long.join(hashes, "term").select(id_col, "i", "h", (F.col("s") * F.col("value") * math.sqrt(gamma)).alias("c"))
+    if coef0:
+        h, s = _places(F.lit(_CONST_TERM), F.col("i"), n_components, seed)
+        each = docs.select(id_col, F.explode(F.sequence(F.lit(0), F.lit(degree - 1))).alias("i"))
+        cs = cs.unionByName(each.select(id_col, "i", h.alias("h"), (s * math.sqrt(coef0)).alias("c")))
+    cs = cs.groupBy(id_col, "i", "h").agg(F.sum("c").alias("c"))
     per_doc = cs.groupBy(id_col).agg(F.collect_list(F.struct((F.col("i") * n_components + F.col("h")).cast("int").alias("p"), "c")).alias("_e"))
+    per_doc = docs.select(id_col).join(per_doc, id_col, "left")
+    e = F.coalesce("_e", F.array().cast("array<struct<p:int,c:double>>"))
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def convolve(places: pd.Series, values: pd.Series) -> pd.Series:
         rows = np.repeat(np.arange(len(places)), places.map(len))
         sk = np.zeros((len(places), degree * n_components))
-        if len(rows):
+        if len(rows):  # no entry: all zeros
             np.add.at(sk, (rows, np.concatenate(places.to_numpy())), np.concatenate(values.to_numpy()))
         prod = np.prod(np.fft.fft(sk.reshape(-1, degree, n_components), axis=2), axis=1)
         return pd.Series(list(np.real(np.fft.ifft(prod, axis=1))))
 
-    return per_doc.select(id_col, array_to_vector(convolve("_e.p", "_e.c")).alias("features"))
+    return per_doc.select(id_col, array_to_vector(convolve(e.getField("p"), e.getField("c"))).alias("features"))
 
 
 def fit_poly_svc(train_long: DataFrame, train_docs: DataFrame, vocab: DataFrame, C: float = 1.0, degree: int = 3,
@@ -156,3 +171,44 @@ def fit_poly_svc(train_long: DataFrame, train_docs: DataFrame, vocab: DataFrame,
         train_docs.select("row_id", "label", "weight"), "row_id")
     n = float(train_docs.agg(F.sum("weight")).first()[0])
     return LinearSVC(regParam=1.0 / (C * n), weightCol="weight", maxIter=100, standardization=False).fit(feats), g
+
+
+# --- maps of the registry -----------------------------------------------------
+
+#: Components of a feature map, unless a parameter says otherwise.
+N_COMPONENTS = 256
+
+
+@dataclass
+class KernelMap:
+    """Scaled long features to the vectors on which a linear SVM stands for a kernel's. Neither map depends on gamma but
+    by a factor (``coef0`` is 0), so ``base`` is made once for all gammas: it is what has to be joined and summed."""
+
+    kernel: str  # rbf | poly
+    gamma: float
+    vocab: DataFrame  # term
+    std: DataFrame  # term, std
+    n_components: int = N_COMPONENTS
+    degree: int = 3
+    seed: int = 42
+
+    def base(self, docs: DataFrame, feats: DataFrame, id_col: str = "row_id") -> DataFrame:
+        """``docs`` with ``_base``: the projection (rbf; null without a term) or the sketch (poly) for a gamma of 1."""
+        small = self.vocab.count() <= BROADCAST_VOCAB_ROWS
+        long = feats.join(F.broadcast(self.std) if small else self.std, "term").select(
+            id_col, "term", (F.col("value") / F.col("std")).alias("value"))
+        if self.kernel == "poly":
+            x = tensor_sketch(long, docs, self.vocab, self.degree, 1.0, 0.0, self.n_components, self.seed, id_col)
+            return docs.join(x.select(id_col, vector_to_array("features").alias("_base")), id_col)
+        w = rff_weights(self.vocab, self.n_components, 1.0, self.seed)
+        if self.vocab.count() * self.n_components <= BROADCAST_VOCAB_ROWS:
+            w = F.broadcast(w)
+        return docs.join(_project(long, w, id_col).withColumnRenamed("_s", "_base"), id_col, "left")
+
+    def features(self, based: DataFrame) -> DataFrame:
+        """The rows of ``base`` with ``features`` for this gamma."""
+        if self.kernel == "poly":
+            z = F.transform("_base", lambda x: x * F.lit(self.gamma ** (self.degree / 2)))
+        else:
+            z = _waves(F.col("_base"), self.n_components, math.sqrt(self.gamma), self.seed)
+        return based.withColumn("features", array_to_vector(z)).drop("_base")

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textsieve.operators import bayes, evaluate, neighbours, sampling, trees
+from textsieve.plans import kernels
 from textsieve.session import cut_lineage, ensure_checkpoint_dir
 
 # The tolerances at which the reference's solvers stop.
@@ -141,9 +142,13 @@ def _lr(p):
 
 
 def _svc(p):
-    _only(p, "max_iter", "kernel", "C", "probability", "random_state", "class_weight")
-    if p.get("kernel", "linear") != "linear":
-        raise ValueError("kernel SVMs run on explicit feature maps: use textsieve.plans.kernels")
+    # kernels other than the linear one are maps before the same estimator: see fit_kernel
+    _only(p, "max_iter", "kernel", "gamma", "degree", "n_components", "C", "probability", "random_state", "class_weight")
+    if p.get("kernel", "linear") not in ("linear", "rbf", "poly"):
+        _no_param(f"kernel={p['kernel']}")
+    g = p.get("gamma", "scale")
+    if g not in ("scale", "auto") and not (isinstance(g, (int, float)) and g > 0):
+        _no_param(f"gamma={g}")
     return LinearSVC(maxIter=int(p.get("max_iter", 100)), tol=SVM_TOL, regParam=_reg(p.get("C", 1.0), p["_n"]),
                      standardization=False, weightCol="weight")
 
@@ -271,6 +276,8 @@ class Estimator:
             return neighbours.fit_knn(td.feats_train, td.docs_train, td.vocab, **spec.builder(self.params))
         if spec.kind == "trees":
             return trees.fit_trees(tree_rows(td), spec.builder(self.params))
+        if self.params.get("kernel", "linear") != "linear":
+            return fit_kernel(spec, self.params, td)
         rows, std, n_terms = training_vectors(td, spec.needs_scaling)
         rows = _class_weight(rows, self.params.get("class_weight") == "balanced")
         p = {**self.params, "_n": int(rows.agg(F.sum("weight")).first()[0]), "_v": n_terms}
@@ -279,7 +286,7 @@ class Estimator:
             # no weights there: copies are rows
             rows = rows.withColumn("_c", F.explode(F.sequence(F.lit(1), F.greatest(F.round("weight"), F.lit(1)).cast("int")))).drop("_c")
         if self.name == "Support Vector Machine":
-            stages = fit_platt_svm(est, rows)
+            stages = fit_svm(est, rows, self.params)
         else:
             stages = [est.fit(rows)]
         return VectorModel(self.name, stages, n_terms, std)
@@ -309,7 +316,8 @@ class VectorModel:
             out = out.withColumn("_class", cls).drop("prediction")
             out = self.stages[1].transform(margins(out)).withColumn("prediction", F.col("_class"))
             cls = F.col("prediction")
-        prob = vector_to_array("probability")[1]
+        # an SVM fitted without probabilities has none
+        prob = vector_to_array("probability")[1] if "probability" in out.columns else F.lit(None).cast("double")
         return out.select(*columns, cls.alias("prediction"), prob.alias("probability"))
 
     def term_weights(self, vocab: DataFrame) -> DataFrame:
@@ -326,6 +334,52 @@ class VectorModel:
             self.std.write.mode("overwrite").parquet(f"{path}/std")
 
 
+@dataclass
+class KernelModel:
+    """a linear SVM behind a kernel's feature map."""
+
+    map: kernels.KernelMap
+    svm: VectorModel
+
+    def score(self, docs: DataFrame, feats: DataFrame, id_col: str = "row_id") -> DataFrame:
+        """As ``VectorModel.score``."""
+        return self.svm._classes(self.map.features(self.map.base(docs, feats, id_col)), docs.columns)
+
+    def save(self, path: str):
+        self.svm.save(path)
+        self.map.std.write.mode("overwrite").parquet(f"{path}/std")
+        self.map.vocab.write.mode("overwrite").parquet(f"{path}/terms")
+
+    def options(self) -> dict:
+        m = self.map
+        return {"kernel": m.kernel, "gamma": m.gamma, "n_components": m.n_components, "degree": m.degree, "seed": m.seed}
+
+    @classmethod
+    def load(cls, spark, path: str, **options) -> "KernelModel":
+        m = kernels.KernelMap(vocab=spark.read.parquet(f"{path}/terms"), std=spark.read.parquet(f"{path}/std"), **options)
+        return cls(m, VectorModel("Support Vector Machine", PipelineModel.load(f"{path}/model").stages, m.n_components, None))
+
+
+def fit_kernel(spec: "ModelSpec", p: dict, td) -> KernelModel:
+    """the map's base is kept with the training data, for all gammas, costs and class weights."""
+    cache = td.__dict__.setdefault("_vectors", {})
+    if "std" not in cache:
+        cache["std"] = cut_lineage(bayes.scale_std(td.feats_train, td.docs_train, td.vocab))
+    std, vocab, g = cache["std"], td.vocab.select("term"), p.get("gamma", "scale")
+    if g not in cache:
+        long = td.feats_train.join(std, "term").withColumn("value", F.col("value") / F.col("std"))
+        cache[g] = kernels.gamma_value(g, long, td.docs_train.count(), vocab.count())
+    m = kernels.KernelMap(p["kernel"], cache[g], vocab, std, int(p.get("n_components", kernels.N_COMPONENTS)),
+                          int(p.get("degree", 3)), int(p.get("random_state", 42)))
+    key = (m.kernel, m.n_components, m.degree, m.seed)
+    if key not in cache:
+        cache[key] = for_fitting(m.base(td.docs_train.select("row_id", "label", "weight"), td.feats_train))
+    rows = m.features(cache[key])
+    rows = _class_weight(rows, p.get("class_weight") == "balanced")
+    est = spec.builder({**p, "_n": int(rows.agg(F.sum("weight")).first()[0]), "_v": m.n_components})
+    return KernelModel(m, VectorModel("Support Vector Machine", fit_svm(est, rows, p), m.n_components, None))
+
+
 def load_vector_model(spark, path: str, name: str, n_terms: int, scaled: bool) -> VectorModel:
     return VectorModel(name, PipelineModel.load(f"{path}/model").stages, n_terms,
                        spark.read.parquet(f"{path}/std") if scaled else None)
@@ -344,6 +398,11 @@ def margins(df: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=["_raw1"], outputCol="_m").transform(raw).drop("rawPrediction", "prediction", "_raw1")
 
 
+def fit_svm(est, rows: DataFrame, p: dict) -> list:
+    """The SVM, with what makes its margins probabilities unless ``probability`` is false."""
+    return fit_platt_svm(est, rows) if p.get("probability", True) else [est.fit(rows)]
+
+
 def fit_platt_svm(est, rows: DataFrame, folds: int = PLATT_FOLDS) -> list:
     """a linear SVM on all rows, and Platt's one-feature logistic regression on margins of rows that the SVM of
     their fold has not seen."""
@@ -486,8 +545,14 @@ def grid_search(name: str, td, grid: dict, k: int = 5, parallelism: int = 4) ->
         sc = scored(create_model(name, p).fit(part), part)
         return evaluate.binary_metrics(sc, weight_col="weight").first()["f1"]
 
-    # equal estimators (solvers that Spark does not tell apart) are fitted once
-    same = lambda p: tuple(sorted((k, str(v)) for k, v in p.items() if k not in ("solver", "random_state", "probability")))
+    if name == "Support Vector Machine":  # classes are sides of the margin: no point needs probabilities
+        points = [{"probability": False, **p} for p in points]
+
+    def same(p):
+        """Equal estimators (solvers that Spark does not tell apart, a gamma without its kernel) are fitted once."""
+        idle = {"solver", "random_state", "probability"} | ({"gamma", "degree"} if p.get("kernel") == "linear" else set())
+        return tuple(sorted((k, str(v)) for k, v in p.items() if k not in idle))
+
     unique = {same(p): p for p in reversed(points)}
     if REGISTRY[name].kind == "trees":
         lists = [spec.builder({**spec.default, **p}) for p in unique.values()]
@@ -501,7 +566,7 @@ def grid_search(name: str, td, grid: dict, k: int = 5, parallelism: int = 4) ->
     for p in points:
         own = by[same(p)]
         mean = sum(own) / k
-        rows.append((str(p), mean, (sum((x - mean) ** 2 for x in own) / k) ** 0.5, min(own), max(own)))
-    best = points[max(range(len(rows)), key=lambda i: rows[i][1])]
+        rows.append((str({x: v for x, v in p.items() if x in grid}), mean, (sum((x - mean) ** 2 for x in own) / k) ** 0.5, min(own), max(own)))
+    best = grid_points(grid)[max(range(len(rows)), key=lambda i: rows[i][1])]
     return td.vocab.sparkSession.createDataFrame(
         rows, "params string, mean_score double, std_score double, min_score double, max_score double"), best

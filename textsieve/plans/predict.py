@@ -95,6 +95,8 @@ class Predictor:
             raise ValueError("neighbours have no weights by term")
         if isinstance(m, bayes.NBModel):
             return rank.top_weights(m.term_weights(), n)
+        if hasattr(m, "map"):
+            raise ValueError("a kernel model has no weights by term")
         if isinstance(m, trees.TreeModel) or hasattr(m.stages[0], "featureImportances"):
             return rank.top_importances(m.importances(self.vocab), n)
         return rank.top_weights(m.term_weights(self.vocab), n)
@@ -112,6 +114,9 @@ class Predictor:
         elif isinstance(m, trees.TreeModel):
             m.save(path)
             meta = {"kind": "trees", "model": m.options()}
+        elif hasattr(m, "map"):
+            m.save(path)
+            meta = {"kind": "kernel", "model": m.options()}
         else:
             m.save(path)
             meta = {"kind": "vector", "name": m.name, "n_terms": m.n_terms, "scaled": m.std is not None}
@@ -130,6 +135,10 @@ class Predictor:
             from textsieve.plans.models import load_vector_model
 
             model = load_vector_model(spark, path, meta["name"], meta["n_terms"], meta["scaled"])
+        elif meta["kind"] == "kernel":
+            from textsieve.plans.models import KernelModel
+
+            model = KernelModel.load(spark, path, **meta["model"])
         elif meta["kind"] == "trees":
             model = trees.TreeModel.load(spark, path, **meta["model"])
         elif meta["kind"] == "knn":
