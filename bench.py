@@ -41,6 +41,8 @@ HEADLINE = [
     "model_results",
     "kernel_features",
     "knn_score",
+    "decision_tree",
+    "random_forest",
 ]
 
 
