@@ -57,7 +57,7 @@ def test_kernel_svm_by_name(spark, kernel, tmp_path):
 
 def test_grid_of_kernels(spark):
     td = catalog.training(spark, SF_SMALL)
-    grid = {"C": [1.0], "kernel": ["linear", "rbf", "poly"], "gamma": ["scale", 0.1]}
+    grid = {"C": [1.0], "kernel": ["linear", "rbf", "poly"], "gamma": ["scale", 1.0]}
     res, best = models.grid_search(SVM, td, grid, k=2)
     got = {r.params: r.mean_score for r in res.collect()}
     assert len(got) == 6 and set(best) == set(grid) and got[str(best)] == max(got.values())

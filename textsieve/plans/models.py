@@ -366,10 +366,10 @@ def fit_kernel(spec: "ModelSpec", p: dict, td) -> KernelModel:
     if "std" not in cache:
         cache["std"] = cut_lineage(bayes.scale_std(td.feats_train, td.docs_train, td.vocab))
     std, vocab, g = cache["std"], td.vocab.select("term"), p.get("gamma", "scale")
-    if g not in cache:
+    if ("gamma", g) not in cache:
         long = td.feats_train.join(std, "term").withColumn("value", F.col("value") / F.col("std"))
-        cache[g] = kernels.gamma_value(g, long, td.docs_train.count(), vocab.count())
-    m = kernels.KernelMap(p["kernel"], cache[g], vocab, std, int(p.get("n_components", kernels.N_COMPONENTS)),
+        cache["gamma", g] = kernels.gamma_value(g, long, td.docs_train.count(), vocab.count())
+    m = kernels.KernelMap(p["kernel"], cache["gamma", g], vocab, std, int(p.get("n_components", kernels.N_COMPONENTS)),
                           int(p.get("degree", 3)), int(p.get("random_state", 42)))
     key = (m.kernel, m.n_components, m.degree, m.seed)
     if key not in cache:
