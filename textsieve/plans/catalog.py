@@ -766,15 +766,6 @@ def q_grid_search_ml(spark, sf_dir):
     return round_doubles(res)
 
 
-@register("grid_search_svm")
-def q_grid_search_svm(spark, sf_dir):
-    """the whole grid of support vector machines, 72 points."""
-    from textsieve.plans import models
-
-    res, _ = models.grid_search("Support Vector Machine", training(spark, sf_dir), models.REGISTRY["Support Vector Machine"].grid)
-    return round_doubles(res)
-
-
 for _q, _kernel in (("svm_rbf", "rbf"), ("svm_poly", "poly")):
     register(_q)(_ml_query("Support Vector Machine", {"kernel": _kernel}))
 
