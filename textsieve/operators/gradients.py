@@ -186,7 +186,8 @@ class Descent:
             self.iterations += 1
         self.x, self.value, self.grad = self.trial, value, grad
         self.slope = self._slope()
-        if np.abs(self.slope).max(initial=0.0) <= self.tol or self.flat >= 3 or self.iterations >= self.max_iter:
+        # relative to the loss: with a weak penalty both become small long before the classes of new rows settle
+        if np.abs(self.slope).max(initial=0.0) <= max(self.tol * abs(value), 1e-8) or self.flat >= 3 or self.iterations >= self.max_iter:
             self.done = True
             return
         self._aim()

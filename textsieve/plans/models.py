@@ -38,7 +38,7 @@ from textsieve.session import cut_lineage, ensure_checkpoint_dir
 
 # The tolerances at which the reference's solvers stop.
 LR_TOL, SVM_TOL = 1e-4, 1e-3
-#: The largest slope left by fits that share their passes. Spark's tolerance is one of the loss, which stops sooner.
+#: The largest slope left by fits that share their passes, as a part of the loss.
 LR_GRID_TOL = 1e-4
 #: Held-out folds from which the probabilities of a linear SVM are learned.
 PLATT_FOLDS = 3
