@@ -28,10 +28,9 @@ def corpus(spark, seed=3, rows=60, terms=12):
     return docs, feats, x.astype(float), label, weight, fold
 
 
-@pytest.mark.parametrize("n_shards", [None, 3])
-def test_packed_rows_hold_every_entry_once(spark, n_shards, monkeypatch):
+def test_packed_rows_hold_every_entry_once(spark, monkeypatch):
     docs, feats, x, label, weight, fold = corpus(spark)
-    blocks = gradients.pack(docs, feats, n_shards)
+    blocks = gradients.pack(docs, feats)
 
     def work(own, _, total):
         for b in own:

@@ -30,7 +30,9 @@ CHUNK = 65_536
 #: Entries (document, term) of a block, of a file of blocks, and products that a task holds at a time.
 BLOCK_ENTRIES, FILE_ENTRIES, PRODUCTS = 262_144, 4_000_000, 4_000_000
 
-BLOCKS = ("shard int, n int, label binary, weight binary, fold binary, start binary, place binary, value binary")
+#: A block as a row: each part is the bytes of an array.
+KINDS = {"label": "f8", "weight": "f8", "fold": "i4", "start": "i8", "place": "i4", "value": "f8"}
+BLOCKS = "label binary, weight binary, fold binary, start binary, place binary, value binary"
 
 
 # --- packed rows ------------------------------------------------------------------
@@ -81,53 +83,36 @@ class Block:
             out[place[first]] += np.add.reduceat(g[row] * value[order][:, None], first, axis=0)
 
 
-def pack(docs: DataFrame, feats: DataFrame, n_shards: int | None = None) -> DataFrame:
+def pack(docs: DataFrame, feats: DataFrame) -> DataFrame:
     """Blocks of ``docs(row_id, label, weight, fold)`` with ``feats(row_id, term_id, value)``, written to the checkpoint
-    folder. A document without a known term is an empty row. With ``n_shards`` a document belongs to the shard that its
-    id's hash names, its rows lie in the order of that hash, and each shard's blocks are read by one task; without, there
-    are as many files as entries fill, and no fewer than cores."""
-    spark = docs.sparkSession
+    folder: as many files as entries fill, and no fewer than cores. A document without a known term is an empty row."""
     entry = F.struct(F.col("term_id").cast("int").alias("i"), F.col("value").cast("double").alias("v"))
     terms = feats.groupBy("row_id").agg(F.array_sort(F.collect_list(entry)).alias("e"))
-    empty = F.array().cast("array<struct<i:int,v:double>>")
-    key = F.xxhash64("row_id")
-    rows = docs.join(terms, "row_id", "left").select(
-        (F.pmod(key, F.lit(n_shards)) if n_shards else F.lit(0)).cast("int").alias("shard"), key.alias("key"), "row_id",
-        F.col("label").cast("double"), F.col("weight").cast("double"), F.col("fold").cast("int"), F.coalesce("e", empty).alias("e"))
-    cols = ["shard", "label", "weight", "fold", F.col("e.i").alias("place"), F.col("e.v").alias("value")]
-    if n_shards:
-        rows = rows.repartition(n_shards, "shard").sortWithinPartitions("shard", "key", "row_id").select(*cols)
-        return write_table(rows.mapInArrow(_packed, BLOCKS), "shard")
-    files = max(spark.sparkContext.defaultParallelism, math.ceil(feats.count() / FILE_ENTRIES))
-    return write_table(rows.repartition(files, "row_id").select(*cols).mapInArrow(_packed, BLOCKS))
+    e = F.coalesce("e", F.array().cast("array<struct<i:int,v:double>>"))
+    rows = docs.join(terms, "row_id", "left")
+    files = max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(feats.count() / FILE_ENTRIES))
+    rows = rows.repartition(files, "row_id").select(
+        F.col("label").cast("double"), F.col("weight").cast("double"), F.col("fold").cast("int"),
+        e.getField("i").alias("place"), e.getField("v").alias("value"))
+    return write_table(rows.mapInArrow(_packed, BLOCKS))
 
 
 def _packed(batches):
     for batch in batches:
-        shard = batch.column("shard").to_numpy()
         label, weight, fold = (batch.column(c).to_numpy() for c in ("label", "weight", "fold"))
         place, value = batch.column("place"), batch.column("value")
         start = place.offsets.to_numpy().astype(np.int64)
-        place = place.flatten().to_numpy(zero_copy_only=False)
-        value = value.flatten().to_numpy(zero_copy_only=False)
-        all_rows = Block(label, weight, fold, start - start[0], place, value)
-        cuts = np.r_[0, np.flatnonzero(np.diff(shard)) + 1, len(shard)]
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            if a == b:
-                continue
-            for p in all_rows.rows(int(a), int(b)).pieces(BLOCK_ENTRIES):
-                parts = [x.astype(t).tobytes() for x, t in ((p.label, "f8"), (p.weight, "f8"), (p.fold, "i4"), (p.start, "i8"),
-                                                           (p.place, "i4"), (p.value, "f8"))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(shard[a])], pa.int32()), pa.array([len(p)], pa.int32()), *[pa.array([x], pa.binary()) for x in parts]],
-                    ["shard", "n", "label", "weight", "fold", "start", "place", "value"])
+        rows = Block(label, weight, fold, start - start[0], place.flatten().to_numpy(zero_copy_only=False),
+                     value.flatten().to_numpy(zero_copy_only=False))
+        for p in rows.pieces(BLOCK_ENTRIES):
+            parts = {c: getattr(p, c).astype(t).tobytes() for c, t in KINDS.items()}
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in parts.values()], list(parts))
 
 
 def unpacked(batch):
     """The blocks of an Arrow batch."""
-    kinds = {"label": "f8", "weight": "f8", "fold": "i4", "start": "i8", "place": "i4", "value": "f8"}
     for i in range(batch.num_rows):
-        yield Block(**{c: np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in kinds.items()})
+        yield Block(**{c: np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in KINDS.items()})
 
 
 def summed(blocks: DataFrame, size: int, work, shared=None) -> np.ndarray:
