@@ -985,14 +985,13 @@ def q_default_run(spark, sf_dir):
 # --- streaming: the stream of conversation turns scored as it arrives -------
 
 def _stream_scored(spark, sf_dir) -> str:
-    """Run ST1 over the conversation turns (read as a file stream, one file
-    per trigger) and return the folder of scored rows."""
+    """Run ST1 over the conversation turns (read as a file stream) and return
+    the folder of scored rows."""
     import uuid
 
     from textsieve.streaming import score as st
 
-    conv_schema = tbl(spark, sf_dir, "conversations").schema
-    src = st.stream_parquet(spark, sf_dir, conv_schema, "conversations.parquet")
+    src = st.stream_table(spark, sf_dir, "conversations", tbl(spark, sf_dir, "conversations").schema)
     base = st.stream_checkpoint(spark, f"score-{uuid.uuid4().hex[:8]}")
     st.score_stream(src.select("conv_id", "turn", "text"), predictor(spark, sf_dir), f"{base}/out", f"{base}/ckpt",
                     "text", ("conv_id", "turn"))
@@ -1012,7 +1011,7 @@ def q_stream_append(spark, sf_dir):
     """ST1 in append mode: the same rows again."""
     from textsieve.streaming import score as st
 
-    src = st.stream_parquet(spark, sf_dir, tbl(spark, sf_dir, "conversations").schema, "conversations.parquet")
+    src = st.stream_table(spark, sf_dir, "conversations", tbl(spark, sf_dir, "conversations").schema)
     base = st.stream_checkpoint(spark, "append")
     st.append_stream(src.select("conv_id", "turn", "text"), predictor(spark, sf_dir), f"{base}/out", f"{base}/ckpt", "text",
                      ("conv_id", "turn"))

@@ -32,6 +32,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path is a folder, likewise."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
 def load_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA, encoding: str = "ISO-8859-1",
              na_values: list[str] | None = None) -> DataFrame:
     """Header CSV with quoted fields that may hold newlines and doubled

@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textsieve.plans.predict import Predictor
+from textsieve.sources.io import is_folder
+
+#: Files of so many bytes together are one batch of a table's stream.
+BATCH_BYTES = 256 << 20
 
 
 def score_stream(stream: DataFrame, predictor: Predictor, out_path: str, checkpoint: str, text_col: str = "text",
@@ -46,10 +50,20 @@ def append_stream(stream: DataFrame, predictor: Predictor, out_path: str, checkp
 
 
 def stream_parquet(spark: SparkSession, folder: str, schema, file_glob: str = "*.parquet",
-                   max_files: int = 1) -> DataFrame:
-    """A file stream over ``folder`` (new files matching ``file_glob``)."""
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-            .option("pathGlobFilter", file_glob).parquet(folder))
+                   max_files: int = 1, max_bytes: int | None = None) -> DataFrame:
+    """A file stream over ``folder`` (new files matching ``file_glob``), of ``max_files`` a batch, or of files of
+    ``max_bytes`` together."""
+    limit = ("maxBytesPerTrigger", max_bytes) if max_bytes else ("maxFilesPerTrigger", max_files)
+    return spark.readStream.schema(schema).option(*limit).option("pathGlobFilter", file_glob).parquet(folder)
+
+
+def stream_table(spark: SparkSession, folder: str, name: str, schema) -> DataFrame:
+    """A file stream over the table ``name`` of ``folder``: one file, or a folder of part files. Batches are bounded by
+    their bytes, so their number does not follow that of the files."""
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    if is_folder(spark, path):
+        return stream_parquet(spark, path, schema, "*", max_bytes=BATCH_BYTES)
+    return stream_parquet(spark, folder, schema, f"{name}.parquet", max_bytes=BATCH_BYTES)
 
 
 def write_epoch_counts(counts: DataFrame, state: str):
