@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 
 from textsieve.operators import neighbours as N
@@ -120,3 +121,33 @@ def test_registry_bundle_and_grid(spark, tmp_path):
     assert one == two and set(one) == {1, 2, 3}
     res, best = models.grid_search("K-Nearest Neighbors", td, {"n_neighbors": [3, 5], "weights": ["distance"], "p": [1]}, k=2)
     assert res.count() == 2 and best["n_neighbors"] in (3, 5)
+
+
+def test_blocks_meet_every_row_of_each_other():
+    """Blocks against plain loops: dense and sparse terms, a term that a row has twice, ties in the order of the rows."""
+    rng = np.random.default_rng(3)
+
+    def block(n, first):
+        size = rng.integers(0, 7, n)
+        place = np.concatenate([np.r_[0, rng.integers(1, 40, s - 1)] if s else np.empty(0, int) for s in size]).astype(int)
+        value = rng.choice([0.25, 0.5, 2.0], len(place))
+        return {"id": np.arange(first, first + n), "start": np.r_[0, np.cumsum(size)], "place": place, "value": value}
+
+    q, x = block(30, 100), block(50, 0)
+    rows = lambda b, i: list(zip(b["place"][b["start"][i]:b["start"][i + 1]], b["value"][b["start"][i]:b["start"][i + 1]]))
+    for p in (1, 2):
+        for b in (q, x):
+            b["norm"] = np.array([sum(v ** p for _, v in rows(b, i)) for i in range(len(b["id"]))])
+        want = []
+        for i in range(30):
+            overlap = [sum((min(v, w) if p == 1 else v * w) for t, v in rows(q, i) for s, w in rows(x, j) if s == t) for j in range(50)]
+            far = [(round(max(q["norm"][i] + x["norm"][j] - 2 * overlap[j], 0), 6), j) for j in range(50)]
+            want += [(i, j, d) for d, j in sorted(far)[:4]]
+        assert [(i, j, d) for part in N._nearest(q, x, 4, p) for i, j, d in zip(*(c.tolist() for c in part))] == want
+
+
+def test_scoring_does_not_join_pairs(spark, monkeypatch):
+    """What meets is blocks, not a row for each shared term: no candidates are listed."""
+    monkeypatch.setattr(N.KNNModel, "candidates", None)
+    train, test, docs, feats, vocab, asked, qfeats = tables(spark, 12, 4)
+    assert N.fit_knn(feats, docs, vocab, 3).score(asked, qfeats).count() == len(test)
