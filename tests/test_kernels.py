@@ -66,3 +66,28 @@ def test_grid_of_kernels(spark):
     for wrong in ({"kernel": "sigmoid"}, {"gamma": "wide"}, {"gamma": -1.0}):
         with pytest.raises(ValueError):
             models.create_model(SVM, wrong)
+
+
+def test_projection_and_sketch_do_not_move_arrays(spark, monkeypatch):
+    """Entries move as numbers, runs are short, and both ways (weights sent to the tasks, or joined) give the same."""
+    rng = np.random.default_rng(1)
+    long = spark.createDataFrame([(int(i), f"t{t}", float(rng.random())) for i in range(40) for t in rng.choice(30, rng.integers(0, 9), False)],
+                                 "row_id bigint, term string, value double")
+    docs = spark.range(41).select(F.col("id").alias("row_id"))  # the last has no term
+    vocab = spark.createDataFrame([(f"t{t}",) for t in range(30)], "term string")
+
+    def both():
+        z = {r.row_id: np.array(r.z) for r in kernels.rff_arrays(long, docs, vocab, 16, 0.5).collect()}
+        x = {r[0]: np.array(r[1]) for r in kernels.tensor_sketch(long, docs, vocab, 3, 0.5, 1.0, 16).select("row_id", vector_to_array("features")).collect()}
+        return z, x
+
+    monkeypatch.setattr(kernels, "ROWS_AT_ONCE", 7)
+    monkeypatch.setattr(kernels, "PRODUCTS_AT_ONCE", 5)
+    plan = kernels.rff_arrays(long, docs, vocab, 16, 0.5)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "Summarizer" not in plan and "aggregate_metrics" not in plan
+    sent = both()
+    monkeypatch.setattr(kernels, "BROADCAST_WEIGHTS", 0)
+    joined = both()
+    for a, b in zip(sent, joined):
+        assert set(a) == set(b) == set(range(41))
+        assert all(np.allclose(a[i], b[i], atol=1e-9) for i in a)
