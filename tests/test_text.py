@@ -86,3 +86,14 @@ def test_surface_features(spark):
     assert r["url_count"] == 1 and r["word_count"] == 11
     u = out.where("row_id = 4").first()
     assert u["text_length"] == 13 and u["uppercase_count"] == 3
+
+
+def test_tokens_are_made_once(spark):
+    """Lemmas and stems read written tokens: the plan that joins them back holds no step of the cleaner."""
+    from textsieve.functions import text
+
+    df = spark.createDataFrame([(1, "Two cats, <b>one</b> cat"), (2, None), (2, "dogs dog dogs")], "row_id bigint, message string")
+    for stemming, want in ((False, {(1, "two cat one cat"), (2, ""), (2, "dog dog dog")}), (True, {(1, "two cat one cat"), (2, ""), (2, "dog dog dog")})):
+        out = text.preprocess_text(df, stemming=stemming)
+        assert {(r.row_id, r.preprocessed_text) for r in out.collect()} == want
+        assert "regexp_replace" not in out._jdf.queryExecution().optimizedPlan().toString()

@@ -242,7 +242,8 @@ def preprocess_text(
     """Clean -> tokenize -> [stop words] -> [stem, else lemmatize] -> join.
 
     Stemming and lemmatization work on the distinct terms (one row per term),
-    and the per-term result is joined back to the token positions.
+    and the per-term result is joined back to the token positions. The tokens
+    are made once and written to the checkpoint folder with their rows.
     ``lexicon`` (column ``term``) is the set of known base forms; when absent,
     the distinct terms of ``df`` itself are used.
     """
@@ -251,9 +252,10 @@ def preprocess_text(
         return df.withColumn(out_col, join_tokens(toks))
 
     from textsieve.functions.morph import lemma_map, stem_map
+    from textsieve.session import write_table
 
     endings = None if stemming else [end for end, _ in NOUN_DETACHMENT_RULES]
-    base = df.withColumn("_toks", toks)
+    base = write_table(df.withColumn("_toks", toks))
 
     def may_change(t):
         """Stems may differ from any word; a lemma only from one with an ending of the rules."""
