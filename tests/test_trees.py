@@ -173,3 +173,39 @@ def test_forest_separates_the_classes(spark):
     td = catalog.training(spark, "/root/testdata/sf0.1")
     sc = models.scored(models.create_model("Random Forest").fit(td), td)
     assert evaluate.roc_auc(sc).first()[0] > 0.85
+
+
+def test_points_that_differ_in_their_ends_grow_once(spark):
+    """Depth and split limits close nodes and change no split: such points are one tree, cut off where each ends."""
+    rows, df = table(spark, seed=11, n=90)
+    specs = [S(max_depth=d, min_samples_split=m, min_samples_leaf=leaf) for d in (None, 1, 3) for m in (2, 9, 25) for leaf in (1, 2)]
+    specs += [S(max_depth=2, seed=1, **FOREST), S(max_depth=4, seed=1, **FOREST)]
+    growths, place = trees._growths(specs)
+    assert len(growths) == 4 and len(place) == len(specs)
+    for local in (0, 40, trees.LOCAL_ENTRIES):
+        got = grown(df, specs, 12, local_entries=local)
+        for spec, tree in list(zip(specs, got))[:-2]:
+            assert tree == plain(rows, spec, 12), (spec, local)
+
+
+def test_small_passes_and_rewritten_blocks_change_no_tree(spark, monkeypatch):
+    _, df = table(spark, seed=7)
+    specs = [S(), S("entropy", min_samples_leaf=2), S(seed=4, **FOREST)]
+    one = grown(df, specs, 12)
+    for name, value in (("MOVES", 3), ("CELLS_AT_ONCE", 1), ("BLOCK_ENTRIES", 10), ("FILE_ENTRIES", 40)):
+        monkeypatch.setattr(trees, name, value)
+    assert grown(df, specs, 12, local_entries=30) == one
+
+
+def test_a_large_node_takes_few_jobs(spark):
+    """A pass over the blocks and its sums a level, whatever the trees: the joins before took a dozen jobs."""
+    _, df = table(spark, seed=2)
+    tracker, group = spark.sparkContext.statusTracker(), "one-level"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        trees.grow(df, [S(max_depth=4)] * 3, 12, local_entries=0)
+        jobs = len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    passes = 4
+    assert jobs <= 12 + 4 * passes, jobs
