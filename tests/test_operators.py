@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
-from textsieve.operators import evaluate, sampling, vectorize
+from textsieve.operators import evaluate, rank, sampling, vectorize
 from textsieve.operators import prepare as P
 
 
@@ -143,3 +143,12 @@ def test_md5_rank_matches_window(spark):
     a = sampling.md5_rank(df, "g", "id", "rn", digits=2).select("id", "rn")
     b = df.select("id", F.row_number().over(Window.partitionBy("g").orderBy("_k", "id")).alias("rn"))
     assert a.exceptAll(b).count() == 0 and a.count() == 3000
+
+
+def test_bigram_counts_are_made_once(spark):
+    """The texts are cleaned for one aggregation, whose counts are written: what reads them holds no text any more."""
+    rows = [(1, "red apple pie red apple"), (1, "red apple tart"), (0, "blue sky over blue sky"), (0, "blue sky")]
+    out = rank.bigram_collocations(spark.createDataFrame(rows, "label int, message string"), "message", "label", 5, 2)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan and "Generate" not in plan
+    assert {(r.label, r["rank"], r.w1, r.w2, r.n12) for r in out.collect()} == {(1, 1, "red", "apple", 3), (0, 1, "blue", "sky", 3)}

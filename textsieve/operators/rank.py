@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textsieve.functions import text as T
+from textsieve.session import write_table
 
 
 def top_k_per_group(df: DataFrame, group_cols: list, order_cols: list, k: int, salt_col: str | None = None,
@@ -102,7 +103,7 @@ def bigram_collocations(df: DataFrame, text_col: str = "message", label_col: str
     The text is tokenized once: every token is exploded with its successor
     (null for the last), and one aggregation with two grouping sets,
     (label, w1, w2) and (label, w1), yields bigram and unigram counts in a
-    single shuffle."""
+    single shuffle. The counts are written, as four sides of the plan read them."""
     toks = T.remove_stopwords(T.tokenize(T.clean_text(text_col)), stop_words)
     n = F.size("t")
     nxt = F.concat(F.slice("t", 2, F.greatest(n - 1, F.lit(0))), F.array(F.lit(None).cast("string")))
@@ -111,8 +112,8 @@ def bigram_collocations(df: DataFrame, text_col: str = "message", label_col: str
     ).select(label_col, F.col("p.t").alias("w1"), F.col("p.1").alias("w2")).where(F.col("w1").isNotNull())
     both = pairs.groupingSets([[label_col, "w1", "w2"], [label_col, "w1"]], label_col, "w1", "w2").agg(
         F.count(F.lit(1)).alias("n"), F.grouping_id().alias("_gid"))
-    bi = both.where((F.col("_gid") == 0) & F.col("w2").isNotNull() & (F.col("n") >= min_count)).select(
-        label_col, "w1", "w2", F.col("n").alias("n12"))
+    both = write_table(both.where((F.col("_gid") == 1) | F.col("w2").isNotNull() & (F.col("n") >= min_count)))
+    bi = both.where(F.col("_gid") == 0).select(label_col, "w1", "w2", F.col("n").alias("n12"))
     uni = both.where(F.col("_gid") == 1).select(label_col, F.col("w1").alias("term"), "n")
     totals = uni.groupBy(label_col).agg(F.sum("n").alias("N"))  # one row per class
     u1 = uni.select(label_col, F.col("term").alias("w1"), F.col("n").alias("n1"))
