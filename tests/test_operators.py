@@ -152,3 +152,14 @@ def test_bigram_counts_are_made_once(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_replace" not in plan and "Generate" not in plan
     assert {(r.label, r["rank"], r.w1, r.w2, r.n12) for r in out.collect()} == {(1, 1, "red", "apple", 3), (0, 1, "blue", "sky", 3)}
+
+
+def test_term_statistics_without_a_table_of_documents_and_terms(spark):
+    rows = [(1, "apple apple pear"), (2, "pear plum"), (3, None), (4, ""), (5, "apple of"), (6, "plum plum plum")]
+    df = spark.createDataFrame(rows, "row_id bigint, message string")
+    plan = vectorize.term_stats(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [row_id" not in plan
+    shared = spark.createDataFrame([(1, "apple fig"), (None, "fig pear"), (None, "fig"), (5, "of")], "row_id bigint, message string")
+    for d in (df, df.unionByName(shared)):
+        counts = vectorize.term_counts(d).groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("ctf"))
+        assert sorted(vectorize.term_stats(d).collect()) == sorted(counts.collect())

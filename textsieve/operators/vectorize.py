@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textsieve.functions.text import analyzer_terms, clean_text, spark_english_stop_words
+from textsieve.session import write_table
 
 # Vocabularies at or below this many rows are broadcast explicitly; larger ones
 # are left to the planner (AQE broadcasts at run time if they turn out small).
@@ -53,6 +54,32 @@ def term_counts(
         F.count(F.lit(1)).alias("tf"))
 
 
+def term_stats(
+    df: DataFrame,
+    text_col: str = "message",
+    id_col: str = "row_id",
+    stop_words=None,
+    preprocess: bool = False,
+) -> DataFrame:
+    """``(term, df, ctf)`` of all documents, as ``term_counts`` has them, without its table of (document, term): a
+    document's terms are sorted inside its row, where the first of each run counts for ``df``. Only documents that share
+    their id with another row are counted by (id, term)."""
+    again = write_table(df.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col(id_col).alias("_id")))
+    alone = again.isEmpty()
+    one = df if alone else df.join(again, F.col(id_col).eqNullSafe(F.col("_id")), "left_anti")
+    text = clean_text(text_col) if preprocess else F.col(text_col)
+    sw = default_stop_words() if stop_words is None else stop_words
+    sorted_terms = one.select(F.sort_array(analyzer_terms(text, sw)).alias("t"))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.slice("t", 1, F.greatest(F.size("t") - 1, F.lit(0))))
+    runs = sorted_terms.where(F.size("t") > 0).select(F.explode(F.arrays_zip(F.col("t"), before)).alias("e"))
+    stats = runs.select(F.col("e.t").alias("term"), F.coalesce(F.col("e.t") != F.col("e.1"), F.lit(True)).cast("bigint").alias("df"),
+                        F.lit(1).cast("bigint").alias("ctf"))
+    if not alone:
+        many = term_counts(df.join(again, F.col(id_col).eqNullSafe(F.col("_id")), "left_semi"), text_col, id_col, stop_words, preprocess)
+        stats = stats.unionByName(many.select("term", F.lit(1).cast("bigint").alias("df"), F.col("tf").alias("ctf")))
+    return stats.groupBy("term").agg(F.sum("df").alias("df"), F.sum("ctf").alias("ctf"))
+
+
 def fit_vocabulary(
     counts: DataFrame,
     n_docs: int | None = None,
@@ -68,9 +95,13 @@ def fit_vocabulary(
     """
     if n_docs is None:
         n_docs = counts.select(id_col).distinct().count()
-    stats = counts.groupBy("term").agg(
-        F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("ctf")
-    ).where(F.col("df") >= min_df)
+    return vocabulary(counts.groupBy("term").agg(
+        F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("ctf")), n_docs, min_df, max_features)
+
+
+def vocabulary(stats: DataFrame, n_docs: int, min_df: int = 5, max_features: int | None = 5000) -> DataFrame:
+    """``fit_vocabulary`` of ``stats(term, df, ctf)``."""
+    stats = stats.where(F.col("df") >= min_df)
     if max_features is not None:
         stats = stats.orderBy(F.desc("ctf"), F.asc("term")).limit(int(max_features))
         # at most max_features rows: one small ordered window is fine
@@ -84,8 +115,6 @@ def fit_vocabulary(
     vocab = vocab.withColumn(
         "idf", F.log((F.lit(1.0) + F.lit(n_docs)) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     ).select("term", "term_id", "df", "ctf", "idf")
-    from textsieve.session import write_table
-
     vocab = write_table(vocab)
     if vocab.isEmpty():
         raise ValueError("empty vocabulary; perhaps the documents only contain stop words or min_df is too high")

@@ -198,7 +198,7 @@ def _all_vocab(spark, sf_dir):
     key = (id(spark), sf_dir, "all_vocab")
     if key not in _FITS:
         base = train.labelled_messages(spark, sf_dir)
-        _FITS[key] = vectorize.fit_vocabulary(vectorize.term_counts(base), base.count(), 5, 5000)
+        _FITS[key] = vectorize.vocabulary(vectorize.term_stats(base), base.count(), 5, 5000)
     return _FITS[key]
 
 
