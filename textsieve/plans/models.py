@@ -12,6 +12,7 @@ never centres, so vectors stay sparse.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import time
 from concurrent.futures import ThreadPoolExecutor
@@ -27,7 +28,8 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -411,13 +413,15 @@ def fit_platt_svm(est, rows: DataFrame, folds: int = PLATT_FOLDS) -> list:
     which = sampling.kfold_assign(rows.select("row_id", "label"), folds).select("row_id", "fold")
     dealt = for_fitting(rows.join(which, "row_id"))
     ids = [r[0] for r in dealt.select("fold").distinct().orderBy("fold").collect()]
-    held = None
-    for f in ids:
-        part = margins(est.fit(dealt.where(F.col("fold") != f)).transform(dealt.where(F.col("fold") == f)))
-        part = part.select("label", "weight", "_m")
-        held = part if held is None else held.unionByName(part)
-    platt = LogisticRegression(featuresCol="_m", labelCol="label", weightCol="weight", maxIter=100).fit(held)
-    return [est.fit(rows), platt]
+    # an iteration is a job of a few short tasks: one fit alone leaves most cores idle, so all of them run side by side
+    with ThreadPoolExecutor(len(ids) + 1) as pool:
+        whole = pool.submit(inheritable_thread_target(rows.sparkSession)(est.fit), rows)
+        parts = [pool.submit(inheritable_thread_target(rows.sparkSession)(est.fit), dealt.where(F.col("fold") != f)) for f in ids]
+        parts = [p.result() for p in parts]
+        held = [margins(m.transform(dealt.where(F.col("fold") == f))).select("label", "weight", "_m") for f, m in zip(ids, parts)]
+        platt = LogisticRegression(featuresCol="_m", labelCol="label", weightCol="weight", maxIter=100).fit(
+            functools.reduce(DataFrame.unionByName, held))
+        return [whole.result(), platt]
 
 
 def _class_weight(df: DataFrame, balanced: bool) -> DataFrame:

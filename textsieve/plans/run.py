@@ -40,7 +40,7 @@ class Run:
 def train_models(base: DataFrame, selected: list[str] | None = None, params: dict | None = None,
                  opts: Options = Options(), td: train.TrainingData | None = None) -> Run:
     """Fit and evaluate the selected models (the recommended ones by default) on ``base(row_id, message, label)``."""
-    td = td or train.prepare(base, opts)
+    td = (td or train.prepare(base, opts)).settled()
     results, fitted = M.train_and_evaluate(M.get_models(selected or M.RECOMMENDED, params), td)
     return Run(results, fitted, td)
 
