@@ -2,6 +2,7 @@ import itertools
 import random
 
 import xxhash
+from pyspark.sql import functions as F
 
 from textsieve.llm import simhash
 from textsieve.llm.components import components
@@ -86,3 +87,10 @@ def test_components_of_chains_stars_and_repeats(spark):
     assert len({got[i] for i in range(31)}) == 1 and len({got[i] for i in range(100, 120)}) == 1
     assert got[500] == 500 and len(set(got.values())) == 3
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_exploded_fingerprints_are_not_broadcast(spark):
+    """A small table by its estimate, whose probes are 34 times its rows."""
+    fps = spark.range(5000).select((F.xxhash64("id")).alias("fp"))
+    plan = simhash.links(simhash.write_table(fps))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan

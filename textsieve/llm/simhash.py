@@ -101,7 +101,8 @@ def _search(table: DataFrame, probes: DataFrame, bits: int, max_bits: int, bucke
         if large.isEmpty():
             large = None
     cold = table if large is None else table.join(large, "key", "left_anti")
-    found = _verified(cold.join(probes, "key").where(F.col("fp") != F.col("other")), max_bits)
+    # Spark takes an exploded side for as small as the fingerprints, and would broadcast its rows, some 34 for each
+    found = _verified(cold.hint("merge").join(probes.hint("merge"), "key").where(F.col("fp") != F.col("other")), max_bits)
     if large is None:
         return found
     # inside a large bucket: either of two halves of the open bits differs in one bit at most
@@ -159,7 +160,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # one row per component, not one per fingerprint of a large one
     keepers = write_table(groups.select(F.col("keeper.id").alias(own("id")), F.col("keeper.body").alias(own("body"))).distinct())
     keyed = docs.select("*", F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias(own("text_md5")))
-    kept = keyed.join(keepers, F.col(id_col).eqNullSafe(F.col(own("id"))) & (F.col(own("text_md5")) == F.col(own("body"))))
+    # a row for most documents, of more bytes than its file: never one for the driver
+    kept = keyed.join(keepers.hint("merge"), F.col(id_col).eqNullSafe(F.col(own("id"))) & (F.col(own("text_md5")) == F.col(own("body"))))
     # equal rows of one id and text
     nth = F.row_number().over(W.partitionBy(own("id"), own("body")).orderBy(F.lit(1)))
     return kept.withColumn(own("nth"), nth).where(F.col(own("nth")) == 1).select(*map(quoted, docs.columns))
