@@ -122,7 +122,8 @@ def with_copies(docs: DataFrame, id_col="doc_id", text_col="text", source_col="s
     per = write_table(per.select(*[F.col(c).alias(own(c)) for c in (
         "id", "source", "size", "body", "rows", "k", "source_size", "target")]))
     keyed = docs.select("*", F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias(own("text_md5")))
-    joined = keyed.join(per, F.col(id_col).eqNullSafe(F.col(own("id"))) & (F.col(own("text_md5")) == F.col(own("body")))
+    # a row for each document, of more bytes than its file: never one for the driver
+    joined = keyed.join(per.hint("merge"), F.col(id_col).eqNullSafe(F.col(own("id"))) & (F.col(own("text_md5")) == F.col(own("body")))
                         & F.col(source_col).eqNullSafe(F.col(own("source"))))
     # equal rows only: a window is the rows of one id, source and text
     nth = F.row_number().over(W.partitionBy(own("id"), own("source"), own("body")).orderBy(F.lit(1))) - 1
