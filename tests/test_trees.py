@@ -10,6 +10,7 @@ from textsieve.operators import evaluate, trees
 from textsieve.plans import catalog, models
 from textsieve.plans.predict import Predictor
 from textsieve.plans import train
+from textsieve.session import write_table
 from textsieve.sources.io import path_exists
 
 SF_SMALL = "/root/testdata/sf0.001"
@@ -197,6 +198,54 @@ def test_small_passes_and_rewritten_blocks_change_no_tree(spark, monkeypatch):
     assert grown(df, specs, 12, local_entries=30) == one
 
 
+def test_pieces_spread_out_or_not_grow_the_same_subtree():
+    """A task's own growth: spread out, entry by entry, and from one to the other below a small child."""
+    rng = trees.np.random.default_rng(3)
+    size = rng.integers(0, 9, 80).astype("int32")
+    key = trees.np.concatenate([trees.np.sort(rng.choice(30, n, replace=False)) * (trees.BINS + 1) + rng.integers(1, 4, n) for n in size])
+    piece = rng.integers(0, 2, 80).astype("uint8"), rng.integers(1, 4, 80).astype("int32"), size, key.astype("int32")
+    for spec in (S(), S("entropy", min_samples_leaf=3), S(max_features="sqrt", seed=2)):
+        own, = trees._growths([spec])[0]
+        ways = [sorted(trees._subtree(piece, ("", 0, 0.0), 0, own, (1.0, 1.0), 30, cells), key=lambda x: x[1]) for cells in (10_000, 600, 0)]
+        assert len(ways[0]) > 15 and ways[0] == ways[1] == ways[2], spec
+    # a row that has a term twice counts twice, and goes where either entry goes
+    twice = trees.np.array([1, 1], "uint8"), trees.np.array([1, 1], "int32"), trees.np.array([2, 1], "int32"), trees.np.array([1, 2, 2], "int32")
+    own, = trees._growths([S()])[0]
+    out = trees._subtree((trees.np.array([1, 0], "uint8"), *twice[1:]), ("", 0, 0.0), 0, own, (1.0, 1.0), 1)
+    assert [x[4] for x in out if x[1] == ""] == [2.0]
+
+
+def test_large_nodes_send_packed_sums_by_ranges_of_terms(spark, monkeypatch):
+    """One row for a node and range of terms from each task, not one for each term and bin; the ranges keep the rule."""
+    _, df = table(spark, seed=8)
+    specs = [S(), S("entropy"), S(seed=4, **FOREST)]
+    one = grown(df, specs, 12)
+    monkeypatch.setattr(trees, "PART_TERMS", 2)
+    assert grown(df, specs, 12, local_entries=0) == one
+    blocks = trees._pack(df, specs[:1])
+    seen, real = [], type(blocks).mapInArrow
+
+    def written(self, f, schema, *a, **k):
+        seen.append(write_table(real(self, f, schema, *a, **k)))
+        return seen[-1]
+
+    monkeypatch.setattr(type(blocks), "mapInArrow", written)
+    (k0, k1, m), *_ = trees._totals(blocks, 0)
+    trees._best_splits(blocks, [trees._Node(0, 0, "", k0, k1, m, 0.0)], trees._growths(specs[:1])[0], [(1.0, 1.0)], [0], [], 12)
+    rows = seen[-1].groupBy("node", "part").count().collect()
+    assert {r["part"] for r in rows} <= set(range(6)) and max(r["count"] for r in rows) <= blocks.rdd.getNumPartitions()
+
+
+def test_large_forests_score_by_groups_of_trees(spark, monkeypatch):
+    """A forest of more nodes than a broadcast has, each tree of fewer: groups of trees, no joins step by step."""
+    td = catalog.training(spark, SF_SMALL)
+    model = models.create_model("Random Forest", {"n_estimators": 5}).fit(td)
+    one = {r.row_id: list(r.probs) for r in model.tree_probabilities(td.docs_test, td.feats_test).collect()}
+    model.broadcast_nodes = max(r["count"] for r in model.nodes.groupBy("tree").count().collect()) + 1
+    monkeypatch.setattr(trees.TreeModel, "_walk_by_joins", lambda *a: pytest.fail("joined"))
+    assert one == {r.row_id: list(r.probs) for r in model.tree_probabilities(td.docs_test, td.feats_test).collect()}
+
+
 def test_a_large_node_takes_few_jobs(spark):
     """A pass over the blocks and its sums a level, whatever the trees: the joins before took a dozen jobs."""
     _, df = table(spark, seed=2)
