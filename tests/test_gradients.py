@@ -46,6 +46,27 @@ def test_packed_rows_hold_every_entry_once(spark, monkeypatch):
     gradients.release(blocks)
 
 
+def test_sums_move_as_bytes_and_entries_that_come_twice_add_up(spark, monkeypatch):
+    """A pass's sums go to their Arrow groups as bytes, never as arrays of the JVM."""
+    docs, feats, *_ = corpus(spark)
+    blocks = gradients.pack(docs, feats)
+    schemas, real = [], type(blocks).mapInArrow
+    monkeypatch.setattr(type(blocks), "mapInArrow", lambda self, f, schema, *a, **k: schemas.append(schema) or real(self, f, schema, *a, **k))
+    monkeypatch.setattr(gradients, "CHUNK", 3)
+
+    def work(own, _, total):
+        total += np.arange(8) * sum(len(b) for b in own)
+        return True
+
+    assert gradients.summed(blocks, 8, work).tolist() == (np.arange(8) * 60).tolist()
+    assert gradients.summed(blocks, 8, lambda own, _, total: False).tolist() == [0.0] * 8
+    assert schemas == ["chunk int, sums binary"] * 2
+    gradients.release(blocks)
+    one = np.ones(2)
+    piece = gradients.DensePiece.of(gradients.Block(one, one, one, np.array([0, 3, 3]), np.array([2, 2, 0], "i4"), np.array([1.0, 2.0, 5.0])), 4)
+    assert piece.x.tolist() == [[5.0, 0.0, 3.0, 0.0], [0.0] * 4]
+
+
 def test_scales_leave_the_fold_out(spark, monkeypatch):
     docs, feats, x, label, weight, fold = corpus(spark)
     blocks = gradients.pack(docs, feats)
